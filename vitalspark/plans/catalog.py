@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import stats_queries  # noqa: F401
+from . import document_queries, reading_queries, stats_queries  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 
