@@ -23,13 +23,14 @@ CORRUPT = "_corrupt_record"
 # --- messages -------------------------------------------------------------------
 
 def parse_json_readings(messages: DataFrame, schema=S.READING_MESSAGE_SCHEMA,
-                        message_time: str = "timestamp") -> DataFrame:
-    """Message bytes → JSON struct → flat reading columns + message time.
-    Malformed bodies yield all-NULL fields (see ``malformed_split``)."""
+                        message_time: str = "timestamp", keep=()) -> DataFrame:
+    """Message bytes → JSON struct → flat reading columns + message time
+    (+ ``keep`` columns such as the offset).  Malformed bodies yield all-NULL
+    fields (see ``malformed_split``)."""
     return (messages
             .select(F.from_json(F.col("value").cast("string"), schema).alias("data"),
-                    F.col(message_time).cast("timestamp_ntz").alias("message_timestamp"))
-            .select("data.*", "message_timestamp"))
+                    F.col(message_time).cast("timestamp_ntz").alias("message_timestamp"), *keep)
+            .select("data.*", "message_timestamp", *keep))
 
 
 def malformed_split(messages: DataFrame, schema=S.READING_MESSAGE_SCHEMA) -> tuple[DataFrame, DataFrame]:

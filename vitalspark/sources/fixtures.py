@@ -188,14 +188,15 @@ def reading_upserts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return base, one.unionByName(two)
 
 
-def reading_messages(readings_with_id: DataFrame, bad_every: int = 97) -> DataFrame:
+def reading_messages(readings_with_id: DataFrame, bad_every: int | None = 97) -> DataFrame:
     """Readings as messages: value = JSON bytes (timestamp as ISO text),
     timestamp = message time, offset = event_id.  Every ``bad_every``-th
     event carries a malformed body."""
     body = F.to_json(F.struct(*[
         F.date_format("reading_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(c) if c == "reading_timestamp"
         else F.col(c) for c in S.READING_COLUMNS]))
-    body = F.when(F.col("event_id") % bad_every == 0, F.lit("{bad")).otherwise(body)
+    if bad_every:
+        body = F.when(F.col("event_id") % bad_every == 0, F.lit("{bad")).otherwise(body)
     return readings_with_id.select(
         body.cast("binary").alias("value"),
         F.col("reading_timestamp").cast("timestamp").alias("timestamp"),
