@@ -13,9 +13,17 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def round_half_up(x, scale: int = 2) -> Column:
+    """HALF_UP rounding of the value taken at 12 decimals.  A mean such as
+    1.025 may come out one bit below or above the half-way point depending on
+    summation order; fixing 12 decimals first makes the rounding independent
+    of that noise (the SQL oracles state the same rule)."""
+    return F.round(_c(x).cast("decimal(38,12)"), scale).cast("double")
+
+
 def pct(part, whole, scale: int = 2) -> Column:
     """round(part / whole * 100, scale); NULL when whole is 0."""
-    return F.round(_c(part) / _c(whole) * 100, scale)
+    return round_half_up(_c(part) / _c(whole) * 100, scale)
 
 
 def abnormal_count(flag="is_abnormal") -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import abnormal_count, pct
+from ..functions.columns import abnormal_count, pct, round_half_up
 from . import stats
 
 
@@ -35,7 +35,7 @@ def daily_report(readings: DataFrame, report_date, generated_at, day=None,
     summary = stats.overall_summary(readings, on_rounded=False)
     per_metric = (readings.groupBy("metric_type")
                   .agg(F.count(F.lit(1)).alias("total_readings"),
-                       F.round(F.avg("value"), 2).alias("avg_value"),
+                       round_half_up(F.avg("value"), 2).alias("avg_value"),
                        abnormal_count().alias("abnormal_count"))
                   .withColumn("abnormal_rate", pct("abnormal_count", "total_readings")))
     metrics = _arr(per_metric, ["metric_type", "total_readings", "avg_value", "abnormal_count", "abnormal_rate"],

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import abnormal_count, pct
+from ..functions.columns import abnormal_count, pct, round_half_up
 
 # fixed values: alert thresholds and report sizes
 HIGH_RISK_PCT = 20.0
@@ -28,10 +28,10 @@ def metric_summary(readings: DataFrame) -> DataFrame:
     """A1: per metric count, avg, sample stddev, min, max, abnormal count and %."""
     return (readings.groupBy("metric_type")
             .agg(F.count(F.lit(1)).alias("total_readings"),
-                 F.round(F.avg("value"), 2).alias("avg_value"),
-                 F.round(F.stddev_samp("value"), 2).alias("std_dev"),
-                 F.round(F.min("value"), 2).alias("min_value"),
-                 F.round(F.max("value"), 2).alias("max_value"),
+                 round_half_up(F.avg("value"), 2).alias("avg_value"),
+                 round_half_up(F.stddev_samp("value"), 2).alias("std_dev"),
+                 round_half_up(F.min("value"), 2).alias("min_value"),
+                 round_half_up(F.max("value"), 2).alias("max_value"),
                  abnormal_count().alias("abnormal_count"))
             .withColumn("abnormal_percentage", pct("abnormal_count", "total_readings"))
             .orderBy("metric_type"))
@@ -116,7 +116,7 @@ def risk_overview(patients: DataFrame, threshold: int = HIGH_RISK_SCORE) -> Data
     """Patients, average risk (2 decimals), count at/above threshold, % of all.
     NULL averages on empty input instead of a division error."""
     return (patients.agg(F.count(F.lit(1)).alias("total_patients"),
-                         F.round(F.avg("risk_score"), 2).alias("avg_risk_score"),
+                         round_half_up(F.avg("risk_score"), 2).alias("avg_risk_score"),
                          F.count_if(F.col("risk_score") >= threshold).alias("high_risk_count"))
             .withColumn("high_risk_percentage",
                         F.when(F.col("total_patients") > 0, pct("high_risk_count", "total_patients"))))
@@ -126,7 +126,7 @@ def dashboard_kpis(patients: DataFrame, readings: DataFrame) -> DataFrame:
     """A10: the dashboard's four figures computed from the data."""
     r = readings.agg(F.count(F.lit(1)).alias("n"), abnormal_count().alias("a"))
     return (patients.agg(F.count(F.lit(1)).alias("total_patients"),
-                         F.round(F.avg("risk_score"), 2).alias("avg_risk_score"))
+                         round_half_up(F.avg("risk_score"), 2).alias("avg_risk_score"))
             .select("total_patients",
                     r.select("n").scalar().alias("total_readings"),
                     r.select("a").scalar().alias("abnormal_readings"),

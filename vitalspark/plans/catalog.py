@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import document_queries, io_queries, reading_queries, stats_queries  # noqa: F401
+from . import document_queries, io_queries, reading_queries, stats_queries, stream_queries  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 
