@@ -67,3 +67,23 @@ def event_time(c="reading_timestamp") -> Column:
     """Any reading time (string, TIMESTAMP_NTZ) → TIMESTAMP for a watermark.
     With the session zone pinned to UTC the wall clock is kept."""
     return _c(c).cast("timestamp")
+
+
+def sql_literal(v) -> str:
+    """A Python scalar as a Spark SQL literal (for inline VALUES tables)."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return f"CAST({v!r} AS DOUBLE)"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def values_table(spark, rows, columns: list[str]):
+    """A small fixed table as an inline VALUES relation.  Spark plans it as a
+    local relation: broadcasting it needs no job, and its size is known."""
+    body = ", ".join("(" + ", ".join(sql_literal(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")

@@ -1,8 +1,9 @@
 """The daily report document (one row of scalars, structs and arrays).
 
-Every array is collected from an already-bounded result: one element per
-metric, and at most ``high_risk_limit`` patients after a top-k.  Each array is
-an uncorrelated scalar subquery, so the report is assembled without joins.
+The readings are scanned once, into the (patient, metric, device) rollup,
+which is written once as a table; every section derives from that small table.  Every array is collected from an already-bounded result: one
+element per metric, and at most ``high_risk_limit`` patients after a top-k.
+Each array is an uncorrelated scalar subquery, so the report needs no join.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import abnormal_count, pct, round_half_up
+from ..functions.columns import pct, round_half_up
+from ..session import materialize
 from . import stats
 
 
@@ -32,18 +34,34 @@ def daily_report(readings: DataFrame, report_date, generated_at, day=None,
     with ``report_date`` and ``generated_at`` (parameters, never now())."""
     if day is not None:
         readings = readings.filter(F.to_date("reading_timestamp") == F.lit(day).cast("date"))
-    summary = stats.overall_summary(readings, on_rounded=False)
-    per_metric = (readings.groupBy("metric_type")
-                  .agg(F.count(F.lit(1)).alias("total_readings"),
-                       round_half_up(F.avg("value"), 2).alias("avg_value"),
-                       abnormal_count().alias("abnormal_count"))
-                  .withColumn("abnormal_rate", pct("abnormal_count", "total_readings")))
+    # one scan of the readings, written as a small table in the shared
+    # checkpoint folder; every section below reads that table
+    rollup = materialize(stats.reading_rollup(readings), "report-rollup")
+    per_patient = (rollup.groupBy("patient_id")
+                   .agg(F.sum("n").alias("total_readings"), F.sum("a").alias("abnormal_readings"))
+                   .withColumn("abnormal_percentage", pct("abnormal_readings", "total_readings")))
+    raw = F.col("abnormal_readings") / F.col("total_readings") * 100
+    devices = rollup.agg(F.count_distinct("device_id")).scalar()
+    summary = (per_patient.agg(F.coalesce(F.sum("total_readings"), F.lit(0)).cast("long").alias("total_readings"),
+                               F.count(F.lit(1)).alias("total_patients"),
+                               F.count_if(raw > stats.HIGH_RISK_PCT).alias("high_risk_patients"),
+                               F.coalesce(F.sum("abnormal_readings"), F.lit(0)).cast("long").alias("total_abnormal"))
+               .select("total_readings", "total_patients", "high_risk_patients", devices.alias("total_devices"),
+                       "total_abnormal",
+                       F.coalesce(pct("total_abnormal", "total_readings"), F.lit(0.0)).alias("overall_abnormal_rate")))
+    per_metric = (rollup.groupBy("metric_type")
+                  .agg(F.sum("n").alias("total_readings"), F.sum("s").alias("_sum"),
+                       F.sum("a").alias("abnormal_count"))
+                  .select("metric_type", "total_readings",
+                          round_half_up(F.col("_sum") / F.col("total_readings"), 2).alias("avg_value"),
+                          "abnormal_count", pct("abnormal_count", "total_readings").alias("abnormal_rate")))
     metrics = _arr(per_metric, ["metric_type", "total_readings", "avg_value", "abnormal_count", "abnormal_rate"],
                    lambda a, b: a["metric_type"] < b["metric_type"])
     rates_src = per_metric.select(F.col("metric_type").alias("metric"), F.col("abnormal_count").alias("count"),
                                   F.col("abnormal_rate").alias("rate"))
     rates = _arr(rates_src, ["metric", "count", "rate"], _desc_then("count", "metric"))
-    high = stats.high_risk_patients(readings, limit=high_risk_limit, on_rounded=False)
+    high = (per_patient.filter(raw > stats.HIGH_RISK_PCT)
+            .orderBy(F.desc("abnormal_percentage"), "patient_id").limit(high_risk_limit))
     high_arr = _arr(high, ["patient_id", "total_readings", "abnormal_readings", "abnormal_percentage"],
                     _desc_then("abnormal_percentage", "patient_id"))
     return summary.select(

@@ -93,23 +93,32 @@ def hourly_distribution(readings: DataFrame) -> DataFrame:
             .orderBy("hour"))
 
 
-def overall_summary(readings: DataFrame, threshold: float = HIGH_RISK_PCT, on_rounded: bool = True) -> DataFrame:
-    """One row of totals.
+def reading_rollup(readings: DataFrame) -> DataFrame:
+    """Readings pre-aggregated to (patient, metric, device): count, abnormal
+    count, value sum.  Orders of magnitude smaller than the readings, it can
+    feed every figure of the summary and the report from one scan."""
+    return (readings.groupBy("patient_id", "metric_type", "device_id")
+            .agg(F.count(F.lit(1)).alias("n"), abnormal_count().alias("a"), F.sum("value").alias("s")))
 
-    Totals, patients and the high-risk count come from one aggregate over the
-    per-patient summary; the device count is an uncorrelated scalar subquery
-    (one value), so no join is needed.
-    """
-    s = patient_summary(readings)
-    hot = (s["abnormal_percentage"] if on_rounded else _raw_pct(s)) > threshold
-    devices = readings.agg(F.count_distinct("device_id")).scalar()
-    return (s.agg(F.coalesce(F.sum("total_readings"), F.lit(0)).cast("long").alias("total_readings"),
-                  F.count(F.lit(1)).alias("total_patients"),
+
+def overall_summary(readings: DataFrame, threshold: float = HIGH_RISK_PCT, on_rounded: bool = True) -> DataFrame:
+    """One row of totals (readings, patients, high-risk patients, devices,
+    abnormal, overall rate; 0 when empty) in one pass: one aggregate with the
+    grouping sets (patient) and (device), then one global aggregate over its
+    small output.  Each input row is expanded twice before the partial
+    aggregate, so a hot patient or device is summed map-side."""
+    g = (readings.groupingSets([["patient_id"], ["device_id"]], "patient_id", "device_id")
+         .agg(F.count(F.lit(1)).alias("n"), abnormal_count().alias("a"), F.grouping_id().alias("gid")))
+    is_patient = F.col("gid") == 1  # device_id rolled up
+    raw = F.col("a") / F.col("n") * 100
+    hot = is_patient & ((round_half_up(raw, 2) if on_rounded else raw) > threshold)
+    return (g.agg(F.coalesce(F.sum(F.when(is_patient, F.col("n"))), F.lit(0)).cast("long").alias("total_readings"),
+                  F.count_if(is_patient).alias("total_patients"),
                   F.count_if(hot).alias("high_risk_patients"),
-                  F.coalesce(F.sum("abnormal_readings"), F.lit(0)).cast("long").alias("total_abnormal"))
-            .select("total_readings", "total_patients", "high_risk_patients",
-                    devices.alias("total_devices"), "total_abnormal",
-                    F.coalesce(pct("total_abnormal", "total_readings"), F.lit(0.0)).alias("overall_abnormal_rate")))
+                  F.count_if(F.col("gid") == 2).alias("total_devices"),
+                  F.coalesce(F.sum(F.when(is_patient, F.col("a"))), F.lit(0)).cast("long").alias("total_abnormal"))
+            .withColumn("overall_abnormal_rate",
+                        F.coalesce(pct("total_abnormal", "total_readings"), F.lit(0.0))))
 
 
 def risk_overview(patients: DataFrame, threshold: int = HIGH_RISK_SCORE) -> DataFrame:

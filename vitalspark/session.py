@@ -61,3 +61,12 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path below the shared checkpoint folder (never reused)."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "vitalspark", *parts, uuid.uuid4().hex)
+
+
+def materialize(df, label: str):
+    """Write ``df`` as a Parquet table below the shared checkpoint folder and
+    return a scan of it.  Cuts the lineage: later jobs (and a re-run after an
+    executor loss) read the table instead of recomputing its inputs."""
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -11,20 +11,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.columns import values_table
 from .tables import load_table
 
 
 def metric_dim(spark: SparkSession, rows=None) -> DataFrame:
     """The metric dimension as a DataFrame (a handful of fixed rows)."""
     rows = S.TESTDATA_METRICS if rows is None else rows
-    return spark.createDataFrame(
-        [(m, lo, hi, unit) for (m, lo, hi, unit) in rows],
-        "metric_type string, threshold_min double, threshold_max double, unit string")
+    return values_table(spark, rows, ["metric_type", "threshold_min", "threshold_max", "unit"])
 
 
 def vital_signs_dim(spark: SparkSession) -> DataFrame:
     """The monitoring devices' own vital-sign table (normal and abnormal bounds)."""
-    return spark.createDataFrame(S.VITAL_SIGNS, S.METRIC_DIM_SCHEMA)
+    return values_table(spark, S.VITAL_SIGNS, S.METRIC_DIM_SCHEMA.fieldNames())
 
 
 def pad_id(prefix: str, col: Column, width: int) -> Column:
