@@ -23,7 +23,7 @@ def round_half_up(x, scale: int = 2) -> Column:
 
 def pct(part, whole, scale: int = 2) -> Column:
     """round(part / whole * 100, scale); NULL when whole is 0."""
-    return round_half_up(_c(part) / _c(whole) * 100, scale)
+    return round_half_up(F.try_divide(_c(part), _c(whole)) * 100, scale)
 
 
 def abnormal_count(flag="is_abnormal") -> Column:

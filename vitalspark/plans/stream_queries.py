@@ -253,7 +253,7 @@ def q_multi_query_lifecycle(spark, sf_dir):
         "window_statistics": K.start_update(T.window_statistics_approx(stream, WINDOW),
                                             outs["window_statistics"], work_path(spark, "ckpt")),
     }
-    K.run_all(qs, wait="all")
+    K.run_all(spark, qs, wait="all")
     feed = spark.read.parquet(outs["abnormal_feed"])
     alerts = K.read_keyed_latest(spark, outs["metric_alerts"], ["window_start", "patient_id", "metric_type"])
     stats = K.read_keyed_latest(spark, outs["window_statistics"], ["period_start"])

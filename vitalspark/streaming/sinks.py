@@ -126,7 +126,7 @@ def read_ingested(spark: SparkSession, table_path: str) -> DataFrame:
                              (BATCH_COL, "offset")).drop("offset")
 
 
-def run_all(queries: dict[str, StreamingQuery], wait: str = "any",
+def run_all(spark: SparkSession, queries: dict[str, StreamingQuery], wait: str = "any",
             timeout_s: float | None = None) -> dict[str, StreamingQuery]:
     """Several queries started from one source, each with its own
     checkpoint and trigger.  ``wait="any"`` returns when the first one ends
@@ -138,7 +138,6 @@ def run_all(queries: dict[str, StreamingQuery], wait: str = "any",
             for q in queries.values():
                 q.awaitTermination(timeout_s)
         else:
-            spark = next(iter(queries.values())).sparkSession
             spark.streams.awaitAnyTermination(timeout_s)
     finally:
         for q in queries.values():
