@@ -77,3 +77,18 @@ def test_run_all_stops_every_query(spark):
     qs["feed"].stop()
     K.run_all(spark, qs, wait="any", timeout_s=30)
     assert not any(q.isActive for q in qs.values())
+
+
+def test_compaction_keeps_the_table(spark):
+    src = Q.write_messages(spark, SF_SMALL)
+    table = work_path(spark, "table")
+    write = K.ingest_writer(table)
+    msgs = spark.read.parquet(src)
+    write(msgs, 0)
+    fix = msgs.filter(F.col("offset") % 10 == 0).withColumn("offset", F.col("offset") + 10 ** 12)
+    write(fix, 1)
+    before = sorted(map(tuple, K.read_ingested(spark, table).collect()))
+    assert K.compact_ingested(spark, table) == 1
+    assert sorted(map(tuple, K.read_ingested(spark, table).collect())) == before
+    write(fix.withColumn("offset", F.col("offset") + 1), 2)
+    assert K.read_ingested(spark, table).count() == len(before)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,18 @@ from pyspark.sql import functions as F
 NAMESPACE_DNS_HEX = "6ba7b8109dad11d180b400c04fd430c8"
 
 
+def ntz_literal(t) -> Column:
+    """A wall-clock instant (ISO text or datetime) as a TIMESTAMP_NTZ literal.
+    Passed as text: a Python datetime literal would go through the local zone."""
+    if isinstance(t, dt.datetime):
+        t = t.isoformat(sep=" ")
+    return F.lit(str(t)).cast("timestamp_ntz")
+
+
+def date_literal(d) -> Column:
+    return F.lit(d.isoformat() if isinstance(d, dt.date) else str(d)).cast("date")
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -64,9 +78,15 @@ def parse_reading_time(text="reading_timestamp") -> Column:
 
 
 def event_time(c="reading_timestamp") -> Column:
-    """Any reading time (string, TIMESTAMP_NTZ) → TIMESTAMP for a watermark.
-    With the session zone pinned to UTC the wall clock is kept."""
-    return _c(c).cast("timestamp")
+    """A reading time (TIMESTAMP_NTZ wall clock in UTC) → the TIMESTAMP instant
+    a watermark needs, whatever the session time zone is."""
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), _c(c).cast("timestamp_ntz"))
+    return local.cast("timestamp")
+
+
+def wall_clock_utc(c) -> Column:
+    """A TIMESTAMP instant (e.g. a window bound) → TIMESTAMP_NTZ wall clock in UTC."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _c(c).cast("timestamp_ntz"))
 
 
 def sql_literal(v) -> str:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.columns import ntz_literal
 
 KEY = "patient_id"
 
@@ -64,7 +65,7 @@ def update_profiles(patients: DataFrame, updates: DataFrame, updated_at,
         cur = set_cols.get(top, F.col(top))
         newv = F.coalesce(F.col(src), F.col(path))
         set_cols[top] = cur.withField(rest, newv) if rest else newv
-    set_cols["last_updated"] = F.lit(updated_at).cast("timestamp_ntz")
+    set_cols["last_updated"] = ntz_literal(updated_at)
     return _fold(patients, batch.drop("_seq"), set_cols)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import pct, round_half_up
+from ..functions.columns import date_literal, ntz_literal, pct, round_half_up
 from ..session import materialize
 from . import stats
 
@@ -33,7 +33,7 @@ def daily_report(readings: DataFrame, report_date, generated_at, day=None,
     """The report of ``readings`` (optionally only those of ``day``), labelled
     with ``report_date`` and ``generated_at`` (parameters, never now())."""
     if day is not None:
-        readings = readings.filter(F.to_date("reading_timestamp") == F.lit(day).cast("date"))
+        readings = readings.filter(F.to_date("reading_timestamp") == date_literal(day))
     # one scan of the readings, written as a small table in the shared
     # checkpoint folder; every section below reads that table
     rollup = materialize(stats.reading_rollup(readings), "report-rollup")
@@ -65,8 +65,8 @@ def daily_report(readings: DataFrame, report_date, generated_at, day=None,
     high_arr = _arr(high, ["patient_id", "total_readings", "abnormal_readings", "abnormal_percentage"],
                     _desc_then("abnormal_percentage", "patient_id"))
     return summary.select(
-        F.lit(report_date).cast("date").alias("report_date"),
-        F.lit(generated_at).cast("timestamp_ntz").alias("generated_at"),
+        date_literal(report_date).alias("report_date"),
+        ntz_literal(generated_at).alias("generated_at"),
         F.struct(*[F.col(c) for c in summary.columns]).alias("summary"),
         metrics.alias("metric_statistics"),
         rates.alias("abnormality_rates"),

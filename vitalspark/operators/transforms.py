@@ -4,14 +4,12 @@ one hash aggregate on the document key."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..functions.columns import event_time, parse_reading_time, patient_key, status_label
+from ..functions.columns import event_time, ntz_literal, parse_reading_time, patient_key, status_label
 
 FEED_COLUMNS = ["patient_id", "reading_timestamp", "metric_type", "value", "unit",
                 "threshold_min", "threshold_max"]
@@ -85,15 +83,9 @@ def reading_status_label(readings: DataFrame) -> DataFrame:
     return readings.withColumn("status", status_label())
 
 
-def _ts_lit(t) -> Column:
-    if isinstance(t, str):
-        t = dt.datetime.fromisoformat(t)
-    return F.lit(t).cast("timestamp_ntz")
-
-
 def recent_abnormal(readings: DataFrame, as_of, hours: int = RECENT_HOURS) -> DataFrame:
     """Abnormal readings strictly after ``as_of - hours`` (4 columns)."""
-    cutoff = _ts_lit(as_of) - F.make_dt_interval(hours=F.lit(hours))
+    cutoff = ntz_literal(as_of) - F.make_dt_interval(hours=F.lit(hours))
     return (readings
             .filter((F.col("is_abnormal") == F.lit(True)) & (F.col("reading_timestamp") > cutoff))
             .select("patient_id", "metric_type", "value", "reading_timestamp"))
@@ -103,7 +95,7 @@ def readings_within_retention(readings: DataFrame, as_of, days: int = RETENTION_
                               written_at: str = "reading_timestamp") -> DataFrame:
     """Rows whose time-to-live has not run out at ``as_of``.  A row lives
     while written_at > as_of - days; pass ``written_at`` if the write time is kept."""
-    cutoff = _ts_lit(as_of) - F.make_dt_interval(days=F.lit(days))
+    cutoff = ntz_literal(as_of) - F.make_dt_interval(days=F.lit(days))
     return readings.filter(F.col(written_at) > cutoff)
 
 

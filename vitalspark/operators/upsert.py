@@ -3,10 +3,13 @@
 The incoming batch is reduced to its newest row per key first (a window with
 ``row_number() = 1``; Spark adds a partial WindowGroupLimit before the
 exchange).  The base table is then filtered by a left-anti join against the
-incoming keys and the survivors are unioned with the incoming rows.  Only the
-incoming side is shuffled when it is small (Spark broadcasts it after checking
-its size; AQE re-checks at runtime), and a large batch becomes a sort-merge
-anti join — the base is never regrouped as a whole.
+incoming keys and the survivors are unioned with the incoming rows.
+
+The anti join is where scale is decided: the base may be the whole table.
+The incoming keys are counted first (a job over the small side only); under
+``broadcast_keys`` rows they are broadcast, so the base is filtered where it
+is read and never shuffled.  Above the bound the join stays a shuffle join
+(sort-merge; AQE splits skewed partitions) — correct at any size.
 """
 
 from __future__ import annotations
@@ -23,12 +26,22 @@ def latest_per_key(df: DataFrame, keys=S.READING_KEY, order=("seq",)) -> DataFra
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def upsert(base: DataFrame, incoming: DataFrame, keys=S.READING_KEY, seq: str = "seq") -> DataFrame:
+# Up to this many incoming keys are broadcast to every task of the base scan
+# (3 key columns: about 100 bytes a key, so ~50 MB at the bound).
+BROADCAST_KEYS = 500_000
+
+
+def upsert(base: DataFrame, incoming: DataFrame, keys=S.READING_KEY, seq="seq",
+           broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """Rows of ``base`` whose key is not in ``incoming``, plus the newest
-    incoming row per key.  ``seq`` orders writes inside the batch; the result
-    carries base's columns (``seq`` is dropped if base has none)."""
-    newest = latest_per_key(incoming, keys, (seq,))
-    cols = [c for c in base.columns if c != seq]
-    kept = base.join(newest.select(*keys), list(keys), "left_anti")
+    incoming row per key.  ``seq`` (a column or a tuple of columns) orders
+    writes inside the batch; the result carries base's columns."""
+    order = (seq,) if isinstance(seq, str) else tuple(seq)
+    newest = latest_per_key(incoming, keys, order)
+    cols = [c for c in base.columns if c not in order]
+    incoming_keys = newest.select(*keys)
+    if incoming_keys.count() <= broadcast_keys:  # proven bound before broadcasting
+        incoming_keys = F.broadcast(incoming_keys)
+    kept = base.join(incoming_keys, list(keys), "left_anti")
     # null-safe keys: a NULL in a key column never matches, so such rows stay
     return kept.select(*cols).unionByName(newest.select(*cols))

@@ -221,10 +221,12 @@ SELECT patient_id, reading_timestamp, metric_type,
        value + CASE WHEN event_id % 20 = 0 THEN 2 WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS value,
        unit, device_id, is_abnormal, threshold_min, threshold_max FROM {_GOOD}"""))
 def q_stream_to_table(spark, sf_dir):
-    """Base messages first, then two rounds of corrections (event_id % 10,
-    value + 1; event_id % 20, value + 2) as later messages; last write wins."""
+    """Base messages first (then compacted), then two rounds of corrections
+    (event_id % 10, value + 1; event_id % 20, value + 2) as later messages;
+    last write wins."""
     src, table, ckpt = write_messages(spark, sf_dir), work_path(spark, "table"), work_path(spark, "ckpt")
     K.stream_to_table(message_stream(spark, src), table, ckpt).awaitTermination()
+    K.compact_ingested(spark, table)  # the periodic compaction, after the initial load
     r = load_readings(spark, sf_dir, keep_event_id=True)
     for seq, every in ((1, 10), (2, 20)):
         fix = (r.filter((F.col("event_id") % every == 0) & (F.col("event_id") % 97 != 0))

@@ -16,14 +16,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import abnormal_count, pct, round_half_up
+from ..functions.columns import abnormal_count, pct, round_half_up, wall_clock_utc
 from ..operators.transforms import abnormal_readings
 
 ALERT_MIN = 2
 
 
 def _ntz(c):
-    return F.col(c).cast("timestamp_ntz")
+    return wall_clock_utc(c)
 
 
 def abnormal_feed(readings: DataFrame) -> DataFrame:

@@ -12,11 +12,12 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
-from ..operators.upsert import latest_per_key
+from ..operators.upsert import latest_per_key, upsert
 from .sources import dead_letters, readings_from_messages
 
 BATCH_COL = "batch_id"
@@ -120,10 +121,41 @@ def stream_to_table(messages: DataFrame, table_path: str, checkpoint: str,
     return _trigger(w, trigger).start()
 
 
+def _latest_compaction(spark: SparkSession, table_path: str):
+    try:
+        comp = spark.read.parquet(os.path.join(table_path, "compacted"))
+    except AnalysisException:  # no compaction yet
+        return None, None
+    upto = comp.agg(F.max("upto")).first()[0]
+    return comp.filter(F.col("upto") == upto).drop("upto"), upto
+
+
 def read_ingested(spark: SparkSession, table_path: str) -> DataFrame:
-    """The reading table written by T8: last write wins per reading key."""
-    return read_keyed_latest(spark, os.path.join(table_path, "readings"), S.READING_KEY,
-                             (BATCH_COL, "offset")).drop("offset")
+    """The reading table written by T8: last write wins per reading key.
+
+    Reads the newest compacted version and upserts only the micro-batches
+    written after it (their keys are few: size-checked broadcast anti join, no
+    shuffle of the compacted rows).  Before the first compaction every batch
+    is merged with one shuffle on the reading key."""
+    deltas = spark.read.parquet(os.path.join(table_path, "readings"))
+    base, upto = _latest_compaction(spark, table_path)
+    if base is None:
+        return latest_per_key(deltas, S.READING_KEY, (BATCH_COL, "offset")).drop(BATCH_COL, "offset")
+    newer = deltas.filter(F.col(BATCH_COL) > upto)
+    return upsert(base, newer, S.READING_KEY, (BATCH_COL, "offset"))
+
+
+def compact_ingested(spark: SparkSession, table_path: str) -> int:
+    """Periodic batch job: fold every micro-batch into a new compacted version
+    ``compacted/upto=<last batch>`` (laid out like the reading table: range
+    partitioned on date and patient, sorted).  Returns the last batch folded."""
+    current = read_ingested(spark, table_path)
+    upto = spark.read.parquet(os.path.join(table_path, "readings")).agg(F.max(BATCH_COL)).first()[0]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (current.repartitionByRange(n, F.to_date("reading_timestamp"), "patient_id")
+     .sortWithinPartitions("patient_id", "reading_timestamp")
+     .write.mode("overwrite").parquet(os.path.join(table_path, "compacted", f"upto={upto}")))
+    return upto
 
 
 def run_all(spark: SparkSession, queries: dict[str, StreamingQuery], wait: str = "any",
