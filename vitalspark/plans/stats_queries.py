@@ -69,6 +69,14 @@ def q_abnormality_rates(spark, sf_dir):
     return stats.abnormality_rates(load_readings(spark, sf_dir))
 
 
+@register("abnormality_rates_by_count", with_readings(f"""
+SELECT metric_type, count(*) AS total, {_ABN} AS abnormal,
+       round(count_if(is_abnormal) / count(*) * 100, 2) AS abnormal_rate
+FROM readings GROUP BY metric_type ORDER BY abnormal DESC, metric_type"""))
+def q_abnormality_rates_by_count(spark, sf_dir):
+    return stats.abnormality_rates(load_readings(spark, sf_dir), order_by="count")
+
+
 @register("device_activity", with_readings(f"""
 SELECT device_id, count(*) AS total_readings, count(DISTINCT patient_id) AS patients_monitored,
        {_ABN} AS abnormal_readings, round(count_if(is_abnormal) / count(*) * 100, 2) AS abnormal_rate

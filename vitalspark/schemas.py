@@ -1,8 +1,8 @@
 """Schemas of readings, reading messages, patient documents and updates.
 
 All timestamps leave our operators as TIMESTAMP_NTZ (wall-clock UTC); the
-streaming operators convert to TIMESTAMP only for the watermark, with the
-session zone pinned to UTC, and convert back before they emit.
+streaming operators convert to a TIMESTAMP instant only for the watermark
+(through UTC, whatever the session zone) and convert back before they emit.
 """
 
 from __future__ import annotations
@@ -26,6 +26,19 @@ READING_SCHEMA = T.StructType([
 
 READING_COLUMNS = [f.name for f in READING_SCHEMA.fields]
 
+# The alert table is declared by the source system but no job reads or writes
+# it (no severity rule exists); kept as a schema only.
+ALERT_SCHEMA = T.StructType([
+    T.StructField("alert_id", T.StringType()),
+    T.StructField("patient_id", T.StringType()),
+    T.StructField("timestamp", T.TimestampNTZType()),
+    T.StructField("metric_type", T.StringType()),
+    T.StructField("severity", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("threshold_violated", T.StringType()),
+    T.StructField("acknowledged", T.BooleanType()),
+])
+
 # A reading as it travels in a message: the timestamp is ISO text.
 READING_MESSAGE_SCHEMA = T.StructType([
     f if f.name != "reading_timestamp" else T.StructField("reading_timestamp", T.StringType())
