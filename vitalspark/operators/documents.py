@@ -3,9 +3,10 @@
 Each job folds an update batch into the patient documents with one left join
 on ``patient_id``.  The batch is first reduced to one row per patient (last
 scalar by ``seq``, appended elements in ``seq`` order), so the join can never
-multiply documents.  The join itself is planned by Spark from the sizes it
-knows: a small batch is broadcast (AQE checks its runtime size), a large one
-is a sort-merge join on the patient key; AQE splits a skewed key.
+multiply documents.  The per-patient batch rows are counted first; under
+``BROADCAST_ROWS`` the batch is broadcast, so the documents are joined where
+they are read and never shuffled.  A larger batch is a sort-merge join on the
+patient key (AQE splits a skewed key).
 """
 
 from __future__ import annotations
@@ -17,6 +18,13 @@ from .. import schemas as S
 from ..functions.columns import ntz_literal
 
 KEY = "patient_id"
+# Update batches up to this many patients are broadcast to the document scan.
+BROADCAST_ROWS = 200_000
+
+
+def _sized(batch: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``batch``, marked for broadcast when its row count is under ``limit``."""
+    return F.broadcast(batch) if batch.count() <= limit else batch
 
 
 def _empty(elem_type) -> Column:
@@ -35,7 +43,7 @@ def _size0(c: str) -> Column:
 def _fold(patients: DataFrame, per_patient: DataFrame, set_cols: dict[str, Column]) -> DataFrame:
     """Left-join the per-patient batch and replace the given top-level columns
     on matched rows; unmatched documents pass unchanged."""
-    u = per_patient.withColumn("_matched", F.lit(True))
+    u = _sized(per_patient.withColumn("_matched", F.lit(True)))
     joined = patients.join(u, KEY, "left")
     matched = F.col("_matched").isNotNull()
     out = [F.when(matched, set_cols[c]).otherwise(F.col(c)).alias(c) if c in set_cols else F.col(c)
@@ -127,7 +135,7 @@ def bulk_risk_update(patients: DataFrame, scores: DataFrame) -> tuple[DataFrame,
 
 def _match(patients: DataFrame, batch: DataFrame, old: Column, new: Column, name: str) -> DataFrame:
     docs = patients.select(KEY, old.alias("_old"), F.lit(True).alias("_doc"))
-    j = batch.join(docs, KEY, "left")
+    j = _sized(batch).join(docs, KEY, "left")
     matched = F.col("_doc").isNotNull()
     return j.select(KEY, matched.alias("matched"),
                     # every matched update stamps last_updated, so it modifies the document

@@ -75,7 +75,8 @@ def q_last_n_readings_metric(spark, sf_dir):
 @register("last_n_all_patients", with_readings("""
 SELECT * FROM (
   SELECT patient_id, reading_timestamp, metric_type, value, unit, is_abnormal,
-         row_number() OVER (PARTITION BY patient_id ORDER BY reading_timestamp DESC, metric_type) AS reading_rank
+         CAST(row_number() OVER (PARTITION BY patient_id ORDER BY reading_timestamp DESC, metric_type) AS INTEGER)
+           AS reading_rank
   FROM readings) WHERE reading_rank <= 20"""))
 def q_last_n_all_patients(spark, sf_dir):
     return recent.last_n_all_patients(load_readings(spark, sf_dir), 20)

@@ -146,8 +146,8 @@ def profile_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         pad_id("+213555", k, 6).alias("phone"))
     second = c.filter(k % 15 == 0).select(pad_id("P", k, 6).alias("patient_id"), F.lit(2).cast("long").alias("seq"),
                                           pad_id("+213666", k, 6).alias("phone"))
-    stray = spark.createDataFrame([(UNMATCHED_PATIENT_ID, 1, "+213000000000")], S.PROFILE_UPDATE_SCHEMA)
-    return first.unionByName(second).unionByName(stray)
+    stray = values_table(spark, [(UNMATCHED_PATIENT_ID, 1, "+213000000000")], ["patient_id", "seq", "phone"])
+    return first.unionByName(second).unionByName(stray.withColumn("seq", F.col("seq").cast("long")))
 
 
 def note_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
