@@ -31,10 +31,11 @@ def parse_json_readings(messages: DataFrame, schema=S.READING_MESSAGE_SCHEMA,
             .select("data.*", "message_timestamp", *keep))
 
 
-def malformed_split(messages: DataFrame, schema=S.READING_MESSAGE_SCHEMA) -> tuple[DataFrame, DataFrame]:
-    """(good readings, dead letters).  PERMISSIVE parsing keeps the raw text
-    of a body that is not a JSON object in ``_corrupt_record``; such rows go to
-    the dead-letter frame, every other row on to the readings."""
+def tag_malformed(messages: DataFrame, schema=S.READING_MESSAGE_SCHEMA) -> DataFrame:
+    """One parse of every message: ``data`` (the reading struct), ``raw`` text,
+    message time, the other message columns, and ``malformed``.  PERMISSIVE
+    parsing keeps the text of a body that is not a JSON object in
+    ``_corrupt_record``; such a body (or a missing one) is malformed."""
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     extra = [c for c in messages.columns if c not in ("value", "timestamp")]
     parsed = messages.select(
@@ -42,9 +43,17 @@ def malformed_split(messages: DataFrame, schema=S.READING_MESSAGE_SCHEMA) -> tup
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("data"),
         F.col("value").cast("string").alias("raw"),
         F.col("timestamp").cast("timestamp_ntz").alias("message_timestamp"), *extra)
-    bad_row = F.col("data").isNull() | F.col(f"data.{CORRUPT}").isNotNull()
-    good = parsed.filter(~bad_row).select("data.*", "message_timestamp", *extra).drop(CORRUPT)
-    bad = parsed.filter(bad_row).select("raw", "message_timestamp", *extra)
+    return parsed.withColumn("malformed", F.col("data").isNull() | F.col(f"data.{CORRUPT}").isNotNull())
+
+
+def malformed_split(messages: DataFrame, schema=S.READING_MESSAGE_SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """(good readings, dead letters) from one tagged parse; the raw text is
+    kept in the dead-letter frame.  Persist ``messages`` (or run in
+    ``foreachBatch`` on a persisted batch) when both outputs are written."""
+    extra = [c for c in messages.columns if c not in ("value", "timestamp")]
+    tagged = tag_malformed(messages, schema)
+    good = tagged.filter(~F.col("malformed")).select("data.*", "message_timestamp", *extra).drop(CORRUPT)
+    bad = tagged.filter(F.col("malformed")).select("raw", "message_timestamp", *extra)
     return good, bad
 
 

@@ -100,7 +100,7 @@ SELECT CASE WHEN ok = 1 THEN patient_id END AS patient_id,
        CASE WHEN ok = 1 THEN threshold_max END AS threshold_max, message_timestamp
 FROM msgs""", _MSG))
 def q_parse_json_readings(spark, sf_dir):
-    msgs = reading_messages(load_readings(spark, sf_dir, keep_event_id=True))
+    msgs = reading_messages(load_readings(spark, sf_dir, keep_event_id=True, spread=True))
     return transforms.parse_json_readings(msgs)
 
 
@@ -110,12 +110,11 @@ SELECT "offset", CASE WHEN ok = 1 THEN 'good' ELSE 'dead_letter' END AS status,
        CASE WHEN ok = 1 THEN NULL ELSE '{bad' END AS raw
 FROM msgs""", _MSG))
 def q_malformed_split(spark, sf_dir):
-    msgs = reading_messages(load_readings(spark, sf_dir, keep_event_id=True))
-    good, bad = transforms.malformed_split(msgs)
-    return (good.select("offset", F.lit("good").alias("status"), "patient_id",
-                        F.lit(None).cast("string").alias("raw"))
-            .unionByName(bad.select("offset", F.lit("dead_letter").alias("status"),
-                                    F.lit(None).cast("string").alias("patient_id"), "raw")))
+    msgs = reading_messages(load_readings(spark, sf_dir, keep_event_id=True, spread=True))
+    bad = F.col("malformed")
+    return transforms.tag_malformed(msgs).select(
+        "offset", F.when(bad, "dead_letter").otherwise("good").alias("status"),
+        F.when(~bad, F.col("data.patient_id")).alias("patient_id"), F.when(bad, F.col("raw")).alias("raw"))
 
 
 @register("add_processed_at")
@@ -126,14 +125,14 @@ def q_add_processed_at(spark, sf_dir):
 @register("parse_reading_time", with_readings("""
 SELECT patient_id, metric_type, reading_timestamp FROM readings"""))
 def q_parse_reading_time(spark, sf_dir):
-    iso = iso_time_readings(load_readings(spark, sf_dir, keep_event_id=True))
+    iso = iso_time_readings(load_readings(spark, sf_dir, keep_event_id=True, spread=True))
     return transforms.parse_reading_time_col(iso).select("patient_id", "metric_type", "reading_timestamp")
 
 
 @register("normalize_reading_time", with_readings("""
 SELECT "event_id", strftime(reading_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS normalized FROM readings_id"""))
 def q_normalize_reading_time(spark, sf_dir):
-    iso = iso_time_readings(load_readings(spark, sf_dir, keep_event_id=True))
+    iso = iso_time_readings(load_readings(spark, sf_dir, keep_event_id=True, spread=True))
     return iso.select("event_id", normalize_reading_time("reading_timestamp").alias("normalized"))
 
 

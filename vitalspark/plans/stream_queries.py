@@ -35,7 +35,7 @@ SENTINEL_TIME = "2999-01-01T00:00:00.000000"
 def write_messages(spark: SparkSession, sf_dir: str, bad_every: int | None = 97) -> str:
     """Reading messages (value, timestamp, offset) of every event, as files."""
     path = work_path(spark, "messages")
-    reading_messages(load_readings(spark, sf_dir, keep_event_id=True), bad_every).write.parquet(path)
+    reading_messages(load_readings(spark, sf_dir, keep_event_id=True, spread=True), bad_every).write.parquet(path)
     return path
 
 

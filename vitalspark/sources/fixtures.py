@@ -55,8 +55,8 @@ def readings_from_events(events: DataFrame, dim: DataFrame, keep_event_id: bool
     return e.join(m, F.col("m.metric_type") == F.col("e.event_type")).select(*cols)
 
 
-def load_readings(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
-    return readings_from_events(load_table(spark, sf_dir, "events"), metric_dim(spark), keep_event_id)
+def load_readings(spark: SparkSession, sf_dir: str, keep_event_id: bool = False, spread: bool = False) -> DataFrame:
+    return readings_from_events(load_table(spark, sf_dir, "events", spread), metric_dim(spark), keep_event_id)
 
 
 # --- patients -------------------------------------------------------------------

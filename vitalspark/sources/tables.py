@@ -14,6 +14,19 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(table_path(sf_dir, name))
+def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
+    ``spread``: see ``spread_small_scan``."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread_small_scan(df) if spread else df
+
+
+def spread_small_scan(scan: DataFrame, slots: int | None = None) -> DataFrame:
+    """Round-robin a file scan that yields fewer partitions than there are task
+    slots (a small file with one row group is read by one task), so that
+    costly per-row work after it (JSON, hashing) runs on every core.  A large
+    input already yields more splits than slots and is returned unchanged: no
+    shuffle is added at scale.  Call it on a plain scan, whose split count is
+    known from the file listing without running anything."""
+    n = slots or scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(n) if scan.rdd.getNumPartitions() < n else scan
