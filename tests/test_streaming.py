@@ -92,3 +92,25 @@ def test_compaction_keeps_the_table(spark):
     assert sorted(map(tuple, K.read_ingested(spark, table).collect())) == before
     write(fix.withColumn("offset", F.col("offset") + 1), 2)
     assert K.read_ingested(spark, table).count() == len(before)
+
+
+def test_progress_listener_sees_observed_metrics(spark):
+    import time
+    from vitalspark.streaming.progress import ProgressLog, batch_metrics, observe_ingest
+    src = Q.write_messages(spark, SF_SMALL)
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        q = K.start_append(observe_ingest(message_stream(spark, src)).select("offset"), work_path(spark, "o"),
+                           work_path(spark, "c"))
+        q.awaitTermination()
+        want = sum(m["messages"] for m in batch_metrics(q))
+        for _ in range(50):  # listener events arrive asynchronously
+            if sum(r["messages"] for r in log.rows) == want:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+    assert want == spark.read.parquet(src).count()
+    assert sum(r["messages"] for r in log.rows) == want
+    assert sum(r["malformed"] for r in log.rows) == spark.read.parquet(src).filter("offset % 97 = 0").count()

@@ -265,3 +265,21 @@ def q_multi_query_lifecycle(spark, sf_dir):
             .unionByName(stats.select(F.lit("window_statistics").alias("query")).groupBy("query")
                          .agg(F.count(F.lit(1)).alias("rows_out"))))
 
+
+
+@register("stream_batch_progress", with_readings("""
+SELECT count(*) AS messages, CAST(count_if(event_id % 97 = 0) AS BIGINT) AS malformed,
+       CAST(count_if(event_id % 97 <> 0 AND is_abnormal) AS BIGINT) AS abnormal FROM readings_id"""))
+def q_stream_batch_progress(spark, sf_dir):
+    """T5 progress: the observed per-batch metrics of an ingest stream (three
+    micro-batches of message files), summed over the batches."""
+    from ..streaming.progress import batch_metrics, observe_ingest
+    src = write_messages(spark, sf_dir)
+    out = work_path(spark, "out")
+    q = K.start_append(observe_ingest(message_stream(spark, src, max_files_per_trigger=3))
+                       .select("offset", "malformed"), out, work_path(spark, "ckpt"))
+    q.awaitTermination()
+    per_batch = spark.createDataFrame(batch_metrics(q) or [(0, 0, 0, 0)],
+                                      "batch_id long, messages long, malformed long, abnormal long")
+    return per_batch.agg(F.sum("messages").alias("messages"), F.sum("malformed").alias("malformed"),
+                         F.sum("abnormal").alias("abnormal"))
