@@ -120,10 +120,12 @@ def test_round_half_up_ignores_float_noise(spark):
 
 def test_parse_reading_time_forms(spark):
     df = spark.createDataFrame([("2024-01-05T10:11:12.500000Z",), ("2024-01-05T10:11:12.5",),
-                                ("2024-01-05 10:11:12",), ("junk",), (None,)], "reading_timestamp string")
+                                ("2024-01-05 10:11:12",), ("2024-01-05T10:11:12+00:00",),
+                                ("2024-01-05T10:11:12+02:00",), ("junk",), (None,)], "reading_timestamp string")
     got = [r.reading_timestamp for r in transforms.parse_reading_time_col(df).collect()]
     assert got == [dt.datetime(2024, 1, 5, 10, 11, 12, 500000), dt.datetime(2024, 1, 5, 10, 11, 12, 500000),
-                   dt.datetime(2024, 1, 5, 10, 11, 12), None, None]
+                   dt.datetime(2024, 1, 5, 10, 11, 12), dt.datetime(2024, 1, 5, 10, 11, 12),
+                   dt.datetime(2024, 1, 5, 8, 11, 12), None, None]
 
 
 def test_malformed_split(spark):

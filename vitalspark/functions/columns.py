@@ -73,8 +73,14 @@ def normalize_reading_time(text="reading_timestamp") -> Column:
 
 
 def parse_reading_time(text="reading_timestamp") -> Column:
-    """ISO text → TIMESTAMP_NTZ; junk becomes NULL instead of failing the job."""
-    return F.try_to_timestamp(normalize_reading_time(text)).cast("timestamp_ntz")
+    """ISO text → TIMESTAMP_NTZ wall clock in UTC; junk becomes NULL instead of
+    failing the job.  Text without a zone is taken as UTC ('Z' included); text
+    with an offset (+02:00) is moved to UTC."""
+    t = F.translate(_c(text), "T", " ")
+    with_offset = t.rlike(r"[+-]\d\d:?\d\d$")
+    instant = F.try_to_timestamp(t)  # honours the offset
+    plain = F.try_to_timestamp(F.regexp_replace(t, "Z$", "")).cast("timestamp_ntz")
+    return F.when(with_offset, wall_clock_utc(instant)).otherwise(plain)
 
 
 def event_time(c="reading_timestamp") -> Column:
