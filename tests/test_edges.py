@@ -195,3 +195,18 @@ def test_validation_reasons(spark):
     assert not r.is_valid
     assert r.reasons == ["missing:personal_info.name", "enum:personal_info.gender", "enum:medical_info.blood_type",
                          "range:risk_score"]
+
+
+def test_csv_by_name_and_strict_order(spark):
+    from vitalspark.session import work_path
+    from vitalspark.sinks.files import write_readings_csv
+    from vitalspark.sources.readers import read_readings_csv
+    df = spark.createDataFrame([reading(), reading(metric="view", value=7.5, abnormal=True)], S.READING_SCHEMA)
+    ordered, reversed_ = work_path(spark, "csv"), work_path(spark, "csv")
+    write_readings_csv(df, ordered)
+    write_readings_csv(df, reversed_, columns=list(reversed(S.READING_COLUMNS)))
+    want = sorted(map(tuple, df.collect()))
+    assert sorted(map(tuple, read_readings_csv(spark, reversed_).collect())) == want
+    assert sorted(map(tuple, read_readings_csv(spark, ordered, strict_order=True).collect())) == want
+    with pytest.raises(Exception, match="(?i)header|CSV"):
+        read_readings_csv(spark, reversed_, strict_order=True).collect()

@@ -11,11 +11,16 @@ from ..functions.columns import parse_reading_time
 PIPE_COLUMNS = ["patient_id", "reading_timestamp", "metric_type", "value", "unit", "is_abnormal"]
 
 
-def read_readings_csv(spark: SparkSession, path: str, schema=S.READING_SCHEMA) -> DataFrame:
+def read_readings_csv(spark: SparkSession, path: str, schema=S.READING_SCHEMA, strict_order: bool = False) -> DataFrame:
     """CSV with a header.  Columns are read as text and picked **by name**,
     then ``try_cast`` to the declared types: a file whose columns come in
     another order still lands in the right fields, and a bad value is NULL
-    instead of a failed job."""
+    instead of a failed job.  ``strict_order``: apply the schema by position
+    but check the header against it (``enforceSchema=false``), failing on a
+    mismatch instead of filling wrong columns."""
+    if strict_order:
+        return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+                .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path))
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     present = set(raw.columns)
     cols = []
