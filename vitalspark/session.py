@@ -26,6 +26,24 @@ BATCH_CONF = {
 }
 
 
+# Settings for the target cluster (~100 TB of readings, ~1000 executors); set
+# through spark-submit --conf or ``build_session(extra=CLUSTER_CONF)``.
+CLUSTER_CONF = {
+    **BATCH_CONF,
+    # ~128 MB input splits; AQE starts wide and coalesces toward ~256 MB shuffle partitions
+    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    # static broadcast only for sides the planner knows to be small; bounded sides are counted in code
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # large stream state (windows x patients) lives in RocksDB, committed by changelog
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "vitalspark", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
