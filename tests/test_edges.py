@@ -210,3 +210,21 @@ def test_csv_by_name_and_strict_order(spark):
     assert sorted(map(tuple, read_readings_csv(spark, ordered, strict_order=True).collect())) == want
     with pytest.raises(Exception, match="(?i)header|CSV"):
         read_readings_csv(spark, reversed_, strict_order=True).collect()
+
+
+def test_pipe_text_keeps_only_well_formed_rows(spark):
+    from vitalspark.session import work_path
+    from vitalspark.sources.readers import read_pipe_text
+    path = work_path(spark, "pipe")
+    lines = [" patient_id | reading_timestamp | metric_type | value | unit | is_abnormal",
+             "------------+-------------------+-------------+-------+------+------------",
+             " P1 | 2024-01-05 10:00:00.000000 | click | 72.5 | bpm | False",
+             " P2 | 2024-01-05 11:00:00 | view | not-a-number | mmHg | true",
+             " P3 | 2024-01-05 12:00:00 | view",
+             " P4 | 2024-01-05 13:00:00 | error | 3 | breaths/min | TRUE ",
+             "",
+             "(4 rows)"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    got = sorted(map(tuple, read_pipe_text(spark, path).collect()))
+    assert got == [("P1", dt.datetime(2024, 1, 5, 10), "click", 72.5, "bpm", False),
+                   ("P4", dt.datetime(2024, 1, 5, 13), "error", 3.0, "breaths/min", True)]
