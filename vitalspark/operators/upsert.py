@@ -2,22 +2,34 @@
 
 The incoming batch is reduced to its newest row per key first (a window with
 ``row_number() = 1``; Spark adds a partial WindowGroupLimit before the
-exchange).  The base table is then filtered by a left-anti join against the
-incoming keys and the survivors are unioned with the incoming rows.
+exchange).  That reduced batch is written once below the shared checkpoint
+folder and counted from the written table, so it is computed once and its
+lineage is cut.  The base table is then filtered by a left-anti join against
+the incoming keys and the survivors are unioned with the incoming rows.
 
 The anti join is where scale is decided: the base may be the whole table.
-The incoming keys are counted first (a job over the small side only); under
-``broadcast_keys`` rows they are broadcast, so the base is filtered where it
-is read and never shuffled.  Above the bound the join stays a shuffle join
-(sort-merge; AQE splits skewed partitions) — correct at any size.
+
+- Up to ``broadcast_keys`` incoming keys are broadcast, so the base is
+  filtered where it is read and never shuffled.
+- Above that bound, when the key determines a partition of the base (a
+  reading's key holds its timestamp, so its date), only base rows of the
+  partitions the batch touches can be replaced.  The touched partition values
+  are counted and broadcast (a date set is small); base rows of other
+  partitions pass through that broadcast filter unshuffled, and only the rows
+  of touched partitions go through the shuffled (sort-merge) anti join.  A
+  stream of new readings touches a day or two, so the shuffle covers those
+  days, not the table.
+- Otherwise the anti join is a sort-merge join over the whole base; AQE splits
+  skewed partitions.  Correct at any size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import written_and_counted
 
 
 def latest_per_key(df: DataFrame, keys=S.READING_KEY, order=("seq",)) -> DataFrame:
@@ -29,19 +41,48 @@ def latest_per_key(df: DataFrame, keys=S.READING_KEY, order=("seq",)) -> DataFra
 # Up to this many incoming keys are broadcast to every task of the base scan
 # (3 key columns: about 100 bytes a key, so ~50 MB at the bound).
 BROADCAST_KEYS = 500_000
+# Up to this many touched partition values (dates) are broadcast (~1 MB).
+BROADCAST_PARTS = 100_000
+
+
+def reading_date() -> Column:
+    """The partition of a reading: its date, derived from the key."""
+    return F.to_date(F.col("reading_timestamp"))
 
 
 def upsert(base: DataFrame, incoming: DataFrame, keys=S.READING_KEY, seq="seq",
-           broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+           broadcast_keys: int = BROADCAST_KEYS, part: Column | None = None,
+           broadcast_parts: int = BROADCAST_PARTS) -> DataFrame:
     """Rows of ``base`` whose key is not in ``incoming``, plus the newest
     incoming row per key.  ``seq`` (a column or a tuple of columns) orders
-    writes inside the batch; the result carries base's columns."""
+    writes inside the batch; the result carries base's columns.  ``part`` is
+    an expression over key columns naming the base partition a key lies in
+    (e.g. ``reading_date()``); it narrows the shuffle of a large batch."""
     order = (seq,) if isinstance(seq, str) else tuple(seq)
-    newest = latest_per_key(incoming, keys, order)
     cols = [c for c in base.columns if c not in order]
+    newest, n_keys = written_and_counted(latest_per_key(incoming, keys, order).select(*cols), "upsert-batch")
     incoming_keys = newest.select(*keys)
-    if incoming_keys.count() <= broadcast_keys:  # proven bound before broadcasting
-        incoming_keys = F.broadcast(incoming_keys)
-    kept = base.join(incoming_keys, list(keys), "left_anti")
+    if n_keys <= broadcast_keys:  # proven bound before broadcasting
+        kept = base.join(F.broadcast(incoming_keys), list(keys), "left_anti")
+    elif part is not None:
+        kept = _anti_join_touched(base, incoming_keys, keys, part, broadcast_parts)
+    else:
+        kept = base.join(incoming_keys, list(keys), "left_anti")
     # null-safe keys: a NULL in a key column never matches, so such rows stay
-    return kept.select(*cols).unionByName(newest.select(*cols))
+    return kept.select(*cols).unionByName(newest)
+
+
+def _anti_join_touched(base: DataFrame, incoming_keys: DataFrame, keys, part: Column,
+                       broadcast_parts: int) -> DataFrame:
+    """``base`` anti-joined with ``incoming_keys``, shuffling only the base rows
+    of partitions that some incoming key lies in."""
+    parts = incoming_keys.select(part.alias("_part")).distinct()
+    if parts.count() > broadcast_parts:  # no proven bound: whole-base shuffle join
+        return base.join(incoming_keys, list(keys), "left_anti")
+    touched = F.broadcast(parts)
+    b = base.withColumn("_part", part)
+    # a row whose partition is NULL has a NULL key column, so it never matches: it stays untouched
+    untouched = b.join(touched, "_part", "left_anti")
+    candidates = b.join(touched, "_part", "left_semi")
+    kept = candidates.join(incoming_keys.withColumn("_part", part), ["_part", *keys], "left_anti")
+    return untouched.unionByName(kept).drop("_part")

@@ -13,7 +13,7 @@ from .. import schemas as S
 from ..operators import documents as D
 from ..operators.report import daily_report
 from ..operators.transforms import parse_json_readings
-from ..operators.upsert import upsert
+from ..operators.upsert import reading_date, upsert
 from ..session import work_path
 from ..sinks import files as K
 from ..sources import fixtures as X
@@ -99,7 +99,7 @@ _UPSERTED = f"""SELECT patient_id, reading_timestamp, metric_type,
 @register("upsert_readings", with_readings(_UPSERTED))
 def q_upsert_readings(spark, sf_dir):
     base, incoming = X.reading_upserts(spark, sf_dir)
-    return upsert(base, incoming, S.READING_KEY, "seq")
+    return upsert(base, incoming, S.READING_KEY, "seq", part=reading_date())
 
 
 # --- A8 report ---------------------------------------------------------------------------

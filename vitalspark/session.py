@@ -88,3 +88,13 @@ def materialize(df, label: str):
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def written_and_counted(df, label: str):
+    """``materialize(df)`` and its row count, taken from the written table.
+
+    For a join side whose size decides the strategy: the side is computed once
+    (not once for the count and again for the join), and the count reads only
+    the Parquet footers of the written files."""
+    t = materialize(df, label)
+    return t, t.count()

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
-from ..operators.upsert import latest_per_key, upsert
+from ..operators.upsert import latest_per_key, reading_date, upsert
 from .sources import dead_letters, readings_from_messages
 
 BATCH_COL = "batch_id"
@@ -135,14 +135,15 @@ def read_ingested(spark: SparkSession, table_path: str) -> DataFrame:
 
     Reads the newest compacted version and upserts only the micro-batches
     written after it (their keys are few: size-checked broadcast anti join, no
-    shuffle of the compacted rows).  Before the first compaction every batch
+    shuffle of the compacted rows; a large backlog shuffles only the compacted
+    rows of the dates it touches).  Before the first compaction every batch
     is merged with one shuffle on the reading key."""
     deltas = spark.read.parquet(os.path.join(table_path, "readings"))
     base, upto = _latest_compaction(spark, table_path)
     if base is None:
         return latest_per_key(deltas, S.READING_KEY, (BATCH_COL, "offset")).drop(BATCH_COL, "offset")
     newer = deltas.filter(F.col(BATCH_COL) > upto)
-    return upsert(base, newer, S.READING_KEY, (BATCH_COL, "offset"))
+    return upsert(base, newer, S.READING_KEY, (BATCH_COL, "offset"), part=reading_date())
 
 
 def compact_ingested(spark: SparkSession, table_path: str) -> int:
