@@ -1,5 +1,7 @@
 """Streams equal their batch form; late rows are dropped; replays are harmless."""
 
+import contextlib
+import io
 import os
 
 from pyspark.sql import functions as F
@@ -92,6 +94,13 @@ def test_compaction_keeps_the_table(spark):
     assert sorted(map(tuple, K.read_ingested(spark, table).collect())) == before
     write(fix.withColumn("offset", F.col("offset") + 1), 2)
     assert K.read_ingested(spark, table).count() == len(before)
+    # after a compaction the merge reads the clustered version without shuffling it
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        K.read_ingested(spark, table).explain("formatted")
+    assert "hashpartitioning" not in buf.getvalue() and "rangepartitioning" not in buf.getvalue()
+    assert K.compact_ingested(spark, table) == 2
+    assert sorted(map(tuple, K.read_ingested(spark, table).collect())) == before
 
 
 def test_progress_listener_sees_observed_metrics(spark):

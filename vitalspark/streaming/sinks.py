@@ -127,7 +127,7 @@ def _latest_compaction(spark: SparkSession, table_path: str):
     except AnalysisException:  # no compaction yet
         return None, None
     upto = comp.agg(F.max("upto")).first()[0]
-    return comp.filter(F.col("upto") == upto).drop("upto"), upto
+    return comp.filter(F.col("upto") == upto).drop("upto", "reading_date"), upto
 
 
 def read_ingested(spark: SparkSession, table_path: str) -> DataFrame:
@@ -148,14 +148,24 @@ def read_ingested(spark: SparkSession, table_path: str) -> DataFrame:
 
 def compact_ingested(spark: SparkSession, table_path: str) -> int:
     """Periodic batch job: fold every micro-batch into a new compacted version
-    ``compacted/upto=<last batch>`` (laid out like the reading table: range
-    partitioned on date and patient, sorted).  Returns the last batch folded."""
-    current = read_ingested(spark, table_path)
+    ``compacted/upto=<last batch>/reading_date=<day>/``, files sorted by
+    patient and time within a day.  Returns the last batch folded.
+
+    Only the first compaction shuffles: its input is the unordered
+    micro-batches, range-partitioned on (date, patient) so that a hot date or
+    patient is split over many files.  Later compactions read the previous
+    version, which is already clustered by date, so its rows keep their tasks
+    (a broadcast anti join drops the replaced ones) and are only sorted
+    locally before the date-partitioned write: no shuffle of the table."""
+    first = _latest_compaction(spark, table_path)[0] is None
+    current = read_ingested(spark, table_path).withColumn("reading_date", reading_date())
     upto = spark.read.parquet(os.path.join(table_path, "readings")).agg(F.max(BATCH_COL)).first()[0]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (current.repartitionByRange(n, F.to_date("reading_timestamp"), "patient_id")
-     .sortWithinPartitions("patient_id", "reading_timestamp")
-     .write.mode("overwrite").parquet(os.path.join(table_path, "compacted", f"upto={upto}")))
+    if first:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        current = current.repartitionByRange(n, "reading_date", "patient_id")
+    (current.sortWithinPartitions("reading_date", "patient_id", "reading_timestamp")
+     .write.partitionBy("reading_date").mode("overwrite")
+     .parquet(os.path.join(table_path, "compacted", f"upto={upto}")))
     return upto
 
 
