@@ -29,3 +29,14 @@ def test_risk_update_job(spark, capsys):
     jobs.risk_update(spark, argparse.Namespace(patients=patients, patients_format="parquet", scores=scores, out=out))
     assert spark.read.parquet(out).count() == X.load_patients(spark, SF_SMALL).count()
     assert "score_changed" in capsys.readouterr().out
+
+
+def test_stream_jobs_start_with_one_state_partition_per_slot(spark):
+    from vitalspark.session import use_stream_partitions
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert use_stream_partitions(spark) == spark.sparkContext.defaultParallelism
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(spark.sparkContext.defaultParallelism)
+        assert use_stream_partitions(spark, 3) == 3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -24,7 +24,7 @@ from .functions.columns import status_label
 from .operators import documents as D
 from .operators import recent, stats
 from .operators.report import daily_report
-from .session import BATCH_CONF, ensure_checkpoint_dir
+from .session import BATCH_CONF, ensure_checkpoint_dir, use_stream_partitions
 from .sinks.files import append_patients, append_report
 from .sources import readers as R
 from .streaming import operators as T
@@ -80,6 +80,7 @@ def statistics(spark, args):
 
 def alerts(spark, args):
     """Q4: live abnormal feed, per-metric window alerts, window statistics."""
+    use_stream_partitions(spark, args.state_partitions)
     readings = with_watermark(readings_from_messages(_messages(spark, args)), args.watermark)
     out = args.out
     qs = {
@@ -97,6 +98,7 @@ def alerts(spark, args):
 
 def ingest(spark, args):
     """Q1 at scale: continuous ingest into the reading table (last write wins)."""
+    use_stream_partitions(spark, args.state_partitions)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
     K.stream_to_table(_messages(spark, args), args.table, _ckpt(spark, args, "ingest"), trigger).awaitTermination()
 
@@ -141,6 +143,8 @@ def main(argv=None):
         a.add_argument("--topic", default="patient.monitoring.raw")
         a.add_argument("--starting", default="latest" if name == "alerts" else "earliest")
         a.add_argument("--max-files-per-trigger", type=int, default=None)
+        a.add_argument("--state-partitions", type=int, default=None,
+                       help="shuffle partitions at the first start (default: the cluster's task slots)")
         if name == "alerts":
             a.add_argument("--out", required=True)
             a.add_argument("--window", default="1 minute")
