@@ -46,7 +46,11 @@ def _size0(c: str) -> Column:
 def _fold(patients: DataFrame, per_patient: DataFrame, set_cols: dict[str, Column]) -> DataFrame:
     """Left-join the per-patient batch and replace the given top-level columns
     on matched rows; unmatched documents pass unchanged."""
-    u = _sized(per_patient.withColumn("_matched", F.lit(True)))
+    return _fold_sized(patients, _sized(per_patient.withColumn("_matched", F.lit(True))), set_cols)
+
+
+def _fold_sized(patients: DataFrame, u: DataFrame, set_cols: dict[str, Column]) -> DataFrame:
+    """``_fold`` of a batch already written and sized (with ``_matched``)."""
     joined = patients.join(u, KEY, "left")
     matched = F.col("_matched").isNotNull()
     out = [F.when(matched, set_cols[c]).otherwise(F.col(c)).alias(c) if c in set_cols else F.col(c)
@@ -106,27 +110,32 @@ def _risk_batch(updates: DataFrame) -> DataFrame:
                  .alias("_hist")))
 
 
-def update_risk_scores(patients: DataFrame, updates: DataFrame) -> DataFrame:
-    """Set the score; append (score, calculated_at, factors) to the history
-    only for updates that carry factors."""
-    batch = _risk_batch(updates)
+def _risk_cols() -> dict[str, Column]:
     new = F.transform("_hist", lambda x: F.struct(x["new_score"].alias("score"), x["at"].alias("calculated_at"),
                                                   x["factors"].alias("factors")))
-    return _fold(patients, batch, {
+    return {
         "risk_score": F.col("_score"),
         "risk_score_history": F.when(F.size("_hist") > 0, _append("risk_score_history", new, S.RISK_ENTRY))
                                .otherwise(F.col("risk_score_history")),
         "last_updated": F.col("_at"),
-    })
+    }
+
+
+def update_risk_scores(patients: DataFrame, updates: DataFrame) -> DataFrame:
+    """Set the score; append (score, calculated_at, factors) to the history
+    only for updates that carry factors."""
+    return _fold(patients, _risk_batch(updates), _risk_cols())
 
 
 def bulk_risk_update(patients: DataFrame, scores: DataFrame) -> tuple[DataFrame, DataFrame]:
     """U4: apply a score table (patient_id, new_score, factors, at[, seq]) to
-    every patient in one job; returns (new documents, one-row summary)."""
+    every patient in one job; returns (new documents, one-row summary).  The
+    per-patient batch is built and written once for both."""
     if "seq" not in scores.columns:
         scores = scores.withColumn("seq", F.lit(0).cast("long"))
-    new_docs = update_risk_scores(patients, scores)
-    report = risk_match_report(patients, scores)
+    batch = _sized(_risk_batch(scores).withColumn("_matched", F.lit(True)))
+    new_docs = _fold_sized(patients, batch, _risk_cols())
+    report = _match_sized(patients, batch, F.col("risk_score"), F.col("_score"), "score_changed")
     summary = report.agg(F.count(F.lit(1)).alias("updates"),
                          F.count_if("matched").alias("matched"),
                          F.count_if("modified").alias("updated"),
@@ -137,8 +146,12 @@ def bulk_risk_update(patients: DataFrame, scores: DataFrame) -> tuple[DataFrame,
 # --- U5 match reports ---------------------------------------------------------------
 
 def _match(patients: DataFrame, batch: DataFrame, old: Column, new: Column, name: str) -> DataFrame:
+    return _match_sized(patients, _sized(batch), old, new, name)
+
+
+def _match_sized(patients: DataFrame, batch: DataFrame, old: Column, new: Column, name: str) -> DataFrame:
     docs = patients.select(KEY, old.alias("_old"), F.lit(True).alias("_doc"))
-    j = _sized(batch).join(docs, KEY, "left")
+    j = batch.join(docs, KEY, "left")
     matched = F.col("_doc").isNotNull()
     return j.select(KEY, matched.alias("matched"),
                     # every matched update stamps last_updated, so it modifies the document
