@@ -228,3 +228,24 @@ def test_pipe_text_keeps_only_well_formed_rows(spark):
     got = sorted(map(tuple, read_pipe_text(spark, path).collect()))
     assert got == [("P1", dt.datetime(2024, 1, 5, 10), "click", 72.5, "bpm", False),
                    ("P4", dt.datetime(2024, 1, 5, 13), "error", 3.0, "breaths/min", True)]
+
+
+def _direct_sections(r):
+    return {"metric_summary": stats.metric_summary(r), "patient_summary_top": stats.patient_summary_top(r),
+            "high_risk_patients": stats.high_risk_patients(r), "abnormality_rates": stats.abnormality_rates(r),
+            "device_activity": stats.device_activity(r), "hourly_distribution": stats.hourly_distribution(r),
+            "overall_summary": stats.overall_summary(r)}
+
+
+def test_one_scan_sections_on_edge_rows(mk):
+    later = T0 + dt.timedelta(hours=3)
+    for rows in ([], [reading(value=72.0)],
+                 [reading(abnormal=None), reading(t=later, abnormal=True, value=None),
+                  reading(pid="P000002", metric="view", value=1.5, abnormal=True, device="DEV_2"),
+                  reading(pid="P000002", t=later, metric="view", value=None, device="DEV_2"),
+                  reading(pid="P000002", t=later, metric="error", value=7.25, device="DEV_1")]):
+        r = mk(rows)
+        sections = stats.statistics_sections(r)
+        for k, d in _direct_sections(r).items():
+            assert sections[k].columns == d.columns, k
+            assert [tuple(x) for x in sections[k].collect()] == [tuple(x) for x in d.collect()], k

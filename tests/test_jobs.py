@@ -17,6 +17,12 @@ def test_statistics_and_last_readings_jobs(spark, capsys):
                                               report_date="2024-01-31", day=None))
     rep = spark.read.parquet(reports)
     assert rep.count() == 1 and rep.first().summary.total_readings == X.load_readings(spark, SF_SMALL).count()
+    # the report built from the statistics rollup equals the report built from the readings
+    from vitalspark.operators.report import daily_report
+    direct = daily_report(X.load_readings(spark, SF_SMALL), "2024-01-31", "2024-01-31 00:00:00").first()
+    got = rep.first()
+    for part in ("summary", "metric_statistics", "abnormality_rates", "high_risk_patients"):
+        assert got[part] == direct[part], part
     jobs.last_readings(spark, argparse.Namespace(readings=table, patient="P000007", n=5, metric=None))
     out = capsys.readouterr().out
     assert "== metric summary" in out and "P000007" in out

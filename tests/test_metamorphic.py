@@ -66,3 +66,17 @@ def test_documents_write_then_read_is_identity(spark):
     back = read_patient_documents(spark, path)
     assert back.schema.simpleString() == docs.schema.simpleString()
     _same_rows(back, docs)
+
+
+def test_one_scan_sections_equal_the_single_section_queries(spark):
+    from conftest import SF_ORACLE
+    r = X.load_readings(spark, SF_ORACLE)
+    sections = stats.statistics_sections(r)
+    direct = {"metric_summary": stats.metric_summary(r), "patient_summary_top": stats.patient_summary_top(r),
+              "high_risk_patients": stats.high_risk_patients(r), "abnormality_rates": stats.abnormality_rates(r),
+              "device_activity": stats.device_activity(r), "hourly_distribution": stats.hourly_distribution(r),
+              "overall_summary": stats.overall_summary(r)}
+    assert set(sections) == set(direct)
+    for k, d in direct.items():
+        assert sections[k].columns == d.columns, k
+        assert [tuple(x) for x in sections[k].collect()] == [tuple(x) for x in d.collect()], k

@@ -62,19 +62,24 @@ def _ckpt(spark, args, name):
 
 
 def statistics(spark, args):
-    """Q5: hospital-wide statistics, printed, and the report document appended."""
+    """Q5: hospital-wide statistics, printed, and the report document appended.
+    The readings are scanned once, into the written statistics rollup; every
+    section and (without ``--day``) the report are aggregates of that table."""
     r = _readings(spark, args.readings, args.format)
-    for title, df, n in (("metric summary", stats.metric_summary(r), 20),
-                         ("patients with the highest abnormal %", stats.patient_summary_top(r), 10),
-                         ("high-risk patients (> 20 %)", stats.high_risk_patients(r), 20),
-                         ("abnormality rates", stats.abnormality_rates(r), 20),
-                         ("most active devices", stats.device_activity(r), 10),
-                         ("hourly distribution", stats.hourly_distribution(r), 24),
-                         ("overall", stats.overall_summary(r), 1)):
+    rollup = stats.written_statistics_rollup(r)
+    sec = stats.statistics_sections(rollup=rollup)
+    for title, key, n in (("metric summary", "metric_summary", 20),
+                          ("patients with the highest abnormal %", "patient_summary_top", 10),
+                          ("high-risk patients (> 20 %)", "high_risk_patients", 20),
+                          ("abnormality rates", "abnormality_rates", 20),
+                          ("most active devices", "device_activity", 10),
+                          ("hourly distribution", "hourly_distribution", 24),
+                          ("overall", "overall_summary", 1)):
         print(f"\n== {title}")
-        df.show(n, truncate=False)
+        sec[key].show(n, truncate=False)
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    report = daily_report(r, args.report_date or now.date().isoformat(), now.isoformat(sep=" "), day=args.day)
+    report = daily_report(r, args.report_date or now.date().isoformat(), now.isoformat(sep=" "), day=args.day,
+                          rollup=None if args.day else stats.report_rollup_from(rollup))
     append_report(report, args.reports)
 
 

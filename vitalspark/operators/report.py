@@ -29,14 +29,17 @@ def _desc_then(key, tie):
 
 
 def daily_report(readings: DataFrame, report_date, generated_at, day=None,
-                 high_risk_limit: int = stats.HIGH_RISK_LIMIT) -> DataFrame:
+                 high_risk_limit: int = stats.HIGH_RISK_LIMIT, rollup: DataFrame | None = None) -> DataFrame:
     """The report of ``readings`` (optionally only those of ``day``), labelled
-    with ``report_date`` and ``generated_at`` (parameters, never now())."""
-    if day is not None:
-        readings = readings.filter(F.to_date("reading_timestamp") == date_literal(day))
-    # one scan of the readings, written as a small table in the shared
-    # checkpoint folder; every section below reads that table
-    rollup = materialize(stats.reading_rollup(readings), "report-rollup")
+    with ``report_date`` and ``generated_at`` (parameters, never now()).
+    ``rollup``: the (patient, metric, device) rollup of the same readings when
+    the caller already has it (e.g. ``stats.report_rollup_from``)."""
+    if rollup is None:
+        if day is not None:
+            readings = readings.filter(F.to_date("reading_timestamp") == date_literal(day))
+        # one scan of the readings, written as a small table in the shared
+        # checkpoint folder; every section below reads that table
+        rollup = materialize(stats.reading_rollup(readings), "report-rollup")
     per_patient = (rollup.groupBy("patient_id")
                    .agg(F.sum("n").alias("total_readings"), F.sum("a").alias("abnormal_readings"))
                    .withColumn("abnormal_percentage", pct("abnormal_readings", "total_readings")))

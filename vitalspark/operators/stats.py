@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import abnormal_count, pct, round_half_up
+from ..session import materialize
 
 # fixed values: alert thresholds and report sizes
 HIGH_RISK_PCT = 20.0
@@ -60,7 +61,10 @@ def high_risk_patients(readings: DataFrame, threshold: float = HIGH_RISK_PCT,
     """A3: patients whose abnormal % is strictly above ``threshold``, highest
     first, first ``limit`` (None = all).  ``on_rounded`` compares the rounded %
     (batch report) instead of the raw ratio (plain twin)."""
-    s = patient_summary(readings)
+    return _high_risk(patient_summary(readings), threshold, limit, on_rounded)
+
+
+def _high_risk(s: DataFrame, threshold, limit, on_rounded) -> DataFrame:
     cond = (s["abnormal_percentage"] if on_rounded else _raw_pct(s)) > threshold
     out = s.filter(cond).orderBy(F.desc("abnormal_percentage"), "patient_id")
     return out.limit(limit) if limit is not None else out
@@ -80,8 +84,12 @@ def device_activity(readings: DataFrame, top: int | None = TOP_DEVICES) -> DataF
     out = (readings.groupBy("device_id")
            .agg(F.count(F.lit(1)).alias("total_readings"),
                 F.count_distinct("patient_id").alias("patients_monitored"),
-                abnormal_count().alias("abnormal_readings"))
-           .withColumn("abnormal_rate", pct("abnormal_readings", "total_readings"))
+                abnormal_count().alias("abnormal_readings")))
+    return _busiest(out, top)
+
+
+def _busiest(per_device: DataFrame, top) -> DataFrame:
+    out = (per_device.withColumn("abnormal_rate", pct("abnormal_readings", "total_readings"))
            .orderBy(F.desc("total_readings"), "device_id"))
     return out.limit(top) if top is not None else out
 
@@ -145,3 +153,83 @@ def next_patient_index(patients: DataFrame, first: int = FIRST_PATIENT_INDEX) ->
     """Numeric part of the greatest id + 1, or ``first`` when there is none."""
     num = F.expr("try_cast(substring(patient_id, 2) AS BIGINT)")
     return patients.agg(F.coalesce(F.max(num) + 1, F.lit(first).cast("long")).alias("next_index"))
+
+
+# --- all sections from one scan (the statistics job) ------------------------------------
+
+def statistics_rollup(readings: DataFrame) -> DataFrame:
+    """Readings pre-aggregated to (patient, metric, device, hour of day) with
+    figures that merge exactly: counts, value sum, min, max and the centred sum
+    of squares ``m2`` (for the sample standard deviation)."""
+    return (readings.groupBy("patient_id", "metric_type", "device_id", F.hour("reading_timestamp").alias("hour"))
+            .agg(F.count(F.lit(1)).alias("n"), abnormal_count().alias("a"), F.count("value").alias("nv"),
+                 F.sum("value").alias("s"), F.min("value").alias("mn"), F.max("value").alias("mx"),
+                 (F.var_pop("value") * F.count("value")).alias("m2")))
+
+
+def written_statistics_rollup(readings: DataFrame) -> DataFrame:
+    """The one scan of the readings: ``statistics_rollup`` written once below
+    the shared checkpoint folder (lineage cut; survives executor loss)."""
+    return materialize(statistics_rollup(readings), "statistics-rollup")
+
+
+def report_rollup_from(rollup: DataFrame) -> DataFrame:
+    """The report's (patient, metric, device) rollup, from the statistics rollup."""
+    return (rollup.groupBy("patient_id", "metric_type", "device_id")
+            .agg(F.sum("n").alias("n"), F.sum("a").alias("a"), F.sum("s").alias("s")))
+
+
+def statistics_sections(readings: DataFrame | None = None, threshold: float = HIGH_RISK_PCT,
+                        on_rounded: bool = True, high_risk_limit: int | None = HIGH_RISK_LIMIT,
+                        top_patients: int = TOP_PATIENTS, top_devices: int | None = TOP_DEVICES,
+                        rollup: DataFrame | None = None) -> dict[str, DataFrame]:
+    """A1–A7 from one scan of the readings.  The rollup is written once below
+    the shared checkpoint folder (or given, already written); every section is
+    an aggregate of that small table (the readings are not read again), with
+    the columns and order of the single-section functions above.  Group
+    standard deviations are merged by the parallel formula
+    M2 = sum(m2_i) + sum(s_i^2 / n_i) - S^2 / N."""
+    r = rollup if rollup is not None else written_statistics_rollup(readings)
+    m = (r.groupBy("metric_type")
+         .agg(F.sum("n").alias("total_readings"), F.sum("a").alias("abnormal_count"), F.sum("nv").alias("_nv"),
+              F.sum("s").alias("_s"), F.min("mn").alias("_mn"), F.max("mx").alias("_mx"),
+              (F.coalesce(F.sum("m2"), F.lit(0.0)) + F.coalesce(F.sum(F.try_divide(F.col("s") * F.col("s"), "nv")),
+                                                           F.lit(0.0))).alias("_q")))
+    m2 = F.greatest(F.col("_q") - F.try_divide(F.col("_s") * F.col("_s"), "_nv"), F.lit(0.0))
+    std = F.when(F.col("_nv") > 1, F.sqrt(m2 / (F.col("_nv") - 1)))
+    metric_summary_ = (m.select("metric_type", "total_readings",
+                                round_half_up(F.try_divide("_s", "_nv"), 2).alias("avg_value"),
+                                round_half_up(std, 2).alias("std_dev"),
+                                round_half_up("_mn", 2).alias("min_value"), round_half_up("_mx", 2).alias("max_value"),
+                                "abnormal_count")
+                       .withColumn("abnormal_percentage", pct("abnormal_count", "total_readings"))
+                       .orderBy("metric_type"))
+    rates = (m.select("metric_type", F.col("total_readings").alias("total"), F.col("abnormal_count").alias("abnormal"))
+             .withColumn("abnormal_rate", pct("abnormal", "total")).orderBy(F.desc("abnormal_rate"), "metric_type"))
+    patients = (r.groupBy("patient_id")
+                .agg(F.sum("n").alias("total_readings"), F.sum("a").alias("abnormal_readings"),
+                     F.count_distinct("metric_type").alias("metrics_measured"))
+                .withColumn("abnormal_percentage", pct("abnormal_readings", "total_readings")))
+    devices = (r.groupBy("device_id")
+               .agg(F.sum("n").alias("total_readings"), F.count_distinct("patient_id").alias("patients_monitored"),
+                    F.sum("a").alias("abnormal_readings")))
+    hourly = (r.groupBy("hour").agg(F.sum("n").alias("readings_count"), F.sum("a").alias("abnormal_count"))
+              .orderBy("hour"))
+    raw = F.col("abnormal_readings") / F.col("total_readings") * 100
+    hot = (round_half_up(raw, 2) if on_rounded else raw) > threshold
+    n_devices = devices.agg(F.count(F.lit(1))).scalar()
+    overall = (patients.agg(F.coalesce(F.sum("total_readings"), F.lit(0)).cast("long").alias("total_readings"),
+                            F.count(F.lit(1)).alias("total_patients"), F.count_if(hot).alias("high_risk_patients"),
+                            F.coalesce(F.sum("abnormal_readings"), F.lit(0)).cast("long").alias("total_abnormal"))
+               .select("total_readings", "total_patients", "high_risk_patients", n_devices.alias("total_devices"),
+                       "total_abnormal",
+                       F.coalesce(pct("total_abnormal", "total_readings"), F.lit(0.0)).alias("overall_abnormal_rate")))
+    return {
+        "metric_summary": metric_summary_,
+        "patient_summary_top": patients.orderBy(F.desc("abnormal_percentage"), "patient_id").limit(top_patients),
+        "high_risk_patients": _high_risk(patients, threshold, high_risk_limit, on_rounded),
+        "abnormality_rates": rates,
+        "device_activity": _busiest(devices, top_devices),
+        "hourly_distribution": hourly,
+        "overall_summary": overall,
+    }
