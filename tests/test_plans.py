@@ -84,3 +84,25 @@ def test_no_python_evaluation(spark, key):
 def test_document_schema_is_fixed(spark):
     # same names and types; derived documents only know more about non-null structs
     assert X.load_patients(spark, SF_SMALL).schema.simpleString() == S.PATIENT_SCHEMA.simpleString()
+
+
+def test_time_filters_prune_the_reading_table(spark):
+    from vitalspark.operators import transforms
+    from vitalspark.operators.report import daily_report
+    r = X.load_readings(spark, SF_SMALL)
+    path = work_path(spark, "readings")
+    write_readings_table(r, path)
+    table = read_readings_table(spark, path)
+    as_of = "2024-01-20 00:00:00"
+    for op in (lambda df: transforms.recent_abnormal(df, as_of, 24),
+               lambda df: transforms.readings_within_retention(df, as_of, 3)):
+        pruned = op(table)
+        p = plan(pruned)
+        assert "PartitionFilters: [isnotnull(reading_date" in p and "reading_date#" in p.split("PartitionFilters")[1]
+        cols = [c for c in pruned.columns if c != "reading_date"]
+        got, want = pruned.select(*cols), op(r).select(*cols)
+        assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+    day = "2024-01-07"
+    a = daily_report(table, "2024-01-07", "2024-01-08 00:00:00", day=day).first()
+    b = daily_report(r, "2024-01-07", "2024-01-08 00:00:00", day=day).first()
+    assert a == b and 0 < a.summary.total_readings < r.count()

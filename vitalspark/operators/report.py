@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import date_literal, ntz_literal, pct, round_half_up
 from ..session import materialize
 from . import stats
+from .transforms import prune_dates
 
 
 def _arr(df: DataFrame, fields, before):
@@ -36,7 +37,12 @@ def daily_report(readings: DataFrame, report_date, generated_at, day=None,
     the caller already has it (e.g. ``stats.report_rollup_from``)."""
     if rollup is None:
         if day is not None:
-            readings = readings.filter(F.to_date("reading_timestamp") == date_literal(day))
+            # a time range (pushed to the Parquet row groups) and, on the reading
+            # table, its date partition: only that day is read
+            start = date_literal(day).cast("timestamp_ntz")
+            readings = (prune_dates(readings, F.col("reading_date") == date_literal(day))
+                        .filter((F.col("reading_timestamp") >= start)
+                                & (F.col("reading_timestamp") < start + F.make_dt_interval(days=F.lit(1)))))
         # one scan of the readings, written as a small table in the shared
         # checkpoint folder; every section below reads that table
         rollup = materialize(stats.reading_rollup(readings), "report-rollup")

@@ -92,10 +92,18 @@ def reading_status_label(readings: DataFrame) -> DataFrame:
     return readings.withColumn("status", status_label())
 
 
+def prune_dates(readings: DataFrame, on_date: Column) -> DataFrame:
+    """Add the date-partition condition implied by a time filter when the
+    readings come from the reading table (partitioned by ``reading_date``):
+    Spark then lists only those date folders.  The time filter itself stays;
+    it is pushed to the Parquet row groups."""
+    return readings.filter(on_date) if "reading_date" in readings.columns else readings
+
+
 def recent_abnormal(readings: DataFrame, as_of, hours: int = RECENT_HOURS) -> DataFrame:
     """Abnormal readings strictly after ``as_of - hours`` (4 columns)."""
     cutoff = ntz_literal(as_of) - F.make_dt_interval(hours=F.lit(hours))
-    return (readings
+    return (prune_dates(readings, F.col("reading_date") >= F.to_date(cutoff))
             .filter((F.col("is_abnormal") == F.lit(True)) & (F.col("reading_timestamp") > cutoff))
             .select("patient_id", "metric_type", "value", "reading_timestamp"))
 
@@ -105,6 +113,8 @@ def readings_within_retention(readings: DataFrame, as_of, days: int = RETENTION_
     """Rows whose time-to-live has not run out at ``as_of``.  A row lives
     while written_at > as_of - days; pass ``written_at`` if the write time is kept."""
     cutoff = ntz_literal(as_of) - F.make_dt_interval(days=F.lit(days))
+    if written_at == "reading_timestamp":
+        readings = prune_dates(readings, F.col("reading_date") >= F.to_date(cutoff))
     return readings.filter(F.col(written_at) > cutoff)
 
 
