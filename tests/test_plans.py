@@ -106,3 +106,16 @@ def test_time_filters_prune_the_reading_table(spark):
     a = daily_report(table, "2024-01-07", "2024-01-08 00:00:00", day=day).first()
     b = daily_report(r, "2024-01-07", "2024-01-08 00:00:00", day=day).first()
     assert a == b and 0 < a.summary.total_readings < r.count()
+
+
+def test_update_batch_over_the_byte_bound_is_not_broadcast(spark, monkeypatch):
+    import vitalspark.session as sess
+    monkeypatch.setattr(D, "fits_broadcast", lambda rows, nbytes, max_rows: sess.fits_broadcast(rows, nbytes, max_rows, 1))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(D.add_medical_notes(X.load_patients(spark, SF_SMALL), X.note_updates(spark, SF_SMALL)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin LeftOuter" in p and "BroadcastHashJoin" not in p
+    assert not sess.fits_broadcast(10, sess.BROADCAST_BYTES + 1, 1000) and sess.fits_broadcast(10, 100, 1000)

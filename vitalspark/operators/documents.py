@@ -5,8 +5,9 @@ on ``patient_id``.  The batch is first reduced to one row per patient (last
 scalar by ``seq``, appended elements in ``seq`` order), so the join can never
 multiply documents.  The per-patient batch is written once below the shared
 checkpoint folder and counted from the written table (computed once, lineage
-cut); under ``BROADCAST_ROWS`` it is broadcast, so the documents are joined
-where they are read and never shuffled.  A larger batch is a sort-merge join
+cut); under ``BROADCAST_ROWS`` rows and ``BROADCAST_BYTES`` of measured data it
+is broadcast, so the documents are joined where they are read and never
+shuffled.  A larger batch is a sort-merge join
 on the patient key (AQE splits a skewed key).
 """
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.columns import ntz_literal
-from ..session import written_and_counted
+from ..session import fits_broadcast, written_and_counted
 
 KEY = "patient_id"
 # Update batches up to this many patients are broadcast to the document scan.
@@ -25,9 +26,10 @@ BROADCAST_ROWS = 200_000
 
 
 def _sized(batch: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``batch`` written once, marked for broadcast when its row count is under ``limit``."""
-    written, n = written_and_counted(batch, "update-batch")
-    return F.broadcast(written) if n <= limit else written
+    """``batch`` written once, marked for broadcast when its row count is under
+    ``limit`` and its measured size under ``BROADCAST_BYTES``."""
+    written, n, nbytes = written_and_counted(batch, "update-batch")
+    return F.broadcast(written) if fits_broadcast(n, nbytes, limit) else written
 
 
 def _empty(elem_type) -> Column:

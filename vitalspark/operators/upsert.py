@@ -9,8 +9,9 @@ the incoming keys and the survivors are unioned with the incoming rows.
 
 The anti join is where scale is decided: the base may be the whole table.
 
-- Up to ``broadcast_keys`` incoming keys are broadcast, so the base is
-  filtered where it is read and never shuffled.
+- Up to ``broadcast_keys`` incoming keys (and at most ``BROADCAST_BYTES`` of
+  measured key data) are broadcast, so the base is filtered where it is read
+  and never shuffled.
 - Above that bound, when the key determines a partition of the base (a
   reading's key holds its timestamp, so its date), only base rows of the
   partitions the batch touches can be replaced.  The touched partition values
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..session import written_and_counted
+from ..session import fits_broadcast, written_and_counted
 
 
 def latest_per_key(df: DataFrame, keys=S.READING_KEY, order=("seq",)) -> DataFrame:
@@ -60,9 +61,10 @@ def upsert(base: DataFrame, incoming: DataFrame, keys=S.READING_KEY, seq="seq",
     (e.g. ``reading_date()``); it narrows the shuffle of a large batch."""
     order = (seq,) if isinstance(seq, str) else tuple(seq)
     cols = [c for c in base.columns if c not in order]
-    newest, n_keys = written_and_counted(latest_per_key(incoming, keys, order).select(*cols), "upsert-batch")
+    newest, n_keys, key_bytes = written_and_counted(latest_per_key(incoming, keys, order).select(*cols),
+                                                    "upsert-batch", measure=keys)
     incoming_keys = newest.select(*keys)
-    if n_keys <= broadcast_keys:  # proven bound before broadcasting
+    if fits_broadcast(n_keys, key_bytes, broadcast_keys):  # proven bound before broadcasting
         kept = base.join(F.broadcast(incoming_keys), list(keys), "left_anti")
     elif part is not None:
         kept = _anti_join_touched(base, incoming_keys, keys, part, broadcast_parts)

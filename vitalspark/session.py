@@ -13,6 +13,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Defaults for a batch job.  Shuffle partitions are sized for the target scale
 # by AQE: it starts from ``spark.sql.shuffle.partitions`` and coalesces small
@@ -104,11 +105,26 @@ def materialize(df, label: str):
     return df.sparkSession.read.parquet(path)
 
 
-def written_and_counted(df, label: str):
-    """``materialize(df)`` and its row count, taken from the written table.
+# A join side is broadcast only when both its row count and its measured size
+# are within bounds (the size is the sum of the rows' JSON lengths: an upper
+# bound of the uncompressed data, not the Parquet bytes on disk).
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def written_and_counted(df, label: str, measure=None):
+    """``materialize(df)`` with its row count and the measured size in bytes of
+    the ``measure`` columns (default: all), both from one job over the written
+    table.
 
     For a join side whose size decides the strategy: the side is computed once
-    (not once for the count and again for the join), and the count reads only
-    the Parquet footers of the written files."""
+    (not once for the sizing and again for the join)."""
     t = materialize(df, label)
-    return t, t.count()
+    cols = list(measure or t.columns)
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*cols)))), F.lit(0))
+    rows, nbytes = t.agg(F.count(F.lit(1)), size).first()
+    return t, rows, nbytes
+
+
+def fits_broadcast(rows: int, nbytes: int, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """The proven bound before a broadcast: rows and measured bytes."""
+    return rows <= max_rows and nbytes <= max_bytes
