@@ -53,3 +53,30 @@ def test_the_input_is_skewed(duck_skewed):
 def test_hot_keys_equal_the_oracle(spark, skewed_dir, duck_skewed, key):
     problems, _, _ = compare(E.queries()[key](spark, skewed_dir), duck_skewed, E.oracle_sql()[key])
     assert not problems
+
+
+def test_hot_patient_day_is_split_over_files(spark):
+    """One patient on one day holds a third of all readings: the reading-table
+    writer still spreads that (date, patient) over several tasks and files."""
+    from pyspark.sql import functions as F
+    from vitalspark.sinks.files import write_readings_table
+    from vitalspark.sources.fixtures import load_readings
+    d = work_path(spark, "hot-day-sf")
+    os.makedirs(d)
+    duckdb.connect().execute(f"""
+        COPY (SELECT event_id,
+                     CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-05' + (ts - date_trunc('day', ts)) ELSE ts END AS ts,
+                     CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS user_id, event_type, value, props
+              FROM read_parquet('{SF_ORACLE}/events.parquet') ORDER BY event_id)
+        TO '{d}/events.parquet' (FORMAT PARQUET)""")
+    r = load_readings(spark, d)
+    hot = r.filter((F.col("patient_id") == "P000001")
+                   & (F.to_date("reading_timestamp") == F.lit("2024-01-05").cast("date"))).count()
+    assert hot * 3 >= r.count()
+    path = work_path(spark, "hot-table")
+    write_readings_table(r, path, partitions=8)
+    per_file = (spark.read.parquet(path).filter(F.col("patient_id") == "P000001")
+                .filter(F.col("reading_date") == F.lit("2024-01-05").cast("date"))
+                .groupBy(F.col("_metadata.file_path")).count().collect())
+    assert len(per_file) >= 2 and max(x["count"] for x in per_file) < hot
+    assert spark.read.parquet(path).count() == r.count()

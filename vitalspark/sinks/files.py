@@ -17,13 +17,14 @@ from ..sources.readers import PIPE_COLUMNS
 def write_readings_table(readings: DataFrame, path: str, mode: str = "overwrite",
                          partitions: int | None = None) -> None:
     """The reading table: Parquet partitioned by reading date, rows clustered by
-    (date, patient, time).  Range partitioning on (date, patient) samples the
-    keys, so a date or patient holding a third of all rows is split over many
-    tasks and files instead of one; sorted files give tight min/max statistics
-    for patient lookups."""
+    (date, patient, time).  Range partitioning on (date, patient, time) samples
+    the keys; the time as last key lets a boundary fall inside one patient's
+    day, so even a single (date, patient) holding a third of all rows is split
+    over many tasks and files instead of one.  Sorted files give tight min/max
+    statistics for patient lookups."""
     df = readings.withColumn("reading_date", F.to_date("reading_timestamp"))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, "reading_date", "patient_id")
+    (df.repartitionByRange(n, "reading_date", "patient_id", "reading_timestamp")
        .sortWithinPartitions("reading_date", "patient_id", "reading_timestamp")
        .write.mode(mode).partitionBy("reading_date").parquet(path))
 

@@ -152,8 +152,8 @@ def compact_ingested(spark: SparkSession, table_path: str) -> int:
     patient and time within a day.  Returns the last batch folded.
 
     Only the first compaction shuffles: its input is the unordered
-    micro-batches, range-partitioned on (date, patient) so that a hot date or
-    patient is split over many files.  Later compactions read the previous
+    micro-batches, range-partitioned on (date, patient, time) so that a hot
+    date, patient or (date, patient) is split over many files.  Later compactions read the previous
     version, which is already clustered by date, so its rows keep their tasks
     (a broadcast anti join drops the replaced ones) and are only sorted
     locally before the date-partitioned write: no shuffle of the table."""
@@ -162,7 +162,7 @@ def compact_ingested(spark: SparkSession, table_path: str) -> int:
     upto = spark.read.parquet(os.path.join(table_path, "readings")).agg(F.max(BATCH_COL)).first()[0]
     if first:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        current = current.repartitionByRange(n, "reading_date", "patient_id")
+        current = current.repartitionByRange(n, "reading_date", "patient_id", "reading_timestamp")
     (current.sortWithinPartitions("reading_date", "patient_id", "reading_timestamp")
      .write.partitionBy("reading_date").mode("overwrite")
      .parquet(os.path.join(table_path, "compacted", f"upto={upto}")))
