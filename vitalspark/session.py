@@ -36,8 +36,12 @@ CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
-    # static broadcast only for sides the planner knows to be small; bounded sides are counted in code
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # Static broadcast only for sides the planner knows to be small.  Its
+    # estimate of a file scan is the (compressed) Parquet size, so that size is
+    # scaled by 4 before the 16 MB threshold: at most ~4 MB of Parquet.  The
+    # sides we broadcast on purpose are measured in code (BROADCAST_BYTES).
+    "spark.sql.autoBroadcastJoinThreshold": str(16 * 1024 * 1024),
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # large stream state (windows x patients) lives in RocksDB, committed by changelog
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
