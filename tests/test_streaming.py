@@ -123,3 +123,33 @@ def test_progress_listener_sees_observed_metrics(spark):
     assert want == spark.read.parquet(src).count()
     assert sum(r["messages"] for r in log.rows) == want
     assert sum(r["malformed"] for r in log.rows) == spark.read.parquet(src).filter("offset % 97 = 0").count()
+
+
+def test_parse_once_fan_out_equals_direct_consumers(spark):
+    src = Q.write_messages(spark, SF_SMALL)
+    Q.add_sentinel(spark, src)
+    parsed = readings_from_messages(message_stream(spark, src))
+    _, shared = K.parse_once(spark, parsed, work_path(spark, "readings"), work_path(spark, "c"),
+                             trigger={"availableNow": True})
+    for op in (lambda s: T.abnormal_feed(s), lambda s: T.window_statistics(s, Q.WINDOW),
+               lambda s: T.tumbling_metric_alerts(s, Q.WINDOW)):
+        outs = []
+        for stream in (shared, readings_from_messages(message_stream(spark, src))):
+            out = work_path(spark, "o")
+            K.start_append(op(with_watermark(stream, Q.WATERMARK)), out, work_path(spark, "c")).awaitTermination()
+            outs.append(spark.read.parquet(out))
+        assert outs[0].count() > 0
+        _same(outs[0], outs[1])
+
+
+def test_parse_once_with_a_processing_time_trigger(spark):
+    src = Q.write_messages(spark, SF_SMALL)
+    q, shared = K.parse_once(spark, readings_from_messages(message_stream(spark, src)), work_path(spark, "readings"),
+                             work_path(spark, "c"), trigger={"processingTime": "1 second"})
+    out = work_path(spark, "o")
+    try:
+        K.start_append(T.abnormal_feed(shared), out, work_path(spark, "c")).awaitTermination()
+    finally:
+        q.stop()
+    direct = T.abnormal_feed(readings_from_messages(spark.read.parquet(src)))
+    _same(spark.read.parquet(out), direct)

@@ -75,6 +75,23 @@ def read_last_batch(spark: SparkSession, path: str) -> DataFrame:
     return df.filter(F.col(BATCH_COL) == newest).drop(BATCH_COL)
 
 
+def parse_once(spark: SparkSession, parsed: DataFrame, path: str, checkpoint: str,
+               trigger: dict | None = None) -> tuple[StreamingQuery, DataFrame]:
+    """Fan-out for several consumers of one source: a single query writes the
+    parsed readings to ``path`` (file sink: exactly-once through its log), and
+    the returned stream reads them back (a file source on a sink folder reads
+    only committed files).  The source is read and its JSON parsed once instead
+    of once per consumer, at the cost of one more trigger of latency.  The
+    sink folder exists once the query has started and processed what is
+    available; then the consumer stream can be defined."""
+    q = start_append(parsed, path, checkpoint, trigger)
+    if (trigger or {}).get("availableNow"):
+        q.awaitTermination()
+    else:
+        q.processAllAvailable()
+    return q, spark.readStream.schema(parsed.schema).parquet(path)
+
+
 def route_writer(all_path: str, abnormal_path: str, predicate=None):
     """K6: every reading to sink 1, abnormal ones also to sink 2, from one
     persisted micro-batch (the source is read once for both sinks)."""
