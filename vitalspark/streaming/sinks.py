@@ -155,8 +155,12 @@ def read_ingested(spark: SparkSession, table_path: str) -> DataFrame:
     shuffle of the compacted rows; a large backlog shuffles only the compacted
     rows of the dates it touches).  Before the first compaction every batch
     is merged with one shuffle on the reading key."""
+    return _merged(spark, table_path, *_latest_compaction(spark, table_path))
+
+
+def _merged(spark: SparkSession, table_path: str, base, upto) -> DataFrame:
+    """``read_ingested`` given the latest compacted version (or None)."""
     deltas = spark.read.parquet(os.path.join(table_path, "readings"))
-    base, upto = _latest_compaction(spark, table_path)
     if base is None:
         return latest_per_key(deltas, S.READING_KEY, (BATCH_COL, "offset")).drop(BATCH_COL, "offset")
     newer = deltas.filter(F.col(BATCH_COL) > upto)
@@ -170,12 +174,14 @@ def compact_ingested(spark: SparkSession, table_path: str) -> int:
 
     Only the first compaction shuffles: its input is the unordered
     micro-batches, range-partitioned on (date, patient, time) so that a hot
-    date, patient or (date, patient) is split over many files.  Later compactions read the previous
-    version, which is already clustered by date, so its rows keep their tasks
-    (a broadcast anti join drops the replaced ones) and are only sorted
-    locally before the date-partitioned write: no shuffle of the table."""
-    first = _latest_compaction(spark, table_path)[0] is None
-    current = read_ingested(spark, table_path).withColumn("reading_date", reading_date())
+    date, patient or (date, patient) is split over many files.  Later
+    compactions read the previous version, which is already clustered by date,
+    so its rows keep their tasks (a broadcast anti join drops the replaced
+    ones) and are only sorted locally before the date-partitioned write: no
+    shuffle of the table."""
+    base, last = _latest_compaction(spark, table_path)
+    first = base is None
+    current = _merged(spark, table_path, base, last).withColumn("reading_date", reading_date())
     upto = spark.read.parquet(os.path.join(table_path, "readings")).agg(F.max(BATCH_COL)).first()[0]
     if first:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
