@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from vitalspark.llm import chat, mixing
+from vitalspark.llm import bpe, chat, mixing
 
 QUERIES = {
     "op3_chat_format": chat.op3_chat_format,
+    "op4_bpe_round_trip": bpe.op4_bpe_round_trip,
     "op6_mix_sources": mixing.op6_mix_sources,
 }
 
