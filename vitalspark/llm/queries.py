@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from vitalspark.llm import bpe, chat, mixing
+from vitalspark.llm import bpe, chat, mixing, token_file
 
 QUERIES = {
+    "op2_huffman_tokens": token_file.op2_huffman_tokens,
     "op3_chat_format": chat.op3_chat_format,
     "op4_bpe_round_trip": bpe.op4_bpe_round_trip,
     "op6_mix_sources": mixing.op6_mix_sources,
