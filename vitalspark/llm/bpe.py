@@ -128,9 +128,9 @@ def _worker(spec: str, rank_path: str):
 _workers: dict[str, tuple] = {}
 
 
-def encode(docs: DataFrame, rank_path: str, pattern: str, digest: bool = False, offsets: bool = False) -> DataFrame:
-    """doc_id, n_tokens and, of each whole text: ids (array<int>), with ``offsets`` also char_start and
-    char_end of each token; or with ``digest`` ids_sha256 and decoded_sha256 in place of the ids."""
+def encode(docs: DataFrame, rank_path: str, pattern: str, ids: bool = True, offsets: bool = False, digest: bool = False) -> DataFrame:
+    """doc_id, n_tokens and, of each whole text: with ``ids`` the ids (array<int>), with ``offsets`` char_start
+    and char_end of each token, with ``digest`` ids_sha256 and decoded_sha256 (of the bytes decoded from them)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(tokenizer_json(read_ranks(rank_path), pattern))  # size: the vocabulary's
     lists = pa.list_(pa.int32())
@@ -141,22 +141,21 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, digest: bool = False,
         encoder, table = _workers[rank_path]
         for batch in batches:
             for s in slices(batch.column(1)):
-                ids, at = encoder.encode(s)
+                flat, at = encoder.encode(s)
+                rows = [flat[at[i]:at[i + 1]] for i in range(s.n)]
                 out = [batch.column(0).slice(s.first, s.n).cast(pa.int64()), pa.array(np.diff(at), pa.int64())]
-                rows = [ids[at[i]:at[i + 1]] for i in range(s.n)]
+                ends = pa.array(at, pa.int32())
+                if ids:
+                    out.append(pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32())))
+                if offsets:
+                    spans = [table.offsets(r) for r in rows]
+                    out += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([x[k] for x in spans]), pa.int32())) for k in (0, 1)]
                 if digest:
                     out += [pa.array([hashlib.sha256(",".join(map(str, r.tolist())).encode()).hexdigest() for r in rows], pa.string()),
                             pa.array([hashlib.sha256(table.decode(r)).hexdigest() for r in rows], pa.string())]
-                else:
-                    ends = pa.array(at, pa.int32())
-                    out.append(pa.ListArray.from_arrays(ends, pa.array(ids, pa.int32())))
-                    if offsets:
-                        spans = [table.offsets(r) for r in rows] or [(ids, ids)]
-                        out += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([x[k] for x in spans]), pa.int32())) for k in (0, 1)]
                 yield pa.record_batch(out, names=names)
 
-    names = ["doc_id", "n_tokens"] + (["ids_sha256", "decoded_sha256"] if digest else
-                                      ["ids"] + ["char_start", "char_end"] * offsets)
+    names = ["doc_id", "n_tokens"] + ["ids"] * ids + ["char_start", "char_end"] * offsets + ["ids_sha256", "decoded_sha256"] * digest
     kinds = {"doc_id": "long", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
     schema = ", ".join(f"{n} {kinds.get(n, 'array<int>')}" for n in names)
     return docs.select("doc_id", "text").mapInArrow(run, schema)
@@ -177,4 +176,4 @@ def decode(tokens: DataFrame, rank_path: str) -> DataFrame:
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digest=True)
+    return encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, ids=False, digest=True)

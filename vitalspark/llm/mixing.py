@@ -101,7 +101,7 @@ def _meet(units: DataFrame, level: int, chunk: int, seed: int) -> DataFrame:
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, chunk: int = CHUNK,
         seed: int = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target (its source's), taken of every document (doc_id, source, text).
+    """doc_id, source, size, source_size, target (its source's), copies, taken of every document (doc_id, source, text).
 
     Each level is written before the next one starts; their number is the logarithm of the largest
     source's documents, to the base CHUNK."""
@@ -135,8 +135,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     last = F.when(draw * F.col("size") < F.col("mass"), F.col("size").cast("double")).otherwise(F.lit(0.0))
     decided.append(left.withColumn("mass", last))
     out = with_source(reduce(DataFrame.unionByName, decided), t, "source_size", "target", "whole")
-    taken = F.col("whole") * F.col("size") + F.round("mass").cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    copies = (F.col("whole") + (F.col("mass") > 0).cast("long")).alias("copies")
+    return (out.select("doc_id", "source", "size", "source_size", "target", copies)
+            .withColumn("taken", F.col("copies") * F.col("size")))
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,6 +215,21 @@ def classify(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> Dat
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def keep_good(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, with all their columns, whose score reaches the threshold; no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    text = docs.columns.index("text")
+
+    def run(batches):
+        net = pickle.loads(shared.value)
+        for batch in batches:
+            scores = [net.score(s) for s in slices(batch.column(text))]
+            if scores:
+                yield batch.filter(pa.array(np.concatenate(scores) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     return classify(docs, train(docs, labels))
