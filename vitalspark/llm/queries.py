@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from vitalspark.llm import bpe, chat, mixing, quality_cnn, set_join, token_file
+from vitalspark.llm import bpe, chat, kneser_ney, mixing, quality_cnn, set_join, token_file
 
 QUERIES = {
     "op2_huffman_tokens": token_file.op2_huffman_tokens,
     "op3_chat_format": chat.op3_chat_format,
     "op4_bpe_round_trip": bpe.op4_bpe_round_trip,
+    "op5_kneser_ney": kneser_ney.op5_kneser_ney,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op9_shingle_join": set_join.op9_shingle_join,
     "op10_quality_cnn": quality_cnn.op10_quality_cnn,
