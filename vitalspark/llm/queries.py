@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitalspark.llm import bpe, chat, kneser_ney, mixing, quality_cnn, set_join, token_file
+from vitalspark.llm import block_search, bpe, chat, kneser_ney, mixing, quality_cnn, set_join, token_file
 
 QUERIES = {
     "op2_huffman_tokens": token_file.op2_huffman_tokens,
@@ -10,8 +10,9 @@ QUERIES = {
     "op4_bpe_round_trip": bpe.op4_bpe_round_trip,
     "op5_kneser_ney": kneser_ney.op5_kneser_ney,
     "op6_mix_sources": mixing.op6_mix_sources,
+    "op7_block_search": block_search.op7_block_search,
     "op9_shingle_join": set_join.op9_shingle_join,
     "op10_quality_cnn": quality_cnn.op10_quality_cnn,
 }
 
-ORACLE = {"op3_chat_format": chat.ORACLE_SQL, "op9_shingle_join": set_join.ORACLE_SQL}
+ORACLE = {"op3_chat_format": chat.ORACLE_SQL, "op7_block_search": block_search.ORACLE_SQL, "op9_shingle_join": set_join.ORACLE_SQL}
