@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from vitalspark.llm import block_search, bpe, chat, kneser_ney, mixing, quality_cnn, set_join, token_file
+from vitalspark.llm import block_search, bpe, chat, kneser_ney, merkle, mixing, quality_cnn, set_join, token_file
 
 QUERIES = {
+    "op1_merkle_fingerprint": merkle.op1_merkle_fingerprint,
     "op2_huffman_tokens": token_file.op2_huffman_tokens,
     "op3_chat_format": chat.op3_chat_format,
     "op4_bpe_round_trip": bpe.op4_bpe_round_trip,
