@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitalspark.llm import block_search, bpe, chat, kneser_ney, merkle, mixing, quality_cnn, set_join, token_file
+from vitalspark.llm import block_search, bpe, chat, kneser_ney, merkle, mixing, quality_cnn, set_join, token_file, wordpiece_count
 
 QUERIES = {
     "op1_merkle_fingerprint": merkle.op1_merkle_fingerprint,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_kneser_ney": kneser_ney.op5_kneser_ney,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_block_search": block_search.op7_block_search,
+    "op8_wordpiece_count": wordpiece_count.op8_wordpiece_count,
     "op9_shingle_join": set_join.op9_shingle_join,
     "op10_quality_cnn": quality_cnn.op10_quality_cnn,
 }
