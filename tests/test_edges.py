@@ -249,3 +249,25 @@ def test_one_scan_sections_on_edge_rows(mk):
         for k, d in _direct_sections(r).items():
             assert sections[k].columns == d.columns, k
             assert [tuple(x) for x in sections[k].collect()] == [tuple(x) for x in d.collect()], k
+
+
+def test_long_ids_are_never_cut(spark):
+    """Ids above a million, a milliard and a billion stay apart, on both sides."""
+    import duckdb
+    from vitalspark.plans.sql_fixtures import padded
+    from vitalspark.sources.fixtures import pad_id
+    ids = [7, 999_999, 1_234_567, 1_234_568, 10 ** 9 + 1, 10 ** 12 + 1, 10 ** 12 + 2]
+    ours = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "i long").select(pad_id("P", F.col("i"), 6)).collect()]
+    theirs = [r[0] for r in duckdb.sql(f"SELECT 'P' || {padded('i')} FROM (SELECT unnest({ids}) AS i)").fetchall()]
+    assert ours == theirs == [f"P{i:06d}" for i in ids]
+
+
+def test_no_checkpoint_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from vitalspark.session import ensure_checkpoint_dir
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[3,2,1024]"):
+        fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None),
+                               sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(fake)

@@ -33,9 +33,11 @@ def parse_json_readings(messages: DataFrame, schema=S.READING_MESSAGE_SCHEMA,
 
 def tag_malformed(messages: DataFrame, schema=S.READING_MESSAGE_SCHEMA) -> DataFrame:
     """One parse of every message: ``data`` (the reading struct), ``raw`` text,
-    message time, the other message columns, and ``malformed``.  PERMISSIVE
-    parsing keeps the text of a body that is not a JSON object in
-    ``_corrupt_record``; such a body (or a missing one) is malformed."""
+    message time, the other message columns, ``reason`` and ``malformed``.
+    PERMISSIVE parsing keeps the text of a body that is not a JSON object in
+    ``_corrupt_record``; such a body (or a missing one) is malformed, and so is
+    a reading without patient, metric or a time that can be read: it could not
+    be stored under its key.  ``reason`` names the first of these."""
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     extra = [c for c in messages.columns if c not in ("value", "timestamp")]
     parsed = messages.select(
@@ -43,7 +45,14 @@ def tag_malformed(messages: DataFrame, schema=S.READING_MESSAGE_SCHEMA) -> DataF
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("data"),
         F.col("value").cast("string").alias("raw"),
         F.col("timestamp").cast("timestamp_ntz").alias("message_timestamp"), *extra)
-    return parsed.withColumn("malformed", F.col("data").isNull() | F.col(f"data.{CORRUPT}").isNotNull())
+    data = F.col("data")
+    reason = F.when(data.isNull() | data[CORRUPT].isNotNull(), F.lit("not_json"))
+    for c in S.READING_KEY:
+        if c in schema.fieldNames():
+            reason = reason.when(data[c].isNull(), F.lit(f"missing:{c}"))
+    if dict((f.name, f.dataType.simpleString()) for f in schema.fields).get("reading_timestamp") == "string":
+        reason = reason.when(parse_reading_time(data["reading_timestamp"]).isNull(), F.lit("unreadable:reading_timestamp"))
+    return parsed.withColumn("reason", reason).withColumn("malformed", F.col("reason").isNotNull())
 
 
 def malformed_split(messages: DataFrame, schema=S.READING_MESSAGE_SCHEMA) -> tuple[DataFrame, DataFrame]:
@@ -53,7 +62,7 @@ def malformed_split(messages: DataFrame, schema=S.READING_MESSAGE_SCHEMA) -> tup
     extra = [c for c in messages.columns if c not in ("value", "timestamp")]
     tagged = tag_malformed(messages, schema)
     good = tagged.filter(~F.col("malformed")).select("data.*", "message_timestamp", *extra).drop(CORRUPT)
-    bad = tagged.filter(F.col("malformed")).select("raw", "message_timestamp", *extra)
+    bad = tagged.filter(F.col("malformed")).select("raw", "reason", "message_timestamp", *extra)
     return good, bad
 
 
@@ -178,11 +187,6 @@ def validate_patients(patients: DataFrame) -> DataFrame:
             .withColumn("is_valid", F.size("reasons") == 0))
 
 
-def split_valid(patients: DataFrame) -> tuple[DataFrame, DataFrame]:
-    v = validate_patients(patients)
-    return v.filter("is_valid").drop("reasons", "is_valid"), v.filter(~F.col("is_valid"))
-
-
 def duplicate_patients(patients: DataFrame) -> DataFrame:
     """Ids held by more than one document (the unique index, as a check)."""
     return (patients.groupBy("patient_id").agg(F.count(F.lit(1)).alias("copies"))

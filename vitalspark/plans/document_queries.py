@@ -10,7 +10,7 @@ from ..operators import documents as D
 from ..operators import recent, transforms
 from ..sources import fixtures as X
 from .registry import register
-from .sql_fixtures import with_patients
+from .sql_fixtures import padded, with_patients
 
 PATIENT = "P000007"
 PROFILE_UPDATED_AT = "2024-02-01 09:00:00"
@@ -91,14 +91,14 @@ def q_ranked_high_risk(spark, sf_dir):
 # --- mutations ----------------------------------------------------------------------
 
 _PROFILE_UPD = f"""upd AS (
-  SELECT 'P' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS patient_id, 1 AS seq,
-         '+213555' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS phone FROM customer WHERE c_custkey % 5 = 0
+  SELECT 'P' || {padded('c_custkey')} AS patient_id, 1 AS seq,
+         '+000555' || {padded('c_custkey')} AS phone FROM customer WHERE c_custkey % 5 = 0
   UNION ALL
-  SELECT 'P' || lpad(CAST(c_custkey AS VARCHAR), 6, '0'), 2,
-         '+213666' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') FROM customer WHERE c_custkey % 15 = 0
-  UNION ALL SELECT '{X.UNMATCHED_PATIENT_ID}', 1, '+213000000000'),
+  SELECT 'P' || {padded('c_custkey')}, 2,
+         '+000666' || {padded('c_custkey')} FROM customer WHERE c_custkey % 15 = 0
+  UNION ALL SELECT '{X.UNMATCHED_PATIENT_ID}', 1, '+000000000000'),
 notes_upd AS (
-  SELECT patient_id, seq, 'Dr. ' || substr(patient_id, 2, 6) AS doctor,
+  SELECT patient_id, seq, 'Dr. ' || substr(patient_id, 2) AS doctor,
          'note ' || CAST(seq AS VARCHAR) || ' for ' || patient_id AS note,
          TIMESTAMP '{X.UPDATE_AT}' + seq * INTERVAL 1 MINUTE AS at
   FROM upd)"""

@@ -30,7 +30,7 @@ GENERATED_AT = "2024-01-31 06:00:00"
 @register("sink_readings_csv", with_readings(f"SELECT {_ALL} FROM readings"))
 def q_sink_readings_csv(spark, sf_dir):
     path = work_path(spark, "csv")
-    K.write_readings_csv(X.load_readings(spark, sf_dir, spread=True), path)
+    K.write_readings_csv(X.load_readings(spark, sf_dir), path)
     return R.read_readings_csv(spark, path)
 
 
@@ -38,7 +38,7 @@ def q_sink_readings_csv(spark, sf_dir):
 def q_src_readings_csv(spark, sf_dir):
     """A CSV whose columns come in reverse order still reads by name."""
     path = work_path(spark, "csv")
-    K.write_readings_csv(X.load_readings(spark, sf_dir, spread=True), path, columns=list(reversed(S.READING_COLUMNS)))
+    K.write_readings_csv(X.load_readings(spark, sf_dir), path, columns=list(reversed(S.READING_COLUMNS)))
     return R.read_readings_csv(spark, path)
 
 
@@ -47,7 +47,7 @@ def q_src_readings_csv(spark, sf_dir):
     "FROM readings"))
 def q_src_readings_pipe_text(spark, sf_dir):
     path = work_path(spark, "pipe")
-    K.write_pipe_text(X.load_readings(spark, sf_dir, spread=True), path)
+    K.write_pipe_text(X.load_readings(spark, sf_dir), path)
     return R.read_pipe_text(spark, path)
 
 
@@ -56,7 +56,7 @@ def q_src_readings_pipe_text(spark, sf_dir):
     "FROM readings WHERE metric_type = 'click' AND reading_timestamp >= TIMESTAMP '2024-01-10'"))
 def q_src_readings_table(spark, sf_dir):
     path = work_path(spark, "table")
-    K.write_readings_table(X.load_readings(spark, sf_dir, spread=True), path)
+    K.write_readings_table(X.load_readings(spark, sf_dir), path)
     where = (F.col("metric_type") == "click") & (F.col("reading_date") >= F.lit("2024-01-10").cast("date"))
     return R.read_readings_table(spark, path, ["patient_id", "reading_timestamp", "value", "is_abnormal",
                                               "reading_date"], where)
@@ -86,7 +86,7 @@ FROM readings_id ORDER BY event_id LIMIT 100"""
 
 @register("bounded_ingest", with_readings(_MSG_ORDER))
 def q_bounded_ingest(spark, sf_dir):
-    msgs = X.reading_messages(X.load_readings(spark, sf_dir, keep_event_id=True), bad_every=None)
+    msgs = X.reading_messages(X.load_readings(spark, sf_dir, keep_event_id=True), broken_every=None)
     first = R.bounded_ingest(msgs, 100, "offset")
     return parse_json_readings(first, keep=("offset",)).drop("message_timestamp")
 

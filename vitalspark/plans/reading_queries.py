@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.columns import normalize_reading_time
 from ..operators import recent, transforms
-from ..sources.fixtures import (iso_time_readings, load_readings, load_table, metric_dim,
+from ..sources.fixtures import (BROKEN_EVERY, BROKEN_OFFSET, iso_time_readings, load_readings, load_table, metric_dim,
                                 patients_flat, reading_messages)
 from .registry import register
 from .sql_fixtures import with_patients, with_readings
@@ -85,9 +87,10 @@ def q_last_n_all_patients(spark, sf_dir):
 # --- messages and reading times -------------------------------------------------------
 
 _MSG = f"""msgs AS (
-  SELECT event_id AS "offset", reading_timestamp AS message_timestamp,
-         CASE WHEN event_id % 97 = 0 THEN NULL ELSE 1 END AS ok, * EXCLUDE (event_id)
-  FROM readings_id)"""
+  SELECT event_id AS "offset", reading_timestamp AS message_timestamp, 1 AS ok, * EXCLUDE (event_id) FROM readings_id
+  UNION ALL
+  SELECT event_id + {BROKEN_OFFSET}, reading_timestamp, NULL, * EXCLUDE (event_id) FROM readings_id
+  WHERE event_id % {BROKEN_EVERY} = 0)"""
 
 
 @register("parse_json_readings", with_readings(f"""
@@ -100,7 +103,7 @@ SELECT CASE WHEN ok = 1 THEN patient_id END AS patient_id,
        CASE WHEN ok = 1 THEN threshold_max END AS threshold_max, message_timestamp
 FROM msgs""", _MSG))
 def q_parse_json_readings(spark, sf_dir):
-    msgs = reading_messages(load_readings(spark, sf_dir, keep_event_id=True, spread=True))
+    msgs = reading_messages(load_readings(spark, sf_dir, keep_event_id=True))
     return transforms.parse_json_readings(msgs)
 
 
@@ -110,29 +113,36 @@ SELECT "offset", CASE WHEN ok = 1 THEN 'good' ELSE 'dead_letter' END AS status,
        CASE WHEN ok = 1 THEN NULL ELSE '{bad' END AS raw
 FROM msgs""", _MSG))
 def q_malformed_split(spark, sf_dir):
-    msgs = reading_messages(load_readings(spark, sf_dir, keep_event_id=True, spread=True))
+    msgs = reading_messages(load_readings(spark, sf_dir, keep_event_id=True))
     bad = F.col("malformed")
     return transforms.tag_malformed(msgs).select(
         "offset", F.when(bad, "dead_letter").otherwise("good").alias("status"),
         F.when(~bad, F.col("data.patient_id")).alias("patient_id"), F.when(bad, F.col("raw")).alias("raw"))
 
 
-@register("add_processed_at")
+@register("add_processed_at", with_readings(f"""
+SELECT {_ALL}, true AS stamped, true AS within_query, CAST(1 AS BIGINT) AS stamps FROM readings"""))
 def q_add_processed_at(spark, sf_dir):
-    return transforms.add_processed_at(load_readings(spark, sf_dir))
+    """P3, with what holds for any clock: a stamp on each row, one for the whole query, taken while it runs."""
+    built = dt.datetime.now(dt.timezone.utc)
+    r = transforms.add_processed_at(load_readings(spark, sf_dir))
+    stamps = r.agg(F.count_distinct("processed_at")).scalar()
+    lived = (F.col("processed_at") >= F.lit(built)) & (F.col("processed_at") <= F.current_timestamp())
+    return r.select(*S.READING_COLUMNS, F.col("processed_at").isNotNull().alias("stamped"), lived.alias("within_query"),
+                    stamps.alias("stamps"))
 
 
 @register("parse_reading_time", with_readings("""
 SELECT patient_id, metric_type, reading_timestamp FROM readings"""))
 def q_parse_reading_time(spark, sf_dir):
-    iso = iso_time_readings(load_readings(spark, sf_dir, keep_event_id=True, spread=True))
+    iso = iso_time_readings(load_readings(spark, sf_dir, keep_event_id=True))
     return transforms.parse_reading_time_col(iso).select("patient_id", "metric_type", "reading_timestamp")
 
 
 @register("normalize_reading_time", with_readings("""
 SELECT "event_id", strftime(reading_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS normalized FROM readings_id"""))
 def q_normalize_reading_time(spark, sf_dir):
-    iso = iso_time_readings(load_readings(spark, sf_dir, keep_event_id=True, spread=True))
+    iso = iso_time_readings(load_readings(spark, sf_dir, keep_event_id=True))
     return iso.select("event_id", normalize_reading_time("reading_timestamp").alias("normalized"))
 
 

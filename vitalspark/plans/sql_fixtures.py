@@ -9,6 +9,11 @@ from __future__ import annotations
 from .. import schemas as S
 
 
+def padded(number: str, width: int = 6) -> str:
+    """The number as text of at least ``width`` digits; a longer one stays whole."""
+    return f"lpad(CAST({number} AS VARCHAR), CAST(greatest({width}, length(CAST({number} AS VARCHAR))) AS INTEGER), '0')"
+
+
 def _metric_values() -> str:
     rows = ", ".join(
         f"('{m}', CAST({lo} AS DOUBLE), CAST({hi} AS DOUBLE), '{unit}')" for (m, lo, hi, unit) in S.TESTDATA_METRICS)
@@ -17,7 +22,7 @@ def _metric_values() -> str:
 
 READINGS_ID = f"""{_metric_values()},
 readings_id AS (
-  SELECT 'P' || lpad(CAST(e.user_id AS VARCHAR), 6, '0') AS patient_id,
+  SELECT 'P' || {padded('e.user_id')} AS patient_id,
          e.ts AS reading_timestamp, e.event_type AS metric_type, e.value, m.unit,
          'DEV_' || json_extract_string(e.props, '$.k') AS device_id,
          (e.value < m.threshold_min OR e.value > m.threshold_max) AS is_abnormal,
@@ -30,12 +35,12 @@ readings AS (
 _BLOOD = "[" + ", ".join(f"'{b}'" for b in S.BLOOD_TYPES) + "]"
 
 PATIENTS_FLAT = f"""patients_flat AS (
-  SELECT 'P' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS patient_id, c_name AS name,
+  SELECT 'P' || {padded('c_custkey')} AS patient_id, c_name AS name,
          DATE '1940-01-01' + CAST((c_custkey * 97) % 25000 AS INTEGER) AS date_of_birth,
          CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE 'Other' END AS gender,
          c_mktsegment AS condition,
-         '+213' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS phone,
-         'patient' || CAST(c_custkey AS VARCHAR) || '@example.dz' AS email,
+         '+000' || {padded('c_custkey', 9)} AS phone,
+         'patient' || CAST(c_custkey AS VARCHAR) || '@example.org' AS email,
          ({_BLOOD})[c_nationkey % 8 + 1] AS blood_type,
          CAST((c_custkey * 37 + 11) % 101 AS INTEGER) AS risk_score,
          CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE CAST((c_custkey * 31) % 101 AS INTEGER) END AS prev_score,

@@ -87,6 +87,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster, intermediate tables and stream checkpoints "
+                           "need a folder that all machines share")
     # Unset: only happens outside a cluster (tests, a laptop).
     local = tempfile.mkdtemp(prefix="vitalspark-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
@@ -110,8 +114,9 @@ def materialize(df, label: str):
 
 
 # A join side is broadcast only when both its row count and its measured size
-# are within bounds (the size is the sum of the rows' JSON lengths: an upper
-# bound of the uncompressed data, not the Parquet bytes on disk).
+# are within bounds (the size is the sum of the rows' JSON lengths, close to the
+# uncompressed data, and not the Parquet bytes on disk; the bound leaves room for
+# the overhead of rows in memory).
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 

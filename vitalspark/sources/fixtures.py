@@ -27,7 +27,9 @@ def vital_signs_dim(spark: SparkSession) -> DataFrame:
 
 
 def pad_id(prefix: str, col: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(col.cast("string"), width, "0"))
+    """``prefix`` and the number padded to ``width`` digits; a longer number stays whole."""
+    digits = col.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 
 
 def readings_from_events(events: DataFrame, dim: DataFrame, keep_event_id: bool = False) -> DataFrame:
@@ -55,8 +57,8 @@ def readings_from_events(events: DataFrame, dim: DataFrame, keep_event_id: bool
     return e.join(m, F.col("m.metric_type") == F.col("e.event_type")).select(*cols)
 
 
-def load_readings(spark: SparkSession, sf_dir: str, keep_event_id: bool = False, spread: bool = False) -> DataFrame:
-    return readings_from_events(load_table(spark, sf_dir, "events", spread), metric_dim(spark), keep_event_id)
+def load_readings(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
+    return readings_from_events(load_table(spark, sf_dir, "events"), metric_dim(spark), keep_event_id)
 
 
 # --- patients -------------------------------------------------------------------
@@ -74,8 +76,8 @@ def patients_flat(customer: DataFrame) -> DataFrame:
         F.expr("date_add(DATE'1940-01-01', CAST((c_custkey * 97) % 25000 AS INT))").alias("date_of_birth"),
         F.when(k % 3 == 0, "M").when(k % 3 == 1, "F").otherwise("Other").alias("gender"),
         F.col("c_mktsegment").alias("condition"),
-        pad_id("+213", k, 9).alias("phone"),
-        F.concat(F.lit("patient"), k.cast("string"), F.lit("@example.dz")).alias("email"),
+        pad_id("+000", k, 9).alias("phone"),
+        F.concat(F.lit("patient"), k.cast("string"), F.lit("@example.org")).alias("email"),
         F.element_at(F.array(*[F.lit(b) for b in S.BLOOD_TYPES]),
                      (F.col("c_nationkey") % 8 + 1).cast("int")).alias("blood_type"),
         ((k * 37 + 11) % 101).cast("int").alias("risk_score"),
@@ -143,10 +145,10 @@ def profile_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load_table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     first = c.filter(k % 5 == 0).select(pad_id("P", k, 6).alias("patient_id"), F.lit(1).cast("long").alias("seq"),
-                                        pad_id("+213555", k, 6).alias("phone"))
+                                        pad_id("+000555", k, 6).alias("phone"))
     second = c.filter(k % 15 == 0).select(pad_id("P", k, 6).alias("patient_id"), F.lit(2).cast("long").alias("seq"),
-                                          pad_id("+213666", k, 6).alias("phone"))
-    stray = values_table(spark, [(UNMATCHED_PATIENT_ID, 1, "+213000000000")], ["patient_id", "seq", "phone"])
+                                          pad_id("+000666", k, 6).alias("phone"))
+    stray = values_table(spark, [(UNMATCHED_PATIENT_ID, 1, "+000000000000")], ["patient_id", "seq", "phone"])
     return first.unionByName(second).unionByName(stray.withColumn("seq", F.col("seq").cast("long")))
 
 
@@ -155,7 +157,7 @@ def note_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = profile_updates(spark, sf_dir)
     return p.select(
         "patient_id", "seq",
-        F.concat(F.lit("Dr. "), F.substring("patient_id", 2, 6)).alias("doctor"),
+        F.concat(F.lit("Dr. "), F.expr("substring(patient_id, 2)")).alias("doctor"),
         F.concat(F.lit("note "), F.col("seq").cast("string"), F.lit(" for "), F.col("patient_id")).alias("note"),
         (F.lit(UPDATE_AT).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("seq").cast("int"))).alias("at"),
     )
@@ -187,20 +189,29 @@ def reading_upserts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return base, one.unionByName(two)
 
 
-def reading_messages(readings_with_id: DataFrame, bad_every: int | None = 97) -> DataFrame:
-    """Readings as messages: value = JSON bytes (timestamp as ISO text),
-    timestamp = message time, offset = event_id.  Every ``bad_every``-th
-    event carries a malformed body."""
+# fixed values: broken messages come besides the readings, with offsets of their own
+BROKEN_EVERY = 97
+BROKEN_OFFSET = 5 * 10 ** 13
+PARTITIONS = 10
+
+
+def reading_messages(readings_with_id: DataFrame, broken_every: int | None = BROKEN_EVERY) -> DataFrame:
+    """Every reading as a message: value = JSON bytes (timestamp as ISO text),
+    timestamp = message time, partition and offset (= event_id).  Beside every
+    ``broken_every``-th reading's message stands one more with a body that is
+    no JSON, at an offset of its own."""
     body = F.to_json(F.struct(*[
         F.date_format("reading_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(c) if c == "reading_timestamp"
         else F.col(c) for c in S.READING_COLUMNS]))
-    if bad_every:
-        body = F.when(F.col("event_id") % bad_every == 0, F.lit("{bad")).otherwise(body)
-    return readings_with_id.select(
-        body.cast("binary").alias("value"),
-        F.col("reading_timestamp").cast("timestamp").alias("timestamp"),
-        F.col("event_id").alias("offset"),
-    )
+    whole = F.struct(body.cast("binary").alias("value"), F.col("event_id").alias("offset"))
+    bodies = F.array(whole)
+    if broken_every:
+        broken = F.struct(F.lit("{bad").cast("binary").alias("value"), (F.col("event_id") + BROKEN_OFFSET).alias("offset"))
+        bodies = F.when(F.col("event_id") % broken_every == 0, F.array(whole, broken)).otherwise(bodies)
+    return (readings_with_id
+            .select(F.explode(bodies).alias("m"), F.col("reading_timestamp").cast("timestamp").alias("timestamp"),
+                    (F.col("event_id") % PARTITIONS).cast("int").alias("partition"))
+            .select("m.value", "timestamp", "partition", "m.offset"))
 
 
 def iso_time_readings(readings_with_id: DataFrame) -> DataFrame:

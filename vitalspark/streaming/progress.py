@@ -1,61 +1,43 @@
 """T5 (second half): per-micro-batch progress and error counts.
 
-``observe_ingest`` attaches named metrics to a message stream — messages,
-malformed bodies, abnormal readings — computed by the executors alongside the
-batch itself (no extra pass); Spark reports them per batch in the query
-progress (``observedMetrics``).  ``ProgressLog`` is a listener that keeps them
-as they arrive (one small row per batch).
+``start_counted`` runs a message stream in ``foreachBatch``: every batch's
+parsed messages are written to its own folder, and one row of counts beside
+them, to a folder of its own as well; a batch that is run again replaces both.
+The counts of the whole stream are a sum over that table, however many batches
+there were (the query's own progress keeps only the last hundred).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.transforms import tag_malformed
 
-METRICS = "ingest_progress"
-
-
-def observe_ingest(messages: DataFrame, name: str = METRICS) -> DataFrame:
-    """The parsed message stream with per-batch metrics named ``name``."""
-    tagged = tag_malformed(messages.select("value", "timestamp", "offset"))
-    return tagged.observe(name,
-                          F.count(F.lit(1)).alias("messages"),
-                          F.count_if("malformed").alias("malformed"),
-                          F.count_if(~F.col("malformed") & (F.col("data.is_abnormal") == F.lit(True)))
-                          .alias("abnormal"))
-
-
-def batch_metrics(query: StreamingQuery, name: str = METRICS) -> list[dict]:
-    """Observed metrics of the batches the query still holds in its progress."""
-    out = []
-    for p in query.recentProgress:
-        m = (p.get("observedMetrics") or {}).get(name)
-        if m:
-            out.append({"batch_id": p["batchId"], **{k: m[k] for k in ("messages", "malformed", "abnormal")}})
-    return out
-
+COUNTS = "messages long, malformed long, abnormal long"
 
-class ProgressLog(StreamingQueryListener):
-    """Listener keeping each batch's observed metrics (for a long-running job,
-    forward them to a metrics system instead of keeping them)."""
 
-    def __init__(self, name: str = METRICS):
-        self.name, self.rows = name, []
+def counted_writer(path: str):
+    """foreachBatch function: ``path/messages/batch_id=<n>`` and ``path/progress/batch_id=<n>``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        here = os.path.join(path, "messages", f"batch_id={batch_id}")
+        tag_malformed(batch).write.mode("overwrite").parquet(here)
+        written = batch.sparkSession.read.parquet(here)
+        abnormal = ~F.col("malformed") & (F.col("data.is_abnormal") == F.lit(True))
+        (written.agg(F.count(F.lit(1)).alias("messages"), F.count_if("malformed").alias("malformed"),
+                     F.count_if(abnormal).alias("abnormal"))
+         .write.mode("overwrite").parquet(os.path.join(path, "progress", f"batch_id={batch_id}")))
+    return write
 
-    def onQueryStarted(self, event):
-        pass
 
-    def onQueryProgress(self, event):
-        row = event.progress.observedMetrics.get(self.name)
-        if row is not None:
-            self.rows.append({"query_id": str(event.progress.id), "batch_id": event.progress.batchId,
-                              **row.asDict()})
+def start_counted(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    return (messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(counted_writer(path))
+            .trigger(**(trigger or {"availableNow": True})).start())
 
-    def onQueryIdle(self, event):
-        pass
 
-    def onQueryTerminated(self, event):
-        pass
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """One row of counts a batch, with its ``batch_id``."""
+    return spark.read.schema(COUNTS + ", batch_id long").parquet(os.path.join(path, "progress"))
