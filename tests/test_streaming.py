@@ -4,20 +4,21 @@ import contextlib
 import io
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from vitalspark.plans import stream_queries as Q
 from vitalspark.session import work_path
-from vitalspark.sources.fixtures import load_readings
+from vitalspark.sources.fixtures import BROKEN_OFFSET, load_readings
 from vitalspark.streaming import operators as T
 from vitalspark.streaming import sinks as K
+from vitalspark.streaming.progress import read_progress, start_counted
 from vitalspark.streaming.sources import message_stream, readings_from_messages, with_watermark
 
 
 def _batch(spark):
-    # the same readings the stream sees: malformed messages (event_id % 97 = 0) never arrive
-    r = load_readings(spark, SF_SMALL, keep_event_id=True).filter(F.col("event_id") % 97 != 0).drop("event_id")
+    r = load_readings(spark, SF_SMALL)
     return with_watermark(r, Q.WATERMARK)
 
 
@@ -59,13 +60,10 @@ def test_ingest_replay_is_harmless(spark):
     write = K.ingest_writer(table)
     batch = spark.read.parquet(src)
     write(batch, 0)
-    first = K.read_ingested(spark, table)
-    n = first.count()
+    n = K.read_ingested(spark, table).count()
     write(batch, 0)  # the same micro-batch again after a failure
-    assert K.read_ingested(spark, table).count() == n
-    assert os.path.isdir(os.path.join(table, "dead_letters", "batch_id=0"))
-    assert spark.read.parquet(os.path.join(table, "dead_letters")).count() == batch.filter(
-        F.col("offset") % 97 == 0).count()
+    assert K.read_ingested(spark, table).count() == n == load_readings(spark, SF_SMALL).count()
+    assert K.read_dead_letters(spark, table).count() == batch.filter(F.col("offset") >= BROKEN_OFFSET).count() > 0
 
 
 def test_run_all_stops_every_query(spark):
@@ -81,48 +79,125 @@ def test_run_all_stops_every_query(spark):
     assert not any(q.isActive for q in qs.values())
 
 
+def _rows(spark, table):
+    return sorted(map(tuple, K.read_ingested(spark, table).collect()))
+
+
+def _later(msgs, seq):
+    return (msgs.withColumn("timestamp", F.col("timestamp") + F.make_dt_interval(hours=F.lit(seq)))
+            .withColumn("value", F.encode(F.regexp_replace(F.decode("value", "UTF-8"), '"unit":"[^"]*"', f'"unit":"u{seq}"'), "UTF-8")))
+
+
 def test_compaction_keeps_the_table(spark):
     src = Q.write_messages(spark, SF_SMALL)
     table = work_path(spark, "table")
     write = K.ingest_writer(table)
     msgs = spark.read.parquet(src)
     write(msgs, 0)
-    fix = msgs.filter(F.col("offset") % 10 == 0).withColumn("offset", F.col("offset") + 10 ** 12)
-    write(fix, 1)
-    before = sorted(map(tuple, K.read_ingested(spark, table).collect()))
+    fix = msgs.filter(F.col("offset") % 10 == 0)
+    write(_later(fix, 1), 1)
+    before = _rows(spark, table)
     assert K.compact_ingested(spark, table) == 1
-    assert sorted(map(tuple, K.read_ingested(spark, table).collect())) == before
-    write(fix.withColumn("offset", F.col("offset") + 1), 2)
-    assert K.read_ingested(spark, table).count() == len(before)
-    # after a compaction the merge reads the clustered version without shuffling it
+    assert _rows(spark, table) == before
+    assert K.compact_ingested(spark, table) == 1  # again, without a new batch
+    assert _rows(spark, table) == before
+    write(fix, 2)  # older messages that arrive late don't win
+    assert _rows(spark, table) == before
+    assert K.compact_ingested(spark, table) == 2
+    assert _rows(spark, table) == before
+
+
+def test_untouched_dates_are_not_shuffled(spark):
+    table = work_path(spark, "table")
+    write = K.ingest_writer(table)
+    msgs = spark.read.parquet(Q.write_messages(spark, SF_SMALL))
+    write(msgs, 0)
+    K.compact_ingested(spark, table)
+    day = F.to_date("timestamp") == F.lit("2024-01-10").cast("date")
+    write(_later(msgs.filter(day), 1), 1)
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         K.read_ingested(spark, table).explain("formatted")
-    assert "hashpartitioning" not in buf.getvalue() and "rangepartitioning" not in buf.getvalue()
-    assert K.compact_ingested(spark, table) == 2
-    assert sorted(map(tuple, K.read_ingested(spark, table).collect())) == before
+    scans = [x for x in buf.getvalue().splitlines() if x.startswith("PartitionFilters")]
+    assert len([x for x in scans if "reading_date" in x]) == 2
+    K.compact_ingested(spark, table)
+    folders = {f.split("/")[-1] for f in K._state(spark, table)[1].values()}
+    assert len(folders) == 2  # only the touched day was written anew
 
 
-def test_progress_listener_sees_observed_metrics(spark):
-    import time
-    from vitalspark.streaming.progress import ProgressLog, batch_metrics, observe_ingest
-    src = Q.write_messages(spark, SF_SMALL)
-    log = ProgressLog()
-    spark.streams.addListener(log)
+def test_a_batch_that_lands_during_a_compaction_stays(spark, monkeypatch):
+    table = work_path(spark, "table")
+    write = K.ingest_writer(table)
+    msgs = spark.read.parquet(Q.write_messages(spark, SF_SMALL, None))
+    half = F.col("offset") % 2 == 0
+    write(msgs.filter(half), 0)
+    merged = K._merged
+
+    def landing(*args):
+        out = merged(*args)
+        monkeypatch.setattr(K, "_merged", merged)
+        write(msgs.filter(~half), 1)
+        return out
+
+    monkeypatch.setattr(K, "_merged", landing)
+    assert K.compact_ingested(spark, table) == 0
+    assert K.read_ingested(spark, table).count() == msgs.count()
+    assert K.compact_ingested(spark, table) == 1
+    assert K.read_ingested(spark, table).count() == msgs.count()
+
+
+def test_half_written_batches_and_versions_are_not_read(spark):
+    table = work_path(spark, "table")
+    write = K.ingest_writer(table)
+    msgs = spark.read.parquet(Q.write_messages(spark, SF_SMALL, None))
+    write(msgs.filter("offset % 2 = 0"), 0)
+    n = K.read_ingested(spark, table).count()
+    # data of a batch and of a version whose log entry was never written
+    r = K.read_ingested(spark, table).withColumn("reading_date", F.to_date("reading_timestamp"))
+    r.write.parquet(os.path.join(table, "readings", "left-behind"))
+    r.write.partitionBy("reading_date").parquet(os.path.join(table, "compacted", "left-behind"))
+    assert K.read_ingested(spark, table).count() == n
+
+
+def test_another_checkpoint_is_refused(spark):
+    src, table, out = Q.write_messages(spark, SF_SMALL), work_path(spark, "table"), work_path(spark, "out")
+    ckpt = work_path(spark, "c")
+    K.stream_to_table(message_stream(spark, src), table, ckpt).awaitTermination()
+    n = K.read_ingested(spark, table).count()
+    K.stream_to_table(message_stream(spark, src), table, ckpt).awaitTermination()  # its own goes on
+    with pytest.raises(Exception, match="another checkpoint"):
+        K.stream_to_table(message_stream(spark, src), table, work_path(spark, "c")).awaitTermination()
+    assert K.read_ingested(spark, table).count() == n
+    totals = T.stream_running_totals(readings_from_messages(message_stream(spark, src)))
+    K.start_update(totals, out, work_path(spark, "c"), output_mode="complete").awaitTermination()
+    with pytest.raises(Exception, match="another checkpoint"):
+        K.start_update(totals, out, work_path(spark, "c"), output_mode="complete").awaitTermination()
+
+
+def test_last_write_is_by_message_time_not_offset(spark):
+    table = work_path(spark, "table")
+    body = '{"patient_id": "P1", "reading_timestamp": "2024-01-01T00:00:00", "metric_type": "m", "value": %s}'
+    rows = [(body % 1, "2024-01-01 10:00:00", 0, 900), (body % 2, "2024-01-01 11:00:00", 1, 5), (body % 3, "2024-01-01 10:30:00", 2, 7),
+            ("{}", "2024-01-01 10:30:00", 2, 8), (None, "2024-01-01 10:30:00", 2, 9)]
+    df = spark.createDataFrame(rows, "value string, timestamp string, partition int, offset long").selectExpr(
+        "cast(value AS binary) AS value", "cast(timestamp AS timestamp) AS timestamp", "partition", "offset")
+    K.ingest_writer(table)(df, 0)
+    got = K.read_ingested(spark, table).collect()
+    assert [r.value for r in got] == [2.0] and got[0].patient_key != "P1"
+    assert sorted(r.reason for r in K.read_dead_letters(spark, table).collect()) == ["missing:patient_id", "not_json"]
+
+
+def test_progress_counts_every_batch(spark):
+    src, out = Q.write_messages(spark, SF_SMALL), work_path(spark, "o")
+    spark.read.parquet(src).repartition(7).write.parquet(src + "-7")
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
     try:
-        q = K.start_append(observe_ingest(message_stream(spark, src)).select("offset"), work_path(spark, "o"),
-                           work_path(spark, "c"))
-        q.awaitTermination()
-        want = sum(m["messages"] for m in batch_metrics(q))
-        for _ in range(50):  # listener events arrive asynchronously
-            if sum(r["messages"] for r in log.rows) == want:
-                break
-            time.sleep(0.2)
+        start_counted(message_stream(spark, src + "-7", max_files_per_trigger=1), out, work_path(spark, "c")).awaitTermination()
     finally:
-        spark.streams.removeListener(log)
-    assert want == spark.read.parquet(src).count()
-    assert sum(r["messages"] for r in log.rows) == want
-    assert sum(r["malformed"] for r in log.rows) == spark.read.parquet(src).filter("offset % 97 = 0").count()
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    p = read_progress(spark, out).collect()
+    assert len(p) == 7 and sum(r.messages for r in p) == spark.read.parquet(src).count()
 
 
 def test_parse_once_fan_out_equals_direct_consumers(spark):

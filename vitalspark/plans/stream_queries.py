@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..session import work_path
-from ..sources.fixtures import load_readings, reading_messages
+from ..sources.fixtures import BROKEN_EVERY, load_readings, reading_messages
 from ..streaming import operators as T
 from ..streaming import sinks as K
+from ..streaming.progress import read_progress, start_counted
 from ..streaming.sources import (MESSAGE_FILE_SCHEMA, message_stream, raw_readings, readings_from_messages,
                                  with_watermark)
 from .registry import register
@@ -32,10 +33,10 @@ WATERMARK = "2 minutes"
 SENTINEL_TIME = "2999-01-01T00:00:00.000000"
 
 
-def write_messages(spark: SparkSession, sf_dir: str, bad_every: int | None = 97) -> str:
-    """Reading messages (value, timestamp, offset) of every event, as files."""
+def write_messages(spark: SparkSession, sf_dir: str, broken_every: int | None = BROKEN_EVERY) -> str:
+    """Reading messages (value, timestamp, partition, offset) of every event, and broken ones among them, as files."""
     path = work_path(spark, "messages")
-    reading_messages(load_readings(spark, sf_dir, keep_event_id=True, spread=True), bad_every).write.parquet(path)
+    reading_messages(load_readings(spark, sf_dir, keep_event_id=True), broken_every).write.parquet(path)
     return path
 
 
@@ -46,7 +47,7 @@ def add_sentinel(spark: SparkSession, path: str) -> None:
     body = {"patient_id": "P_SENTINEL", "reading_timestamp": SENTINEL_TIME, "metric_type": "click",
             "value": 50.0, "unit": "bpm", "device_id": "DEV_SENTINEL", "is_abnormal": True,
             "threshold_min": 3.0, "threshold_max": 120.0}
-    row = (bytearray(json.dumps(body).encode()), dt.datetime(2999, 1, 1), -1)
+    row = (bytearray(json.dumps(body).encode()), dt.datetime(2999, 1, 1), 0, -1)
     spark.createDataFrame([row], MESSAGE_FILE_SCHEMA).write.mode("append").parquet(path)
 
 
@@ -63,7 +64,7 @@ def _run_closed(spark, src, start):
     start(_readings_stream(spark, src), work_path(spark, "ckpt")).awaitTermination()
 
 
-_GOOD = "readings_id WHERE event_id % 97 <> 0"
+_GOOD = "readings_id WHERE true"
 _ALL = ", ".join(S.READING_COLUMNS)
 _DAY = ("date_trunc('day', reading_timestamp) AS window_start, "
         "date_trunc('day', reading_timestamp) + INTERVAL 1 DAY AS window_end")
@@ -72,22 +73,18 @@ _DAY = ("date_trunc('day', reading_timestamp) AS window_start, "
 @register("src_kafka_readings", with_readings(f"SELECT {_ALL} FROM {_GOOD}"))
 def q_src_kafka_readings(spark, sf_dir):
     src, out = write_messages(spark, sf_dir), work_path(spark, "out")
-    q = K.start_append(readings_from_messages(message_stream(spark, src)).drop("message_timestamp", "offset"),
+    q = K.start_append(readings_from_messages(message_stream(spark, src)).drop("message_timestamp", "partition", "offset"),
                        out, work_path(spark, "ckpt"))
     q.awaitTermination()
     return spark.read.parquet(out)
 
 
 @register("sink_stream_append", with_readings(f"""
-SELECT CASE WHEN event_id % 97 <> 0 THEN patient_id END AS patient_id,
-       CASE WHEN event_id % 97 <> 0 THEN strftime(reading_timestamp, '%Y-%m-%dT%H:%M:%S.%f') END AS reading_timestamp,
-       CASE WHEN event_id % 97 <> 0 THEN metric_type END AS metric_type,
-       CASE WHEN event_id % 97 <> 0 THEN value END AS value, CASE WHEN event_id % 97 <> 0 THEN unit END AS unit,
-       CASE WHEN event_id % 97 <> 0 THEN device_id END AS device_id,
-       CASE WHEN event_id % 97 <> 0 THEN is_abnormal END AS is_abnormal,
-       CASE WHEN event_id % 97 <> 0 THEN threshold_min END AS threshold_min,
-       CASE WHEN event_id % 97 <> 0 THEN threshold_max END AS threshold_max,
-       reading_timestamp AS message_timestamp FROM readings_id"""))
+SELECT patient_id, strftime(reading_timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS reading_timestamp, metric_type, value, unit,
+       device_id, is_abnormal, threshold_min, threshold_max, reading_timestamp AS message_timestamp FROM readings_id
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, reading_timestamp FROM readings_id
+WHERE event_id % {BROKEN_EVERY} = 0"""))
 def q_sink_stream_append(spark, sf_dir):
     """K1: the raw parsed feed (malformed bodies as NULL rows) appended once each."""
     src, out = write_messages(spark, sf_dir), work_path(spark, "out")
@@ -216,27 +213,65 @@ def q_route_abnormal(spark, sf_dir):
             .unionByName(spark.read.parquet(abn_p).select(F.lit("abnormal").alias("sink"), *cols)))
 
 
-@register("stream_to_table", with_readings(f"""
-SELECT patient_id, reading_timestamp, metric_type,
+_CORRECTED = f"""SELECT patient_id, reading_timestamp, metric_type,
        value + CASE WHEN event_id % 20 = 0 THEN 2 WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS value,
-       unit, device_id, is_abnormal, threshold_min, threshold_max FROM {_GOOD}"""))
-def q_stream_to_table(spark, sf_dir):
+       unit, device_id, is_abnormal, threshold_min, threshold_max FROM {_GOOD}"""
+
+
+def _corrected_table(spark, sf_dir, compact_again: bool):
     """Base messages first (then compacted), then two rounds of corrections
-    (event_id % 10, value + 1; event_id % 20, value + 2) as later messages;
-    last write wins."""
+    (event_id % 10, value + 1; event_id % 20, value + 2) as later messages of
+    another partition with smaller offsets; last write wins."""
     src, table, ckpt = write_messages(spark, sf_dir), work_path(spark, "table"), work_path(spark, "ckpt")
     K.stream_to_table(message_stream(spark, src), table, ckpt).awaitTermination()
     K.compact_ingested(spark, table)  # the periodic compaction, after the initial load
     r = load_readings(spark, sf_dir, keep_event_id=True)
     for seq, every in ((1, 10), (2, 20)):
-        fix = (r.filter((F.col("event_id") % every == 0) & (F.col("event_id") % 97 != 0))
-               .withColumn("value", F.col("value") + seq)
-               .withColumn("event_id", F.col("event_id") + seq * 10 ** 12))
-        reading_messages(fix, None).write.mode("append").parquet(src)
+        fix = r.filter(F.col("event_id") % every == 0).withColumn("value", F.col("value") + seq)
+        later = (reading_messages(fix, None).withColumn("timestamp", F.col("timestamp") + F.make_dt_interval(hours=F.lit(seq)))
+                 .withColumn("partition", F.lit(10 + seq)).withColumn("offset", F.col("offset") - seq * 10 ** 12))
+        later.write.mode("append").parquet(src)
         K.stream_to_table(message_stream(spark, src), table, ckpt).awaitTermination()
+    if compact_again:
+        K.compact_ingested(spark, table)
+        K.compact_ingested(spark, table)
     return K.read_ingested(spark, table)
 
 
+@register("stream_to_table", with_readings(_CORRECTED))
+def q_stream_to_table(spark, sf_dir):
+    return _corrected_table(spark, sf_dir, compact_again=False).drop("patient_key")
+
+
+@register("compacted_table", with_readings(_CORRECTED))
+def q_compacted_table(spark, sf_dir):
+    """Load, compact, correct, compact twice, read."""
+    return _corrected_table(spark, sf_dir, compact_again=True).drop("patient_key")
+
+
+# bodies that parse but can't be stored, one of each beside every 97th reading: (body, reason)
+_UNUSABLE = [("{bad", "not_json"), ("{}", "missing:patient_id"),
+             ('{"patient_id": "P1", "reading_timestamp": "2024-01-01T00:00:00"}', "missing:metric_type"),
+             ('{"patient_id": "P1", "metric_type": "click"}', "missing:reading_timestamp"),
+             ('{"patient_id": "P1", "metric_type": "click", "reading_timestamp": "soon"}', "unreadable:reading_timestamp")]
+
+
+@register("dead_letter_reasons", with_readings(f"""
+SELECT reason, count(*) AS letters FROM readings_id CROSS JOIN (VALUES {", ".join(f"('{r}')" for _, r in _UNUSABLE)}) v(reason)
+WHERE event_id % {BROKEN_EVERY} = 0 GROUP BY reason
+UNION ALL SELECT 'stored', count(*) FROM readings_id"""))
+def q_dead_letter_reasons(spark, sf_dir):
+    """What the ingest counts as unusable and why, beside all readings that it stores."""
+    src, table = work_path(spark, "messages"), work_path(spark, "table")
+    messages = reading_messages(load_readings(spark, sf_dir, keep_event_id=True))
+    broken = F.col("value") == F.lit("{bad").cast("binary")
+    bodies = F.array(*[F.lit(b).cast("binary") for b, _ in _UNUSABLE])
+    messages.withColumn("value", F.explode(F.when(broken, bodies).otherwise(F.array("value")))).write.parquet(src)
+    K.stream_to_table(message_stream(spark, src), table, work_path(spark, "ckpt")).awaitTermination()
+    stored = K.read_ingested(spark, table).agg(F.lit("stored").alias("reason"), F.count(F.lit(1)).alias("letters"))
+    return K.read_dead_letters(spark, table).groupBy("reason").agg(F.count(F.lit(1)).alias("letters")).unionByName(stored)
+
+
 @register("multi_query_lifecycle", with_readings(f"""
 SELECT 'abnormal_feed' AS query, count(*) AS rows_out FROM {_GOOD} AND is_abnormal
 UNION ALL
@@ -266,20 +301,12 @@ def q_multi_query_lifecycle(spark, sf_dir):
                          .agg(F.count(F.lit(1)).alias("rows_out"))))
 
 
-
-@register("stream_batch_progress", with_readings("""
-SELECT count(*) AS messages, CAST(count_if(event_id % 97 = 0) AS BIGINT) AS malformed,
-       CAST(count_if(event_id % 97 <> 0 AND is_abnormal) AS BIGINT) AS abnormal FROM readings_id"""))
+@register("stream_batch_progress", with_readings(f"""
+SELECT count(*) + count_if(event_id % {BROKEN_EVERY} = 0) AS messages,
+       CAST(count_if(event_id % {BROKEN_EVERY} = 0) AS BIGINT) AS malformed,
+       CAST(count_if(is_abnormal) AS BIGINT) AS abnormal FROM readings_id"""))
 def q_stream_batch_progress(spark, sf_dir):
-    """T5 progress: the observed per-batch metrics of an ingest stream (three
-    micro-batches of message files), summed over the batches."""
-    from ..streaming.progress import batch_metrics, observe_ingest
-    src = write_messages(spark, sf_dir)
-    out = work_path(spark, "out")
-    q = K.start_append(observe_ingest(message_stream(spark, src, max_files_per_trigger=3))
-                       .select("offset", "malformed"), out, work_path(spark, "ckpt"))
-    q.awaitTermination()
-    per_batch = spark.createDataFrame(batch_metrics(q) or [(0, 0, 0, 0)],
-                                      "batch_id long, messages long, malformed long, abnormal long")
-    return per_batch.agg(F.sum("messages").alias("messages"), F.sum("malformed").alias("malformed"),
-                         F.sum("abnormal").alias("abnormal"))
+    """T5 progress: the counts that each micro-batch (three message files) wrote, summed over the batches."""
+    src, out = write_messages(spark, sf_dir), work_path(spark, "out")
+    start_counted(message_stream(spark, src, max_files_per_trigger=3), out, work_path(spark, "ckpt")).awaitTermination()
+    return read_progress(spark, out).agg(*[F.sum(c).alias(c) for c in ("messages", "malformed", "abnormal")])

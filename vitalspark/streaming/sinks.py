@@ -2,23 +2,29 @@
 
 Replays are harmless: every micro-batch writer overwrites its own
 ``batch_id=<n>`` folder, so a batch re-run after a failure replaces what it
-wrote before instead of adding to it.  Keyed results (update mode, upserts)
-are merged on read — the newest row per key by (batch, offset) — which keeps
-each micro-batch a plain append and lets a periodic batch job compact.
+wrote before instead of adding to it.  Batch numbers belong to one checkpoint:
+a folder that holds batches of another one is refused (``claim``), since a new
+checkpoint counts from 0 again and would replace earlier data.
+
+The reading table (T8) is micro-batch folders plus compacted versions.  Only
+what its log names counts: a batch or version is logged after it is written
+whole, so half-written folders are never read.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
-from ..operators.upsert import latest_per_key, reading_date, upsert
-from .sources import dead_letters, readings_from_messages
+from ..functions.columns import patient_key
+from ..operators.upsert import latest_per_key
+from .sources import MESSAGE_ORDER, dead_letters, readings_from_messages
 
 BATCH_COL = "batch_id"
 
@@ -41,9 +47,36 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: dict | None
     return _trigger(w, trigger).start()
 
 
+def read_log(spark: SparkSession, path: str, schema: str) -> list:
+    """The rows of a small log table, none where nothing has been logged."""
+    try:
+        return spark.read.schema(schema).parquet(path).collect()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
+def claim(batch: DataFrame, path: str) -> None:
+    """Let only one streaming checkpoint write batches below ``path``: its query's id is noted at the first batch."""
+    spark = batch.sparkSession
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if query is None:  # a batch handed in by hand
+        return
+    owner = os.path.join(path, "_owner")
+    held = read_log(spark, owner, "query string")
+    if not held:
+        spark.createDataFrame([(query,)], "query string").coalesce(1).write.parquet(owner)
+    elif held[0].query != query:
+        raise ValueError(f"{path} holds batches of another checkpoint; start from that checkpoint or name another folder")
+
+
 def batch_folder_writer(path: str, fmt: str = "parquet"):
     """foreachBatch function: write the micro-batch to ``path/batch_id=<n>``."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 0 or not getattr(write, "claimed", False):
+            claim(batch, path)
+            write.claimed = True
         batch.write.mode("overwrite").format(fmt).save(os.path.join(path, f"{BATCH_COL}={batch_id}"))
     return write
 
@@ -71,7 +104,7 @@ def read_keyed_latest(spark: SparkSession, path: str, keys, order=(BATCH_COL,))
 def read_last_batch(spark: SparkSession, path: str) -> DataFrame:
     """The rows of the newest micro-batch (complete-mode results)."""
     df = read_batches(spark, path)
-    newest = df.agg(F.max(BATCH_COL)).scalar()
+    newest = df.agg(F.max(BATCH_COL)).scalar()  # of a partition column: Spark reads the folder names alone
     return df.filter(F.col(BATCH_COL) == newest).drop(BATCH_COL)
 
 
@@ -98,6 +131,7 @@ def route_writer(all_path: str, abnormal_path: str, predicate=None):
     pred = predicate if predicate is not None else (F.col("is_abnormal") == F.lit(True))
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        claim(batch, all_path)
         batch.persist()
         try:
             batch.write.mode("overwrite").parquet(os.path.join(all_path, f"{BATCH_COL}={batch_id}"))
@@ -114,18 +148,31 @@ def start_route(readings: DataFrame, all_path: str, abnormal_path: str, checkpoi
     return _trigger(w, trigger).start()
 
 
+# --- T8: the reading table ------------------------------------------------------------------
+
+BATCH_LOG = "batch_id long, folder string"
+VERSION_LOG = "upto long, reading_date date, folder string"
+TABLE_COLUMNS = [*S.READING_COLUMNS, "patient_key", *MESSAGE_ORDER]
+
+
 def ingest_writer(table_path: str):
-    """T8 micro-batch: parse, split off dead letters, normalise time, keep the
-    newest message per reading key, write ``batch_id=<n>`` (idempotent)."""
+    """T8 micro-batch: parse, split off dead letters, normalise time, add the
+    store's patient key (P7), keep the newest message per reading key, write a
+    fresh folder, then log it under the batch's number (a batch that is run
+    again replaces its entry)."""
     def write(messages: DataFrame, batch_id: int) -> None:
+        claim(messages, table_path)
+        spark = messages.sparkSession
         messages.persist()
         try:
-            good = readings_from_messages(messages)
-            newest = latest_per_key(good, S.READING_KEY, ("offset",))
-            newest.select(*S.READING_COLUMNS, "offset").write.mode("overwrite").parquet(
-                os.path.join(table_path, "readings", f"{BATCH_COL}={batch_id}"))
+            good = readings_from_messages(messages).withColumn("patient_key", patient_key())
+            folder = os.path.join(table_path, "readings", uuid.uuid4().hex)
+            (latest_per_key(good, S.READING_KEY, MESSAGE_ORDER).select(*TABLE_COLUMNS)
+             .withColumn("reading_date", F.to_date("reading_timestamp")).write.parquet(folder))
             dead_letters(messages).write.mode("overwrite").parquet(
                 os.path.join(table_path, "dead_letters", f"{BATCH_COL}={batch_id}"))
+            (spark.createDataFrame([(batch_id, folder)], BATCH_LOG).coalesce(1).write.mode("overwrite")
+             .parquet(os.path.join(table_path, "log", f"entry={batch_id}")))
         finally:
             messages.unpersist()
     return write
@@ -138,58 +185,83 @@ def stream_to_table(messages: DataFrame, table_path: str, checkpoint: str,
     return _trigger(w, trigger).start()
 
 
-def _latest_compaction(spark: SparkSession, table_path: str):
-    try:
-        comp = spark.read.parquet(os.path.join(table_path, "compacted"))
-    except AnalysisException:  # no compaction yet
-        return None, None
-    upto = comp.agg(F.max("upto")).first()[0]
-    return comp.filter(F.col("upto") == upto).drop("upto", "reading_date"), upto
+def _state(spark: SparkSession, table_path: str):
+    """What the table consists of just now: the last batch folded, {date: folder} of the newest compacted version, and
+    {batch: folder} of the batches after it.  A few log rows, read once."""
+    versions = read_log(spark, os.path.join(table_path, "versions"), VERSION_LOG)
+    upto = max((v.upto for v in versions), default=-1)
+    base = {v.reading_date: v.folder for v in versions if v.upto == upto and v.folder is not None}
+    batches = read_log(spark, os.path.join(table_path, "log"), BATCH_LOG)
+    return upto, base, {b.batch_id: b.folder for b in batches if b.batch_id > upto}
 
 
-def read_ingested(spark: SparkSession, table_path: str) -> DataFrame:
-    """The reading table written by T8: last write wins per reading key.
+def _base(spark: SparkSession, dates: dict) -> DataFrame | None:
+    """The compacted rows of the given {date: folder}; the dates are partition filters of their folders."""
+    by_folder: dict[str, list] = {}
+    for day, folder in dates.items():
+        by_folder.setdefault(folder, []).append(day)
+    out = None
+    for folder, days in sorted(by_folder.items()):
+        part = spark.read.parquet(folder).where(F.col("reading_date").isin(days)).select(*TABLE_COLUMNS, "reading_date")
+        out = part if out is None else out.unionByName(part)
+    return out
+
 
-    Reads the newest compacted version and upserts only the micro-batches
-    written after it (their keys are few: size-checked broadcast anti join, no
-    shuffle of the compacted rows; a large backlog shuffles only the compacted
-    rows of the dates it touches).  Before the first compaction every batch
-    is merged with one shuffle on the reading key."""
-    return _merged(spark, table_path, *_latest_compaction(spark, table_path))
+def _merged(spark: SparkSession, base: dict, batches: dict) -> tuple[DataFrame, set]:
+    """The rows of the dates that the batches touch, last write wins, and those dates."""
+    pending = spark.read.parquet(*[f for _, f in sorted(batches.items())])
+    touched = {r[0] for r in pending.select("reading_date").distinct().collect()}  # a row a day
+    old = _base(spark, {d: f for d, f in base.items() if d in touched})
+    rows = pending if old is None else pending.unionByName(old)
+    return latest_per_key(rows, S.READING_KEY, MESSAGE_ORDER), touched
+
+
+def read_ingested(spark: SparkSession, table_path: str) -> DataFrame:
+    """The reading table written by T8: last write wins per reading key, by
+    message time, partition and offset.
+
+    Dates without batches after the newest compaction are a plain scan of the
+    compacted files; only the compacted rows of touched dates are shuffled
+    with the batches that touch them."""
+    _, base, batches = _state(spark, table_path)
+    if not batches:
+        out = _base(spark, base)
+        if out is None:
+            raise ValueError(f"{table_path} holds no reading yet")
+    else:
+        out, touched = _merged(spark, base, batches)
+        rest = _base(spark, {d: f for d, f in base.items() if d not in touched})
+        out = out if rest is None else out.unionByName(rest.select(*out.columns))
+    return out.select(*S.READING_COLUMNS, "patient_key")
 
 
-def _merged(spark: SparkSession, table_path: str, base, upto) -> DataFrame:
-    """``read_ingested`` given the latest compacted version (or None)."""
-    deltas = spark.read.parquet(os.path.join(table_path, "readings"))
-    if base is None:
-        return latest_per_key(deltas, S.READING_KEY, (BATCH_COL, "offset")).drop(BATCH_COL, "offset")
-    newer = deltas.filter(F.col(BATCH_COL) > upto)
-    return upsert(base, newer, S.READING_KEY, (BATCH_COL, "offset"), part=reading_date())
+def read_dead_letters(spark: SparkSession, table_path: str) -> DataFrame:
+    """Messages that could not be stored, with the reason."""
+    return spark.read.parquet(os.path.join(table_path, "dead_letters"))
 
 
 def compact_ingested(spark: SparkSession, table_path: str) -> int:
-    """Periodic batch job: fold every micro-batch into a new compacted version
-    ``compacted/upto=<last batch>/reading_date=<day>/``, files sorted by
-    patient and time within a day.  Returns the last batch folded.
-
-    Only the first compaction shuffles: its input is the unordered
-    micro-batches, range-partitioned on (date, patient, time) so that a hot
-    date, patient or (date, patient) is split over many files.  Later
-    compactions read the previous version, which is already clustered by date,
-    so its rows keep their tasks (a broadcast anti join drops the replaced
-    ones) and are only sorted locally before the date-partitioned write: no
-    shuffle of the table."""
-    base, last = _latest_compaction(spark, table_path)
-    first = base is None
-    current = _merged(spark, table_path, base, last).withColumn("reading_date", reading_date())
-    upto = spark.read.parquet(os.path.join(table_path, "readings")).agg(F.max(BATCH_COL)).first()[0]
-    if first:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        current = current.repartitionByRange(n, "reading_date", "patient_id", "reading_timestamp")
-    (current.sortWithinPartitions("reading_date", "patient_id", "reading_timestamp")
-     .write.partitionBy("reading_date").mode("overwrite")
-     .parquet(os.path.join(table_path, "compacted", f"upto={upto}")))
-    return upto
+    """Periodic batch job: fold the batches logged so far into the table.  Only
+    the dates they touch are written anew, to a fresh folder, range-partitioned
+    on (date, patient, time) so that a hot date or patient is split over many
+    files; other dates keep their files.  The new version is logged last, as
+    one small table of dates and folders.  Batches that land meanwhile stay
+    pending.  Returns the last batch folded; without new batches nothing is
+    written.  Old folders are left to the owner of the table."""
+    upto, base, batches = _state(spark, table_path)
+    if not batches:
+        return upto
+    current, touched = _merged(spark, base, batches)
+    folder, last = os.path.join(table_path, "compacted", uuid.uuid4().hex), max(batches)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = ("reading_date", "patient_id", "reading_timestamp")
+    (current.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+     .write.partitionBy("reading_date").parquet(folder))
+    days = {**base, **dict.fromkeys(touched, folder)}
+    rows = [(last, day, f) for day, f in sorted(days.items())] or [(last, None, None)]
+    (spark.createDataFrame(rows, VERSION_LOG).coalesce(1).write
+     .parquet(os.path.join(table_path, "versions", f"entry={last}-{uuid.uuid4().hex}")))
+    return last
 
 
 def run_all(spark: SparkSession, queries: dict[str, StreamingQuery], wait: str = "any",

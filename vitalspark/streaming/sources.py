@@ -1,7 +1,7 @@
 """Stream sources (S1) and the parse front end shared by all stream jobs.
 
 A message has the columns of a Kafka record that the jobs use — ``value``
-(JSON bytes), ``timestamp`` and ``offset``.  On a cluster the source is the
+(JSON bytes), ``timestamp``, ``partition`` and ``offset``.  On a cluster the source is the
 Kafka topic; without a broker (tests, replays) it is a folder of message files
 with the same columns, read as a file stream.
 """
@@ -19,16 +19,18 @@ from ..operators.transforms import malformed_split, parse_json_readings
 MESSAGE_FILE_SCHEMA = T.StructType([
     T.StructField("value", T.BinaryType()),
     T.StructField("timestamp", T.TimestampType()),
+    T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
 ])
 
 DEFAULT_WATERMARK = "2 minutes"
 
 
-def kafka_options(bootstrap: str, topic: str, starting: str = "latest") -> dict[str, str]:
-    """Options of the reading topic (``starting`` = latest or earliest)."""
-    return {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": starting, "failOnDataLoss": "false"}
+def kafka_options(bootstrap: str, topic: str, starting: str = "latest", max_offsets: int | None = None) -> dict[str, str]:
+    """Options of the reading topic (``starting`` = latest or earliest; ``max_offsets`` bounds a micro-batch)."""
+    options = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
+               "startingOffsets": starting, "failOnDataLoss": "false"}
+    return options | ({"maxOffsetsPerTrigger": str(max_offsets)} if max_offsets else {})
 
 
 def read_stream(spark: SparkSession, fmt: str, options: dict | None = None, schema=None,
@@ -49,14 +51,18 @@ def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     return read_stream(spark, "parquet", opts, MESSAGE_FILE_SCHEMA, path)
 
 
-def readings_from_messages(messages: DataFrame, keep=("offset",)) -> DataFrame:
+# What orders the messages of one key: offsets of different partitions don't compare.
+MESSAGE_ORDER = ("message_timestamp", "partition", "offset")
+
+
+def readings_from_messages(messages: DataFrame, keep=("partition", "offset")) -> DataFrame:
     """P1 + P5: JSON body → reading columns, ISO text time → TIMESTAMP_NTZ.
-    Bodies that do not parse are dropped here (see ``dead_letters``)."""
+    Malformed messages are left out here (see ``dead_letters``)."""
     good, _ = malformed_split(messages.select("value", "timestamp", *keep))
     return good.withColumn("reading_timestamp", parse_reading_time("reading_timestamp"))
 
 
-def dead_letters(messages: DataFrame, keep=("offset",)) -> DataFrame:
+def dead_letters(messages: DataFrame, keep=("partition", "offset")) -> DataFrame:
     _, bad = malformed_split(messages.select("value", "timestamp", *keep))
     return bad
 
