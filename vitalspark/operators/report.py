@@ -1,9 +1,10 @@
 """The daily report document (one row of scalars, structs and arrays).
 
-The readings are scanned once, into the (patient, metric, device) rollup,
-which is written once as a table; every section derives from that small table.  Every array is collected from an already-bounded result: one
-element per metric, and at most ``high_risk_limit`` patients after a top-k.
-Each array is an uncorrelated scalar subquery, so the report needs no join.
+The readings are scanned once, into one row a metric, a patient and a device
+(grouping sets), written as a table; every section derives from it.  The arrays
+hold one element a metric and at most ``high_risk_limit`` patients after a
+top-k.  Each array is an uncorrelated scalar subquery, so the report needs no
+join.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_literal, ntz_literal, pct, round_half_up
-from ..session import materialize
 from . import stats
 from .transforms import prune_dates
 
@@ -29,41 +29,27 @@ def _desc_then(key, tie):
     return lambda a, b: (a[key] > b[key]) | ((a[key] == b[key]) & (a[tie] < b[tie]))
 
 
+def readings_of_day(readings: DataFrame, day) -> DataFrame:
+    """The readings of one date: a time range (pushed to the Parquet row groups)
+    and, on the reading table, its date partition, so only that day is read."""
+    start = date_literal(day).cast("timestamp_ntz")
+    return (prune_dates(readings, F.col("reading_date") == date_literal(day))
+            .filter((F.col("reading_timestamp") >= start)
+                    & (F.col("reading_timestamp") < start + F.make_dt_interval(days=F.lit(1)))))
+
+
 def daily_report(readings: DataFrame, report_date, generated_at, day=None,
-                 high_risk_limit: int = stats.HIGH_RISK_LIMIT, rollup: DataFrame | None = None) -> DataFrame:
+                 high_risk_limit: int = stats.HIGH_RISK_LIMIT, groups: DataFrame | None = None) -> DataFrame:
     """The report of ``readings`` (optionally only those of ``day``), labelled
     with ``report_date`` and ``generated_at`` (parameters, never now()).
-    ``rollup``: the (patient, metric, device) rollup of the same readings when
-    the caller already has it (e.g. ``stats.report_rollup_from``)."""
-    if rollup is None:
-        if day is not None:
-            # a time range (pushed to the Parquet row groups) and, on the reading
-            # table, its date partition: only that day is read
-            start = date_literal(day).cast("timestamp_ntz")
-            readings = (prune_dates(readings, F.col("reading_date") == date_literal(day))
-                        .filter((F.col("reading_timestamp") >= start)
-                                & (F.col("reading_timestamp") < start + F.make_dt_interval(days=F.lit(1)))))
-        # one scan of the readings, written as a small table in the shared
-        # checkpoint folder; every section below reads that table
-        rollup = materialize(stats.reading_rollup(readings), "report-rollup")
-    per_patient = (rollup.groupBy("patient_id")
-                   .agg(F.sum("n").alias("total_readings"), F.sum("a").alias("abnormal_readings"))
-                   .withColumn("abnormal_percentage", pct("abnormal_readings", "total_readings")))
+    ``groups``: ``stats.written_groups`` of the same readings when the caller
+    already has them.  Averages are over the values that are there."""
+    if groups is None:
+        groups = stats.written_groups(readings if day is None else readings_of_day(readings, day), stats.REPORT_SETS)
+    summary = stats.group_summary(groups, on_rounded=False)
+    per_patient = stats.group_patients(groups)
     raw = F.col("abnormal_readings") / F.col("total_readings") * 100
-    devices = rollup.agg(F.count_distinct("device_id")).scalar()
-    summary = (per_patient.agg(F.coalesce(F.sum("total_readings"), F.lit(0)).cast("long").alias("total_readings"),
-                               F.count(F.lit(1)).alias("total_patients"),
-                               F.count_if(raw > stats.HIGH_RISK_PCT).alias("high_risk_patients"),
-                               F.coalesce(F.sum("abnormal_readings"), F.lit(0)).cast("long").alias("total_abnormal"))
-               .select("total_readings", "total_patients", "high_risk_patients", devices.alias("total_devices"),
-                       "total_abnormal",
-                       F.coalesce(pct("total_abnormal", "total_readings"), F.lit(0.0)).alias("overall_abnormal_rate")))
-    per_metric = (rollup.groupBy("metric_type")
-                  .agg(F.sum("n").alias("total_readings"), F.sum("s").alias("_sum"),
-                       F.sum("a").alias("abnormal_count"))
-                  .select("metric_type", "total_readings",
-                          round_half_up(F.col("_sum") / F.col("total_readings"), 2).alias("avg_value"),
-                          "abnormal_count", pct("abnormal_count", "total_readings").alias("abnormal_rate")))
+    per_metric = stats.group_metrics(groups).where("metric_type IS NOT NULL").withColumnRenamed("abnormal_percentage", "abnormal_rate")
     metrics = _arr(per_metric, ["metric_type", "total_readings", "avg_value", "abnormal_count", "abnormal_rate"],
                    lambda a, b: a["metric_type"] < b["metric_type"])
     rates_src = per_metric.select(F.col("metric_type").alias("metric"), F.col("abnormal_count").alias("count"),

@@ -101,17 +101,9 @@ def hourly_distribution(readings: DataFrame) -> DataFrame:
             .orderBy("hour"))
 
 
-def reading_rollup(readings: DataFrame) -> DataFrame:
-    """Readings pre-aggregated to (patient, metric, device): count, abnormal
-    count, value sum.  Orders of magnitude smaller than the readings, it can
-    feed every figure of the summary and the report from one scan."""
-    return (readings.groupBy("patient_id", "metric_type", "device_id")
-            .agg(F.count(F.lit(1)).alias("n"), abnormal_count().alias("a"), F.sum("value").alias("s")))
-
-
 def overall_summary(readings: DataFrame, threshold: float = HIGH_RISK_PCT, on_rounded: bool = True) -> DataFrame:
     """One row of totals (readings, patients, high-risk patients, devices,
-    abnormal, overall rate; 0 when empty) in one pass: one aggregate with the
+    abnormal, overall rate; 0 when empty; a NULL patient or device is none) in one pass: one aggregate with the
     grouping sets (patient) and (device), then one global aggregate over its
     small output.  Each input row is expanded twice before the partial
     aggregate, so a hot patient or device is summed map-side."""
@@ -121,9 +113,9 @@ def overall_summary(readings: DataFrame, threshold: float = HIGH_RISK_PCT, on_ro
     raw = F.col("a") / F.col("n") * 100
     hot = is_patient & ((round_half_up(raw, 2) if on_rounded else raw) > threshold)
     return (g.agg(F.coalesce(F.sum(F.when(is_patient, F.col("n"))), F.lit(0)).cast("long").alias("total_readings"),
-                  F.count_if(is_patient).alias("total_patients"),
+                  F.count_if(is_patient & F.col("patient_id").isNotNull()).alias("total_patients"),
                   F.count_if(hot).alias("high_risk_patients"),
-                  F.count_if(F.col("gid") == 2).alias("total_devices"),
+                  F.count_if((F.col("gid") == 2) & F.col("device_id").isNotNull()).alias("total_devices"),
                   F.coalesce(F.sum(F.when(is_patient, F.col("a"))), F.lit(0)).cast("long").alias("total_abnormal"))
             .withColumn("overall_abnormal_rate",
                         F.coalesce(pct("total_abnormal", "total_readings"), F.lit(0.0))))
@@ -155,81 +147,91 @@ def next_patient_index(patients: DataFrame, first: int = FIRST_PATIENT_INDEX) ->
     return patients.agg(F.coalesce(F.max(num) + 1, F.lit(first).cast("long")).alias("next_index"))
 
 
-# --- all sections from one scan (the statistics job) ------------------------------------
+# --- all sections from one scan (report and statistics job) ------------------------------
+
+# What each figure needs of the readings: groups of one kind, whose number
+# follows the metrics, patients and devices, not the readings.
+REPORT_SETS = {"metric": ["metric_type"], "patient": ["patient_id"], "device": ["device_id"]}
+# distinct metrics of a patient and distinct patients of a device need the pairs
+STATISTICS_SETS = {"metric": ["metric_type"], "patient": ["patient_id", "metric_type"],
+                   "device": ["device_id", "patient_id"], "hour": ["hour"]}
+
+
+def figure_groups(readings: DataFrame, sets: dict[str, list[str]]) -> DataFrame:
+    """One pass over the readings: a row for every group of every set, with its
+    ``kind``, counts, sum of the values that are there, range and deviation."""
+    keys = ["metric_type", "patient_id", "device_id", "hour"]
+    r = readings.withColumn("hour", F.hour("reading_timestamp"))
+    # grouping_id has a bit for each key that a set leaves out
+    gid = {name: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in cols) for name, cols in sets.items()}
+    kind = F.col("gid")
+    named = None
+    for name, g in gid.items():
+        named = F.when(kind == g, name) if named is None else named.when(kind == g, name)
+    return (r.groupingSets([[F.col(c) for c in cols] for cols in sets.values()], *keys)
+            .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n"), abnormal_count().alias("a"),
+                 F.count("value").alias("nv"), F.sum("value").alias("s"), F.stddev_samp("value").alias("sd"),
+                 F.min("value").alias("mn"), F.max("value").alias("mx"))
+            .select(named.alias("kind"), *keys, "n", "a", "nv", "s", "sd", "mn", "mx"))
+
+
+def written_groups(readings: DataFrame, sets: dict[str, list[str]]) -> DataFrame:
+    """The one scan of the readings: ``figure_groups`` written once below the
+    shared checkpoint folder (lineage cut; survives executor loss)."""
+    return materialize(figure_groups(readings, sets), "figure-groups")
 
-def statistics_rollup(readings: DataFrame) -> DataFrame:
-    """Readings pre-aggregated to (patient, metric, device, hour of day) with
-    figures that merge exactly: counts, value sum, min, max and the centred sum
-    of squares ``m2`` (for the sample standard deviation)."""
-    return (readings.groupBy("patient_id", "metric_type", "device_id", F.hour("reading_timestamp").alias("hour"))
-            .agg(F.count(F.lit(1)).alias("n"), abnormal_count().alias("a"), F.count("value").alias("nv"),
-                 F.sum("value").alias("s"), F.min("value").alias("mn"), F.max("value").alias("mx"),
-                 (F.var_pop("value") * F.count("value")).alias("m2")))
 
+def group_patients(groups: DataFrame) -> DataFrame:
+    return (groups.where("kind = 'patient'").groupBy("patient_id")
+            .agg(F.sum("n").alias("total_readings"), F.sum("a").alias("abnormal_readings"),
+                 F.count_distinct("metric_type").alias("metrics_measured"))
+            .withColumn("abnormal_percentage", pct("abnormal_readings", "total_readings")))
 
-def written_statistics_rollup(readings: DataFrame) -> DataFrame:
-    """The one scan of the readings: ``statistics_rollup`` written once below
-    the shared checkpoint folder (lineage cut; survives executor loss)."""
-    return materialize(statistics_rollup(readings), "statistics-rollup")
 
+def group_metrics(groups: DataFrame) -> DataFrame:
+    return groups.where("kind = 'metric'").select(
+        "metric_type", F.col("n").alias("total_readings"), F.col("a").alias("abnormal_count"),
+        round_half_up(F.try_divide("s", "nv"), 2).alias("avg_value"), round_half_up("sd", 2).alias("std_dev"),
+        round_half_up("mn", 2).alias("min_value"), round_half_up("mx", 2).alias("max_value"),
+        pct("a", "n").alias("abnormal_percentage"))
 
-def report_rollup_from(rollup: DataFrame) -> DataFrame:
-    """The report's (patient, metric, device) rollup, from the statistics rollup."""
-    return (rollup.groupBy("patient_id", "metric_type", "device_id")
-            .agg(F.sum("n").alias("n"), F.sum("a").alias("a"), F.sum("s").alias("s")))
+
+def group_summary(groups: DataFrame, threshold: float = HIGH_RISK_PCT, on_rounded: bool = True) -> DataFrame:
+    """A7 from written groups."""
+    patients = group_patients(groups)
+    raw = F.col("abnormal_readings") / F.col("total_readings") * 100
+    hot = (round_half_up(raw, 2) if on_rounded else raw) > threshold
+    devices = groups.where("kind = 'device'").agg(F.count_distinct("device_id")).scalar()
+    return (patients.agg(F.coalesce(F.sum("total_readings"), F.lit(0)).cast("long").alias("total_readings"),
+                         F.count("patient_id").alias("total_patients"), F.count_if(hot).alias("high_risk_patients"),
+                         F.coalesce(F.sum("abnormal_readings"), F.lit(0)).cast("long").alias("total_abnormal"))
+            .select("total_readings", "total_patients", "high_risk_patients", devices.alias("total_devices"),
+                    "total_abnormal", F.coalesce(pct("total_abnormal", "total_readings"), F.lit(0.0)).alias("overall_abnormal_rate")))
 
 
 def statistics_sections(readings: DataFrame | None = None, threshold: float = HIGH_RISK_PCT,
                         on_rounded: bool = True, high_risk_limit: int | None = HIGH_RISK_LIMIT,
                         top_patients: int = TOP_PATIENTS, top_devices: int | None = TOP_DEVICES,
-                        rollup: DataFrame | None = None) -> dict[str, DataFrame]:
-    """A1–A7 from one scan of the readings.  The rollup is written once below
-    the shared checkpoint folder (or given, already written); every section is
-    an aggregate of that small table (the readings are not read again), with
-    the columns and order of the single-section functions above.  Group
-    standard deviations are merged by the parallel formula
-    M2 = sum(m2_i) + sum(s_i^2 / n_i) - S^2 / N."""
-    r = rollup if rollup is not None else written_statistics_rollup(readings)
-    m = (r.groupBy("metric_type")
-         .agg(F.sum("n").alias("total_readings"), F.sum("a").alias("abnormal_count"), F.sum("nv").alias("_nv"),
-              F.sum("s").alias("_s"), F.min("mn").alias("_mn"), F.max("mx").alias("_mx"),
-              (F.coalesce(F.sum("m2"), F.lit(0.0)) + F.coalesce(F.sum(F.try_divide(F.col("s") * F.col("s"), "nv")),
-                                                           F.lit(0.0))).alias("_q")))
-    m2 = F.greatest(F.col("_q") - F.try_divide(F.col("_s") * F.col("_s"), "_nv"), F.lit(0.0))
-    std = F.when(F.col("_nv") > 1, F.sqrt(m2 / (F.col("_nv") - 1)))
-    metric_summary_ = (m.select("metric_type", "total_readings",
-                                round_half_up(F.try_divide("_s", "_nv"), 2).alias("avg_value"),
-                                round_half_up(std, 2).alias("std_dev"),
-                                round_half_up("_mn", 2).alias("min_value"), round_half_up("_mx", 2).alias("max_value"),
-                                "abnormal_count")
-                       .withColumn("abnormal_percentage", pct("abnormal_count", "total_readings"))
-                       .orderBy("metric_type"))
-    rates = (m.select("metric_type", F.col("total_readings").alias("total"), F.col("abnormal_count").alias("abnormal"))
-             .withColumn("abnormal_rate", pct("abnormal", "total")).orderBy(F.desc("abnormal_rate"), "metric_type"))
-    patients = (r.groupBy("patient_id")
-                .agg(F.sum("n").alias("total_readings"), F.sum("a").alias("abnormal_readings"),
-                     F.count_distinct("metric_type").alias("metrics_measured"))
-                .withColumn("abnormal_percentage", pct("abnormal_readings", "total_readings")))
-    devices = (r.groupBy("device_id")
+                        groups: DataFrame | None = None) -> dict[str, DataFrame]:
+    """A1–A7 from one scan of the readings, or from groups already written
+    (``written_groups`` of STATISTICS_SETS), with the columns and order of the
+    single-section functions above."""
+    g = groups if groups is not None else written_groups(readings, STATISTICS_SETS)
+    metrics, patients = group_metrics(g), group_patients(g)
+    devices = (g.where("kind = 'device'").groupBy("device_id")
                .agg(F.sum("n").alias("total_readings"), F.count_distinct("patient_id").alias("patients_monitored"),
                     F.sum("a").alias("abnormal_readings")))
-    hourly = (r.groupBy("hour").agg(F.sum("n").alias("readings_count"), F.sum("a").alias("abnormal_count"))
-              .orderBy("hour"))
-    raw = F.col("abnormal_readings") / F.col("total_readings") * 100
-    hot = (round_half_up(raw, 2) if on_rounded else raw) > threshold
-    n_devices = devices.agg(F.count(F.lit(1))).scalar()
-    overall = (patients.agg(F.coalesce(F.sum("total_readings"), F.lit(0)).cast("long").alias("total_readings"),
-                            F.count(F.lit(1)).alias("total_patients"), F.count_if(hot).alias("high_risk_patients"),
-                            F.coalesce(F.sum("abnormal_readings"), F.lit(0)).cast("long").alias("total_abnormal"))
-               .select("total_readings", "total_patients", "high_risk_patients", n_devices.alias("total_devices"),
-                       "total_abnormal",
-                       F.coalesce(pct("total_abnormal", "total_readings"), F.lit(0.0)).alias("overall_abnormal_rate")))
     return {
-        "metric_summary": metric_summary_,
+        "metric_summary": (metrics.select("metric_type", "total_readings", "avg_value", "std_dev", "min_value", "max_value",
+                                          "abnormal_count", "abnormal_percentage").orderBy("metric_type")),
         "patient_summary_top": patients.orderBy(F.desc("abnormal_percentage"), "patient_id").limit(top_patients),
         "high_risk_patients": _high_risk(patients, threshold, high_risk_limit, on_rounded),
-        "abnormality_rates": rates,
+        "abnormality_rates": (metrics.select("metric_type", F.col("total_readings").alias("total"),
+                                             F.col("abnormal_count").alias("abnormal"),
+                                             F.col("abnormal_percentage").alias("abnormal_rate"))
+                              .orderBy(F.desc("abnormal_rate"), "metric_type")),
         "device_activity": _busiest(devices, top_devices),
-        "hourly_distribution": hourly,
-        "overall_summary": overall,
+        "hourly_distribution": (g.where("kind = 'hour'").select("hour", F.col("n").alias("readings_count"),
+                                                                F.col("a").alias("abnormal_count")).orderBy("hour")),
+        "overall_summary": group_summary(g, threshold, on_rounded),
     }
