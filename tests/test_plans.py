@@ -119,3 +119,21 @@ def test_update_batch_over_the_byte_bound_is_not_broadcast(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin LeftOuter" in p and "BroadcastHashJoin" not in p
     assert not sess.fits_broadcast(10, sess.BROADCAST_BYTES + 1, 1000) and sess.fits_broadcast(10, 100, 1000)
+
+
+def test_upsert_reads_untouched_dates_by_partition_filter(spark):
+    from vitalspark.operators.upsert import reading_date, upsert
+    from vitalspark.session import work_path
+    from vitalspark.sinks.files import write_readings_table
+    path = work_path(spark, "t")
+    base, incoming = X.reading_upserts(spark, SF_SMALL)
+    write_readings_table(base, path)
+    one_day = incoming.withColumn("reading_date", reading_date()).where("reading_date = '2024-01-10'")
+    p = plan(upsert(spark.read.parquet(path), one_day))
+    assert len([x for x in p.splitlines() if x.startswith("PartitionFilters") and "2024-01-10" in x]) == 2
+
+
+def test_lookups_push_the_key_to_the_scan(spark):
+    from vitalspark.plans import document_queries, reading_queries
+    for q, text in ((reading_queries.q_last_n_readings, "EqualTo(patient_key,"), (document_queries.q_patient_by_id, "EqualTo(patient_id,P000007)")):
+        assert text in plan(q(spark, SF_SMALL))

@@ -1,10 +1,10 @@
 """Last-N readings and risk rankings.
 
-Per-patient last-N (W3) is a ``row_number() <= n`` filter over a window
-partitioned by patient.  Spark plans it with a partial WindowGroupLimit before
-the exchange, so each map task forwards at most n rows per patient: a patient
-holding a third of all readings ships n rows per input partition, not a third
-of the table, into its window task.
+Per-patient last-N (W3) ranks in two steps, within (patient, one of SPREAD
+buckets of its readings) and then within the patient.  Spark plans each with a
+partial WindowGroupLimit before the exchange.  So however many input tasks hold
+readings of one patient, their candidates meet in SPREAD tasks, and the last
+step gets at most n * SPREAD rows of a patient.
 """
 
 from __future__ import annotations
@@ -12,8 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import patient_key
+
 LAST_N = 20
 TOP_RISK = 10
+SPREAD = 64
 RISK_THRESHOLD = 70
 
 LAST_N_COLUMNS = ["patient_id", "reading_timestamp", "metric_type", "value", "unit", "is_abnormal"]
@@ -26,8 +29,13 @@ def _newest_first():
 def last_n_readings(readings: DataFrame, patient_id: str, n: int = LAST_N,
                     metric_type: str | None = None) -> DataFrame:
     """Newest n readings of one patient (optionally one metric);
-    ties in time ordered by metric, as the store's clustering order does."""
-    cond = F.col("patient_id") == patient_id
+    ties in time ordered by metric, as the store's clustering order does.  A
+    table that holds the store's patient key is looked up by that (P7), so the
+    id may be given in either form; the condition reaches the Parquet scan."""
+    if "patient_key" in readings.columns:
+        cond = F.col("patient_key") == patient_key(F.lit(patient_id))
+    else:
+        cond = F.col("patient_id") == patient_id
     if metric_type is not None:
         cond = cond & (F.col("metric_type") == metric_type)
     return readings.filter(cond).orderBy(*_newest_first()).limit(n).select(*LAST_N_COLUMNS)
@@ -35,8 +43,12 @@ def last_n_readings(readings: DataFrame, patient_id: str, n: int = LAST_N,
 
 def last_n_all_patients(readings: DataFrame, n: int = LAST_N) -> DataFrame:
     """Newest n readings of every patient in one pass, with their rank."""
+    spread = F.pmod(F.xxhash64("reading_timestamp", "metric_type"), F.lit(SPREAD))
+    part = Window.partitionBy("patient_id", "_spread").orderBy(*_newest_first())
     w = Window.partitionBy("patient_id").orderBy(*_newest_first())
-    return (readings.withColumn("reading_rank", F.row_number().over(w))
+    near = (readings.withColumn("_spread", spread).withColumn("_rank", F.row_number().over(part))
+            .filter(F.col("_rank") <= n).drop("_rank", "_spread"))
+    return (near.withColumn("reading_rank", F.row_number().over(w))
             .filter(F.col("reading_rank") <= n)
             .select(*LAST_N_COLUMNS, "reading_rank"))
 

@@ -42,6 +42,9 @@ def latest_per_key(df: DataFrame, keys=S.READING_KEY, order=("seq",)) -> DataFra
 # Up to this many incoming keys are broadcast to every task of the base scan
 # (3 key columns: about 100 bytes a key, so ~50 MB at the bound).
 BROADCAST_KEYS = 500_000
+# The date partition of the stored reading table, and how many dates a filter may list.
+PARTITION = "reading_date"
+MOST_DATES = 1_000
 # Up to this many touched partition values (dates) are broadcast (~1 MB).
 BROADCAST_PARTS = 100_000
 
@@ -58,12 +61,24 @@ def upsert(base: DataFrame, incoming: DataFrame, keys=S.READING_KEY, seq="seq",
     incoming row per key.  ``seq`` (a column or a tuple of columns) orders
     writes inside the batch; the result carries base's columns.  ``part`` is
     an expression over key columns naming the base partition a key lies in
-    (e.g. ``reading_date()``); it narrows the shuffle of a large batch."""
+    (e.g. ``reading_date()``); it narrows the shuffle of a large batch.  A base
+    with the column ``reading_date`` (and a batch that has it too) is read in two
+    parts by partition filters: untouched dates, which pass, and touched ones."""
     order = (seq,) if isinstance(seq, str) else tuple(seq)
     cols = [c for c in base.columns if c not in order]
     newest, n_keys, key_bytes = written_and_counted(latest_per_key(incoming, keys, order).select(*cols),
                                                     "upsert-batch", measure=keys)
     incoming_keys = newest.select(*keys)
+    if PARTITION in base.columns:
+        # the stored table: dates that the batch doesn't touch are a partition filter away
+        dates = [r[0] for r in newest.select(PARTITION).distinct().limit(broadcast_parts + 1).collect()]
+        if len(dates) <= MOST_DATES:
+            dates = [d for d in dates if d is not None]
+            on = F.col(PARTITION).isin(dates) if dates else F.lit(False)
+            keys_side = F.broadcast(incoming_keys) if fits_broadcast(n_keys, key_bytes, broadcast_keys) else incoming_keys
+            kept = base.where(on).join(keys_side, list(keys), "left_anti").select(*cols)
+            rest = base.where(~F.coalesce(on, F.lit(False))).select(*cols)
+            return rest.unionByName(kept).unionByName(newest)
     if fits_broadcast(n_keys, key_bytes, broadcast_keys):  # proven bound before broadcasting
         kept = base.join(F.broadcast(incoming_keys), list(keys), "left_anti")
     elif part is not None:

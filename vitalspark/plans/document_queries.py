@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from ..operators import documents as D
 from ..operators import recent, transforms
+from ..session import work_path
+from ..sinks.files import write_patients_table
 from ..sources import fixtures as X
+from ..sources.readers import read_patient_documents
 from .registry import register
 from .sql_fixtures import padded, with_patients
 
@@ -28,16 +31,23 @@ _FLAT_COLS = ("patient_id, name, date_of_birth, gender, phone, email, blood_type
               "history_entries, last_history_score, last_history_factors, notes, last_note, last_updated")
 
 
+def _stored(spark, sf_dir):
+    """The documents as a table clustered by patient, written and read back: a lookup reads the row groups of one id."""
+    path = work_path(spark, "patients-table")
+    write_patients_table(X.load_patients(spark, sf_dir), path)
+    return read_patient_documents(spark, path, "parquet")
+
+
 @register("patient_by_id", with_patients(f"SELECT {_FLAT_COLS} FROM flat WHERE patient_id = '{PATIENT}'", _FLAT))
 def q_patient_by_id(spark, sf_dir):
-    return D.flatten_patients(transforms.patient_by_id(X.load_patients(spark, sf_dir), PATIENT))
+    return D.flatten_patients(transforms.patient_by_id(_stored(spark, sf_dir), PATIENT))
 
 
 @register("risk_score_by_id", with_patients(
     f"SELECT patient_id, risk_score, CAST(NULL AS TIMESTAMP) AS last_updated FROM patients_flat "
     f"WHERE patient_id = '{PATIENT}'"))
 def q_risk_score_by_id(spark, sf_dir):
-    return transforms.risk_score_by_id(X.load_patients(spark, sf_dir), PATIENT)
+    return transforms.risk_score_by_id(_stored(spark, sf_dir), PATIENT)
 
 
 @register("nested_projection", with_patients(

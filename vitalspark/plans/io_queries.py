@@ -99,7 +99,10 @@ _UPSERTED = f"""SELECT patient_id, reading_timestamp, metric_type,
 @register("upsert_readings", with_readings(_UPSERTED))
 def q_upsert_readings(spark, sf_dir):
     base, incoming = X.reading_upserts(spark, sf_dir)
-    return upsert(base, incoming, S.READING_KEY, "seq", part=reading_date())
+    path = work_path(spark, "table")
+    K.write_readings_table(base, path)
+    stored = R.read_readings_table(spark, path)
+    return upsert(stored, incoming.withColumn("reading_date", reading_date()), S.READING_KEY, "seq").drop("reading_date")
 
 
 # --- A8 report ---------------------------------------------------------------------------

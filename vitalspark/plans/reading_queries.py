@@ -11,6 +11,9 @@ from ..functions.columns import normalize_reading_time
 from ..operators import recent, transforms
 from ..sources.fixtures import (BROKEN_EVERY, BROKEN_OFFSET, iso_time_readings, load_readings, load_table, metric_dim,
                                 patients_flat, reading_messages)
+from ..session import work_path
+from ..sinks.files import write_readings_table
+from ..sources.readers import read_readings_table
 from .registry import register
 from .sql_fixtures import with_patients, with_readings
 
@@ -59,11 +62,18 @@ def q_classify_readings(spark, sf_dir):
     return transforms.classify_readings(unflagged, metric_dim(spark))
 
 
+def _stored(spark, sf_dir):
+    """The reading table with the store's patient key, written and read back."""
+    path = work_path(spark, "readings-table")
+    write_readings_table(transforms.with_patient_key(load_readings(spark, sf_dir)), path)
+    return read_readings_table(spark, path)
+
+
 @register("last_n_readings", with_readings(f"""
 SELECT patient_id, reading_timestamp, metric_type, value, unit, is_abnormal FROM readings
 WHERE patient_id = '{PATIENT}' ORDER BY reading_timestamp DESC, metric_type LIMIT 20"""))
 def q_last_n_readings(spark, sf_dir):
-    return recent.last_n_readings(load_readings(spark, sf_dir), PATIENT, 20)
+    return recent.last_n_readings(_stored(spark, sf_dir), PATIENT, 20)
 
 
 @register("last_n_readings_metric", with_readings(f"""
@@ -71,7 +81,7 @@ SELECT patient_id, reading_timestamp, metric_type, value, unit, is_abnormal FROM
 WHERE patient_id = '{PATIENT}' AND metric_type = '{METRIC}'
 ORDER BY reading_timestamp DESC LIMIT 20"""))
 def q_last_n_readings_metric(spark, sf_dir):
-    return recent.last_n_readings(load_readings(spark, sf_dir), PATIENT, 20, METRIC)
+    return recent.last_n_readings(_stored(spark, sf_dir), PATIENT, 20, METRIC)
 
 
 @register("last_n_all_patients", with_readings("""

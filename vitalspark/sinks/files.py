@@ -29,6 +29,14 @@ def write_readings_table(readings: DataFrame, path: str, mode: str = "overwrite"
        .write.mode(mode).partitionBy("reading_date").parquet(path))
 
 
+def write_patients_table(patients: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Patient documents as Parquet, range-partitioned and sorted by id, so that
+    file and row-group statistics narrow a lookup to one id."""
+    n = partitions or int(patients.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (patients.repartitionByRange(n, "patient_id").sortWithinPartitions("patient_id")
+     .write.mode("overwrite").parquet(path))
+
+
 def write_readings_csv(readings: DataFrame, path: str, columns: list[str] | None = None) -> None:
     """K3: overwrite a CSV export with a header line per file."""
     cols = columns or S.READING_COLUMNS
