@@ -271,3 +271,51 @@ def test_no_checkpoint_folder_on_a_cluster(monkeypatch):
                                sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             ensure_checkpoint_dir(fake)
+
+
+def test_csv_headers(spark):
+    from vitalspark.session import work_path
+    from vitalspark.sinks.files import write_readings_csv
+    from vitalspark.sources.readers import read_readings_csv
+    import glob
+    import shutil
+    path = work_path(spark, "csv")
+    r = spark.createDataFrame([("P1", None, "m", 1.0, "u", "d", True, 0.0, 2.0)], S.READING_SCHEMA)
+    write_readings_csv(r, path, columns=list(reversed(S.READING_COLUMNS)))
+    assert read_readings_csv(spark, path).first().value == 1.0
+    write_readings_csv(r, path + "-b")
+    shutil.copy(glob.glob(path + "-b/part-*.csv")[0], path + "/other.csv")
+    with pytest.raises(Exception, match="CSV header|schema"):
+        read_readings_csv(spark, path).collect()
+    write_readings_csv(r, path + "-c", columns=S.READING_COLUMNS[:-1])
+    with pytest.raises(ValueError, match="threshold_max"):
+        read_readings_csv(spark, path + "-c")
+
+
+def test_report_average_leaves_out_missing_values(spark):
+    from vitalspark.operators.report import daily_report
+    rows = [("P1", dt.datetime(2024, 1, 1, h), "m", v, "u", None if h == 1 else "d", False, 0.0, 2.0) for h, v in enumerate((10.0, None, 20.0))]
+    r = spark.createDataFrame(rows, S.READING_SCHEMA)
+    rep = daily_report(r, "2024-01-01", "2024-01-01 00:00:00").first()
+    assert rep.metric_statistics[0].avg_value == stats.metric_summary(r).first().avg_value == 15.0
+    # a missing device is no device, in every form of the summary
+    sec = stats.statistics_sections(r)["overall_summary"].first()
+    assert rep.summary.total_devices == stats.overall_summary(r).first().total_devices == sec.total_devices == 1
+
+
+def test_scores_of_one_time_need_an_order(spark):
+    at = dt.datetime(2024, 1, 1)
+    rows = [("P1", 5, ["f"], at), ("P1", 7, ["f"], at)]
+    df = spark.createDataFrame(rows, "patient_id string, new_score int, factors array<string>, at timestamp_ntz")
+    patients = spark.createDataFrame([], S.PATIENT_SCHEMA)
+    with pytest.raises(ValueError, match="seq"):
+        D.bulk_risk_update(patients, df)
+
+
+def test_classify_with_the_devices_own_table(spark):
+    from vitalspark.sources.fixtures import vital_signs_dim
+    dim = vital_signs_dim(spark)
+    d = dim.first()
+    rows = [("P1", dt.datetime(2024, 1, 1), d.metric_type, float(d.threshold_max) + 1, "u", "d", None, None, None)]
+    got = transforms.classify_readings(spark.createDataFrame(rows, S.READING_SCHEMA), dim.select("metric_type", "threshold_min", "threshold_max", "unit")).first()
+    assert got.is_abnormal and got.threshold_violated == "threshold_max"

@@ -3,6 +3,8 @@ stops its session, which would end the shared test session)."""
 
 import argparse
 
+import pytest
+
 from conftest import SF_SMALL
 from vitalspark import jobs
 from vitalspark.session import work_path
@@ -32,9 +34,55 @@ def test_risk_update_job(spark, capsys):
     patients, scores, out = work_path(spark, "p"), work_path(spark, "s"), work_path(spark, "o")
     X.load_patients(spark, SF_SMALL).write.parquet(patients)
     X.risk_updates(spark, SF_SMALL).drop("seq").write.parquet(scores)
-    jobs.risk_update(spark, argparse.Namespace(patients=patients, patients_format="parquet", scores=scores, out=out))
+    jobs.risk_update(spark, argparse.Namespace(patients=patients, patients_format="parquet", updates=scores, out=out))
     assert spark.read.parquet(out).count() == X.load_patients(spark, SF_SMALL).count()
     assert "score_changed" in capsys.readouterr().out
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):  # a second run doubles nothing
+        jobs.risk_update(spark, argparse.Namespace(patients=patients, patients_format="parquet", updates=scores, out=out))
+
+
+def test_document_update_jobs(spark):
+    patients = work_path(spark, "p")
+    X.load_patients(spark, SF_SMALL).write.parquet(patients)
+    for job, updates in ((jobs.profile_update, X.profile_updates), (jobs.notes_update, X.note_updates)):
+        batch, out = work_path(spark, "u"), work_path(spark, "o")
+        updates(spark, SF_SMALL).write.parquet(batch)
+        job(spark, argparse.Namespace(patients=patients, patients_format="parquet", updates=batch, out=out, updated_at="2024-02-01 00:00:00"))
+        docs = spark.read.parquet(out)
+        assert docs.count() == X.load_patients(spark, SF_SMALL).count() and docs.where("last_updated IS NOT NULL").count() > 0
+
+
+def test_route_job(spark):
+    from vitalspark.plans import stream_queries as Q
+    out = work_path(spark, "routed")
+    jobs.route(spark, argparse.Namespace(source=Q.write_messages(spark, SF_SMALL), out=out, checkpoints=work_path(spark, "c"),
+                                         max_files_per_trigger=None, available_now=True, trigger="1 second"))
+    r = X.load_readings(spark, SF_SMALL)
+    assert spark.read.parquet(f"{out}/all").count() == r.count()
+    assert spark.read.parquet(f"{out}/abnormal").count() == r.where("is_abnormal").count()
+
+
+def test_report_of_one_day(spark, capsys):
+    table, reports = work_path(spark, "readings"), work_path(spark, "reports")
+    write_readings_table(X.load_readings(spark, SF_SMALL), table)
+    jobs.statistics(spark, argparse.Namespace(readings=table, format="parquet", reports=reports, report_date="2024-01-31", day="2024-01-10"))
+    n = X.load_readings(spark, SF_SMALL).where("date(reading_timestamp) = '2024-01-10'").count()
+    assert spark.read.parquet(reports).first().summary.total_readings == n
+    assert f"|{n} " in capsys.readouterr().out.split("== overall")[1]
+
+
+def test_callers_settings_win():
+    from pyspark import SparkConf
+    given = SparkConf(loadDefaults=False).set("spark.master", "yarn").set("spark.sql.shuffle.partitions", "77")
+    conf = jobs.session_conf(given)
+    assert "spark.sql.shuffle.partitions" not in conf and "spark.master" not in conf
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(128 * 1024 * 1024)
+    assert "spark.sql.files.maxPartitionBytes" not in jobs.session_conf(SparkConf(loadDefaults=False))
+
+
+def test_kafka_options_bound_a_batch():
+    from vitalspark.streaming.sources import kafka_options
+    assert kafka_options("b", "t", max_offsets=5)["maxOffsetsPerTrigger"] == "5" and "maxOffsetsPerTrigger" not in kafka_options("b", "t")
 
 
 def test_stream_jobs_start_with_one_state_partition_per_slot(spark):

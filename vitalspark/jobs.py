@@ -1,11 +1,12 @@
-"""Command-line jobs: the batch report, the alert streams, ingest, compaction,
-risk-score updates and last-N lookups, each a Spark application.
+"""Command-line jobs: the batch report, the alert streams, ingest, routing,
+compaction, document updates and last-N lookups, each a Spark application.
 
     python -m vitalspark.jobs statistics --readings PATH [--format parquet|csv|pipe] --reports PATH
     python -m vitalspark.jobs alerts --source PATH|kafka --out PATH [--bootstrap HOST:PORT --topic T]
     python -m vitalspark.jobs ingest --source PATH|kafka --table PATH
     python -m vitalspark.jobs compact --table PATH
-    python -m vitalspark.jobs risk-update --patients PATH --scores PATH --out PATH
+    python -m vitalspark.jobs route --source PATH|kafka --out PATH
+    python -m vitalspark.jobs risk-update|profile-update|notes-update --patients PATH --updates PATH --out NEW_PATH
     python -m vitalspark.jobs last-readings --readings PATH --patient ID [--metric M] [-n 20]
 
 Checkpoints go below ``spark.checkpoint.dir`` (``--checkpoints`` overrides).
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import hashlib
 import os
 
 from pyspark import SparkConf
@@ -23,8 +25,8 @@ from pyspark.sql import SparkSession
 from .functions.columns import status_label
 from .operators import documents as D
 from .operators import recent, stats
-from .operators.report import daily_report
-from .session import BATCH_CONF, ensure_checkpoint_dir, use_stream_partitions
+from .operators.report import daily_report, readings_of_day
+from .session import BATCH_CONF, CLUSTER_CONF, ensure_checkpoint_dir, use_stream_partitions
 from .sinks.files import append_patients, append_report
 from .sources import readers as R
 from .streaming import operators as T
@@ -33,11 +35,17 @@ from .streaming.sources import (kafka_options, message_stream, read_stream, read
                                 with_watermark)
 
 
+def session_conf(given: SparkConf) -> dict[str, str]:
+    """Our defaults (those for a cluster unless the master is local), without what the caller has set."""
+    master = given.get("spark.master", "local[*]")
+    conf = dict(BATCH_CONF if master.startswith("local") else CLUSTER_CONF)
+    conf["spark.master"] = master
+    return {k: v for k, v in conf.items() if not given.contains(k)}
+
+
 def _session(app: str) -> SparkSession:
     b = SparkSession.builder.appName(app)
-    if not SparkConf().contains("spark.master"):  # run with plain python, not spark-submit
-        b = b.master("local[*]")
-    for k, v in BATCH_CONF.items():
+    for k, v in session_conf(SparkConf()).items():
         b = b.config(k, v)
     return b.getOrCreate()
 
@@ -52,22 +60,23 @@ def _readings(spark, path, fmt):
 
 def _messages(spark, args):
     if args.source == "kafka":
-        return read_stream(spark, "kafka", kafka_options(args.bootstrap, args.topic, args.starting))
+        return read_stream(spark, "kafka", kafka_options(args.bootstrap, args.topic, args.starting, args.max_offsets_per_trigger))
     return message_stream(spark, args.source, args.max_files_per_trigger)
 
 
-def _ckpt(spark, args, name):
+def _ckpt(spark, args, name, output):
+    """The checkpoint of one query over one output: two jobs of a kind never share one."""
     root = args.checkpoints or ensure_checkpoint_dir(spark)
-    return os.path.join(root, name)
+    return os.path.join(root, name, hashlib.sha256(os.path.normpath(output).encode()).hexdigest()[:16])
 
 
 def statistics(spark, args):
-    """Q5: hospital-wide statistics, printed, and the report document appended.
-    The readings are scanned once, into the written statistics rollup; every
-    section and (without ``--day``) the report are aggregates of that table."""
+    """Q5: hospital-wide statistics, printed, and the report document appended,
+    of all readings or (``--day``) of one date.  The readings are scanned once,
+    into the written groups; every section and the report derive from them."""
     r = _readings(spark, args.readings, args.format)
-    rollup = stats.written_statistics_rollup(r)
-    sec = stats.statistics_sections(rollup=rollup)
+    groups = stats.written_groups(readings_of_day(r, args.day) if args.day else r, stats.STATISTICS_SETS)
+    sec = stats.statistics_sections(groups=groups)
     for title, key, n in (("metric summary", "metric_summary", 20),
                           ("patients with the highest abnormal %", "patient_summary_top", 10),
                           ("high-risk patients (> 20 %)", "high_risk_patients", 20),
@@ -78,8 +87,7 @@ def statistics(spark, args):
         print(f"\n== {title}")
         sec[key].show(n, truncate=False)
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    report = daily_report(r, args.report_date or now.date().isoformat(), now.isoformat(sep=" "), day=args.day,
-                          rollup=None if args.day else stats.report_rollup_from(rollup))
+    report = daily_report(r, args.report_date or now.date().isoformat(), now.isoformat(sep=" "), groups=groups)
     append_report(report, args.reports)
 
 
@@ -90,17 +98,17 @@ def alerts(spark, args):
     parsed = readings_from_messages(_messages(spark, args))
     qs = {}
     if args.parse_once:  # one read and parse of the source, shared by the three queries
-        qs["parse"], parsed = K.parse_once(spark, parsed, os.path.join(out, "readings"), _ckpt(spark, args, "parse"),
+        qs["parse"], parsed = K.parse_once(spark, parsed, os.path.join(out, "readings"), _ckpt(spark, args, "parse", out),
                                            trigger={"processingTime": "5 seconds"})
     readings = with_watermark(parsed, args.watermark)
     qs |= {
-        "feed": K.start_append(T.abnormal_feed(readings), os.path.join(out, "feed"), _ckpt(spark, args, "feed"),
+        "feed": K.start_append(T.abnormal_feed(readings), os.path.join(out, "feed"), _ckpt(spark, args, "feed", out),
                                trigger={"processingTime": "10 seconds"}, name="abnormal_feed"),
         "alerts": K.start_update(T.tumbling_metric_alerts(readings, args.window), os.path.join(out, "alerts"),
-                                 _ckpt(spark, args, "alerts"), trigger={"processingTime": "15 seconds"},
+                                 _ckpt(spark, args, "alerts", out), trigger={"processingTime": "15 seconds"},
                                  name="metric_alerts"),
         "statistics": K.start_append(T.window_statistics(readings, args.window), os.path.join(out, "statistics"),
-                                     _ckpt(spark, args, "statistics"), trigger={"processingTime": "20 seconds"},
+                                     _ckpt(spark, args, "statistics", out), trigger={"processingTime": "20 seconds"},
                                      name="window_statistics"),
     }
     K.run_all(spark, qs, wait="any")
@@ -110,23 +118,46 @@ def ingest(spark, args):
     """Q1 at scale: continuous ingest into the reading table (last write wins)."""
     use_stream_partitions(spark, args.state_partitions)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
-    K.stream_to_table(_messages(spark, args), args.table, _ckpt(spark, args, "ingest"), trigger).awaitTermination()
+    K.stream_to_table(_messages(spark, args), args.table, _ckpt(spark, args, "ingest", args.table), trigger).awaitTermination()
 
 
 def compact(spark, args):
     print("compacted up to batch", K.compact_ingested(spark, args.table))
 
 
+def _rewritten(spark, args, change):
+    """Read patient documents, change them, and write them as a new folder (an existing one is refused)."""
+    patients = R.read_patient_documents(spark, args.patients, args.patients_format)
+    change(patients, spark.read.parquet(args.updates)).write.mode("errorifexists").parquet(args.out)
+
+
 def risk_update(spark, args):
     """Q6: apply a score table to every patient; write the new documents."""
     patients = R.read_patient_documents(spark, args.patients, args.patients_format)
-    scores = spark.read.parquet(args.scores)
-    docs, summary = D.bulk_risk_update(patients, scores)
-    append_patients(docs, args.out, fmt="parquet")
+    docs, summary = D.bulk_risk_update(patients, spark.read.parquet(args.updates))
+    docs.write.mode("errorifexists").parquet(args.out)
     summary.show(truncate=False)
     recent.ranked_high_risk(spark.read.parquet(args.out)).show(truncate=False)
 
 
+def profile_update(spark, args):
+    """Q3: phone changes (patient_id, seq, phone)."""
+    at = args.updated_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+    _rewritten(spark, args, lambda p, u: D.update_profiles(p, u, at))
+
+
+def notes_update(spark, args):
+    """Q3: medical notes (patient_id, seq, at, doctor, note)."""
+    _rewritten(spark, args, D.add_medical_notes)
+
+
+def route(spark, args):
+    """All readings to one table, abnormal ones to a second as well."""
+    trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
+    K.start_route(readings_from_messages(_messages(spark, args)), os.path.join(args.out, "all"),
+                  os.path.join(args.out, "abnormal"), _ckpt(spark, args, "route", args.out), trigger).awaitTermination()
+
+
 def last_readings(spark, args):
     """Q2: newest readings of one patient, with the status label."""
     r = R.read_readings_table(spark, args.readings)
@@ -146,13 +177,15 @@ def main(argv=None):
     s.add_argument("--report-date", default=None)
     s.add_argument("--day", default=None, help="only readings of this date")
 
-    for name in ("alerts", "ingest"):
+    for name in ("alerts", "ingest", "route"):
         a = sub.add_parser(name)
         a.add_argument("--source", required=True, help="message folder, or 'kafka'")
         a.add_argument("--bootstrap", default="localhost:9092")
         a.add_argument("--topic", default="patient.monitoring.raw")
         a.add_argument("--starting", default="latest" if name == "alerts" else "earliest")
         a.add_argument("--max-files-per-trigger", type=int, default=None)
+        a.add_argument("--max-offsets-per-trigger", type=int, default=None if name == "alerts" else 10_000_000,
+                       help="bound of a micro-batch from the topic, also of the first one after a long stop")
         a.add_argument("--state-partitions", type=int, default=None,
                        help="shuffle partitions at the first start (default: the cluster's task slots)")
         if name == "alerts":
@@ -162,18 +195,21 @@ def main(argv=None):
             a.add_argument("--parse-once", action="store_true",
                            help="read and parse the source once into OUT/readings; the three queries read that")
         else:
-            a.add_argument("--table", required=True)
+            a.add_argument("--table" if name == "ingest" else "--out", required=True)
             a.add_argument("--trigger", default="10 seconds")
             a.add_argument("--available-now", action="store_true")
 
     c = sub.add_parser("compact")
     c.add_argument("--table", required=True)
 
-    u = sub.add_parser("risk-update")
-    u.add_argument("--patients", required=True)
-    u.add_argument("--patients-format", default="parquet")
-    u.add_argument("--scores", required=True)
-    u.add_argument("--out", required=True)
+    for name in ("risk-update", "profile-update", "notes-update"):
+        u = sub.add_parser(name)
+        u.add_argument("--patients", required=True)
+        u.add_argument("--patients-format", default="parquet")
+        u.add_argument("--updates", "--scores", dest="updates", required=True)
+        u.add_argument("--out", required=True, help="a new folder")
+        if name == "profile-update":
+            u.add_argument("--updated-at", default=None)
 
     q = sub.add_parser("last-readings")
     q.add_argument("--readings", required=True)
@@ -185,7 +221,8 @@ def main(argv=None):
     spark = _session(f"vitalspark-{args.job}")
     try:
         {"statistics": statistics, "alerts": alerts, "ingest": ingest, "compact": compact,
-         "risk-update": risk_update, "last-readings": last_readings}[args.job](spark, args)
+         "risk-update": risk_update, "profile-update": profile_update, "notes-update": notes_update, "route": route,
+         "last-readings": last_readings}[args.job](spark, args)
     finally:
         spark.stop()
 

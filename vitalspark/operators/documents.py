@@ -132,9 +132,13 @@ def update_risk_scores(patients: DataFrame, updates: DataFrame) -> DataFrame:
 def bulk_risk_update(patients: DataFrame, scores: DataFrame) -> tuple[DataFrame, DataFrame]:
     """U4: apply a score table (patient_id, new_score, factors, at[, seq]) to
     every patient in one job; returns (new documents, one-row summary).  The
-    per-patient batch is built and written once for both."""
+    per-patient batch is built and written once for both.  Without ``seq`` the
+    scores of one patient are ordered by ``at``; two at one time are an error."""
     if "seq" not in scores.columns:
-        scores = scores.withColumn("seq", F.lit(0).cast("long"))
+        same = scores.groupBy(KEY, "at").count().where("count > 1").limit(1).count()
+        if same:
+            raise ValueError("several scores of one patient at one time, and no seq column to order them")
+        scores = scores.withColumn("seq", F.unix_micros(F.col("at").cast("timestamp")))
     batch = _sized(_risk_batch(scores).withColumn("_matched", F.lit(True)))
     new_docs = _fold_sized(patients, batch, _risk_cols())
     report = _match_sized(patients, batch, F.col("risk_score"), F.col("_score"), "score_changed")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.columns import parse_reading_time
@@ -13,25 +14,24 @@ PIPE_COLUMNS = ["patient_id", "reading_timestamp", "metric_type", "value", "unit
 
 def read_readings_csv(spark: SparkSession, path: str, schema=S.READING_SCHEMA, strict_order: bool = False) -> DataFrame:
     """CSV with a header.  Columns are read as text and picked **by name**,
-    then ``try_cast`` to the declared types: a file whose columns come in
-    another order still lands in the right fields, and a bad value is NULL
-    instead of a failed job.  ``strict_order``: apply the schema by position
+    then ``try_cast`` to the declared types: files whose columns come in
+    another order still land in the right fields, and a bad value is NULL
+    instead of a failed job.  A declared column that is missing is an error, and
+    so is a file whose header differs from that of the others in its folder
+    (read such files apart).  ``strict_order``: apply the schema by position
     but check the header against it (``enforceSchema=false``), failing on a
     mismatch instead of filling wrong columns."""
     if strict_order:
         return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
                 .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path))
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    present = set(raw.columns)
-    cols = []
-    for f in schema.fields:
-        if f.name not in present:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif f.name == "reading_timestamp":
-            cols.append(parse_reading_time(f.name).alias(f.name))
-        else:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-    return raw.select(*cols)
+    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    raw = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
+    return raw.select(*[parse_reading_time(f.name).alias(f.name) if f.name == "reading_timestamp"
+                        else F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_pipe_text(spark: SparkSession, path: str) -> DataFrame:
