@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..operators.transforms import add_processed_at
 from ..session import work_path
 from ..sources.fixtures import BROKEN_EVERY, load_readings, reading_messages
 from ..streaming import operators as T
@@ -273,32 +274,102 @@ def q_dead_letter_reasons(spark, sf_dir):
 
 
 @register("multi_query_lifecycle", with_readings(f"""
-SELECT 'abnormal_feed' AS query, count(*) AS rows_out FROM {_GOOD} AND is_abnormal
+SELECT 'abnormal_feed' AS query, patient_id, metric_type, reading_timestamp AS at, CAST(NULL AS BIGINT) AS n, value
+FROM {_GOOD} AND is_abnormal
 UNION ALL
-SELECT 'metric_alerts', count(*) FROM ({_ALERTS})
+SELECT 'metric_alerts', patient_id, metric_type, window_start, abnormal_count, max_value FROM ({_ALERTS})
 UNION ALL
-SELECT 'window_statistics', count(DISTINCT date_trunc('day', reading_timestamp)) FROM {_GOOD}"""))
+SELECT 'window_statistics', NULL, NULL, date_trunc('day', reading_timestamp), count(*),
+       round(count_if(is_abnormal) / count(*) * 100, 2) FROM {_GOOD} GROUP BY 4"""))
 def q_multi_query_lifecycle(spark, sf_dir):
-    """Three queries on one source with their own triggers and checkpoints."""
+    """Three queries on one source with their own checkpoints and triggers (all that is there, a steady beat, one
+    batch), and the contents of their sinks."""
     src = write_messages(spark, sf_dir)
     outs = {k: work_path(spark, k) for k in ("abnormal_feed", "metric_alerts", "window_statistics")}
     stream = _readings_stream(spark, src)
     qs = {
-        "abnormal_feed": K.start_append(T.abnormal_feed(stream), outs["abnormal_feed"], work_path(spark, "ckpt")),
+        "abnormal_feed": K.start_append(T.abnormal_feed(stream), outs["abnormal_feed"], work_path(spark, "ckpt"),
+                                        trigger={"availableNow": True}),
         "metric_alerts": K.start_update(T.tumbling_metric_alerts(stream, WINDOW), outs["metric_alerts"],
-                                        work_path(spark, "ckpt")),
+                                        work_path(spark, "ckpt"), trigger={"processingTime": "1 second"}),
         "window_statistics": K.start_update(T.window_statistics_approx(stream, WINDOW),
-                                            outs["window_statistics"], work_path(spark, "ckpt")),
+                                            outs["window_statistics"], work_path(spark, "ckpt"), trigger={"once": True}),
     }
+    qs["metric_alerts"].processAllAvailable()
+    qs["metric_alerts"].stop()
     K.run_all(spark, qs, wait="all")
     feed = spark.read.parquet(outs["abnormal_feed"])
     alerts = K.read_keyed_latest(spark, outs["metric_alerts"], ["window_start", "patient_id", "metric_type"])
     stats = K.read_keyed_latest(spark, outs["window_statistics"], ["period_start"])
-    return (feed.select(F.lit("abnormal_feed").alias("query")).groupBy("query").agg(F.count(F.lit(1)).alias("rows_out"))
-            .unionByName(alerts.select(F.lit("metric_alerts").alias("query")).groupBy("query")
-                         .agg(F.count(F.lit(1)).alias("rows_out")))
-            .unionByName(stats.select(F.lit("window_statistics").alias("query")).groupBy("query")
-                         .agg(F.count(F.lit(1)).alias("rows_out"))))
+    none = F.lit(None).cast("string")
+    return (feed.select(F.lit("abnormal_feed").alias("query"), "patient_id", "metric_type", F.col("reading_timestamp").alias("at"),
+                        F.lit(None).cast("long").alias("n"), "value")
+            .unionByName(alerts.select(F.lit("metric_alerts").alias("query"), "patient_id", "metric_type",
+                                       F.col("window_start").alias("at"), F.col("abnormal_count").alias("n"), F.col("max_value").alias("value")))
+            .unionByName(stats.select(F.lit("window_statistics").alias("query"), none.alias("patient_id"), none.alias("metric_type"),
+                                      F.col("period_start").alias("at"), F.col("total_readings").alias("n"),
+                                      F.col("abnormal_rate_pct").alias("value"))))
+
+
+def _run_in_order(spark, sf_dir, start, slices: int = 3) -> None:
+    """Feed the messages in event-time order over several runs of one checkpoint, each a micro-batch of its own, then
+    the sentinel."""
+    src, ckpt = work_path(spark, "messages"), work_path(spark, "ckpt")
+    messages = reading_messages(load_readings(spark, sf_dir, keep_event_id=True))
+    first, last = messages.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
+    cut = F.least(F.floor((F.unix_micros("timestamp") - F.lit(first)) * slices / F.lit(max(1, last - first))), F.lit(slices - 1))
+    for i in range(slices):
+        messages.where(cut == i).write.mode("append").parquet(src)
+        start(_readings_stream(spark, src), ckpt).awaitTermination()
+    add_sentinel(spark, src)
+    start(_readings_stream(spark, src), ckpt).awaitTermination()
+
+
+_MINUTE = """date_trunc('minute', reading_timestamp)"""
+
+
+@register("window_totals_minute", with_readings(f"""
+SELECT {_MINUTE} + INTERVAL 1 MINUTE AS window_end, count(*) AS readings, CAST(count_if(is_abnormal) AS BIGINT) AS abnormal,
+       round(count_if(is_abnormal) / count(*) * 100, 2) AS abnormal_rate_pct FROM {_GOOD} GROUP BY 1"""))
+def q_window_totals_minute(spark, sf_dir):
+    """T7 over one-minute windows, fed in event-time order over several micro-batches."""
+    out = work_path(spark, "out")
+    _run_in_order(spark, sf_dir, lambda s, ck: K.start_append(T.window_totals(s, "1 minute"), out, ck))
+    return spark.read.parquet(out)
+
+
+@register("window_statistics_minute", with_readings(f"""
+SELECT {_MINUTE} AS period_start, {_MINUTE} + INTERVAL 1 MINUTE AS period_end, count(*) AS total_readings,
+       CAST(count_if(is_abnormal) AS BIGINT) AS abnormal_readings, count(DISTINCT patient_id) AS unique_patients,
+       round(count_if(is_abnormal) / count(*) * 100, 2) AS abnormal_rate_pct FROM {_GOOD} GROUP BY 1, 2"""))
+def q_window_statistics_minute(spark, sf_dir):
+    """T4 over one-minute windows, fed in event-time order over several micro-batches."""
+    out = work_path(spark, "out")
+    _run_in_order(spark, sf_dir, lambda s, ck: K.start_append(T.window_statistics(s, "1 minute"), out, ck))
+    return spark.read.parquet(out)
+
+
+@register("tumbling_metric_alerts_unrounded", with_readings(f"""
+SELECT {_DAY}, patient_id, metric_type, count(*) AS abnormal_count, avg(value) AS avg_value, max(value) AS max_value,
+       min(value) AS min_value FROM {_GOOD} AND is_abnormal GROUP BY 1, 2, patient_id, metric_type HAVING count(*) >= 2"""))
+def q_tumbling_metric_alerts_unrounded(spark, sf_dir):
+    """T3 with the values as they are, fed in event-time order over several micro-batches."""
+    out = work_path(spark, "out")
+    _run_in_order(spark, sf_dir, lambda s, ck: K.start_append(T.tumbling_metric_alerts(s, WINDOW, rounded=False), out, ck))
+    return spark.read.parquet(out)
+
+
+@register("statistics_by_processing_time", with_readings(f"""
+SELECT count(*) AS total_readings, CAST(count_if(is_abnormal) AS BIGINT) AS abnormal_readings,
+       round(count_if(is_abnormal) / count(*) * 100, 2) AS abnormal_rate_pct FROM {_GOOD}"""))
+def q_statistics_by_processing_time(spark, sf_dir):
+    """T4 on the time of processing (P3): one window long enough to hold the whole run; its bounds depend on the clock
+    and are left out, as is the approximate number of patients."""
+    src, out = write_messages(spark, sf_dir), work_path(spark, "out")
+    stamped = add_processed_at(readings_from_messages(message_stream(spark, src)))
+    K.start_update(T.window_statistics_approx(stamped, "36500 days", "processed_at"), out, work_path(spark, "ckpt"),
+                   output_mode="complete").awaitTermination()
+    return K.read_last_batch(spark, out).drop("period_start", "period_end", "unique_patients")
 
 
 @register("stream_batch_progress", with_readings(f"""
