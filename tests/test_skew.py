@@ -11,7 +11,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_ORACLE
+from pyspark.sql import functions as F
+
+from conftest import SF_ORACLE, SF_SMALL
 from harness import compare, duck
 from vitalspark.session import work_path
 from vitalspark.sources.tables import TABLES
@@ -80,3 +82,25 @@ def test_hot_patient_day_is_split_over_files(spark):
                 .groupBy(F.col("_metadata.file_path")).count().collect())
     assert len(per_file) >= 2 and max(x["count"] for x in per_file) < hot
     assert spark.read.parquet(path).count() == r.count()
+
+
+def test_a_third_of_all_updates_on_one_patient(spark):
+    """Child rows give the documents of the array form, and no stage holds a patient's entries in one row."""
+    from vitalspark.operators import documents as D
+    from vitalspark.operators import patient_tables as PT
+    from vitalspark.sources import fixtures as X
+    docs = X.load_patients(spark, SF_SMALL)
+    at = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))
+    hot = F.when(F.col("id") % 3 == 0, F.lit("P000007")).otherwise(F.format_string("P%06d", F.col("id") % 160))
+    base = spark.range(3000).select(hot.alias("patient_id"), F.col("id").alias("seq"), at.alias("at"), "id")
+    notes = base.select("patient_id", "seq", "at", F.lit("Dr").alias("doctor"), F.concat(F.lit("n"), "id").alias("note"))
+    scores = base.select("patient_id", "seq", "at", (F.col("id") % 100).cast("int").alias("new_score"),
+                         F.when(F.col("id") % 2 == 0, F.array(F.lit("f"))).otherwise(F.array().cast("array<string>")).alias("factors"))
+    t = PT.update_scores(PT.add_notes(PT.split(docs), notes), scores, batch=2)
+    old = D.update_risk_scores(D.add_medical_notes(docs, notes), scores)
+    same = lambda a, b: sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect()))
+    assert same(PT.flatten(t), D.flatten_patients(old))
+    assert same(PT.history_counts(t), D.history_counts(old))
+    assert "collect_list" not in PT.flatten(t)._jdf.queryExecution().toString()
+    one = spark.createDataFrame([("P000007",)], "patient_id string")
+    assert same(PT.assemble(t, one), old.where("patient_id = 'P000007'"))

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import documents as D
+from ..operators import patient_tables as PT
 from ..operators import recent, transforms
 from ..session import work_path
 from ..sinks.files import write_patients_table
@@ -138,8 +139,7 @@ FROM flat f LEFT JOIN (SELECT patient_id, count(*) AS k, arg_max(note, seq) AS l
                        FROM notes_upd GROUP BY patient_id) n ON n.patient_id = f.patient_id""",
     _FLAT, _PROFILE_UPD))
 def q_add_medical_notes(spark, sf_dir):
-    docs = D.add_medical_notes(X.load_patients(spark, sf_dir), X.note_updates(spark, sf_dir))
-    return D.flatten_patients(docs)
+    return PT.flatten(PT.add_notes(PT.split(X.load_patients(spark, sf_dir)), X.note_updates(spark, sf_dir)))
 
 
 _RISK_FLAT = f"""SELECT f.patient_id, name, date_of_birth, gender, phone, email, blood_type, conditions,
@@ -154,8 +154,7 @@ FROM flat f LEFT JOIN risk_upd r ON r.patient_id = f.patient_id"""
 
 @register("update_risk_scores", with_patients(_RISK_FLAT, _FLAT, _RISK_UPD))
 def q_update_risk_scores(spark, sf_dir):
-    docs = D.update_risk_scores(X.load_patients(spark, sf_dir), X.risk_updates(spark, sf_dir))
-    return D.flatten_patients(docs)
+    return PT.flatten(PT.update_scores(PT.split(X.load_patients(spark, sf_dir)), X.risk_updates(spark, sf_dir)))
 
 
 @register("bulk_risk_update", with_patients("""
@@ -184,6 +183,5 @@ FROM flat f LEFT JOIN risk_upd r ON r.patient_id = f.patient_id
 LEFT JOIN (SELECT patient_id, count(*) AS k FROM notes_upd GROUP BY patient_id) n ON n.patient_id = f.patient_id""",
     _FLAT, _PROFILE_UPD, _RISK_UPD))
 def q_history_counts(spark, sf_dir):
-    docs = D.add_medical_notes(X.load_patients(spark, sf_dir), X.note_updates(spark, sf_dir))
-    docs = D.update_risk_scores(docs, X.risk_updates(spark, sf_dir))
-    return D.history_counts(docs)
+    t = PT.add_notes(PT.split(X.load_patients(spark, sf_dir)), X.note_updates(spark, sf_dir))
+    return PT.history_counts(PT.update_scores(t, X.risk_updates(spark, sf_dir)))
