@@ -79,7 +79,6 @@ def test_low_sharing_bounds_do_not_change_the_result(spark, monkeypatch):
 
 def test_every_linked_pair_shares_an_indexed_signature():
     rng = np.random.default_rng(0)
-    none = (np.zeros(0, J.U), np.zeros(0, J.U))
     for n in [3, 4, 5, 6, 7, 8, 9, 11, 12, 13, 15, 16, 17, 23, 24, 31, 32, 40, 64, 100, 250, 1000]:
         for _ in range(60):
             base = rng.integers(0, 1 << 63, n, dtype=np.int64).astype(J.U)
@@ -90,8 +89,8 @@ def test_every_linked_pair_shares_an_indexed_signature():
             if 100 * both < 75 * (n + len(other) - both):
                 continue
             keys = [set(), set()]
-            for row, sig, size, need in J.signatures([np.sort(base), other]):
-                key = J.order_keys(sig, size, none)
+            shared = np.sort(rng.choice(base, n // 2, replace=False))
+            for row, key, need in J.signatures([np.sort(base), other], (shared, (shared % J.U(5)) + J.U(1))):
                 for r in (0, 1):
                     mine = np.sort(key[row == r])
                     if len(mine):
@@ -99,6 +98,16 @@ def test_every_linked_pair_shares_an_indexed_signature():
             assert keys[0] & keys[1] or np.array_equal(np.sort(base), other), n
 
 
+def test_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 100, 511, 512, 513, 700, 3000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.int64).astype(J.U)
+        other = np.concatenate([base[n // 5:], rng.integers(0, 1 << 63, n // 4, dtype=np.int64).astype(J.U)])
+        a, b = (np.frombuffer(x, J.U).reshape(1, -1) for x in J.parity_bitmaps([base, other]))
+        words = min(a.shape[1], b.shape[1])
+        assert np.bitwise_count(J.fold(a, words) ^ J.fold(b, words)).sum() <= n // 5 + n // 4
+
+
 def test_sets_do_not_depend_on_slices():
     texts = [t for _, t in corpus(3)]
     whole = [J.shingles(s) for s in slices(pa.array(texts), LOWER)][0]

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from vitalspark.session import materialize
 
 
-def components(edges: DataFrame, label: str = "components") -> DataFrame:
+def components(edges: DataFrame, label: str = "components", rounds: int | None = None) -> DataFrame:
     """node, component (its smallest node) of every node in ``edges`` (a, b).
+    With ``rounds``, stop after so many: then equal labels still mean connected
+    nodes, but a long chain may have several labels.
 
     Every round hangs each node's neighbours on the smallest of them, first the
     larger ones, then the smaller ones; the rounds end when no edge changes,
@@ -18,7 +20,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     to the driver."""
     tree = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(),
                        label)
-    before = None
+    before, done = None, 0
     while True:
         both = tree.unionByName(tree.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("node")).alias("low"))
@@ -33,9 +35,12 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
                  .unionByName(least.select(F.col("node").alias("u"), F.col("low").alias("v")))
                  .distinct())
         tree = materialize(small, label)
+        done += 1
+        if done == rounds:
+            break
         now = tree.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
-    nodes = tree.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.unionByName(tree.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    every = tree.select(F.col("u").alias("node"), "v").unionByName(tree.select(F.col("v").alias("node"), "v"))
+    return every.groupBy("node").agg(F.min("v").alias("component"))

@@ -10,9 +10,9 @@ shingles (their symmetric difference).  That drives the candidate search:
   by its hash.  A set's part in a segment is one signature.  One differing
   shingle spoils one segment, so of a set with N non-empty segments at least
   N - H signatures stand in its partner, H = size / 3.
-* Cost-based allocation.  Signatures have one global order: those that many
-  sets share last (by counts over the whole corpus), among the others segments
-  with more shingles first.  By the prefix lemma linked sets share one of the
+* Cost-based allocation.  Signatures have one global order: those made of
+  shingles that many sets share last (by the rarest of them, counted over the
+  whole corpus), among the others segments with more shingles first.  By the prefix lemma linked sets share one of the
   first H + 1 signatures of each, so only these are indexed.  A set with fewer
   than H + 1 non-empty segments (hash accident) indexes all, and is dealt out
   again by another hash, for partners in the same situation.
@@ -26,8 +26,8 @@ different components of one group are compared, first by sizes and parity
 bitmaps (the bits in which two bitmaps differ bound the difference from below),
 then exactly.  Groups whose members all link need no more than the first step.
 
-Equal sets are one class before all that.  Counts of signatures only set the
-order in which signatures are chosen; any order gives the same links.
+Equal sets are one class before all that.  Counts of shingles only set the order
+in which signatures are chosen; any order gives the same links.
 
 Defined cases: a null or empty text, or one of white space, has an empty set
 and links with nothing; with fewer words than a shingle the word sequence is
@@ -50,11 +50,13 @@ from vitalspark.llm.components import components
 from vitalspark.session import materialize
 
 WORDS = 5
-SHARED_FROM = 16            # a signature that so many sets (as counted) have is chosen last
-SHARED_KEPT = 1 << 20       # at most so many of the most shared signatures are told apart by the order
-COUNT_WINDOW = 1 << 22      # signatures a task counts at once
+SHARED_FROM = 4             # a shingle that so many sets (as counted) have is shared
+SHARED_KEPT = 1 << 20       # at most so many of the most shared shingles are told apart by the order
+COUNT_WINDOW = 1 << 22      # shingles a task counts at once
 FLUSH = 1 << 21             # index entries a task holds before it hands them on
-BITS = 512
+LEAST_BITS = 512            # of a parity bitmap; it has at least two bits a shingle
+TILE = 256                  # documents of a block that are verified against those of another
+FILTER_BITS = 1 << 25       # of the filter for the texts to verify
 FIRST_BAND = 6
 U = np.uint64
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], U)
@@ -102,16 +104,21 @@ def bands(n: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def signatures(sets: list[np.ndarray], seed: int = 0, only=None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each band, over all sets that visit it: (row, signature, size, need) of every non-empty segment, with need =
-    H + 1 of the row.  ``only`` gives the bands of each set in place of ``bands``."""
+Shared = tuple[np.ndarray, np.ndarray]      # sorted shingle hashes and their ranks
+NOTHING_SHARED: Shared = (np.zeros(0, U), np.zeros(0, U))
+
+
+def signatures(sets: list[np.ndarray], shared: Shared = NOTHING_SHARED, seed: int = 0, only=None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each band, over all sets that visit it: (row, key, need) of every non-empty segment, with need = H + 1 of the
+    row.  A key names the signature (56 bits) and orders it: those of shared shingles last, then larger segments first.
+    ``only`` gives the bands of each set in place of ``bands``."""
     out = []
     groups: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for r, x in enumerate(sets):
         for band, m, h in bands(len(x)) if only is None else only[r]:
             groups.setdefault((band, m), []).append((r, h))
     for (band, m), members in groups.items():
-        rows = [r for r, _ in members]
+        rows = np.array([r for r, _ in members])
         tokens = np.concatenate([sets[r] for r in rows])
         size = np.array([len(sets[r]) for r in rows])
         row = np.repeat(np.arange(len(rows)), size)
@@ -123,39 +130,57 @@ def signatures(sets: list[np.ndarray], seed: int = 0, only=None) -> list[tuple[n
             whole = mix64(total + salt + size.astype(U))
             without = mix64(total[row] - value + salt + (size[row] - 1).astype(U))
             r = np.concatenate([np.arange(len(rows)), row])
-            out.append((np.asarray(rows)[r], np.concatenate([whole, without]), np.full(len(r), 255), np.full(len(r), 1 << 30)))
+            out.append((rows[r], np.concatenate([whole, without]) >> U(8), np.full(len(r), 1 << 30)))
             continue
+        rank = np.zeros(len(tokens), U)
+        if len(shared[0]):
+            at = np.minimum(np.searchsorted(shared[0], tokens), len(shared[0]) - 1)
+            rank = np.where(shared[0][at] == tokens, shared[1][at], U(0))
+        place = tokens
         if seed:
-            place = mix64(tokens ^ (U(seed) * _STEP[4]))
+            place = mix64(tokens ^ (U(seed) * _STEP[4:5]))
             order = np.lexsort((place, row))
-            place, value = place[order], value[order]
-        else:
-            place = tokens
+            place, value, rank = place[order], value[order], rank[order]
         segment = ((place >> U(32)) * U(m)) >> U(32)      # grows with the hash, so a segment's shingles are neighbours
         first = np.flatnonzero(np.concatenate([[True], (segment[1:] != segment[:-1]) | (row[1:] != row[:-1])]))
         count = np.diff(np.append(first, len(segment)))
         sig = mix64(np.add.reduceat(value, first) + salt + segment[first] * _STEP[0] + count.astype(U) * _STEP[1])
+        least = np.minimum.reduceat(rank, first)
+        key = (np.where(least > 0, least + U(15), (15 - np.minimum(count, 15)).astype(U)) << U(56)) | (sig >> U(8))
         r = row[first]
-        out.append((np.asarray(rows)[r], sig, count, need[r]))
-        have = np.bincount(r, minlength=len(rows))
-        short = np.flatnonzero(have < need)
+        out.append((rows[r], key, need[r]))
+        short = np.flatnonzero(np.bincount(r, minlength=len(rows)) < need)
         if len(short) and seed < 16:
-            again = [sets[rows[i]] for i in short]
             kept = [[(band, m, int(need[i]) - 1)] for i in short]
-            back = np.asarray(rows)[short]
-            out += [(back[a], b, c, d) for a, b, c, d in signatures(again, seed + 1, kept)]
+            out += [(rows[short][a], b, c) for a, b, c in signatures([sets[rows[i]] for i in short], shared, seed + 1, kept)]
     return out
 
 
-def order_keys(sig: np.ndarray, size: np.ndarray, shared: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """One number a signature that names it (56 bits) and orders it: shared ones last, larger segments first."""
-    rank = (15 - np.minimum(size, 15)).astype(U)
-    if len(shared[0]):
-        at = np.searchsorted(shared[0], sig)
-        at[at == len(shared[0])] = 0
-        hit = shared[0][at] == sig
-        rank[hit] = shared[1][at[hit]]
-    return (rank << U(56)) | (sig >> U(8))
+def parity_bitmaps(sets: list[np.ndarray]) -> list[bytes]:
+    """A bitmap of each set in which every shingle flips one bit, with a power of two of bits, at least two a
+    shingle.  The bits in which two differ (the longer folded onto the shorter) are no more than the sets' difference."""
+    n = np.array([len(x) for x in sets])
+    bits = np.maximum(LEAST_BITS, 1 << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64))
+    start = np.cumsum(bits) - bits
+    at = np.repeat(start, n) + (np.concatenate([*sets, np.zeros(0, U)]) & (np.repeat(bits, n) - 1).astype(U)).astype(np.int64)
+    packed = np.packbits((np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8), bitorder="little").tobytes()
+    return [packed[a // 8:(a + b) // 8] for a, b in zip(start.tolist(), bits.tolist())]
+
+
+def fold(matrix: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (rows of 64-bit words) folded to so many words."""
+    while matrix.shape[1] > words:
+        half = matrix.shape[1] // 2
+        matrix = matrix[:, :half] ^ matrix[:, half:]
+    return matrix
+
+
+def may_link(a: np.ndarray, na: int, b: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Whether sizes and bitmaps allow a similarity of 3/4 of set a with each of b: the difference is at most 1/7 of the
+    sizes' sum."""
+    words = min(a.shape[-1], b.shape[1])
+    away = np.bitwise_count(fold(b, words) ^ fold(a.reshape(1, -1), words)).sum(axis=1)
+    return (7 * away <= na + nb) & (4 * np.minimum(na, nb) >= 3 * np.maximum(na, nb))
 
 
 class _Seen:
@@ -176,72 +201,74 @@ def _digest(x: np.ndarray) -> bytes:
 
 
 def profiles(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """One row a document: doc_id, n, digest, bits; and rows with n = -1 that hold signatures found more than once by a
-    task among different sets, with their counts (sigs, counts: packed)."""
+    """One row a document: doc_id, n, digest, bits; and rows with n = -1 that hold shingles found more than once by a
+    task among different sets, with their counts (tokens, counts: packed)."""
     def run(batches):
         seen, held, n_held = _Seen(), [], 0
 
         def counted():
-            sig, n = np.unique(np.concatenate(held), return_counts=True)
-            sig, n = sig[n > 1], n[n > 1]
+            x = np.concatenate(held)
+            held.clear()
+            x.sort()
+            again = x[1:] == x[:-1]
+            if len(x) > 2:
+                again[1:] &= x[2:] != x[:-2]      # the second of each run
+            token = x[1:][again]
+            n = np.searchsorted(x, token, "right") - np.searchsorted(x, token, "left")
             return pa.record_batch([pa.array([None], pa.int64()), pa.array([-1], pa.int32()), pa.array([None], pa.binary()),
-                                    pa.array([None], pa.binary()), pa.array([sig.tobytes()], pa.binary()),
+                                    pa.array([None], pa.binary()), pa.array([token.tobytes()], pa.binary()),
                                     pa.array([n.astype(np.int64).tobytes()], pa.binary())], names=names)
 
         for batch in batches:
             for s in slices(batch.column(1), LOWER):
                 sets = shingles(s, k)
                 digests = [_digest(x) if len(x) else None for x in sets]
-                row = np.repeat(np.arange(s.n), [len(x) for x in sets])
-                bit = (np.concatenate(sets) & U(BITS - 1)).astype(np.int64)
-                parity = (np.bincount(row * BITS + bit, minlength=s.n * BITS) & 1).astype(np.uint8).reshape(s.n, BITS)
-                bits = np.packbits(parity, axis=1)
                 none = pa.nulls(s.n, pa.binary())
                 yield pa.record_batch([batch.column(0).slice(s.first, s.n).cast(pa.int64()), pa.array([len(x) for x in sets], pa.int32()),
-                                       pa.array(digests, pa.binary()), pa.array([b.tobytes() for b in bits], pa.binary()), none, none], names=names)
+                                       pa.array(digests, pa.binary()), pa.array(parity_bitmaps(sets), pa.binary()), none, none], names=names)
                 fresh = [x for x, d in zip(sets, digests) if d and seen.new(d)]
-                for _, sig, _, _ in signatures(fresh):
-                    held.append(sig)
-                    n_held += len(sig)
+                held += fresh
+                n_held += sum(map(len, fresh))
                 if n_held > COUNT_WINDOW:
                     yield counted()
-                    held, n_held = [], 0
+                    n_held = 0
         if held:
             yield counted()
 
-    names = ["doc_id", "n", "digest", "bits", "sigs", "counts"]
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, digest binary, bits binary, sigs binary, counts binary")
+    names = ["doc_id", "n", "digest", "bits", "tokens", "counts"]
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, digest binary, bits binary, tokens binary, counts binary")
 
 
-def shared_signatures(profile: DataFrame, most: int = SHARED_KEPT) -> tuple[np.ndarray, np.ndarray]:
-    """The signatures that the most sets share, sorted, and their rank in the order (16 up); at most ``most``."""
+def shared_shingles(profile: DataFrame, most: int = SHARED_KEPT) -> Shared:
+    """The shingles that the most sets share, sorted, and their ranks; at most ``most``."""
     def unpack(batches):
         for batch in batches:
-            for sig, n in zip(batch.column(0), batch.column(1)):
-                yield pa.record_batch([pa.array(np.frombuffer(sig.as_buffer(), np.int64)), pa.array(np.frombuffer(n.as_buffer(), np.int64))],
-                                      names=["sig", "n"])
-
-    spark = profile.sparkSession
-    counts = materialize(profile.where("n = -1").select("sigs", "counts").mapInArrow(unpack, "sig long, n long")
-                         .groupBy("sig").agg(F.sum("n").alias("n")).where(F.col("n") >= SHARED_FROM)
-                         .withColumn("rank", (F.floor(F.log2("n") * 4)).cast("int")), "shared-signatures")
-    room, least = most, 1 << 30
+            for token, n in zip(batch.column(0), batch.column(1)):
+                yield pa.record_batch([pa.array(np.frombuffer(token.as_buffer(), np.int64)), pa.array(np.frombuffer(n.as_buffer(), np.int64))],
+                                      names=["token", "n"])
+
+    counts = materialize(profile.where("n = -1").select("tokens", "counts").mapInArrow(unpack, "token long, n long")
+                         .groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= SHARED_FROM)
+                         .withColumn("rank", (F.floor(F.log2("n") * 4)).cast("int")), "shared-shingles")
+    room, least = most, None
     for rank, n in sorted((tuple(r) for r in counts.groupBy("rank").count().collect()), reverse=True):     # at most 256 ranks
         if n > room:
             break
         room, least = room - n, rank
-    got = spark.createDataFrame([], "sig long, rank int").toPandas() if least == 1 << 30 else counts.where(F.col("rank") >= least).select("sig", "rank").toPandas()
-    sig = got["sig"].to_numpy(np.int64).view(U)
-    order = np.argsort(sig)
-    return sig[order], np.minimum(got["rank"].to_numpy(np.int64)[order], 238).astype(U) + U(16)
+    if least is None:
+        return NOTHING_SHARED
+    got = counts.where(F.col("rank") >= least).select("token", "rank").toPandas()
+    token = got["token"].to_numpy(np.int64).view(U)
+    order = np.argsort(token)
+    return token[order], np.clip(got["rank"].to_numpy(np.int64)[order], 1, 239).astype(U)
 
 
-def groups(docs: DataFrame, shared: tuple[np.ndarray, np.ndarray], k: int = WORDS) -> DataFrame:
+def groups(docs: DataFrame, shared: Shared, k: int = WORDS) -> DataFrame:
     """members: the sorted doc_ids of each list of two or more different documents that share an indexed signature."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = 2 * parts
-    table = spark.sparkContext.broadcast(shared)      # size: SHARED_KEPT signatures at most
+    table = spark.sparkContext.broadcast(shared)      # size: SHARED_KEPT shingles at most
 
     def index(batches):
         seen, keys, ids, held = _Seen(), [], [], 0
@@ -263,8 +290,7 @@ def groups(docs: DataFrame, shared: tuple[np.ndarray, np.ndarray], k: int = WORD
                 sets = shingles(s, k)
                 fresh = [i for i, x in enumerate(sets) if len(x) > 2 and seen.new(_digest(x))]
                 doc = doc[fresh]
-                for row, sig, size, need in signatures([sets[i] for i in fresh]):
-                    key = order_keys(sig, size, table.value)
+                for row, key, need in signatures([sets[i] for i in fresh], table.value):
                     order = np.argsort(row, kind="stable")
                     row, key, need = row[order], key[order], need[order]
                     first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
@@ -312,54 +338,110 @@ def groups(docs: DataFrame, shared: tuple[np.ndarray, np.ndarray], k: int = WORD
 NULL_ID = -(1 << 63)
 
 
-def verify(pairs: DataFrame, docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * intersection >= 75 * union.  Only texts of documents in a pair are read
-    into sets, each once."""
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+def _filter_places(ids: np.ndarray) -> np.ndarray:
+    """Four bits of the filter for each id."""
+    return np.stack([(mix64(ids.view(U) + U(j + 1) * _STEP[:1]) % U(FILTER_BITS)).astype(np.int64) for j in range(4)])
 
-    def pack(batches):
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of fixed size over the column ``id``: bytes with eight bits each."""
+    def words(batches):
         for batch in batches:
-            for s in slices(batch.column(1), LOWER):
-                yield pa.record_batch([batch.column(0).slice(s.first, s.n).cast(pa.int64()),
-                                       pa.array([x.tobytes() for x in shingles(s, k)], pa.binary())], names=["id", "tokens"])
+            at = _filter_places(batch.column(0).to_numpy().astype(np.int64)).ravel()
+            yield pa.record_batch([pa.array(at >> 6), pa.array(np.int64(1) << (at & 63))], names=["word", "bits"])
 
-    def test(batches):
+    got = ids.mapInArrow(words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()   # FILTER_BITS / 64 rows at most
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
+    return out.view(np.uint8)
+
+
+def verify(pairs: DataFrame, docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """The pairs (a, b) whose sets have 100 * intersection >= 75 * union, from the texts.  A filter keeps the texts of
+    other documents out of the shuffle."""
+    spark = docs.sparkSession
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    shared = spark.sparkContext.broadcast(id_filter(ids))      # size: FILTER_BITS
+
+    def chosen(batches):
+        bits = shared.value
         for batch in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                both = int((y[at] == x).sum())
-                if 100 * both >= 75 * (len(x) + len(y) - both):
-                    keep.append(i)
-            yield pa.record_batch([batch.column(0).take(pa.array(keep, pa.int32())), batch.column(1).take(pa.array(keep, pa.int32()))], names=["a", "b"])
-
-    texts = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text").join(ids, "id", "left_semi")
-    sets = materialize(texts.mapInArrow(pack, "id long, tokens binary"), "sets")
-    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return joined.mapInArrow(test, "a long, b long").distinct()
+            at = _filter_places(batch.column(0).to_numpy().astype(np.int64))
+            yield batch.filter(pa.array(((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0)))
+
+    texts = materialize(docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text").where("text IS NOT NULL")
+                        .mapInArrow(chosen, "id long, text string"), "set-texts")
+    # documents of one family stand in few blocks, so a tile (two blocks) holds many pairs and each text goes to few tiles
+    near = components(pairs, "set-tiles", rounds=1)
+    blocks = (near.join(near.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("blocks")), "component")
+              .select("node", F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block")))
+    tiled = pairs.select("a", "b")
+    for side in ("a", "b"):
+        tiled = tiled.join(blocks.select(F.col("node").alias(side), F.col("block").alias(f"{side}_block")), side)
+    tiled = materialize(tiled.select(F.xxhash64("a_block", "b_block").alias("tile"), "a", "b"), "set-tiles")
+    held = tiled.select("tile", F.explode(F.array("a", "b")).alias("id")).distinct().join(texts, "id").select(F.col("tile").alias("of"), "id", "text")
+
+    def test(pair, text):
+        sets = {}
+        ids = text["id"].combine_chunks()
+        for s in slices(text["text"], LOWER):
+            for i, x in enumerate(shingles(s, k)):
+                sets.setdefault(ids[s.first + i].as_py(), []).append(x)
+        keep = [any(_similar(x, y) for x in sets.get(a, ()) for y in sets.get(b, ()))
+                for a, b in zip(pair["a"].to_pylist(), pair["b"].to_pylist())]
+        return pair.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return tiled.groupBy("tile").cogroup(held.groupBy("of")).applyInArrow(test, "a long, b long").distinct()
+
+
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """100 * intersection >= 75 * union, of sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[at] == x).sum())
+    return 100 * both >= 75 * (len(x) + len(y) - both)
+
+
+def pass_bitmaps(pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b, a_n, b_n, a_bits, b_bits) that may link."""
+    def run(batches):
+        for batch in batches:
+            a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
+            keep = [may_link(np.frombuffer(x.as_buffer(), U), int(na[i]), np.frombuffer(y.as_buffer(), U).reshape(1, -1), nb[i:i + 1].astype(np.int64))[0]
+                    for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5)))]
+            yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b", "a_n", "b_n", "a_bits", "b_bits").mapInArrow(run, "a long, b long")
 
 
 def across(members: DataFrame) -> DataFrame:
-    """(a, b) of members (gid, id, n, bits, component) of one group, in different components, that sizes and bitmaps allow."""
-    def run(batch):
-        ids, n = batch.column("id").to_numpy(), batch.column("n").to_numpy().astype(np.int64)
-        comp = batch.column("component").to_numpy()
-        bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), U).reshape(len(ids), BITS // 64)
-        order = np.argsort(n, kind="stable")
-        ids, n, comp, bits = ids[order], n[order], comp[order], bits[order]
-        a, b = [], []
-        for i in range(len(ids)):
-            end = int(np.searchsorted(n, 4 * n[i] // 3, "right"))
-            away = np.bitwise_count(bits[i + 1:end] ^ bits[i]).sum(axis=1)
-            j = i + 1 + np.flatnonzero((7 * away <= n[i] + n[i + 1:end]) & (comp[i + 1:end] != comp[i]))
-            a.append(np.minimum(ids[j], ids[i]))
-            b.append(np.maximum(ids[j], ids[i]))
+    """(a, b) of members (gid, id, n, bits, component) of one group, in different components, that may link."""
+    def run(group):
+        order = np.argsort(group["n"].to_numpy(), kind="stable")
+        group = group.take(pa.array(order)).combine_chunks()
+        ids, comp, n = group["id"].to_numpy(), group["component"].to_numpy(), group["n"].to_numpy().astype(np.int64)
+        bits = [np.frombuffer(x.as_buffer(), U) for x in group["bits"]]
+        width = np.array([len(x) for x in bits])      # grows with n
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for w in np.unique(width):
+            own = np.flatnonzero(width == w)
+            # partners are at most a third longer, so their bitmaps are as long or twice as long
+            mine = np.stack([bits[i] for i in own])
+            next_ = np.flatnonzero(width == 2 * w)
+            reach = np.concatenate([own, next_])
+            table = np.concatenate([mine, fold(np.stack([bits[i] for i in next_]), w)]) if len(next_) else mine
+            last = np.searchsorted(n[reach], 4 * n[own] // 3, "right")
+            for i in range(len(own)):
+                if last[i] <= i + 1:
+                    continue
+                j = np.arange(i + 1, last[i])
+                j = j[comp[reach[j]] != comp[own[i]]]
+                if len(j):
+                    away = np.bitwise_count(table[j] ^ mine[i]).sum(axis=1)
+                    j = reach[j[7 * away <= n[own[i]] + n[reach[j]]]]
+                    a.append(np.minimum(ids[j], ids[own[i]]))
+                    b.append(np.maximum(ids[j], ids[own[i]]))
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     return members.groupBy("gid").applyInArrow(run, "a long, b long")
@@ -371,7 +453,7 @@ def jaccard_join(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame,
 
     Links that only repeat a component (both ends joined by other links of one group) may be absent."""
     profile = materialize(profiles(docs, k), "set-profiles")
-    shared = shared_signatures(profile)
+    shared = shared_shingles(profile)
     rows = profile.where("n >= 0").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "n", "digest", "bits")
     firsts = rows.where("n > 0").groupBy("digest").agg(F.min("id").alias("class_id"))
     classes = materialize(rows.join(firsts, "digest", "left").select("id", "n", "bits", F.coalesce("class_id", "id").alias("class_id")), "set-classes")
@@ -379,27 +461,28 @@ def jaccard_join(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame,
     found = materialize(groups(docs, shared, k).distinct(), "set-groups")
 
     def described(pairs: DataFrame) -> DataFrame:
-        """Pairs of classes, once each, that sizes allow."""
+        """Pairs of classes, once each, that may link."""
         for side in ("a", "b"):
-            pairs = pairs.join(members.select(F.col("id").alias(side), F.col("n").alias(f"{side}_n"), F.col("class_id").alias(f"{side}_class")), side)
-        pairs = pairs.where((F.col("a_class") != F.col("b_class")) & (4 * F.least("a_n", "b_n") >= 3 * F.greatest("a_n", "b_n")))
-        return pairs.select(F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b")).distinct()
+            own = members.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("n", "class_id", "bits")])
+            pairs = pairs.join(own, side)
+        pairs = pairs.where((F.col("a_class_id") != F.col("b_class_id")) & (4 * F.least("a_n", "b_n") >= 3 * F.greatest("a_n", "b_n")))
+        pairs = pairs.drop("a", "b").withColumnsRenamed({"a_class_id": "a", "b_class_id": "b"})
+        return pass_bitmaps(pairs).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     star = found.select(F.element_at("members", 1).alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b")).distinct()
     tried = materialize(described(star), "set-pairs")
     links = materialize(verify(tried, docs, k), "set-links")
-    linked = materialize(components(links), "set-components")
+    # two rounds tell apart what is worth comparing; the components of all links come last
+    near = materialize(components(links, rounds=2), "set-components")
 
     large = found.where(F.size("members") > 2).select(F.xxhash64("members").alias("gid"), F.explode("members").alias("id"))
-    placed = (large.join(members, "id").join(linked, F.col("class_id") == F.col("node"), "left")
+    placed = (large.join(members, "id").join(near, F.col("class_id") == F.col("node"), "left")
               .select("gid", F.col("class_id").alias("id"), "n", "bits", F.coalesce("component", "class_id").alias("component")).distinct())
     mixed = placed.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("gid")
     more = materialize(across(placed.join(mixed, "gid")).distinct().join(tried, ["a", "b"], "left_anti"), "set-across")
     if not more.isEmpty():
-        new = materialize(verify(more, docs, k), "set-links")
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            linked = materialize(components(links), "set-components")
+        links = links.unionByName(materialize(verify(more, docs, k), "set-links"))
+    linked = materialize(components(links), "set-components")
     out = (classes.join(linked, F.col("class_id") == F.col("node"), "left")
            .select(_id("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), _id(F.coalesce("component", "class_id")).alias("component_id")))
     return out, links, classes.select(_id("id").alias("doc_id"), _id("class_id").alias("class_id"))
