@@ -30,14 +30,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     docs = docs.select(COLUMNS)
     found, _, _ = set_join.jaccard_join(docs)
     rest = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("dropped")).distinct()
-    return docs.join(rest, docs.doc_id == rest.dropped, "left_anti")
+    # the ids grow with the documents: one plan for every size
+    return docs.join(rest.hint("merge"), docs.doc_id == rest.dropped, "left_anti")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document as the mixture takes; rows of one id get the smallest number that falls to them."""
     docs = docs.select(COLUMNS)
     copies = materialize(mixing.mix(docs).groupBy(F.col("doc_id").alias("id")).agg(F.min("copies").alias("copies")).where("copies > 0"), "copies")
-    out = docs.join(copies, docs.doc_id.eqNullSafe(copies.id))
+    out = docs.join(copies.hint("merge"), docs.doc_id.eqNullSafe(copies.id))
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(COLUMNS)
 
 
