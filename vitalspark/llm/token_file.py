@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalspark.llm.arrow_text import PieceEncoder, slices
-from vitalspark.session import materialize, work_path
+from vitalspark.session import work_path
 
 LIMIT = 18
 BLOCK_TOKENS = 1 << 18
@@ -138,7 +138,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Data
         if tokenizer_path not in _encoders:
             tk = Tokenizer.from_str(spec.value)
             tk.encode_special_tokens = True
-            _encoders[tokenizer_path] = PieceEncoder(lambda texts: [e.ids for e in tk.encode_batch(texts, add_special_tokens=False)])
+            _encoders[tokenizer_path] = PieceEncoder(lambda texts: [e.ids for e in tk.encode_batch_fast(texts, add_special_tokens=False)])
         for batch in batches:
             for s in slices(batch.column(1)):
                 ids, at = _encoders[tokenizer_path].encode(s)
@@ -258,7 +258,9 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
 def op2_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     path = public_tokenizers.path("byte_bpe_50k.json")
-    tokens = materialize(tokenize(spark.read.parquet(f"{sf_dir}/documents.parquet"), path), "token-ids")
+    ids = work_path(spark, "token-ids")     # written once, for the counts and the file
+    tokenize(spark.read.parquet(f"{sf_dir}/documents.parquet"), path).write.option("compression", "zstd").parquet(ids)
+    tokens = spark.read.parquet(ids)
     out = work_path(spark, "token-file")
     write_token_file(tokens, id_kind(path), out, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return read_token_file(spark, out)
