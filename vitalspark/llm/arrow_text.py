@@ -134,7 +134,8 @@ class PieceEncoder:
     each different piece is encoded once and its ids kept, for as many as
     KEEP pieces.  The ids are those of the whole text."""
 
-    KEEP = 1_500_000
+    KEEP = 1_000_000
+    AT_ONCE = 4096
 
     def __init__(self, encode_batch):
         self.encode_batch = encode_batch  # list of str -> list of id lists
@@ -188,7 +189,9 @@ class PieceEncoder:
         if not spans:
             return
         new = self._unknown(piece)
-        got = self.encode_batch([buf[a:b].tobytes().decode("utf-8", "replace") for a, b in spans])
+        got = []
+        for i in range(0, len(spans), self.AT_ONCE):     # the library's own results are much larger than the ids
+            got += self.encode_batch([buf[a:b].tobytes().decode("utf-8", "replace") for a, b in spans[i:i + self.AT_ONCE]])
         count = np.fromiter(map(len, got), np.int32, len(got))
         at = len(self.pool) + np.cumsum(count, dtype=np.int64) - count
         self.pool = np.concatenate([self.pool, np.fromiter((i for x in got for i in x), np.int32, int(count.sum()))])

@@ -121,7 +121,7 @@ def _worker(spec: str, rank_path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tk = Tokenizer.from_str(spec)
-    encoder = PieceEncoder(lambda texts: [e.ids for e in tk.encode_batch(texts, add_special_tokens=False)])
+    encoder = PieceEncoder(lambda texts: [e.ids for e in tk.encode_batch_fast(texts, add_special_tokens=False)])
     return encoder, ByteTable(read_ranks(rank_path))
 
 
