@@ -91,3 +91,63 @@ def test_large_counts_and_empty_training(spark):
     none = K.score(df, K.train(df.where("false"))).collect()
     assert all(r.score == 0 and r.base_score == 0 and r.n_known == 0 for r in none)
     assert K.score(df.where("false"), K.train(df)).count() == 0
+
+
+class Brute3(Brute):
+    """Order 3: bigrams count the different words before them, those of the start as they occur."""
+
+    def __init__(self, texts):
+        super().__init__(texts)
+        self.triples, self.after3, self.held3 = Counter(), Counter(), defaultdict(float)
+        for t in texts:
+            w = ["<s>", *self.words(t), "</s>"]
+            self.triples.update(zip(w, w[1:], w[2:]))
+        self.pairs = Counter({p: n for p, n in self.pairs.items() if p[0] == "<s>"})
+        self.pairs.update((h, w) for _, h, w in self.triples)
+        t = lambda values: [sum(v == k for v in values) for k in (1, 2, 3, 4)]
+        self.d, self.f = K.discounts(t(self.pairs.values())), K.discounts(t(self.triples.values()))
+        self.after, self.held = Counter(), defaultdict(float)
+        for (h, _), n in self.pairs.items():
+            self.after[h] += n
+            self.held[h] += self.d[min(n, 3)]
+        for (g, h, _), n in self.triples.items():
+            self.after3[g, h] += n
+            self.held3[g, h] += self.f[min(n, 3)]
+
+    def p3(self, g, h, w):
+        if not self.after3[g, h]:
+            return self.p(h, w)
+        n = self.triples[g, h, w]
+        return max(n - self.f[min(n, 3)], 0) / self.after3[g, h] + self.held3[g, h] / self.after3[g, h] * self.p(h, w)
+
+    def row(self, t):
+        w = ["<s>", *self.words(t), "</s>"]
+        score = math.log10(self.p(*w[:2])) + sum(math.log10(self.p3(*x)) for x in zip(w, w[1:], w[2:]))
+        return (*super().row(t)[:4], score)
+
+
+@pytest.mark.parametrize("window", [1 << 22, 500])
+def test_trigrams_against_dictionaries(spark, monkeypatch, window):
+    monkeypatch.setattr(K, "WINDOW", window)
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS n", "'x' AS before").repartition(4)
+    out = K.score(df, K.train(df.where(~K.held_out()), 3)).collect()
+    brute = Brute3([t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2])
+    assert len(out) == len(rows)
+    for r in out:
+        want = brute.row(rows[r.doc_id][1])
+        got = (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score)
+        assert got[:3] == want[:3] and got[3:] == pytest.approx(want[3:], rel=1e-9), rows[r.doc_id]
+    for g, h in [("<s>", "w0"), ("w0", "w1"), ("hot", "hot"), ("w0", "never seen")]:
+        assert sum(brute.p3(g, h, w) for w in [*brute.c, "unknown"]) == pytest.approx(1)
+    none = K.score(df, K.train(df.where("false"), 3)).collect()
+    assert all(r.score == 0 and r.n_known == 0 for r in none)
+
+
+def test_the_query_knows_more_than_one_word_of_context(spark, tmp_path):
+    """After "b c" comes "d" if "a" stands before it, else "e"; one word of context can't tell."""
+    texts = ["a b c d"] * 40 + ["x b c e"] * 40 + ["c d a b", "b c e x"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.score for r in K.op5_kneser_ney(spark, str(tmp_path)).collect()}
+    brute = Brute3([t for i, t in enumerate(texts * 3) if zlib.crc32(str(i).encode()) % 7 != 2])
+    assert all(got[i] == pytest.approx(brute.row(t)[4]) for i, t in enumerate(texts * 3))

@@ -1,18 +1,28 @@
-"""Interpolated modified Kneser-Ney bigram model: counted in Spark, stored as sorted arrays, memory-mapped for scoring.
+"""Interpolated modified Kneser-Ney model of order 2 or 3: counted in Spark, stored as sorted arrays, memory-mapped for scoring.
 
 Words are counted by hash; a word's id is the rank of its hash, so ids need no
 dictionary but the sorted hashes.  Bigrams are (context id, word id) in one
-64-bit number.  Both are counted by tasks first, then dealt out, words by hash
-range and bigrams by a hash of the context; a context that starts a large part
-of all bigrams is split by its words.  So no task depends on how common a word
-or pair is.  Every bucket becomes files of sorted arrays in the shared folder,
-which workers map into memory:
+64-bit number; a trigram is its last two words' bigram and the word before.
+Both are counted by tasks first, then dealt out, words by hash range and
+n-grams by a hash of the last context word; one that starts a large part of all
+bigrams is split by its words.  So no task depends on how common a word or pair
+is, and a bigram's trigrams stand in its own bucket.  Every bucket becomes files
+of sorted arrays in the shared folder, which workers map into memory:
 
 * words: hash, count, continuation count (different contexts seen before the
-  word), and of the word as a context: bigrams seen, once, twice
+  word), and of the word as a context: bigrams seen, once, twice, their sum
 * bigrams: key, count (one byte; larger ones apart)
+* trigrams: place of the bigram in its bucket and the word before, count
+* two words as a context: sum, trigrams seen, once, twice; a context seen once
+  is not stored, its bigram says that it was seen
 
-p(w|h) = max(c(hw) - D(c), 0) / c(h) + g(h) p(w), with g(h) the discounted mass,
+Order 2 counts bigrams as they occur.  Order 3 counts trigrams so; a bigram's
+count is then the number of different words before it, but bigrams of a row's
+start, which has nothing before it, count as they occur.  A row's first word
+has one word of context, the start, in either order.
+
+p(w|gh) = max(c(ghw) - D3(c), 0) / c(gh) + g(gh) p(w|h),
+p(w|h) = max(c(hw) - D(c), 0) / c(h) + g(h) p(w), with g the discounted mass, c(h) the sum of c(hw),
 p(w) = max(a(w) - E(a), 0) / A + g / (V + 1), a the continuation counts; discounts
 follow from counts of counts.  The V + 1 also counts one unknown word, so the
 probabilities after any context add up to 1.
@@ -42,6 +52,8 @@ U = np.uint64
 START, END = mix64(np.array([0x5EED0001, 0x5EED0002], U))
 WINDOW = 1 << 22            # tokens that a task counts at once
 SLICE = 4 << 20
+ORDER = 3                   # of the query's model
+NONE = (1 << 32) - 1        # before a row's start
 
 
 # ---- files in the shared folder --------------------------------------------------------------------------------------
@@ -190,24 +202,60 @@ def _pair_bucket(key: np.ndarray, hot: np.ndarray, parts: int) -> np.ndarray:
     return _range(mixed, parts)
 
 
-def count_pairs(docs: DataFrame, folder: str, parts: int, shared) -> tuple[list, list, dict]:
-    """Bigram files (bucket, key file, count file, key file and count file of the large counts), word files
-    (bucket, continuation, seen, once, twice) and counts of counts (``pairs``, ``words``: how many occur 1, 2, 3, 4 times;
-    ``types``: bigrams; ``kinds``: words with a continuation)."""
+def _counted(pair: np.ndarray, before: np.ndarray, n: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each different (pair, before), sorted, with its sum of n; in order 2 ``before`` is 0."""
+    by = np.lexsort((before, pair)) if order > 2 else np.argsort(pair, kind="stable")
+    pair, before, n = pair[by], before[by], n[by]
+    first = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (before[1:] != before[:-1])])) if len(pair) else np.zeros(0, np.int64)
+    return pair[first], before[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _of_counts(n: np.ndarray) -> list[int]:
+    return [int((n == k).sum()) for k in (1, 2, 3, 4)] + [len(n)]
+
+
+def _write_counts(folder: str, key: np.ndarray, n: np.ndarray) -> list[str]:
+    big = n >= 255
+    return [write_array(folder, x) for x in (key, np.minimum(n, 255).astype(np.uint8), key[big], n[big])]
+
+
+def _context_sums(context: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each different context: the sum of n, how many n, how many are 1, how many 2."""
+    order = np.argsort(context, kind="stable")
+    return _row_sums(context[order], np.stack([n, np.ones(len(n)), n == 1, n == 2], axis=1).astype(np.int64)[order])
+
+
+def _row_sums(key: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows of each key, from sorted keys."""
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(rows, first, axis=0) if len(first) else rows
+
+
+def _is_hot(word: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    return np.isin(word, hot) if len(hot) else np.zeros(len(word), bool)
+
+
+def count_grams(docs: DataFrame, folder: str, parts: int, shared, order: int) -> tuple[list, list, list, dict]:
+    """Files of n-grams (bucket, key file, count file, key file and count file of the large counts, of bigrams and in order 3 of
+    trigrams), word files (bucket, continuation, seen, once, twice, sum), context files (bucket, keys, sums) and counts of counts
+    (``pairs``, ``words``, ``triples``: how many occur 1, 2, 3, 4 times, and how many there are)."""
     def local(batches):
         words, hot = _opened(shared)
         held, n = [], 0
 
         def out():
-            key, count = np.unique(np.concatenate(held), return_counts=True)
-            return pa.record_batch(_blobs(_pair_bucket(key, hot, parts), key, count.astype(np.int64)), names=["bucket", "keys", "counts"])
+            pair, before = (np.concatenate(x) for x in zip(*held))
+            pair, before, count = _counted(pair, before, np.ones(len(pair), np.int64), order)
+            return pa.record_batch(_blobs(_pair_bucket(pair, hot, parts), pair, before, count), names=["bucket", "keys", "before", "counts"])
 
         start = int(words.ids(np.array([START], U))[0])
         for batch in batches:
             for s in slices(batch.column(0), LOWER, SLICE):
                 x, at = tokens(s)
                 ids = words.ids(x)
-                held.append((contexts(ids, at, start).astype(U) << U(32)) | ids.astype(U))
+                last = contexts(ids, at, start)
+                before = contexts(last, at, NONE) if order > 2 else np.zeros(len(ids))
+                held.append(((last.astype(U) << U(32)) | ids.astype(U), before.astype(np.uint32)))
                 n += len(x)
                 if n > WINDOW:
                     yield out()
@@ -216,54 +264,72 @@ def count_pairs(docs: DataFrame, folder: str, parts: int, shared) -> tuple[list,
             yield out()
 
     def merge(group):
-        """Writes the bucket's bigrams; hands on, by buckets of words, what they say of words."""
-        words, _ = _opened(shared)
-        key, n = _summed(_joined(group["keys"], U), _joined(group["counts"], np.int64))
-        big = n >= 255
-        files = [write_array(folder, x) for x in (key, np.minimum(n, 255).astype(np.uint8), key[big], n[big])]
-        word, before = _summed(key & U(0xFFFFFFFF), np.ones(len(key), np.int64))
-        context = (key >> U(32)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-        sums = [np.add.reduceat(x.astype(np.int64), first) for x in (np.ones(len(key)), n == 1, n == 2)]
-        zero = np.zeros(len(word), np.int64)
-        ids = np.concatenate([word.astype(np.int64), context[first]])
-        rows = np.stack([np.concatenate(x) for x in zip((before, zero, zero, zero), (np.zeros(len(first), np.int64), *sums))], axis=1)
+        """Writes the bucket's n-grams; hands on, by buckets, what they say of words and contexts."""
+        words, hot = _opened(shared)
+        pair, before, n = _counted(_joined(group["keys"], U), _joined(group["before"], np.uint32), _joined(group["counts"], np.int64), order)
+        stats, triples, said = [], [], []
+        key, count = pair, n
+        if order > 2:
+            started = before == NONE
+            key, count = _summed(pair, np.where(started, n, 1))
+            place = np.searchsorted(key, pair).astype(U)
+            pair, before, n, place = (x[~started] for x in (pair, before, n, place))
+            triples = _write_counts(folder, (place << U(32)) | before.astype(U), n)
+            context, sums = _context_sums((before.astype(U) << U(32)) | (pair >> U(32)), n)
+            # the contexts of a word that is split stand in several buckets
+            kept = (sums[:, 0] > 1) | _is_hot(context & U(0xFFFFFFFF), hot)
+            context, sums = context[kept], sums[kept]
+            bucket, id_blob, row_blob = _blobs(_range(mix64(context), parts), context, sums)
+            none = pa.nulls(len(bucket), pa.binary())
+            said.append(pa.record_batch([bucket, none, none, id_blob, row_blob, pa.nulls(len(bucket), pa.list_(pa.string())),
+                                         pa.nulls(len(bucket), pa.list_(pa.int64()))], names=names))
+        files = _write_counts(folder, key, count) + triples
+        stats = _of_counts(count) + _of_counts(n if order > 2 else n[:0])
+        word, preceded = _summed(key & U(0xFFFFFFFF), np.ones(len(key), np.int64))
+        context, sums = _context_sums(key >> U(32), count)
+        rows = np.zeros((len(word) + len(context), 5), np.int64)
+        rows[:len(word), 0], rows[len(word):, 1:] = preceded, sums[:, [1, 2, 3, 0]]
+        ids = np.concatenate([word, context]).astype(np.int64)
         bucket, id_blob, row_blob = _blobs(words.bucket(ids), ids, rows)
-        own = pa.record_batch([group["bucket"][:1].combine_chunks(),
-                               pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([files], pa.list_(pa.string())),
-                               pa.array([[int((n == k).sum()) for k in (1, 2, 3, 4)] + [len(n)]], pa.list_(pa.int64()))], names=names)
-        said = pa.record_batch([bucket, id_blob, row_blob, pa.nulls(len(bucket), pa.list_(pa.string())), pa.nulls(len(bucket), pa.list_(pa.int64()))], names=names)
-        return pa.Table.from_batches([own, said])
-
-    def merge_words(group):
+        none = pa.nulls(len(bucket), pa.binary())
+        said.append(pa.record_batch([bucket, id_blob, row_blob, none, none, pa.nulls(len(bucket), pa.list_(pa.string())),
+                                     pa.nulls(len(bucket), pa.list_(pa.int64()))], names=names))
+        own = pa.record_batch([group["bucket"][:1].combine_chunks(), *[pa.nulls(1, pa.binary())] * 4, pa.array([files], pa.list_(pa.string())),
+                               pa.array([stats], pa.list_(pa.int64()))], names=names)
+        return pa.Table.from_batches([own, *said])
+
+    def merge_said(group):
         words, _ = _opened(shared)
-        is_file = np.array([x.is_valid for x in group["files"]])
-        passed = group.filter(pa.array(is_file))
-        kinds = ["pairs"] * len(passed)
-        out = [(kinds, passed["bucket"].to_pylist(), passed["files"].to_pylist(), passed["stats"].to_pylist())]
-        rest = group.filter(pa.array(~is_file))
+        here = group["bucket"][0].as_py()
+        passed, rest, pairs = (group.filter(group[c].is_valid()) for c in ("files", "ids", "contexts"))
+        out = [("pairs", here, f, s) for f, s in zip(passed["files"].to_pylist(), passed["stats"].to_pylist())]
         if len(rest):
-            b = rest["bucket"][0].as_py()
-            size = int(words.base[b + 1] - words.base[b])
-            at = _joined(rest["ids"], np.int64) - words.base[b]
-            rows = _joined(rest["rows"], np.int64).reshape(-1, 4)
-            total = np.stack([np.bincount(at, rows[:, k], size).astype(np.int64) for k in range(4)], axis=1)
+            size = int(words.base[here + 1] - words.base[here])
+            at = _joined(rest["ids"], np.int64) - words.base[here]
+            rows = _joined(rest["rows"], np.int64).reshape(-1, 5)
+            total = np.stack([np.bincount(at, rows[:, k], size).astype(np.int64) for k in range(5)], axis=1)
             a = total[:, 0]
-            out.append((["words"], [b], [[write_array(folder, total[:, k]) for k in range(4)]],
-                        [[int((a == k).sum()) for k in (1, 2, 3, 4)] + [int((a > 0).sum())]]))
-        cols = [[v for part in out for v in part[k]] for k in range(4)]
+            out.append(("words", here, [write_array(folder, total[:, k]) for k in range(5)], _of_counts(a[a > 0])))
+        if len(pairs):
+            key, rows = _joined(pairs["contexts"], U), _joined(pairs["sums"], np.int64).reshape(-1, 4)
+            by = np.argsort(key, kind="stable")
+            key, rows = _row_sums(key[by], rows[by])
+            key, rows = key[rows[:, 0] > 1], rows[rows[:, 0] > 1]
+            kind = "u4" if rows.max(initial=0) < 1 << 32 else "i8"
+            out.append(("contexts", here, [write_array(folder, key), write_array(folder, rows.astype(kind)), kind], []))
+        cols = list(zip(*out))
         return pa.table([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.list_(pa.string())),
                          pa.array(cols[3], pa.list_(pa.int64()))], names=["kind", "bucket", "files", "stats"])
 
-    names = ["bucket", "ids", "rows", "files", "stats"]
-    out = (docs.select("text").mapInArrow(local, "bucket int, keys binary, counts binary")
-           .groupBy("bucket").applyInArrow(merge, "bucket int, ids binary, rows binary, files array<string>, stats array<long>")
-           .groupBy("bucket").applyInArrow(merge_words, "kind string, bucket int, files array<string>, stats array<long>"))
-    rows = materialize(out, "kn-pairs").collect()      # two rows a bucket
-    pairs = sorted((r.bucket, *r.files) for r in rows if r.kind == "pairs")
-    words = sorted((r.bucket, *r.files) for r in rows if r.kind == "words")
-    stats = {k: np.sum([r.stats for r in rows if r.kind == k] or [[0] * 5], axis=0).tolist() for k in ("pairs", "words")}
-    return pairs, words, stats
+    names = ["bucket", "ids", "rows", "contexts", "sums", "files", "stats"]
+    out = (docs.select("text").mapInArrow(local, "bucket int, keys binary, before binary, counts binary")
+           .groupBy("bucket").applyInArrow(merge, "bucket int, ids binary, rows binary, contexts binary, sums binary, files array<string>, stats array<long>")
+           .groupBy("bucket").applyInArrow(merge_said, "kind string, bucket int, files array<string>, stats array<long>"))
+    rows = materialize(out, "kn-pairs").collect()      # three rows a bucket
+    files = {k: sorted((r.bucket, *r.files) for r in rows if r.kind == k) for k in ("pairs", "words", "contexts")}
+    stats = {k: np.sum([r.stats for r in rows if r.kind == k] or [[0] * 10], axis=0).tolist() for k in ("pairs", "words")}
+    stats = {"pairs": stats["pairs"][:5], "triples": stats["pairs"][5:], "words": stats["words"][:5]}
+    return files["pairs"], files["words"], files["contexts"], stats
 
 
 _open: dict[str, tuple] = {}
@@ -294,11 +360,13 @@ class Model:
     def __init__(self, spec: dict):
         self.words = Words(spec["word_files"], spec["parts"])
         self.parts, self.hot, self.spec = spec["parts"], spec["hot"], spec
+        self.order = spec["order"]
         self.pairs = {b: files for b, *files in spec["pair_files"]}
+        self.contexts = {b: files for b, *files in spec["context_files"]}
         self.maps: dict = {}
         self.vocabulary = max(0, self.words.size - 1)         # the start token is no word
         self.tokens = spec["tokens"]
-        self.d, self.e = discounts(spec["stats"]["pairs"]), discounts(spec["stats"]["words"])
+        self.d, self.e, self.f = (discounts(spec["stats"][k]) for k in ("pairs", "words", "triples"))
         self.types = spec["stats"]["pairs"][4]
         t = spec["stats"]["words"]
         held = self.e[1] * t[0] + self.e[2] * t[1] + self.e[3] * (t[4] - t[0] - t[1])
@@ -306,41 +374,75 @@ class Model:
         self.start = int(self.words.ids(np.array([START], U))[0])
 
     def _word_columns(self, ids: np.ndarray) -> np.ndarray:
-        """count, continuation, seen, once, twice of each id; zeros for unknown words."""
-        out = np.zeros((len(ids), 5), np.int64)
+        """count, continuation, seen, once, twice, sum of each id; zeros for unknown words."""
+        out = np.zeros((len(ids), 6), np.int64)
         bucket = self.words.bucket(ids)
         for b in np.unique(bucket[ids < self.words.size]):
             if ("w", b) not in self.maps:
                 count = next(c for k, _, _, c in self.spec["word_files"] if k == b)
                 rest = next((files for k, *files in self.spec["word_stats"] if k == b), None)
                 first = map_array(count, np.int64)
-                self.maps["w", b] = [first] + ([map_array(f, np.int64) for f in rest] if rest else [np.zeros(len(first), np.int64)] * 4)
+                self.maps["w", b] = [first] + ([map_array(f, np.int64) for f in rest] if rest else [np.zeros(len(first), np.int64)] * 5)
             mine = np.flatnonzero((bucket == b) & (ids < self.words.size))
             at = ids[mine] - self.words.base[b]
             for k, column in enumerate(self.maps["w", b]):
                 out[mine, k] = column[at]
         return out
 
-    def _pair_counts(self, key: np.ndarray) -> np.ndarray:
-        """Counts of sorted, different keys."""
-        out = np.zeros(len(key), np.int64)
-        bucket = _pair_bucket(key, self.hot, self.parts).astype(np.int64)
+    def _bucket_arrays(self, b: int) -> list[np.ndarray]:
+        if b not in self.maps:
+            self.maps[b] = [map_array(f, kind) for f, kind in zip(self.pairs[b], (U, np.uint8, U, np.int64) * 2)]
+        return self.maps[b]
+
+    @staticmethod
+    def _by_bucket(bucket: np.ndarray):
+        """(bucket, its rows) of each bucket."""
         order = np.argsort(bucket, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1]])) if len(key) else np.zeros(0, np.int64)
-        for a, z in zip(first, np.append(first[1:], len(key))):
-            mine = order[a:z]
-            b = int(bucket[mine[0]])
-            if b not in self.pairs:
+        first = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1]])) if len(bucket) else np.zeros(0, np.int64)
+        for a, z in zip(first, np.append(first[1:], len(bucket))):
+            yield int(bucket[order[a]]), order[a:z]
+
+    @staticmethod
+    def _counts(key: np.ndarray, table, small, big_key, big) -> tuple[np.ndarray, np.ndarray]:
+        """Places and counts of the keys; 0 for those not in the table."""
+        if not len(table):
+            return np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+        at = np.minimum(np.searchsorted(table, key), len(table) - 1)
+        n = np.where(table[at] == key, small[at], 0).astype(np.int64)
+        large = np.flatnonzero(n == 255)
+        n[large] = big[np.searchsorted(big_key, key[large])] if len(large) else n[large]
+        return at, n
+
+    def _pair_counts(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Buckets, places and counts of sorted, different keys."""
+        bucket = _pair_bucket(key, self.hot, self.parts).astype(np.int64)
+        at, n = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+        for b, mine in self._by_bucket(bucket):
+            if b in self.pairs:
+                at[mine], n[mine] = self._counts(key[mine], *self._bucket_arrays(b)[:4])
+        return bucket, at, n
+
+    def _triple_counts(self, bucket: np.ndarray, at: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Counts of the trigrams of bigrams at these places."""
+        n = np.zeros(len(bucket), np.int64)
+        for b, mine in self._by_bucket(bucket):
+            n[mine] = self._counts((at[mine].astype(U) << U(32)) | before[mine].astype(U), *self._bucket_arrays(b)[4:])[1]
+        return n
+
+    def _context_sums(self, key: np.ndarray) -> np.ndarray:
+        """sum, seen, once, twice of different contexts of two words that were seen."""
+        out = np.tile(np.array([1, 1, 1, 0], np.int64), (len(key), 1))
+        for b, mine in self._by_bucket(_range(mix64(key), self.parts).astype(np.int64)):
+            if b not in self.contexts:
                 continue
-            if b not in self.maps:
-                self.maps[b] = [map_array(f, kind) for f, kind in zip(self.pairs[b], (U, np.uint8, U, np.int64))]
-            table, small, big_key, big = self.maps[b]
-            at = np.minimum(np.searchsorted(table, key[mine]), len(table) - 1)
-            hit = table[at] == key[mine]
-            n = np.where(hit, small[at], 0).astype(np.int64)
-            large = np.flatnonzero(n == 255)
-            n[large] = big[np.searchsorted(big_key, key[mine][large])] if len(large) else n[large]
-            out[mine] = n
+            if ("c", b) not in self.maps:
+                keys, rows, kind = self.contexts[b]
+                self.maps["c", b] = (map_array(keys, U), map_array(rows, kind).reshape(-1, 4))
+            table, rows = self.maps["c", b]
+            if len(table):
+                place = np.minimum(np.searchsorted(table, key[mine]), len(table) - 1)
+                hit = table[place] == key[mine]
+                out[mine[hit]] = rows[place[hit]]
         return out
 
     def score(self, s: Slice) -> dict[str, np.ndarray]:
@@ -352,35 +454,51 @@ class Model:
         count, before = about[:, 0], about[:, 1]
         lower = (before - self.e[np.minimum(before, 3)]).clip(0) / self.types + self.unseen if self.types else np.full(len(before), self.unseen)
         base = np.log10((count + 1) / (self.tokens + self.vocabulary + 1))
-        seen, once, twice = about[:, 2], about[:, 3], about[:, 4]
+        seen, once, twice, followed = about[:, 2], about[:, 3], about[:, 4], about[:, 5]
         with np.errstate(divide="ignore", invalid="ignore"):
-            back = (self.d[1] * once + self.d[2] * twice + self.d[3] * (seen - once - twice)) / count
+            back = (self.d[1] * once + self.d[2] * twice + self.d[3] * (seen - once - twice)) / followed
         back = np.where(seen > 0, back, 1.0)
         # the row's start is a context like a word
         head = self._word_columns(np.array([self.start]))[0]
-        starts = max(1, int(head[0]))
+        starts = max(1, int(head[5]))
         head_back = (self.d[1] * head[3] + self.d[2] * head[4] + self.d[3] * (head[2] - head[3] - head[4])) / starts if head[2] else 1.0
         context = contexts(ids, at, self.start)
         first = np.zeros(len(ids), bool)
         first[at[:-1]] = True
         place = contexts(inverse, at, 0)
-        total = np.where(first, starts, np.maximum(count, 1)[place])
+        total = np.where(first, starts, np.maximum(followed, 1)[place])
         weight = np.where(first, head_back, back[place])
         key, where = np.unique((context.astype(U) << U(32)) | ids.astype(U), return_inverse=True)
-        n = self._pair_counts(key)[where]
+        bucket, found, n = self._pair_counts(key)
+        n = n[where]
         p = (n - self.d[np.minimum(n, 3)]).clip(0) / total + weight * lower[inverse]
+        if self.order > 2:
+            before = contexts(context, at, NONE)
+            # a context of two words was seen if the bigram that they are was
+            own = np.flatnonzero(contexts(n > 0, at, False))
+            both, which = np.unique((before[own].astype(U) << U(32)) | context[own].astype(U), return_inverse=True)
+            total, seen, once, twice = self._context_sums(both).T
+            weight = (self.f[1] * once + self.f[2] * twice + self.f[3] * (seen - once - twice)) / total
+            count3 = np.zeros(len(own), np.int64)
+            known = np.flatnonzero(n[own] > 0)
+            triple, to = np.unique((where[own[known]].astype(U) << U(32)) | before[own[known]].astype(U), return_inverse=True)
+            pair = (triple >> U(32)).astype(np.int64)
+            count3[known] = self._triple_counts(bucket[pair], found[pair], triple & U(0xFFFFFFFF))[to]
+            p[own] = (count3 - self.f[np.minimum(count3, 3)]).clip(0) / total[which] + weight[which] * p[own]
         return {"n_tokens": np.diff(at), "n_known": row_sums((count > 0)[inverse].astype(np.int64), at),
                 "base_score": np.add.reduceat(base[inverse], at[:-1]), "score": np.add.reduceat(np.log10(p), at[:-1])}
 
 
-def train(docs: DataFrame) -> dict:
-    """Count the texts of ``docs``; the model's description: file names (a few a bucket) and totals."""
+def train(docs: DataFrame, order: int = 2) -> dict:
+    """Count the texts of ``docs`` for a model of order 2 or 3; the model's description: file names (a few a bucket) and totals."""
+    if order not in (2, 3):
+        raise ValueError("the order is 2 or 3")
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = work_path(spark, "kn-arrays")
     word_files = count_words(docs, folder, parts)
-    if sum(n for _, n, _, _ in word_files) >= 1 << 32:
-        raise ValueError("more than 2^32 different words")
+    if sum(n for _, n, _, _ in word_files) >= NONE:
+        raise ValueError("2^32 - 1 different words or more")
     words = Words(word_files, parts)
     # contexts that hold more than a bucket's share are split; there are fewer than 4 * parts of them
     rows = [(b, n, counts) for b, n, _, counts in word_files]
@@ -405,9 +523,9 @@ def train(docs: DataFrame) -> dict:
     else:
         total, hot = 0, np.zeros(0, U)
     shared = spark.sparkContext.broadcast((uuid.uuid4().hex, word_files, parts, hot))
-    pair_files, word_stats, stats = count_pairs(docs, folder, parts, shared)
-    spec = {"name": uuid.uuid4().hex, "parts": parts, "word_files": word_files, "hot": hot, "pair_files": pair_files,
-            "word_stats": word_stats, "stats": stats, "tokens": 0}
+    pair_files, word_stats, context_files, stats = count_grams(docs, folder, parts, shared, order)
+    spec = {"name": uuid.uuid4().hex, "parts": parts, "word_files": word_files, "hot": hot, "order": order, "pair_files": pair_files,
+            "word_stats": word_stats, "context_files": context_files, "stats": stats, "tokens": 0}
     if rows:
         model = Model(spec)
         spec["tokens"] = total - int(model._word_columns(np.array([model.start]))[0][0])     # starts are no tokens
@@ -445,5 +563,5 @@ def held_out(column: str = "doc_id") -> Column:
 
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    out = score(docs, train(docs.where(~held_out())))
+    out = score(docs, train(docs.where(~held_out()), ORDER))
     return out.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
