@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before
 kept; its result is written as Parquet and read again as the next stage's
-documents.  The first three return the columns of documents.
+documents.  The first three return the columns of documents.  Every row is a
+document of its own, also where ids are null or repeated.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalspark.llm import bpe, mixing, quality_cnn, set_join
+from vitalspark.llm.row_ids import numbered
 from vitalspark.session import materialize
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -25,20 +27,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of documents linked by a similarity of 0.75 or more.
-    Rows of one id stay or go together."""
-    docs = docs.select(COLUMNS)
-    found, _, _ = set_join.jaccard_join(docs)
-    rest = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("dropped")).distinct()
-    # the ids grow with the documents: one plan for every size
-    return docs.join(rest.hint("merge"), docs.doc_id == rest.dropped, "left_anti")
+    """The row with the smallest id (null first; equal ids by a hash of the row) of each group of rows linked by a
+    similarity of 0.75 or more."""
+    docs = numbered(docs.select(COLUMNS))
+    found, _, _ = set_join.jaccard_join(docs.select(F.col("row").alias("doc_id"), "text"))
+    found = materialize(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")), "row-components")
+    # rows that are no component's smallest number, and those numbers: all rows of components of two or more
+    linked = found.where("row <> component")
+    linked = materialize(linked.unionByName(linked.select(F.col("component").alias("row"), "component").distinct()), "linked-rows")
+    # the rows grow with the documents: one plan for every size
+    about = docs.select("row", "doc_id", F.xxhash64("text", "lang", "source", "n_chars").alias("h"))
+    placed = materialize(linked.join(about.hint("merge"), "row"), "linked-rows")
+    first = placed.groupBy("component").agg(F.min(F.struct("doc_id", "h", "row")).alias("first")).select("first.row")
+    dropped = placed.select("row").join(first.hint("merge"), "row", "left_anti").select(F.col("row").alias("dropped"))
+    return docs.join(dropped.hint("merge"), docs.row == dropped.dropped, "left_anti").select(COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mixture takes; rows of one id get the smallest number that falls to them."""
-    docs = docs.select(COLUMNS)
-    copies = materialize(mixing.mix(docs).groupBy(F.col("doc_id").alias("id")).agg(F.min("copies").alias("copies")).where("copies > 0"), "copies")
-    out = docs.join(copies.hint("merge"), docs.doc_id.eqNullSafe(copies.id))
+    """As many copies of each row as the mixture takes of it."""
+    docs = numbered(docs.select(COLUMNS))
+    copies = materialize(mixing.mix(docs, row="row").where("copies > 0").select(F.col("row").alias("taken"), "copies"), "copies")
+    out = docs.join(copies.hint("merge"), docs.row == copies.taken)
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(COLUMNS)
 
 

@@ -77,3 +77,53 @@ def test_edge_documents_pass_through(spark):
     for name, f in C.STAGES:
         docs = materialize(f(spark, docs.withColumn("copies", docs.doc_id), "/root/testdata/sf0.001"), name)
     assert docs.columns == ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+
+
+def odd_ids(spark, name):
+    """A third of the rows has no id, another third has one of five."""
+    rows = [(None if i % 3 == 0 else i % 5 if i % 3 == 1 else i, " ".join(f"w{i * 31 % 89 + j * (i + 1)}" for j in range(5 + i * 7 % 40)),
+             "en", "abc"[i % 7 % 3], i) for i in range(600)]
+    rows += [(None, r[1] + " more", "en", "a", -1) for r in rows[20:80]]        # near copies of others, if long
+    rows += [(r[0], r[1], "en", "b", -2) for r in rows[100:140]] + [(7, "", "en", "a", 0), (7, None, "en", "a", 0), (None, "", "en", "b", 0)] + rows[:3]
+    return rows, materialize(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5), name)
+
+
+def test_mixture_of_null_and_repeated_ids(spark):
+    rows, docs = odd_ids(spark, "odd-mixture")
+    got = [tuple(r) for r in C.mixture(spark, docs, SF).collect()]
+    assert sorted(map(str, got)) == sorted(str(tuple(r)) for r in C.mixture(spark, materialize(docs.repartition(3), "odd-again"), SF).collect())
+    size = lambda r: len((r[1] or "").split())
+    per = Counter()
+    for r in rows:
+        per[r[3]] += size(r)
+    want = brute_targets(dict(per))
+    for s in per:
+        mine = [r for r in rows if r[3] == s]
+        assert abs(sum(size(r) for r in got if r[3] == s) - want[s]) <= max(map(size, mine))
+    taken, given = Counter(got), Counter(rows)
+    for r, n in given.items():
+        f = want[r[3]] / per[r[3]]
+        assert size(r) == 0 or n * int(f) <= taken[r] <= n * (int(f) + 1)
+    assert any(r[0] is None for r in got)
+
+
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    rows, docs = odd_ids(spark, "odd-near")
+    got = Counter(tuple(r) for r in C.near_duplicates(spark, docs, SF).collect())
+    component = {i: c for i, _, c in brute([(i, r[1]) for i, r in enumerate(rows)])}
+    members = {}
+    for i, c in component.items():
+        members.setdefault(c, []).append(rows[i])
+    assert sum(got.values()) == len(members) < len(rows)
+    assert not got - Counter(rows)
+    at = {}
+    for i, r in enumerate(rows):
+        at.setdefault(r, component[i])
+    left = Counter(component[i] for i, r in enumerate(rows) if not r[1])      # rows without words stay, each by itself
+    for r, n in got.items():
+        if r[1]:
+            assert n == 1
+            left[at[r]] += 1
+            ids = [m[0] for m in members[at[r]]]
+            assert r[0] == (None if None in ids else min(ids))
+    assert left == Counter(dict.fromkeys(members, 1))

@@ -14,7 +14,7 @@ Randomness is a hash of the seed, the level and the document, so reruns agree.
 
 Defined cases: a null text has size 0 and takes 0; a null source is a source,
 the last one; a source without words has target 0; null or repeated ids are
-rows like others (ties go by size).  The number of sources is taken to be
+rows like others (ties go by size; with a row number, by the rest of the row).  The number of sources is taken to be
 small (a table of names), their targets are computed in one task.
 """
 
@@ -34,9 +34,11 @@ CHUNK = 64      # documents that meet in one fold
 SEED = 20240
 
 
-def doc_sizes(docs: DataFrame) -> DataFrame:
+def doc_sizes(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, source, size; with ``row``, a column that numbers the rows, also row and a hash of the other columns."""
+    own = [] if row is None else [F.col(row).alias("row"), F.xxhash64(*[c for c in docs.columns if c != row]).alias("same")]
     return docs.select("doc_id", "source",
-                       F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"))
+                       F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"), *own)
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -65,14 +67,16 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
 
 
 def _meet(units: DataFrame, level: int, chunk: int, seed: int) -> DataFrame:
-    """One level of the tree: units (source, key, doc_id, size, mass, n) meet in chunks; rows of all units
-    with their mass after it.  n: units of the source on this level."""
+    """One level of the tree: units (source, key, doc_id, size, mass, n, and row if there is one) meet in chunks; rows of
+    all units with their mass after it.  n: units of the source on this level."""
+    own = ["row"] if "row" in units.columns else []
     chunks = F.ceil(F.col("n") / F.lit(chunk * 0.75)).cast("long")
     units = units.withColumn("chunk", F.pmod(F.xxhash64(F.lit(seed + level), "key"), chunks))
-    unit = F.struct("draw", "key", "doc_id", "size", "mass")
+    unit = F.struct("draw", "key", "doc_id", "size", "mass", *own)
     lists = (units.withColumn("draw", F.xxhash64(F.lit(seed), F.lit(level), "chunk", "key"))
              .groupBy("source", "chunk").agg(F.array_sort(F.collect_list(unit)).alias("units")))
-    u = "struct<draw:bigint,key:bigint,doc_id:bigint,size:bigint,mass:double>"
+    u = f"struct<draw:bigint,key:bigint,doc_id:bigint,size:bigint,mass:double{',row:bigint' if own else ''}>"
+    row_a, row_b = (", 'row', s.open.row", ", 'row', x.row") if own else ("", "")
     # open: the unit still undecided, or null; done: the units decided so far
     fold = f"""aggregate(units,
       named_struct('open', cast(null as {u}), 'done', cast(array() as array<{u}>)),
@@ -85,10 +89,10 @@ def _meet(units: DataFrame, level: int, chunk: int, seed: int) -> DataFrame:
             transform(array(named_struct(
                 'a', named_struct('draw', s.open.draw, 'key', s.open.key, 'doc_id', s.open.doc_id, 'size', s.open.size,
                     'mass', if(d >= 0 and s.open.size - s.open.mass <= x.mass, double(s.open.size),
-                            if(d < 0 and s.open.mass <= x.size - x.mass, 0D, s.open.mass + d))),
+                            if(d < 0 and s.open.mass <= x.size - x.mass, 0D, s.open.mass + d)){row_a}),
                 'b', named_struct('draw', x.draw, 'key', x.key, 'doc_id', x.doc_id, 'size', x.size,
                     'mass', if(d >= 0 and x.mass <= s.open.size - s.open.mass, 0D,
-                            if(d < 0 and x.size - x.mass <= s.open.mass, double(x.size), x.mass - d))))), r ->
+                            if(d < 0 and x.size - x.mass <= s.open.mass, double(x.size), x.mass - d)){row_b}))), r ->
               named_struct(
                 'open', if(r.a.mass > 0 and r.a.mass < r.a.size, r.a, if(r.b.mass > 0 and r.b.mass < r.b.size, r.b, cast(null as {u}))),
                 'done', concat(s.done,
@@ -96,16 +100,18 @@ def _meet(units: DataFrame, level: int, chunk: int, seed: int) -> DataFrame:
                    if(r.b.mass > 0 and r.b.mass < r.b.size, array(r.a), array(r.a, r.b)))))
             )[0])[0])[0]),
       s -> if(s.open is null, s.done, concat(s.done, array(s.open))))"""
-    return lists.select("source", F.explode(F.expr(fold)).alias("x")).select("source", "x.key", "x.doc_id", "x.size", "x.mass")
+    return lists.select("source", F.explode(F.expr(fold)).alias("x")).select("source", "x.key", "x.doc_id", "x.size", "x.mass", *[f"x.{c}" for c in own])
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, chunk: int = CHUNK,
-        seed: int = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target (its source's), copies, taken of every document (doc_id, source, text).
+        seed: int = SEED, row: str | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target (its source's), copies, taken of every document (doc_id, source, text);
+    also row, if ``row`` names a column that numbers the rows.  Chunks are then dealt by all other columns too.
 
     Each level is written before the next one starts; their number is the logarithm of the largest
     source's documents, to the base CHUNK."""
-    sizes = materialize(doc_sizes(docs), "mix-sizes")
+    own = [] if row is None else ["row"]
+    sizes = materialize(doc_sizes(docs, row), "mix-sizes")
     t = materialize(source_targets(sizes, weights, share, most), "mix-targets")
     t = t.withColumn("f", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     # a whole number of copies may come out a rounding error too small
@@ -116,8 +122,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
         return rows.join(side, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
 
     units = (with_source(sizes, t, "rest", F.col("n_docs").alias("n"))
-             .select("source", F.xxhash64("doc_id", "source", "size").alias("key"), "doc_id", "size",
-                     (F.col("rest") * F.col("size")).alias("mass"), "n"))
+             .select("source", F.xxhash64("doc_id", "source", "size", *["same" for _ in own]).alias("key"), "doc_id", "size",
+                     (F.col("rest") * F.col("size")).alias("mass"), *own, "n"))
     fractional = (F.col("mass") > 0) & (F.col("mass") < F.col("size"))
     decided = [units.where(~fractional).drop("n")]
     units, level = units.where(fractional), 0
@@ -136,7 +142,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     decided.append(left.withColumn("mass", last))
     out = with_source(reduce(DataFrame.unionByName, decided), t, "source_size", "target", "whole")
     copies = (F.col("whole") + (F.col("mass") > 0).cast("long")).alias("copies")
-    return (out.select("doc_id", "source", "size", "source_size", "target", copies)
+    return (out.select("doc_id", "source", "size", "source_size", "target", copies, *own)
             .withColumn("taken", F.col("copies") * F.col("size")))
 
 
