@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """The row with the smallest id (null first; equal ids by a hash of the row) of each group of rows linked by a
     similarity of 0.75 or more."""
     docs = numbered(docs.select(COLUMNS))
-    found, _, _ = set_join.jaccard_join(docs.select(F.col("row").alias("doc_id"), "text"))
+    found, _, _ = set_join.jaccard_join(docs.select(F.col("row").alias("doc_id"), "text"), complete=False)
     found = materialize(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")), "row-components")
     # rows that are no component's smallest number, and those numbers: all rows of components of two or more
     linked = found.where("row <> component")

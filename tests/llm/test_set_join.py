@@ -121,3 +121,28 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     assert J.jaccard_join(df)[0].count() == 5
     out, links, classes = J.jaccard_join(df.where("false"))
     assert out.count() == links.count() == classes.count() == 0
+
+
+def test_links_are_complete(spark, monkeypatch):
+    """Families of variants: every pair that links comes back, also over several blocks; the shortcut gives the same components."""
+    monkeypatch.setattr(J, "BLOCK", 8)
+    rng = random.Random(9)
+    rows = []
+    for family in range(4):
+        base = [f"f{family}w{i}" for i in range(120)]
+        for i in range(30):
+            w = list(base)
+            for _ in range(rng.randrange(0, 4)):
+                w[rng.randrange(120)] = f"x{rng.randrange(1000)}"
+            rows.append((family * 100 + i, " ".join(w[:rng.randrange(100, 121)])))
+    sets = {i: {tuple(t.split()[j:j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(frozenset(sets[i]), i)
+    ids = sorted(first.values())
+    want = {(a, b) for a in ids for b in ids if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out, links, _ = J.jaccard_join(df)
+    got = [tuple(r) for r in links.select("a", "b").collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 4 * 30
+    assert sorted(out.collect()) == sorted(J.jaccard_join(df, complete=False)[0].collect())

@@ -25,6 +25,8 @@ each other one, pairs are verified, links joined to components; then members of
 different components of one group are compared, first by sizes and parity
 bitmaps (the bits in which two bitmaps differ bound the difference from below),
 then exactly.  Groups whose members all link need no more than the first step.
+That is enough for components; all links come from comparing all pairs of a
+group, dealt into blocks, pairs of blocks being Spark groups of their own.
 
 Equal sets are one class before all that.  Counts of shingles only set the order
 in which signatures are chosen; any order gives the same links.
@@ -55,6 +57,7 @@ SHARED_KEPT = 1 << 20       # at most so many of the most shared shingles are to
 COUNT_WINDOW = 1 << 22      # shingles a task counts at once
 FLUSH = 1 << 21             # index entries a task holds before it hands them on
 LEAST_BITS = 512            # of a parity bitmap; it has at least two bits a shingle
+BLOCK = 1024                # members of a group that are compared with those of another block
 TILE = 256                  # documents of a block that are verified against those of another
 FILTER_BITS = 1 << 25       # of the filter for the texts to verify
 FIRST_BAND = 6
@@ -447,11 +450,22 @@ def across(members: DataFrame) -> DataFrame:
     return members.groupBy("gid").applyInArrow(run, "a long, b long")
 
 
-def jaccard_join(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, links, classes): doc_id, n_shingles, component_id of every document; the links found between
-    different sets (a, b: class ids, smallest doc_id of equal sets); doc_id and class_id.
+def in_blocks(members: DataFrame) -> DataFrame:
+    """Members (gid, id, n, bits) dealt into blocks by a hash, as groups for ``across``: one for each pair of blocks, in
+    which members of different blocks are compared, and one for each block, in which all are."""
+    sizes = members.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    dealt = members.join(sizes, "gid").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return dealt.select(F.xxhash64("gid", F.least("block", "other"), F.greatest("block", "other")).alias("gid"), "id", "n", "bits",
+                        F.when(F.col("block") == F.col("other"), F.col("id")).otherwise(F.col("block")).alias("component"))
 
-    Links that only repeat a component (both ends joined by other links of one group) may be absent."""
+
+def jaccard_join(docs: DataFrame, k: int = WORDS, complete: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, links, classes): doc_id, n_shingles, component_id of every document; the links between
+    different sets (a < b: class ids, smallest doc_id of equal sets); doc_id and class_id.
+
+    All links if ``complete``.  Otherwise those that only repeat a component (both ends joined by other links of one
+    group) may be absent; documents and classes are the same."""
     profile = materialize(profiles(docs, k), "set-profiles")
     shared = shared_shingles(profile)
     rows = profile.where("n >= 0").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "n", "digest", "bits")
@@ -469,19 +483,25 @@ def jaccard_join(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame,
         pairs = pairs.drop("a", "b").withColumnsRenamed({"a_class_id": "a", "b_class_id": "b"})
         return pass_bitmaps(pairs).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    star = found.select(F.element_at("members", 1).alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b")).distinct()
-    tried = materialize(described(star), "set-pairs")
-    links = materialize(verify(tried, docs, k), "set-links")
-    # two rounds tell apart what is worth comparing; the components of all links come last
-    near = materialize(components(links, rounds=2), "set-components")
-
     large = found.where(F.size("members") > 2).select(F.xxhash64("members").alias("gid"), F.explode("members").alias("id"))
-    placed = (large.join(members, "id").join(near, F.col("class_id") == F.col("node"), "left")
-              .select("gid", F.col("class_id").alias("id"), "n", "bits", F.coalesce("component", "class_id").alias("component")).distinct())
-    mixed = placed.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("gid")
-    more = materialize(across(placed.join(mixed, "gid")).distinct().join(tried, ["a", "b"], "left_anti"), "set-across")
-    if not more.isEmpty():
-        links = links.unionByName(materialize(verify(more, docs, k), "set-links"))
+    if complete:
+        two = found.where(F.size("members") == 2).select(F.element_at("members", 1).alias("a"), F.element_at("members", 2).alias("b"))
+        placed = materialize(large.join(members, "id").select("gid", F.col("class_id").alias("id"), "n", "bits").distinct(), "set-members")
+        tried = materialize(described(two).unionByName(across(in_blocks(placed))).distinct(), "set-pairs")
+        links = materialize(verify(tried, docs, k), "set-links")
+    else:
+        star = found.select(F.element_at("members", 1).alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b")).distinct()
+        tried = materialize(described(star), "set-pairs")
+        links = materialize(verify(tried, docs, k), "set-links")
+        # two rounds tell apart what is worth comparing; the components of all links come last
+        near = materialize(components(links, rounds=2), "set-components")
+
+        placed = (large.join(members, "id").join(near, F.col("class_id") == F.col("node"), "left")
+                  .select("gid", F.col("class_id").alias("id"), "n", "bits", F.coalesce("component", "class_id").alias("component")).distinct())
+        mixed = placed.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("gid")
+        more = materialize(across(placed.join(mixed, "gid")).distinct().join(tried, ["a", "b"], "left_anti"), "set-across")
+        if not more.isEmpty():
+            links = links.unionByName(materialize(verify(more, docs, k), "set-links"))
     linked = materialize(components(links), "set-components")
     out = (classes.join(linked, F.col("class_id") == F.col("node"), "left")
            .select(_id("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), _id(F.coalesce("component", "class_id")).alias("component_id")))
@@ -494,7 +514,7 @@ def _id(column):
 
 
 def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))[0]
+    return jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"), complete=False)[0]
 
 
 ORACLE_SQL = r"""
