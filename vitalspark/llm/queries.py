@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitalspark.llm import block_search, bpe, chat, kneser_ney, merkle, mixing, quality_cnn, set_join, token_file, wordpiece_count
+from vitalspark.llm import block_search, bpe, chat, kneser_ney, manifest, merkle, mixing, quality_cnn, set_join, token_file, wordpiece_count
 
 QUERIES = {
     "op1_merkle_fingerprint": merkle.op1_merkle_fingerprint,
@@ -15,6 +15,12 @@ QUERIES = {
     "op8_wordpiece_count": wordpiece_count.op8_wordpiece_count,
     "op9_shingle_join": set_join.op9_shingle_join,
     "op10_quality_cnn": quality_cnn.op10_quality_cnn,
+    "op11_dataset_manifest": manifest.op11_dataset_manifest,
 }
 
-ORACLE = {"op3_chat_format": chat.ORACLE_SQL, "op7_block_search": block_search.ORACLE_SQL, "op9_shingle_join": set_join.ORACLE_SQL}
+ORACLE = {
+    "op3_chat_format": chat.ORACLE_SQL,
+    "op7_block_search": block_search.ORACLE_SQL,
+    "op9_shingle_join": set_join.ORACLE_SQL,
+    "op11_dataset_manifest": manifest.ORACLE_SQL,
+}
