@@ -107,6 +107,20 @@ def ragged(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
 
 
+def spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The byte spans as an Arrow array of binaries."""
+    size = ends - starts
+    at = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=at[1:])
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(at), pa.py_buffer(ragged(buf, starts, size))])
+
+
+def span_ids(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number for each span, the same for equal bytes and no others, and the different spans in order of their numbers."""
+    coded = spans(buf, starts, ends).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
 def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of values[offsets[i]:offsets[i + 1]]."""
     c = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])

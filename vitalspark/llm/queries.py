@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitalspark.llm import block_search, bpe, chat, kneser_ney, manifest, merkle, mixing, quality_cnn, set_join, token_file, wordpiece_count
+from vitalspark.llm import block_search, bpe, chat, kneser_ney, manifest, merkle, mixing, periodic_runs, quality_cnn, set_join, token_file, wordpiece_count
 
 QUERIES = {
     "op1_merkle_fingerprint": merkle.op1_merkle_fingerprint,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_shingle_join": set_join.op9_shingle_join,
     "op10_quality_cnn": quality_cnn.op10_quality_cnn,
     "op11_dataset_manifest": manifest.op11_dataset_manifest,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
 }
 
 ORACLE = {
