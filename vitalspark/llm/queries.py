@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitalspark.llm import block_search, bpe, chat, kneser_ney, manifest, merkle, mixing, periodic_runs, quality_cnn, set_join, token_file, wordpiece_count
+from vitalspark.llm import block_search, bpe, chat, kneser_ney, language_id, manifest, merkle, mixing, periodic_runs, quality_cnn, set_join, token_file, wordpiece_count
 
 QUERIES = {
     "op1_merkle_fingerprint": merkle.op1_merkle_fingerprint,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality_cnn": quality_cnn.op10_quality_cnn,
     "op11_dataset_manifest": manifest.op11_dataset_manifest,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_language_id": language_id.op13_language_id,
 }
 
 ORACLE = {
