@@ -11,12 +11,13 @@ import pytest
 P = pytest.importorskip("public_tokenizers")
 tiktoken = pytest.importorskip("tiktoken")
 
+import twins  # noqa: E402
 from vitalspark.llm import bpe  # noqa: E402
 from vitalspark.llm.arrow_text import slices  # noqa: E402
 
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
 TEXTS = [None, "", "a", "The end.\n\n The  next\t\tone 's it's", "é  x 日本語 😀😀 naïve", "<|endoftext|> </s>", "word " * 30000,
-         "x" * 5000, " \n \r\n", "a\x00b\x1cc", "same", "same"]
+         "x" * 5000, " \n \r\n", "a\x00b\x1cc", "same", "same", twins.A, twins.B]
 
 
 @pytest.fixture(scope="module")

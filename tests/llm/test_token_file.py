@@ -8,7 +8,10 @@ import pytest
 
 P = pytest.importorskip("public_tokenizers")
 
+import pyarrow as pa  # noqa: E402
+import twins  # noqa: E402
 from vitalspark.llm import token_file as T  # noqa: E402
+from vitalspark.llm.arrow_text import PieceEncoder, slices  # noqa: E402
 from vitalspark.session import work_path  # noqa: E402
 
 PATH = P.path("byte_bpe_50k.json")
@@ -57,14 +60,13 @@ def test_limit_is_best_possible():
     assert (bits * counts).sum() == best
 
 
-TEXTS = [None, "", "one two", "one two", "é 日本 <|endoftext|> \n\n x"] + [" ".join(random.Random(i).choices(["a", "bc", "def.", "\n", "10"], k=i * 37)) for i in range(40)]
+TEXTS = [None, "", "one two", "one two", "é 日本 <|endoftext|> \n\n x", "<|endoftext|>", twins.A, twins.B, "long " * 50_000, "x" * 100_000] + [" ".join(random.Random(i).choices(["a", "bc", "def.", "\n", "10"], k=i * 37)) for i in range(40)]
 
 
 def test_file(spark):
     from tokenizers import Tokenizer
     tk = Tokenizer.from_file(PATH)
-    tk.encode_special_tokens = True
-    rows = [(i * 3 % 46 + (i > 3) * 100, t) for i, t in enumerate(TEXTS)] + [(None, "null id")]
+    rows = [(i * 3 % 53 + (i > 3) * 100, t) for i, t in enumerate(TEXTS)] + [(None, "null id")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS ids", "2 AS part").repartition(5)
     tokens = T.tokenize(df, PATH)
     path = work_path(spark, "token-file-test")
@@ -78,6 +80,25 @@ def test_file(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("switch", [False, True])
+@pytest.mark.parametrize("room", [None, 3000])
+def test_added_tokens_and_kept_pieces(switch, room):
+    """As the library encodes whole texts, with its default switch and the other one; also where few pieces are kept."""
+    from tokenizers import Tokenizer
+    tk = Tokenizer.from_file(PATH)
+    tk.encode_special_tokens = switch
+    encoder = PieceEncoder(tk)
+    if room:
+        encoder.KEEP_BYTES = room
+    rng = random.Random(room or 0)
+    parts = ["<|endoftext|>", "<|endoftext|>", "<|endoftext", "|>", "a", " ", "  ", "\n", "\t", "\u00a0", "é", "日", "'s", ".", "12", "word"]
+    texts = [twins.A, twins.B, "", *["".join(rng.choices(parts, k=rng.randrange(1, 9))) for _ in range(3000)], twins.B, twins.A]
+    for s in slices(pa.array(texts), max_bytes=4000):
+        ids, at = encoder.encode(s)
+        for i in range(s.n):
+            assert ids[at[i]:at[i + 1]].tolist() == tk.encode(texts[s.first + i], add_special_tokens=False).ids, repr(texts[s.first + i])
+
+
 def test_empty(spark):
     path = work_path(spark, "token-file-empty")
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string").where("false")

@@ -7,12 +7,15 @@ text, not the batch.  Nulls are empty texts.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+LONG = 64       # bytes; a polynomial modulo 2^64 is safe for shorter spans only (see ``Slice.hashes``)
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -65,10 +68,16 @@ class Slice:
         return np.cumsum(_BYTE_VALUE[self.buf] * _power("base", _BASE, len(self.buf)), dtype=U)
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray, cumulative: np.ndarray | None = None) -> np.ndarray:
-        """64-bit hashes of byte spans: equal bytes give equal hashes, wherever they stand.  starts > 0."""
+        """64-bit hashes of byte spans: equal bytes give equal hashes, wherever they stand.  starts > 0.
+
+        A polynomial modulo 2^64 loses a bit or more with each doubling of a Thue-Morse word, so two such words of 1,024
+        letters share it whatever its base: spans over LONG bytes get a digest instead."""
         c = self.cumulative() if cumulative is None else cumulative
         h = (c[ends - 1] - c[starts - 1]) * _power("inverse", _INVERSE, len(self.buf))[starts]
-        return mix64(h + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
+        h = mix64(h + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
+        for i in np.flatnonzero(ends - starts > LONG).tolist():
+            h[i] = int.from_bytes(hashlib.blake2b(self.buf[starts[i]:ends[i]], digest_size=8).digest(), "little")
+        return h
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of all words (runs without white space), and where each row's words begin in them."""
@@ -127,89 +136,143 @@ def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return c[offsets[1:]] - c[offsets[:-1]]
 
 
-# Bytes after which no piece may begin and which may belong to white space:
-# ASCII white space and separators, and first bytes of Unicode white space.
-_MAYBE_SPACE = IS_SPACE.copy()
-_MAYBE_SPACE[[28, 29, 30, 31, 0xC2, 0xE1, 0xE2, 0xE3]] = True
-_HIGH = np.arange(256) >= 128
-_LETTER = np.zeros(256, bool)
-_LETTER[65:91] = _LETTER[97:123] = True
-_PUNCT = np.zeros(256, bool)
-_PUNCT[33:48] = _PUNCT[58:65] = _PUNCT[91:97] = _PUNCT[123:127] = True
+# What decides where texts can be cut, as bits of each byte.
+_OTHER_SPACE, _MAYBE_SPACE, _HIGH, _LETTER, _PUNCT = 1, 2, 4, 8, 16
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[9, 10, 11, 12, 13]] |= _OTHER_SPACE
+# ASCII white space and separators, and first bytes of Unicode white space: no piece may begin after them
+_CLASS[[32, 9, 10, 11, 12, 13, 28, 29, 30, 31, 0xC2, 0xE1, 0xE2, 0xE3]] |= _MAYBE_SPACE
+_CLASS[128:] |= _HIGH
+_CLASS[65:91] |= _LETTER
+_CLASS[97:123] |= _LETTER
+for _a, _b in ((33, 48), (58, 65), (91, 97), (123, 127)):
+    _CLASS[_a:_b] |= _PUNCT
+
+
+ENCODE_BYTES = 2 * SLICE_BYTES      # of the slices that are encoded: more text has relatively fewer different pieces
 
 
 class PieceEncoder:
-    """Token ids of whole texts by a tokenizer that splits with the byte-level pattern
+    """Token ids of whole texts by a byte-level tokenizer of the tokenizers library that splits with the pattern
     ``'s|...| ?letters| ?numbers| ?others|white space`` and encodes each match separately.
 
     A match never runs on over (a) a space followed by a character that isn't
     white space, (b) a single other ASCII white space followed by such a
-    character, (c) an ASCII letter followed by ASCII punctuation.  Texts are cut there,
-    each different piece is encoded once and its ids kept, for as many as
-    KEEP pieces.  The ids are those of the whole text."""
-
-    KEEP = 1_000_000
-    AT_ONCE = 4096
-
-    def __init__(self, encode_batch):
-        self.encode_batch = encode_batch  # list of str -> list of id lists
-        self._forget()
-
-    def _forget(self):
-        self.known = np.zeros(0, U)
+    character, (c) an ASCII letter followed by ASCII punctuation, (d) either end
+    of an added token's string.  Texts are cut there and each different piece
+    (compared by its bytes) is encoded once; its ids are kept while all that is
+    kept has at most KEEP_BYTES.  The ids are those of the whole text."""
+
+    KEEP_BYTES = 96 << 20
+    ENTRY = 200             # bytes, about, that a kept piece takes besides its own and its ids'
+    AT_ONCE = 1 << 14
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        added = tokenizer.get_added_tokens_decoder() if not tokenizer.encode_special_tokens else {}
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("added tokens that take in or look at the text around them")
+        self.added = [t.content.encode() for t in added.values()]
+        # each character of a byte-level token stands for a byte
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.length = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.length[i] = len(token.encode()) if i in added else len(token)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
         self.at = np.zeros(0, np.int64)      # place of each known piece's ids in the pool
-        self.count = np.zeros(0, np.int32)
+        self.count = np.zeros(0, np.int64)
+        self.used = np.zeros(0, np.int32)    # slices that had the piece
         self.pool = np.zeros(0, np.int32)
+        self.kept = 0
+
+    def _shrink(self) -> None:
+        """Keep the pieces that several slices had, if they leave room for others."""
+        keep = np.flatnonzero(self.used > 1)
+        if len(keep) * 2 > len(self.known):
+            return self.forget()
+        spelled = list(self.known)           # in order of their places
+        self.pool = ragged(self.pool, self.at[keep], self.count[keep])
+        self.count = self.count[keep]
+        self.at = np.cumsum(self.count) - self.count
+        self.used = np.ones(len(keep), np.int32)
+        self.known = {spelled[k]: i for i, k in enumerate(keep.tolist())}
+        self.kept = len(self.known) * self.ENTRY + 4 * len(self.pool)
 
     def encode(self, s: Slice) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the slice's rows and where each row's begin (n + 1 offsets)."""
-        buf = s.buf
-        before, here, after = buf[:-2], buf[1:-1], buf[2:]
-        cut = (here == 32) & ~_MAYBE_SPACE[after]
-        alone = np.zeros(len(here), bool)
-        alone[1:] = ~(_MAYBE_SPACE | _HIGH)[buf[:-3]]
-        cut |= IS_SPACE[before] & (before != 32) & alone & ~_MAYBE_SPACE[here]
-        cut |= _LETTER[before] & _PUNCT[here]
-        inside = np.ones(len(buf), bool)
-        inside[s.ends] = False
-        inside[0] = False
-        first = np.zeros(len(buf), bool)
-        first[1:-1] = cut
-        first &= inside
-        # the byte after a row's end is the separator or the next row's start
-        nonempty = s.ends > s.starts
-        first[s.starts[nonempty]] = True
+        first = self._cuts(s)
         starts = np.flatnonzero(first)
         row = np.searchsorted(s.starts, starts, "right") - 1
-        ends = np.append(starts[1:], 0)
-        ends = np.where(np.append(row[1:] != row[:-1], True) if len(row) else np.zeros(0, bool), s.ends[row], ends)
-        h = s.hashes(starts, ends)
-        piece, where, inverse = np.unique(h, return_index=True, return_inverse=True)
-        self._learn(piece, [(starts[i], ends[i]) for i in where[self._unknown(piece)]], buf)
-        found = np.searchsorted(self.known, piece)
-        count = self.count[found][inverse].astype(np.int64)
-        ids = ragged(self.pool, self.at[found][inverse], count)
+        # pieces stand one after the other in the text without the bytes between rows
+        inside = np.ones(len(s.buf), bool)
+        inside[s.ends] = False
+        inside[0] = False
+        at = np.append(starts - row - 1, len(s.buf) - s.n - 1)
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(s.buf[inside])]).dictionary_encode()
+        number = coded.indices.to_numpy(zero_copy_only=False)
+        place = self._places(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[number]
+        count = self.count[place]
+        ids = ragged(self.pool, self.at[place], count)
         offsets = np.append(np.searchsorted(starts, s.starts), len(starts))
         return ids, np.concatenate([np.zeros(1, np.int64), np.cumsum(count)])[offsets]
 
-    def _unknown(self, piece: np.ndarray) -> np.ndarray:
-        if len(self.known) > self.KEEP:
-            self._forget()
-        at = np.searchsorted(self.known, piece)
-        at[at == len(self.known)] = 0
-        return np.flatnonzero(self.known[at] != piece) if len(self.known) else np.arange(len(piece))
-
-    def _learn(self, piece: np.ndarray, spans: list, buf: np.ndarray) -> None:
-        if not spans:
-            return
-        new = self._unknown(piece)
-        got = []
-        for i in range(0, len(spans), self.AT_ONCE):     # the library's own results are much larger than the ids
-            got += self.encode_batch([buf[a:b].tobytes().decode("utf-8", "replace") for a, b in spans[i:i + self.AT_ONCE]])
-        count = np.fromiter(map(len, got), np.int32, len(got))
-        at = len(self.pool) + np.cumsum(count, dtype=np.int64) - count
-        self.pool = np.concatenate([self.pool, np.fromiter((i for x in got for i in x), np.int32, int(count.sum()))])
-        place = np.searchsorted(self.known, piece[new])
-        self.known = np.insert(self.known, place, piece[new])
-        self.at = np.insert(self.at, place, at)
-        self.count = np.insert(self.count, place, count)
+    def _cuts(self, s: Slice) -> np.ndarray:
+        """Whether a piece begins at each byte."""
+        buf, kind = s.buf, _CLASS[s.buf]
+        before, here, after = kind[:-2], kind[1:-1], kind[2:]
+        cut = (buf[1:-1] == 32) & ((after & _MAYBE_SPACE) == 0)
+        single = (before & _OTHER_SPACE) > here & _MAYBE_SPACE
+        single[0] = False
+        single[1:] &= (kind[:-3] & (_MAYBE_SPACE | _HIGH)) == 0
+        cut |= single
+        cut |= ((before & _LETTER) << 1) & here > 0
+        first = np.zeros(len(buf), bool)
+        first[1:-1] = cut
+        first[s.ends] = False
+        # the byte after a row's end is the separator or the next row's start
+        first[s.starts[s.ends > s.starts]] = True
+        if self.added:
+            text = buf.tobytes()
+            for token in self.added:
+                i = text.find(token)
+                while i >= 0:
+                    end = i + len(token)
+                    first[i + 1:end] = False
+                    first[i] = True
+                    # white space before the token runs to the end of its own stretch of text
+                    if i >= 2 and buf[i - 1] == 32 and kind[i - 2] & (_MAYBE_SPACE | _HIGH) and i - 1 not in s.starts:
+                        first[i - 1] = False
+                    if end not in s.ends:
+                        first[end] = True
+                    i = text.find(token, end)
+        return first
+
+    def _places(self, pieces: list[bytes]) -> np.ndarray:
+        """The places of different pieces in ``at`` and ``count``."""
+        if self.kept > self.KEEP_BYTES:
+            self._shrink()
+        place = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(place < 0).tolist()
+        counts, ids = [], []
+        for i in range(0, len(new), self.AT_ONCE):
+            part = [pieces[k] for k in new[i:i + self.AT_ONCE]]
+            got = self.tokenizer.encode_batch_fast([[p.decode("utf-8", "replace") for p in part]], is_pretokenized=True, add_special_tokens=False)[0].ids
+            got = np.array(got, np.int32)
+            # the pieces' ids follow each other, and as many bytes as a piece has are its own
+            ends = np.searchsorted(np.cumsum(self.length[got]), np.cumsum([len(p) for p in part])) + 1
+            counts.append(np.diff(ends, prepend=0))
+            ids.append(got)
+        if new:
+            count = np.concatenate(counts)
+            place[new] = len(self.at) + np.arange(len(new))
+            self.at = np.concatenate([self.at, len(self.pool) + np.cumsum(count) - count])
+            self.count = np.concatenate([self.count, count])
+            self.used = np.concatenate([self.used, np.zeros(len(new), np.int32)])
+            self.pool = np.concatenate([self.pool, *ids])
+            self.known.update(zip([pieces[k] for k in new], place[new].tolist()))
+            self.kept = len(self.known) * self.ENTRY + 4 * len(self.pool)
+        self.used[place] += 1
+        return place

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalspark.llm.arrow_text import PieceEncoder, ragged, slices
+from vitalspark.llm.arrow_text import ENCODE_BYTES, PieceEncoder, ragged, slices
 
 
 def byte_characters() -> list[str]:
@@ -121,8 +121,7 @@ def _worker(spec: str, rank_path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tk = Tokenizer.from_str(spec)
-    encoder = PieceEncoder(lambda texts: [e.ids for e in tk.encode_batch_fast(texts, add_special_tokens=False)])
-    return encoder, ByteTable(read_ranks(rank_path))
+    return PieceEncoder(tk), ByteTable(read_ranks(rank_path))
 
 
 _workers: dict[str, tuple] = {}
@@ -140,7 +139,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, ids: bool = True, offs
             _workers[rank_path] = _worker(shared.value, rank_path)
         encoder, table = _workers[rank_path]
         for batch in batches:
-            for s in slices(batch.column(1)):
+            for s in slices(batch.column(1), max_bytes=ENCODE_BYTES):
                 flat, at = encoder.encode(s)
                 rows = [flat[at[i]:at[i + 1]] for i in range(s.n)]
                 out = [batch.column(0).slice(s.first, s.n).cast(pa.int64()), pa.array(np.diff(at), pa.int64())]

@@ -8,11 +8,12 @@ decodes without any other block, and every STRIDE ids it notes a bit offset,
 so a block is decoded in many lanes at once, one table lookup an id.
 
 Files: ``blocks`` (part, seq, offset: ids of the part before the block, docs
-and counts: int64, payload, marks: uint32 bit offsets) and ``codebook`` (id,
+and counts: int64, payload, marks: uint64 bit offsets) and ``codebook`` (id,
 bits).
 
-Defined cases: a null text is empty; every document ends with the end id, so
-an empty one has one id; rows of one doc_id stand side by side, ordered by
+Defined cases: a null text is empty; the string of an added token in a text is
+that token, as the library has it by default; every document ends with the end
+id, so an empty one has one id; rows of one doc_id stand side by side, ordered by
 length and hash; a null doc_id comes first; other columns are ignored.
 """
 
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalspark.llm.arrow_text import PieceEncoder, slices
+from vitalspark.llm.arrow_text import ENCODE_BYTES, PieceEncoder, slices
 from vitalspark.session import work_path
 
 LIMIT = 18
@@ -86,7 +87,7 @@ def encode_bits(ids: np.ndarray, words: np.ndarray, lengths: np.ndarray) -> tupl
     of every STRIDE-th id."""
     n = lengths[ids].astype(np.int64)
     if not len(n):
-        return b"", np.zeros(0, np.uint32)
+        return b"", np.zeros(0, np.uint64)
     at = np.cumsum(n) - n
     total = int(at[-1] + n[-1])
     value = words[ids] << (64 - (at & 31) - n).astype(U)
@@ -95,7 +96,7 @@ def encode_bits(ids: np.ndarray, words: np.ndarray, lengths: np.ndarray) -> tupl
     out = np.zeros(int(word[-1]) + 2, U)
     out[:-1] = np.add.reduceat(value >> U(32), first)
     out[1:] += np.add.reduceat(value & U(0xFFFFFFFF), first)
-    return out.astype(">u4").tobytes()[:-(-total // 8)], at[::STRIDE].astype(np.uint32)
+    return out.astype(">u4").tobytes()[:-(-total // 8)], at[::STRIDE].astype(np.uint64)
 
 
 class Decoder:
@@ -126,7 +127,8 @@ class Decoder:
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, n_tokens, tie and ids (uint16 or uint32, little-endian) of each whole text with the end id."""
+    """doc_id, n_tokens and ids (uint16 or uint32, little-endian) of each whole text with the end id; and a row a task
+    that has counts alone: how often each id occurs in the task's texts (int64)."""
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())    # size: the vocabulary's
     kind = id_kind(tokenizer_path)
@@ -136,21 +138,33 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Data
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         if tokenizer_path not in _encoders:
-            tk = Tokenizer.from_str(spec.value)
-            tk.encode_special_tokens = True
-            _encoders[tokenizer_path] = PieceEncoder(lambda texts: [e.ids for e in tk.encode_batch_fast(texts, add_special_tokens=False)])
+            _encoders[tokenizer_path] = PieceEncoder(Tokenizer.from_str(spec.value))
+        encoder, counts = _encoders[tokenizer_path], np.zeros(0, np.int64)
         for batch in batches:
-            for s in slices(batch.column(1)):
-                ids, at = _encoders[tokenizer_path].encode(s)
+            for s in slices(batch.column(1), max_bytes=ENCODE_BYTES):
+                ids, at = encoder.encode(s)
                 ids = np.insert(ids, at[1:], end_id).astype(kind)
+                counts = _added(counts, np.bincount(ids))
                 at = at + np.arange(s.n + 1)
                 size = np.dtype(kind).itemsize
                 yield pa.record_batch([
                     batch.column(0).slice(s.first, s.n).cast(pa.int64()), pa.array(np.diff(at), pa.int64()),
-                    pa.Array.from_buffers(pa.binary(), s.n, [None, pa.py_buffer((at * size).astype(np.int32)), pa.py_buffer(ids)])],
-                    names=["doc_id", "n_tokens", "ids"])
+                    pa.Array.from_buffers(pa.binary(), s.n, [None, pa.py_buffer((at * size).astype(np.int32)), pa.py_buffer(ids)]),
+                    pa.nulls(s.n, pa.binary())], names=names)
+        yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                               pa.array([counts.tobytes()], pa.binary())], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    names = ["doc_id", "n_tokens", "ids", "counts"]
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary, counts binary")
+
+
+def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sum of two arrays, the shorter one filled up with 0."""
+    if len(a) < len(b):
+        a, b = b, a
+    out = a.astype(np.int64)
+    out[:len(b)] += b
+    return out
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -161,31 +175,28 @@ def id_kind(tokenizer_path: str) -> str:
     return "<u2" if Tokenizer.from_file(tokenizer_path).get_vocab_size() <= 1 << 16 else "<u4"
 
 
-def count_ids(tokens: DataFrame, kind: str) -> np.ndarray:
-    """How often each id occurs in the whole corpus; one array a task, summed in Spark, as long as the vocabulary."""
+def count_ids(tokens: DataFrame) -> np.ndarray:
+    """How often each id occurs in the whole corpus: the tasks' counts, summed in Spark, as long as the vocabulary."""
     def run(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
             for x in batch.column(0):
-                c = np.bincount(np.frombuffer(x.as_buffer(), kind))
-                if len(c) > len(total):
-                    c[:len(total)] += total
-                    total = c
-                else:
-                    total[:len(c)] += c
+                total = _added(total, np.frombuffer(x.as_buffer(), np.int64))
         used = np.flatnonzero(total)
         yield pa.record_batch([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
 
-    rows = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    rows = (tokens.select("counts").where("counts IS NOT NULL").mapInArrow(run, "id long, n long")
+            .groupBy("id").agg(F.sum("n").alias("n")).toPandas())
     out = np.zeros(int(rows.id.max()) + 1 if len(rows) else 1, np.int64)
     out[rows.id.to_numpy(np.int64)] = rows.n.to_numpy(np.int64)
     return out
 
 
 def write_token_file(tokens: DataFrame, kind: str, path: str, parts: int) -> None:
-    """Write the blocks and the code book of (doc_id, n_tokens, ids) below ``path``."""
+    """Write the blocks and the code book of a written table of ``tokenize`` below ``path``."""
     spark = tokens.sparkSession
-    counts = count_ids(tokens, kind)
+    counts = count_ids(tokens)
+    tokens = tokens.where("n_tokens IS NOT NULL")
     lengths = code_lengths(counts)
     used = np.flatnonzero(lengths)
     spark.createDataFrame([(int(i), int(lengths[i])) for i in used] or [], "id long, bits int").coalesce(1).write.parquet(f"{path}/codebook")
@@ -244,7 +255,7 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
             for r in range(batch.num_rows):
                 part, offset, n = (batch.column(k)[r].as_py() for k in (0, 1, 2))
                 counts = np.asarray(batch.column(4)[r].values, np.int64)
-                ids = decoder.decode(batch.column(5)[r].as_py(), np.frombuffer(batch.column(6)[r].as_py(), np.uint32), n).astype("<u4")
+                ids = decoder.decode(batch.column(5)[r].as_py(), np.frombuffer(batch.column(6)[r].as_py(), np.uint64), n).astype("<u4")
                 ends = np.cumsum(counts)
                 starts = ends - counts
                 crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
