@@ -3,9 +3,11 @@
 import hashlib
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
+import twins
 from vitalspark.llm import merkle as M
 from vitalspark.llm.arrow_text import slices
 
@@ -20,7 +22,7 @@ def some_text(seed, words=200):
 
 
 def test_equality_and_slices():
-    texts = ["", None, "a", "a ", " a", "a\n", "a\n\nb", "a\nb", "\n", "\n\n", *[some_text(i, i * 9) for i in range(30)], some_text(3, 27)]
+    texts = ["", None, twins.A, twins.B, f"x {twins.A} y", f"x {twins.B} y", "a", "a ", " a", "a\n", "a\n\nb", "a\nb", "\n", "\n\n", *[some_text(i, i * 9) for i in range(30)], some_text(3, 27)]
     fps = trees(texts)
     assert fps == trees(texts, max_bytes=10)
     for i, x in enumerate(texts):
@@ -69,3 +71,24 @@ def test_lone_repeated_and_empty(spark):
     assert M.compare_with_next(df.where("false")).count() == 0
     twice = spark.createDataFrame([(5, "same text")] * 2 + [(6, "other"), (None, None), (None, None)], "doc_id long, text string")
     assert M.compare_with_next(twice).count() == 5 and M.fingerprints(twice).count() == 5
+
+
+@pytest.mark.parametrize("alphabet", ["的一是不了人我在有他这中大来上国", "A", "ab", "の😀"])
+def test_unspaced_text_has_bounded_leaves(alphabet):
+    """3,000 characters without white space: leaves are bounded and an edit of the last third leaves the others."""
+    text = "".join(random.Random(4).choices(alphabet, k=3000))
+    other = text[:2000] + "".join(random.Random(5).choices(alphabet, k=1000))
+    middle = text[:1500] + "!" + text[1501:]
+    a, b, c = trees([text, other, middle])
+    assert M.likeness(a, b) > 0.5 and M.likeness(a, c) > (0.9 if len(alphabet) > 2 else 0.5)
+    for s in slices(pa.array([text, "line " * 5000, twins.A * 20])):
+        t = M.Trees(s)
+        sizes = (s.ends - s.starts) / np.maximum(np.diff(t.leaf_at), 1)
+        assert (sizes <= M.LONGEST).all()
+
+
+def test_a_very_long_text(spark):
+    text = some_text(9, 300_000)
+    df = spark.createDataFrame([(2, text), (1, text + "!")], "doc_id long, text string")
+    r = {x.doc_id: x for x in M.compare_with_next(df).collect()}
+    assert r[2].n_chars == len(text) and r[2].near_next > 0.999 and r[2].near_edited > 0.5

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import twins
 from vitalspark.llm import set_join as J
 from vitalspark.llm.arrow_text import LOWER, slices
 
@@ -55,6 +56,7 @@ def corpus(seed):
                         del copy[i]
                 rows.append(" ".join(x.upper() if rng.random() < 0.1 else x for x in copy))
     rows += [None, "", " \t\n", "one", "ONE", "one two three", "One  two\nthree", "a b c d e", "a b c d e"] + [" ".join(passage)] * 5
+    rows += [twins.A, twins.B, f"{twins.A} " * 6, f"{twins.B} " * 6, "very long " * 30_000 + "text"]
     rng.shuffle(rows)
     return list(enumerate(rows))
 

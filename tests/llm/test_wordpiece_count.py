@@ -10,6 +10,7 @@ import pytest
 
 P = pytest.importorskip("public_tokenizers")
 
+import twins  # noqa: E402
 from vitalspark.llm import wordpiece_count as W  # noqa: E402
 from vitalspark.llm.arrow_text import slices  # noqa: E402
 
@@ -63,3 +64,12 @@ def test_slices_do_not_matter():
     whole = [np.concatenate(x).tolist() for x in zip(*[W.count_slice(a, s) for s in slices(pa.array(texts))])]
     assert whole == [np.concatenate(x).tolist() for x in zip(*[W.count_slice(a, s) for s in slices(pa.array(texts), max_bytes=1)])]
     assert whole == [[2, 0, 0, 2, 1], [3, 0, 0, 2, 1], [0, 0, 0, 1, 1]]
+
+
+def test_words_that_a_polynomial_hash_takes_for_one():
+    a = W.Automaton({b"a", b"b", b"ab", twins.A.encode()}, {b"a", b"b", b"ab"})
+    for s in slices(pa.array([f"{twins.A} {twins.B}", twins.B])):
+        words, tokens, _ = W.count_slice(a, s)
+        n = greedy(twins.B.encode(), {b"a", b"b", b"ab"}, {b"a", b"b", b"ab"})
+        assert words.tolist() == [2, 1]
+        assert tokens.tolist() == [1 + n, n]

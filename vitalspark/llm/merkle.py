@@ -2,9 +2,11 @@
 
 A paragraph is a line, a section ends after a blank line or after a paragraph
 that its own hash picks (one in 8), and a paragraph's leaves end after words
-that their hash picks (one in 4), so all borders depend on the text around them
-alone and an edit leaves the others in place.  A leaf holds every byte up to
-the next one.  A node's hash is that of its children's in order; the root is a
+that their hash picks (one in 4) and, inside words of more than LONG_WORD bytes
+(text without spaces), at characters that the WINDOW bytes before them pick (one
+in CHARACTERS), so all borders depend on the text around them alone and an edit
+leaves the others in place.  Only a leaf that would still hold more than
+LONGEST bytes is cut by length.  A leaf holds every byte up to the next one.  A node's hash is that of its children's in order; the root is a
 128-bit digest of the sections', so equal roots mean equal texts, and where two
 trees differ only the differing branches need to be followed down.
 
@@ -30,10 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalspark.llm.arrow_text import Slice, mix64, slices
+from vitalspark.llm.arrow_text import Slice, mix64, ragged, slices
 
 LEAF_WORDS = 4
 SECTION_PARAGRAPHS = 8
+LONG_WORD, WINDOW, CHARACTERS = 64, 24, 16
+LONGEST = 512
 U = np.uint64
 _B = U(0x9E3779B97F4A7C15)
 
@@ -46,6 +50,29 @@ def _parents(child: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix64(np.add.reduceat(value, first) + size.astype(U)) if len(first) else np.zeros(0, U)
 
 
+def _inner_cuts(s: Slice, starts: np.ndarray, ends: np.ndarray, cumulative: np.ndarray) -> np.ndarray:
+    """Places in long words where a leaf begins: characters that the bytes before them pick."""
+    long = ends - starts > LONG_WORD
+    at = ragged(np.arange(len(s.buf)), starts[long] + WINDOW, ends[long] - starts[long] - WINDOW)
+    at = at[(s.buf[at] & 0xC0) != 0x80]
+    return at[s.hashes(at - WINDOW, at, cumulative) % U(CHARACTERS) == 0] if len(at) else at
+
+
+def _bounded(s: Slice, leaf: np.ndarray) -> np.ndarray:
+    """The leaves' starts with more of them where a leaf has more than LONGEST bytes, at characters."""
+    if not len(leaf):
+        return leaf
+    size = np.minimum(np.append(leaf[1:], 1 << 62), s.ends[np.searchsorted(s.starts, leaf, "right") - 1]) - leaf
+    more = np.maximum(0, (size - 1) // LONGEST)
+    if not more.any():
+        return leaf
+    place = np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more) + 1
+    cut = np.repeat(leaf, more) + place * LONGEST
+    for _ in range(3):
+        cut = np.where((s.buf[cut] & 0xC0) == 0x80, cut - 1, cut)
+    return np.union1d(leaf, cut)
+
+
 class Trees:
     """The trees of a slice's rows: flat hashes by level, and where each node's children begin."""
 
@@ -61,7 +88,8 @@ class Trees:
         after = np.flatnonzero(chosen[:-1]) + 1 if len(chosen) else np.zeros(0, np.int64)
         after = after[~np.isin(after, at[:-1])]
         para = np.union1d(row_first, line_first)
-        leaf = np.union1d(para, starts[after])
+        leaf = np.union1d(para, np.concatenate([starts[after], _inner_cuts(s, starts, ends, cumulative)]))
+        leaf = _bounded(s, leaf)
         row = np.searchsorted(s.starts, leaf, "right") - 1
         # rows without text share their place with none: an empty row's start is its own separator
         end = np.minimum(np.append(leaf[1:], 1 << 62), s.ends[row]) if len(leaf) else leaf

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalspark.llm.arrow_text import IS_SPACE, Slice, row_sums, slices
+from vitalspark.llm.arrow_text import IS_SPACE, Slice, row_sums, slices, span_ids
 from vitalspark.llm.bpe import read_ranks
 
 LONG = 256      # words over so many bytes are read one by one
@@ -176,8 +176,10 @@ class Automaton:
 def count_slice(automaton: Automaton, s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, tokens and unknown words of each row; each different word is counted once."""
     starts, ends, at = s.words()
-    _, where, inverse = np.unique(s.hashes(starts, ends), return_index=True, return_inverse=True)
-    n = automaton.counts(s.buf, starts[where], ends[where])[inverse]
+    number, different = span_ids(s.buf, starts, ends)
+    where = np.zeros(len(different), np.int64)
+    where[number[::-1]] = np.arange(len(number))[::-1]
+    n = automaton.counts(s.buf, starts[where], ends[where])[number]
     return np.diff(at), row_sums(np.maximum(n, 1), at), row_sums((n == 0).astype(np.int64), at)
 
 
