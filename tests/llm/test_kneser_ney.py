@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+import twins
 from vitalspark.llm import kneser_ney as K
 
 
@@ -151,3 +152,23 @@ def test_the_query_knows_more_than_one_word_of_context(spark, tmp_path):
     got = {r.doc_id: r.score for r in K.op5_kneser_ney(spark, str(tmp_path)).collect()}
     brute = Brute3([t for i, t in enumerate(texts * 3) if zlib.crc32(str(i).encode()) % 7 != 2])
     assert all(got[i] == pytest.approx(brute.row(t)[4]) for i, t in enumerate(texts * 3))
+
+
+@pytest.mark.parametrize("kind", ["<u8", "<u4", "<i8"])
+def test_packed_numbers(kind):
+    rng = random.Random(1)
+    import numpy as np
+    for n in (0, 1, 2, 1000):
+        top = np.iinfo(kind).max
+        x = np.array([rng.choice([0, 1, 7, top, top - 1, rng.randrange(top)]) for _ in range(n)], kind)
+        for y in (x, np.sort(x)):
+            assert (K.unpack(K.pack(y), kind) == y).all()
+        wide = np.array([[rng.randrange(1 << 40) for _ in range(5)] for _ in range(n)], np.int64).reshape(n, 5)
+        assert (K.unpack(K.pack(wide), np.int64, 5) == wide).all()
+
+
+def test_a_word_never_trained_on_is_unknown(spark):
+    df = spark.createDataFrame([(1, f"{twins.A} x")], "doc_id long, text string")
+    spec = K.train(df, 3)
+    got = K.score(spark.createDataFrame([(2, twins.B), (3, twins.A)], "doc_id long, text string"), spec).collect()
+    assert {r.doc_id: r.n_known for r in got} == {2: 1, 3: 2}

@@ -41,6 +41,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,6 +103,25 @@ def contexts(x: np.ndarray, at: np.ndarray, start) -> np.ndarray:
     return out
 
 
+def pack(x: np.ndarray) -> bytes:
+    """Whole numbers for the shuffle: differences where they ascend, byte by byte of all numbers (columns one after the
+    other), compressed."""
+    flat = np.ascontiguousarray(x.T).reshape(-1)
+    rises = x.ndim == 1 and bool((flat[1:] >= flat[:-1]).all())
+    if rises and len(flat):
+        flat = np.diff(flat, prepend=flat[:1] * 0)
+    return bytes([rises]) + zstandard.ZstdCompressor(level=1).compress(flat.view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes())
+
+
+def unpack(data: bytes, kind, width: int = 1) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8)
+    kind = np.dtype(kind)
+    flat = np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).reshape(-1).view(kind)
+    if data[0]:
+        flat = np.cumsum(flat, dtype=kind)
+    return flat.reshape(width, -1).T if width > 1 else flat
+
+
 def _blobs(bucket: np.ndarray, *columns: np.ndarray) -> list:
     """(bucket, packed columns) for each bucket that occurs."""
     order = np.argsort(bucket, kind="stable")
@@ -109,11 +129,11 @@ def _blobs(bucket: np.ndarray, *columns: np.ndarray) -> list:
     first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
     ends = np.append(first[1:], len(bucket))
     return [pa.array(bucket[first].astype(np.int32))] + [
-        pa.array([c[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()) for c in columns]
+        pa.array([pack(c[a:b]) for a, b in zip(first, ends)], pa.binary()) for c in columns]
 
 
-def _joined(column, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in column), kind)
+def _joined(column, kind, width: int = 1) -> np.ndarray:
+    return np.concatenate([unpack(x.as_buffer().to_pybytes(), kind, width) for x in column])
 
 
 def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -306,12 +326,12 @@ def count_grams(docs: DataFrame, folder: str, parts: int, shared, order: int) ->
         if len(rest):
             size = int(words.base[here + 1] - words.base[here])
             at = _joined(rest["ids"], np.int64) - words.base[here]
-            rows = _joined(rest["rows"], np.int64).reshape(-1, 5)
+            rows = _joined(rest["rows"], np.int64, 5)
             total = np.stack([np.bincount(at, rows[:, k], size).astype(np.int64) for k in range(5)], axis=1)
             a = total[:, 0]
             out.append(("words", here, [write_array(folder, total[:, k]) for k in range(5)], _of_counts(a[a > 0])))
         if len(pairs):
-            key, rows = _joined(pairs["contexts"], U), _joined(pairs["sums"], np.int64).reshape(-1, 4)
+            key, rows = _joined(pairs["contexts"], U), _joined(pairs["sums"], np.int64, 4)
             by = np.argsort(key, kind="stable")
             key, rows = _row_sums(key[by], rows[by])
             key, rows = key[rows[:, 0] > 1], rows[rows[:, 0] > 1]
