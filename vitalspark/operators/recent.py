@@ -22,7 +22,7 @@ RISK_THRESHOLD = 70
 LAST_N_COLUMNS = ["patient_id", "reading_timestamp", "metric_type", "value", "unit", "is_abnormal"]
 
 
-def _newest_first():
+def newest_first():
     return [F.col("reading_timestamp").desc(), F.col("metric_type").asc()]
 
 
@@ -38,14 +38,14 @@ def last_n_readings(readings: DataFrame, patient_id: str, n: int = LAST_N,
         cond = F.col("patient_id") == patient_id
     if metric_type is not None:
         cond = cond & (F.col("metric_type") == metric_type)
-    return readings.filter(cond).orderBy(*_newest_first()).limit(n).select(*LAST_N_COLUMNS)
+    return readings.filter(cond).orderBy(*newest_first()).limit(n).select(*LAST_N_COLUMNS)
 
 
 def last_n_all_patients(readings: DataFrame, n: int = LAST_N) -> DataFrame:
     """Newest n readings of every patient in one pass, with their rank."""
     spread = F.pmod(F.xxhash64("reading_timestamp", "metric_type"), F.lit(SPREAD))
-    part = Window.partitionBy("patient_id", "_spread").orderBy(*_newest_first())
-    w = Window.partitionBy("patient_id").orderBy(*_newest_first())
+    part = Window.partitionBy("patient_id", "_spread").orderBy(*newest_first())
+    w = Window.partitionBy("patient_id").orderBy(*newest_first())
     near = (readings.withColumn("_spread", spread).withColumn("_rank", F.row_number().over(part))
             .filter(F.col("_rank") <= n).drop("_rank", "_spread"))
     return (near.withColumn("reading_rank", F.row_number().over(w))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.columns import normalize_reading_time
 from ..operators import recent, transforms
+from ..operators.lookup import lookup_last_n, write_lookup_table
+from ..operators.retention import drop_expired
 from ..sources.fixtures import (BROKEN_EVERY, BROKEN_OFFSET, iso_time_readings, load_readings, load_table, metric_dim,
                                 patients_flat, reading_messages)
 from ..session import work_path
@@ -16,6 +18,7 @@ from ..sinks.files import write_readings_table
 from ..sources.readers import read_readings_table
 from .registry import register
 from .sql_fixtures import with_patients, with_readings
+from .stored import stored
 
 PATIENT = "P000007"
 METRIC = "click"
@@ -51,6 +54,19 @@ def q_readings_within_retention(spark, sf_dir):
     return transforms.readings_within_retention(load_readings(spark, sf_dir), RETENTION_AS_OF, 90)
 
 
+@register("retention_drop", with_readings(f"""
+SELECT {_ALL}, (SELECT count(DISTINCT CAST(reading_timestamp AS DATE)) FROM readings
+                WHERE CAST(reading_timestamp AS DATE) + INTERVAL 1 DAY <= TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL 90 DAY) AS dropped
+FROM readings WHERE reading_timestamp > TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL 90 DAY"""))
+def q_retention_drop(spark, sf_dir):
+    """P13 on the stored table: expired date folders are dropped, what is left of the date in between is filtered."""
+    path = work_path(spark, "expiring-readings")
+    write_readings_table(load_readings(spark, sf_dir), path)
+    gone = drop_expired(spark, path, RETENTION_AS_OF, 90)
+    return (transforms.readings_within_retention(read_readings_table(spark, path), RETENTION_AS_OF, 90)
+            .drop("reading_date").withColumn("dropped", F.lit(len(gone)).cast("long")))
+
+
 @register("classify_readings", with_readings(f"""
 SELECT patient_id, reading_timestamp, metric_type, value, unit, device_id,
        (value < threshold_min OR value > threshold_max) AS is_abnormal, threshold_min, threshold_max,
@@ -64,11 +80,15 @@ def q_classify_readings(spark, sf_dir):
 
 def _stored(spark, sf_dir):
     """The reading table with the store's patient key, written and read back."""
-    path = work_path(spark, "readings-table")
-    write_readings_table(transforms.with_patient_key(load_readings(spark, sf_dir)), path)
+    path = stored(spark, sf_dir, "readings-table",
+                  lambda p: write_readings_table(transforms.with_patient_key(load_readings(spark, sf_dir)), p))
     return read_readings_table(spark, path)
 
 
+def _lookup_table(spark, sf_dir):
+    return stored(spark, sf_dir, "lookup-table", lambda p: write_lookup_table(load_readings(spark, sf_dir), p, 16))
+
+
 @register("last_n_readings", with_readings(f"""
 SELECT patient_id, reading_timestamp, metric_type, value, unit, is_abnormal FROM readings
 WHERE patient_id = '{PATIENT}' ORDER BY reading_timestamp DESC, metric_type LIMIT 20"""))
@@ -84,6 +104,22 @@ def q_last_n_readings_metric(spark, sf_dir):
     return recent.last_n_readings(_stored(spark, sf_dir), PATIENT, 20, METRIC)
 
 
+@register("lookup_last_n", with_readings(f"""
+SELECT patient_id, reading_timestamp, metric_type, value, unit, is_abnormal FROM readings
+WHERE patient_id = '{PATIENT}' ORDER BY reading_timestamp DESC, metric_type LIMIT 20"""))
+def q_lookup_last_n(spark, sf_dir):
+    """W1 from one bucket of the lookup table, newest dates first."""
+    return lookup_last_n(spark, _lookup_table(spark, sf_dir), PATIENT, 20)
+
+
+@register("lookup_last_n_metric", with_readings(f"""
+SELECT patient_id, reading_timestamp, metric_type, value, unit, is_abnormal FROM readings
+WHERE patient_id = '{PATIENT}' AND metric_type = '{METRIC}' ORDER BY reading_timestamp DESC LIMIT 20"""))
+def q_lookup_last_n_metric(spark, sf_dir):
+    """W2 from one bucket of the lookup table."""
+    return lookup_last_n(spark, _lookup_table(spark, sf_dir), PATIENT, 20, METRIC)
+
+
 @register("last_n_all_patients", with_readings("""
 SELECT * FROM (
   SELECT patient_id, reading_timestamp, metric_type, value, unit, is_abnormal,
