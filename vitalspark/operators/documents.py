@@ -25,7 +25,7 @@ KEY = "patient_id"
 BROADCAST_ROWS = 200_000
 
 
-def _sized(batch: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+def sized(batch: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``batch`` written once, marked for broadcast when its row count is under
     ``limit`` and its measured size under ``BROADCAST_BYTES``."""
     written, n, nbytes = written_and_counted(batch, "update-batch")
@@ -45,14 +45,14 @@ def _size0(c: str) -> Column:
     return F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.size(c))
 
 
-def _fold(patients: DataFrame, per_patient: DataFrame, set_cols: dict[str, Column]) -> DataFrame:
+def fold(patients: DataFrame, per_patient: DataFrame, set_cols: dict[str, Column]) -> DataFrame:
     """Left-join the per-patient batch and replace the given top-level columns
     on matched rows; unmatched documents pass unchanged."""
-    return _fold_sized(patients, _sized(per_patient.withColumn("_matched", F.lit(True))), set_cols)
+    return fold_sized(patients, sized(per_patient.withColumn("_matched", F.lit(True))), set_cols)
 
 
-def _fold_sized(patients: DataFrame, u: DataFrame, set_cols: dict[str, Column]) -> DataFrame:
-    """``_fold`` of a batch already written and sized (with ``_matched``)."""
+def fold_sized(patients: DataFrame, u: DataFrame, set_cols: dict[str, Column]) -> DataFrame:
+    """``fold`` of a batch already written and sized (with ``_matched``)."""
     joined = patients.join(u, KEY, "left")
     matched = F.col("_matched").isNotNull()
     out = [F.when(matched, set_cols[c]).otherwise(F.col(c)).alias(c) if c in set_cols else F.col(c)
@@ -74,6 +74,11 @@ def update_profiles(patients: DataFrame, updates: DataFrame, updated_at,
                     fields: dict[str, str] | None = None) -> DataFrame:
     """Set dotted nested fields (e.g. ``personal_info.contact.phone``) from
     update columns and stamp ``last_updated``; unmatched ids are ignored."""
+    return fold(patients, *profile_change(updates, updated_at, fields))
+
+
+def profile_change(updates: DataFrame, updated_at, fields: dict[str, str] | None = None) -> tuple[DataFrame, dict[str, Column]]:
+    """One row a patient, and the columns of a document that it sets."""
     fields = fields or {"personal_info.contact.phone": "phone"}
     batch = _profile_batch(updates, fields)
     set_cols: dict[str, Column] = {}
@@ -83,7 +88,7 @@ def update_profiles(patients: DataFrame, updates: DataFrame, updated_at,
         newv = F.coalesce(F.col(src), F.col(path))
         set_cols[top] = cur.withField(rest, newv) if rest else newv
     set_cols["last_updated"] = ntz_literal(updated_at)
-    return _fold(patients, batch.drop("_seq"), set_cols)
+    return batch.drop("_seq"), set_cols
 
 
 # --- U2 medical notes ---------------------------------------------------------------
@@ -96,7 +101,7 @@ def add_medical_notes(patients: DataFrame, notes: DataFrame) -> DataFrame:
                   F.max_by("at", "seq").alias("_at")))
     new = F.transform("_notes", lambda x: F.struct(x["at"].alias("date"), x["doctor"].alias("doctor"),
                                                    x["note"].alias("note")))
-    return _fold(patients, batch, {"medical_notes": _append("medical_notes", new, S.NOTE),
+    return fold(patients, batch, {"medical_notes": _append("medical_notes", new, S.NOTE),
                                    "last_updated": F.col("_at")})
 
 
@@ -126,7 +131,7 @@ def _risk_cols() -> dict[str, Column]:
 def update_risk_scores(patients: DataFrame, updates: DataFrame) -> DataFrame:
     """Set the score; append (score, calculated_at, factors) to the history
     only for updates that carry factors."""
-    return _fold(patients, _risk_batch(updates), _risk_cols())
+    return fold(patients, _risk_batch(updates), _risk_cols())
 
 
 def bulk_risk_update(patients: DataFrame, scores: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -134,25 +139,30 @@ def bulk_risk_update(patients: DataFrame, scores: DataFrame) -> tuple[DataFrame,
     every patient in one job; returns (new documents, one-row summary).  The
     per-patient batch is built and written once for both.  Without ``seq`` the
     scores of one patient are ordered by ``at``; two at one time are an error."""
-    if "seq" not in scores.columns:
-        same = scores.groupBy(KEY, "at").count().where("count > 1").limit(1).count()
-        if same:
-            raise ValueError("several scores of one patient at one time, and no seq column to order them")
-        scores = scores.withColumn("seq", F.unix_micros(F.col("at").cast("timestamp")))
-    batch = _sized(_risk_batch(scores).withColumn("_matched", F.lit(True)))
-    new_docs = _fold_sized(patients, batch, _risk_cols())
+    batch = sized(_risk_batch(ordered_scores(scores)).withColumn("_matched", F.lit(True)))
+    return fold_sized(patients, batch, _risk_cols()), score_summary(patients, batch)
+
+
+def ordered_scores(scores: DataFrame) -> DataFrame:
+    """Scores with a ``seq``: without one, by ``at``."""
+    if "seq" in scores.columns:
+        return scores
+    if scores.groupBy(KEY, "at").count().where("count > 1").limit(1).count():
+        raise ValueError("several scores of one patient at one time, and no seq column to order them")
+    return scores.withColumn("seq", F.unix_micros(F.col("at").cast("timestamp")))
+
+
+def score_summary(patients: DataFrame, batch: DataFrame) -> DataFrame:
+    """One row: updates, matched and changed documents of a batch of scores (one row a patient, ``_score``)."""
     report = _match_sized(patients, batch, F.col("risk_score"), F.col("_score"), "score_changed")
-    summary = report.agg(F.count(F.lit(1)).alias("updates"),
-                         F.count_if("matched").alias("matched"),
-                         F.count_if("modified").alias("updated"),
-                         F.count_if("score_changed").alias("score_changed"))
-    return new_docs, summary
+    return report.agg(F.count(F.lit(1)).alias("updates"), F.count_if("matched").alias("matched"),
+                      F.count_if("modified").alias("updated"), F.count_if("score_changed").alias("score_changed"))
 
 
 # --- U5 match reports ---------------------------------------------------------------
 
 def _match(patients: DataFrame, batch: DataFrame, old: Column, new: Column, name: str) -> DataFrame:
-    return _match_sized(patients, _sized(batch), old, new, name)
+    return _match_sized(patients, sized(batch), old, new, name)
 
 
 def _match_sized(patients: DataFrame, batch: DataFrame, old: Column, new: Column, name: str) -> DataFrame:

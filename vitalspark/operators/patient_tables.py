@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from .documents import KEY, _fold, flatten_patients
+from .documents import KEY, flatten_patients, fold
 
 # what orders the entries of a patient: the batch that brought them (0: the document itself), then seq
 ORDER = ["batch", "seq"]
@@ -41,21 +41,34 @@ def _of_patients(rows: DataFrame, t: PatientTables) -> DataFrame:
     return rows.join(t.documents.select(KEY), KEY, "left_semi")
 
 
+def note_change(notes: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """One row a patient, and the columns of a document that it sets."""
+    return notes.groupBy(KEY).agg(F.max_by("at", "seq").alias("_at")), {"last_updated": F.col("_at")}
+
+
+def note_rows(notes: DataFrame, batch: int) -> DataFrame:
+    return notes.select(KEY, F.lit(batch).alias("batch"), "seq", F.col("at").alias("date"), "doctor", "note")
+
+
 def add_notes(t: PatientTables, notes: DataFrame, batch: int = 1) -> PatientTables:
     """Append (seq, at, doctor, note); ``last_updated`` becomes the latest note's time."""
-    last = notes.groupBy(KEY).agg(F.max_by("at", "seq").alias("_at"))
-    new = _of_patients(notes, t).select(KEY, F.lit(batch).alias("batch"), "seq", F.col("at").alias("date"), "doctor", "note")
-    return PatientTables(_fold(t.documents, last, {"last_updated": F.col("_at")}), t.notes.unionByName(new), t.history)
+    return PatientTables(fold(t.documents, *note_change(notes)), t.notes.unionByName(_of_patients(note_rows(notes, batch), t)), t.history)
+
+
+def score_change(updates: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    last = updates.groupBy(KEY).agg(F.max_by("new_score", "seq").alias("_score"), F.max_by("at", "seq").alias("_at"))
+    return last, {"risk_score": F.col("_score"), "last_updated": F.col("_at")}
+
+
+def history_rows(updates: DataFrame, batch: int) -> DataFrame:
+    """History entries of the updates that carry factors."""
+    return (updates.where(F.coalesce(F.size("factors") > 0, F.lit(False)))
+            .select(KEY, F.lit(batch).alias("batch"), "seq", F.col("new_score").alias("score"), F.col("at").alias("calculated_at"), "factors"))
 
 
 def update_scores(t: PatientTables, updates: DataFrame, batch: int = 1) -> PatientTables:
     """Set the newest score; updates with factors also enter the history."""
-    last = updates.groupBy(KEY).agg(F.max_by("new_score", "seq").alias("_score"), F.max_by("at", "seq").alias("_at"))
-    told = updates.where(F.coalesce(F.size("factors") > 0, F.lit(False)))
-    new = _of_patients(told, t).select(KEY, F.lit(batch).alias("batch"), "seq", F.col("new_score").alias("score"),
-                                       F.col("at").alias("calculated_at"), "factors")
-    docs = _fold(t.documents, last, {"risk_score": F.col("_score"), "last_updated": F.col("_at")})
-    return PatientTables(docs, t.notes, t.history.unionByName(new))
+    return PatientTables(fold(t.documents, *score_change(updates)), t.notes, t.history.unionByName(_of_patients(history_rows(updates, batch), t)))
 
 
 def _last(value: Column) -> Column:

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import documents as D
+from ..operators.document_store import DocumentStore
 from ..operators import patient_tables as PT
 from ..operators import recent, transforms
 from ..session import work_path
@@ -15,6 +16,7 @@ from ..sources import fixtures as X
 from ..sources.readers import read_patient_documents
 from .registry import register
 from .sql_fixtures import padded, with_patients
+from .stored import stored
 
 PATIENT = "P000007"
 PROFILE_UPDATED_AT = "2024-02-01 09:00:00"
@@ -34,8 +36,7 @@ _FLAT_COLS = ("patient_id, name, date_of_birth, gender, phone, email, blood_type
 
 def _stored(spark, sf_dir):
     """The documents as a table clustered by patient, written and read back: a lookup reads the row groups of one id."""
-    path = work_path(spark, "patients-table")
-    write_patients_table(X.load_patients(spark, sf_dir), path)
+    path = stored(spark, sf_dir, "patients-table", lambda p: write_patients_table(X.load_patients(spark, sf_dir), p))
     return read_patient_documents(spark, path, "parquet")
 
 
@@ -185,3 +186,60 @@ LEFT JOIN (SELECT patient_id, count(*) AS k FROM notes_upd GROUP BY patient_id)
 def q_history_counts(spark, sf_dir):
     t = PT.add_notes(PT.split(X.load_patients(spark, sf_dir)), X.note_updates(spark, sf_dir))
     return PT.history_counts(PT.update_scores(t, X.risk_updates(spark, sf_dir)))
+
+
+@register("bulk_risk_documents", with_patients(_RISK_FLAT, _FLAT, _RISK_UPD))
+def q_bulk_risk_documents(spark, sf_dir):
+    """U4: the documents that the bulk update gives."""
+    docs, _ = D.bulk_risk_update(X.load_patients(spark, sf_dir), X.risk_updates(spark, sf_dir).drop("seq"))
+    return D.flatten_patients(docs)
+
+
+# --- the stored documents -------------------------------------------------------------
+
+
+@register("document_store_updates", with_patients(f"""
+SELECT f.patient_id, name, date_of_birth, gender, coalesce(l.phone, f.phone) AS phone, email, blood_type, conditions,
+       coalesce(r.new_score, f.risk_score) AS risk_score,
+       CAST(history_entries + CASE WHEN r.has_factors THEN 1 ELSE 0 END AS INTEGER) AS history_entries,
+       CASE WHEN r.has_factors THEN r.new_score ELSE last_history_score END AS last_history_score,
+       CASE WHEN r.has_factors THEN 'recent_abnormal_readings,age_factor' ELSE last_history_factors END AS last_history_factors,
+       CAST(coalesce(l.k, 0) AS INTEGER) AS notes, l.last_note, coalesce(r."at", l."at") AS last_updated
+FROM flat f
+LEFT JOIN (SELECT patient_id, arg_max(phone, seq) AS phone, count(*) AS k, arg_max(note, seq) AS last_note, arg_max("at", seq) AS "at"
+           FROM upd JOIN notes_upd USING (patient_id, seq) GROUP BY patient_id) l ON l.patient_id = f.patient_id
+LEFT JOIN risk_upd r ON r.patient_id = f.patient_id""", _FLAT, _PROFILE_UPD, _RISK_UPD))
+def q_document_store_updates(spark, sf_dir):
+    """U1-U4 on stored documents: three batches, one of them run twice, and an old one that comes again late."""
+    store = DocumentStore.create(X.load_patients(spark, sf_dir), work_path(spark, "documents"), 16)
+    store.update_profiles(X.profile_updates(spark, sf_dir), PROFILE_UPDATED_AT, 1)
+    store.add_notes(X.note_updates(spark, sf_dir), 2)
+    store.add_notes(X.note_updates(spark, sf_dir), 2)
+    store.update_scores(X.risk_updates(spark, sf_dir).drop("seq"), 3)
+    store.update_profiles(X.profile_updates(spark, sf_dir), "2030-01-01 00:00:00", 1)
+    return PT.flatten(store.tables())
+
+
+_TOLD = """judged AS (
+  SELECT *, concat_ws(';', CASE WHEN name IS NULL THEN 'missing:personal_info.name' END,
+                      CASE WHEN gender NOT IN ('M', 'F', 'Other') THEN 'enum:personal_info.gender' END,
+                      CASE WHEN risk_score < 0 OR risk_score > 100 THEN 'range:risk_score' END) AS broken,
+         row_number() OVER (PARTITION BY patient_id) AS copy FROM dirty_all),
+told AS (
+  SELECT patient_id, risk_score, CASE WHEN broken <> '' THEN broken
+    WHEN c_custkey % 3 = 0 OR copy > 1 THEN 'duplicate:patient_id' ELSE '' END AS reasons FROM judged)"""
+
+
+@register("document_store_inserts", with_patients("""
+SELECT 'stored' AS status, patient_id, risk_score, '' AS reasons FROM told WHERE reasons = ''
+UNION ALL SELECT 'stored', patient_id, risk_score, '' FROM patients_flat WHERE c_custkey % 3 = 0
+UNION ALL SELECT 'rejected', patient_id, risk_score, reasons FROM told WHERE reasons <> ''""", _DIRTY, _TOLD))
+def q_document_store_inserts(spark, sf_dir):
+    """K7 with P15 and P16: a third of the patients is stored; then all come, some broken, some twice, in a batch that is
+    run twice."""
+    some = X.nest_patients(X.patients_flat(X.load_table(spark, sf_dir, "customer")), keep_custkey=True)
+    store = DocumentStore.create(some.where("c_custkey % 3 = 0").drop("c_custkey"), work_path(spark, "documents"), 16)
+    for _ in range(2):
+        store.insert(X.dirty_patients(spark, sf_dir), 1)
+    out = store.tables().documents.select(F.lit("stored").alias("status"), "patient_id", "risk_score", F.lit("").alias("reasons"))
+    return out.unionByName(store.rejected().select(F.lit("rejected").alias("status"), "patient_id", "risk_score", F.array_join("reasons", ";").alias("reasons")))

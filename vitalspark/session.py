@@ -42,6 +42,8 @@ CLUSTER_CONF = {
     # sides we broadcast on purpose are measured in code (BROADCAST_BYTES).
     "spark.sql.autoBroadcastJoinThreshold": str(16 * 1024 * 1024),
     "spark.sql.sources.fileCompressionFactor": "4.0",
+    # a selective join side keeps rows of the other one out of the shuffle (document inserts)
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # large stream state (windows x patients) lives in RocksDB, committed by changelog
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -87,15 +89,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
-    master = spark.sparkContext.master
-    if not (master == "local" or master.startswith("local[")):
+    if not _is_local(spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir is not set: on a cluster, intermediate tables and stream checkpoints "
                            "need a folder that all machines share")
-    # Unset: only happens outside a cluster (tests, a laptop).
-    local = tempfile.mkdtemp(prefix="vitalspark-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    # Unset: only happens outside a cluster (tests, a laptop).  The setting is fixed once a session runs; its context
+    # remembers the folder.
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vitalspark-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def _is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
 
 
 def work_path(spark: SparkSession, *parts: str) -> str:
@@ -120,18 +124,18 @@ def materialize(df, label: str):
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def written_and_counted(df, label: str, measure=None):
+def written_and_counted(df, label: str, measure=None, also=()):
     """``materialize(df)`` with its row count and the measured size in bytes of
     the ``measure`` columns (default: all), both from one job over the written
-    table.
+    table; and the values of the aggregates ``also``.
 
     For a join side whose size decides the strategy: the side is computed once
     (not once for the sizing and again for the join)."""
     t = materialize(df, label)
     cols = list(measure or t.columns)
     size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*cols)))), F.lit(0))
-    rows, nbytes = t.agg(F.count(F.lit(1)), size).first()
-    return t, rows, nbytes
+    rows, nbytes, *more = t.agg(F.count(F.lit(1)), size, *also).first()
+    return t, rows, nbytes, *more
 
 
 def fits_broadcast(rows: int, nbytes: int, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
