@@ -25,8 +25,13 @@ def _arr(df: DataFrame, fields, before):
                                   .when(before(b, a), F.lit(1)).otherwise(F.lit(0)))).scalar()
 
 
+def _before(a, b):
+    """Ascending; a missing value comes first."""
+    return F.coalesce(a < b, a.isNull() & b.isNotNull())
+
+
 def _desc_then(key, tie):
-    return lambda a, b: (a[key] > b[key]) | ((a[key] == b[key]) & (a[tie] < b[tie]))
+    return lambda a, b: (a[key] > b[key]) | ((a[key] == b[key]) & _before(a[tie], b[tie]))
 
 
 def readings_of_day(readings: DataFrame, day) -> DataFrame:
@@ -43,15 +48,17 @@ def daily_report(readings: DataFrame, report_date, generated_at, day=None,
     """The report of ``readings`` (optionally only those of ``day``), labelled
     with ``report_date`` and ``generated_at`` (parameters, never now()).
     ``groups``: ``stats.written_groups`` of the same readings when the caller
-    already has them.  Averages are over the values that are there."""
+    already has them.  Averages are over the values that are there.  Readings
+    without a metric are a group of their own, first among equals, so the
+    sections add up to the summary."""
     if groups is None:
         groups = stats.written_groups(readings if day is None else readings_of_day(readings, day), stats.REPORT_SETS)
     summary = stats.group_summary(groups, on_rounded=False)
     per_patient = stats.group_patients(groups)
     raw = F.col("abnormal_readings") / F.col("total_readings") * 100
-    per_metric = stats.group_metrics(groups).where("metric_type IS NOT NULL").withColumnRenamed("abnormal_percentage", "abnormal_rate")
+    per_metric = stats.group_metrics(groups).withColumnRenamed("abnormal_percentage", "abnormal_rate")
     metrics = _arr(per_metric, ["metric_type", "total_readings", "avg_value", "abnormal_count", "abnormal_rate"],
-                   lambda a, b: a["metric_type"] < b["metric_type"])
+                   lambda a, b: _before(a["metric_type"], b["metric_type"]))
     rates_src = per_metric.select(F.col("metric_type").alias("metric"), F.col("abnormal_count").alias("count"),
                                   F.col("abnormal_rate").alias("rate"))
     rates = _arr(rates_src, ["metric", "count", "rate"], _desc_then("count", "metric"))

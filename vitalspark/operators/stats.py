@@ -157,22 +157,26 @@ STATISTICS_SETS = {"metric": ["metric_type"], "patient": ["patient_id", "metric_
                    "device": ["device_id", "patient_id"], "hour": ["hour"]}
 
 
-def figure_groups(readings: DataFrame, sets: dict[str, list[str]]) -> DataFrame:
-    """One pass over the readings: a row for every group of every set, with its
-    ``kind``, counts, sum of the values that are there, range and deviation."""
-    keys = ["metric_type", "patient_id", "device_id", "hour"]
+GROUP_KEYS = ["metric_type", "patient_id", "device_id", "hour"]
+
+
+def figure_groups(readings: DataFrame, sets: dict[str, list[str]], by: list[str] | None = None) -> DataFrame:
+    """One pass over the readings: a row for every group of every set (within each value of the columns ``by``), with
+    its ``kind``, counts, sum of the values that are there, deviation, squared distance from their mean (m2) and range."""
+    by = by or []
+    keys = [*by, *GROUP_KEYS]
     r = readings.withColumn("hour", F.hour("reading_timestamp"))
     # grouping_id has a bit for each key that a set leaves out
-    gid = {name: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in cols) for name, cols in sets.items()}
+    gid = {name: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in by and k not in cols) for name, cols in sets.items()}
     kind = F.col("gid")
     named = None
     for name, g in gid.items():
         named = F.when(kind == g, name) if named is None else named.when(kind == g, name)
-    return (r.groupingSets([[F.col(c) for c in cols] for cols in sets.values()], *keys)
+    return (r.groupingSets([[F.col(c) for c in (*by, *cols)] for cols in sets.values()], *keys)
             .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n"), abnormal_count().alias("a"),
                  F.count("value").alias("nv"), F.sum("value").alias("s"), F.stddev_samp("value").alias("sd"),
-                 F.min("value").alias("mn"), F.max("value").alias("mx"))
-            .select(named.alias("kind"), *keys, "n", "a", "nv", "s", "sd", "mn", "mx"))
+                 (F.var_pop("value") * F.count("value")).alias("m2"), F.min("value").alias("mn"), F.max("value").alias("mx"))
+            .select(named.alias("kind"), *keys, "n", "a", "nv", "s", "sd", "m2", "mn", "mx"))
 
 
 def written_groups(readings: DataFrame, sets: dict[str, list[str]]) -> DataFrame:

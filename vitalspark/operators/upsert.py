@@ -66,14 +66,15 @@ def upsert(base: DataFrame, incoming: DataFrame, keys=S.READING_KEY, seq="seq",
     parts by partition filters: untouched dates, which pass, and touched ones."""
     order = (seq,) if isinstance(seq, str) else tuple(seq)
     cols = [c for c in base.columns if c not in order]
-    newest, n_keys, key_bytes = written_and_counted(latest_per_key(incoming, keys, order).select(*cols),
-                                                    "upsert-batch", measure=keys)
+    stored = PARTITION in base.columns
+    # dates are days of a calendar, so the set of them is small; it comes with the size, from one job
+    newest, n_keys, key_bytes, *dates = written_and_counted(latest_per_key(incoming, keys, order).select(*cols), "upsert-batch", measure=keys,
+                                                            also=[F.collect_set(PARTITION)] if stored else [])
     incoming_keys = newest.select(*keys)
-    if PARTITION in base.columns:
+    if stored:
         # the stored table: dates that the batch doesn't touch are a partition filter away
-        dates = [r[0] for r in newest.select(PARTITION).distinct().limit(broadcast_parts + 1).collect()]
+        dates = sorted(dates[0])
         if len(dates) <= MOST_DATES:
-            dates = [d for d in dates if d is not None]
             on = F.col(PARTITION).isin(dates) if dates else F.lit(False)
             keys_side = F.broadcast(incoming_keys) if fits_broadcast(n_keys, key_bytes, broadcast_keys) else incoming_keys
             kept = base.where(on).join(keys_side, list(keys), "left_anti").select(*cols)

@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 
-from ..operators import stats
+from pyspark.sql import functions as F
+
+from ..operators import daily_states, stats
+from ..operators.transforms import with_patient_key
+from ..sinks.files import write_readings_table
 from ..sources.fixtures import load_patients, load_readings
-from .registry import register
+from ..sources.readers import read_readings_table
+from .registry import ORACLE, register
 from .sql_fixtures import with_both, with_patients, with_readings
+from .stored import stored
 
 _ABN = "CAST(count_if(is_abnormal) AS BIGINT)"
 
@@ -135,3 +141,44 @@ SELECT coalesce(max(try_cast(substring(patient_id, 2) AS BIGINT)) + 1, 100000) A
 FROM patients_flat"""))
 def q_next_patient_index(spark, sf_dir):
     return stats.next_patient_index(load_patients(spark, sf_dir))
+
+
+# --- the sections from partial figures a day ---------------------------------------------
+
+_SECTIONS = {"metric_summary": "metric_summary", "patient_summary_top10": "patient_summary_top", "high_risk_patients": "high_risk_patients",
+             "abnormality_rates": "abnormality_rates", "device_activity": "device_activity", "hourly_distribution": "hourly_distribution",
+             "overall_summary": "overall_summary"}
+
+
+def _day_states(spark, sf_dir):
+    """The figures of all dates: first of those before the last one, then of the last one as a new day."""
+    def write(path):
+        table = stored(spark, sf_dir, "readings-table", lambda p: write_readings_table(with_patient_key(load_readings(spark, sf_dir)), p))
+        readings = read_readings_table(spark, table)
+        days = sorted(r[0] for r in readings.select("reading_date").distinct().collect())      # a row a day
+        daily_states.write_days(readings, path, days[:-1])
+        daily_states.write_days(readings, path, days[-1:])
+    return stored(spark, sf_dir, "day-states", write)
+
+
+def _by_day(section):
+    def query(spark, sf_dir):
+        groups = daily_states.merged_groups(spark, _day_states(spark, sf_dir))
+        return stats.statistics_sections(groups=groups)[section]
+    query.__doc__ = f"{section} merged from the figures of each day."
+    return query
+
+
+for _key, _section in _SECTIONS.items():
+    register(f"by_day_{_key}")(_by_day(_section))
+    ORACLE[f"by_day_{_key}"] = ORACLE[_key]
+
+
+@register("day_states_range", with_readings("""
+SELECT count(*) AS readings, count(DISTINCT patient_id) AS patients, count(DISTINCT device_id) AS devices FROM readings
+WHERE reading_timestamp >= TIMESTAMP '2024-01-10' AND reading_timestamp < TIMESTAMP '2024-01-20'"""))
+def q_day_states_range(spark, sf_dir):
+    """Exact figures of ten days from their states alone."""
+    groups = daily_states.merged_groups(spark, _day_states(spark, sf_dir), "2024-01-10", "2024-01-19")
+    s = stats.group_summary(groups)
+    return s.select(F.col("total_readings").alias("readings"), F.col("total_patients").alias("patients"), F.col("total_devices").alias("devices"))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 # Logical key of a reading (one row per patient, instant and metric).
 READING_KEY = ("patient_id", "reading_timestamp", "metric_type")
 
+# fixed values: the reading's fields, in the order of the source's messages and table
 READING_SCHEMA = T.StructType([
     T.StructField("patient_id", T.StringType()),
     T.StructField("reading_timestamp", T.TimestampNTZType()),
@@ -26,19 +27,6 @@ READING_SCHEMA = T.StructType([
 
 READING_COLUMNS = [f.name for f in READING_SCHEMA.fields]
 
-# The alert table is declared by the source system but no job reads or writes
-# it (no severity rule exists); kept as a schema only.
-ALERT_SCHEMA = T.StructType([
-    T.StructField("alert_id", T.StringType()),
-    T.StructField("patient_id", T.StringType()),
-    T.StructField("timestamp", T.TimestampNTZType()),
-    T.StructField("metric_type", T.StringType()),
-    T.StructField("severity", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("threshold_violated", T.StringType()),
-    T.StructField("acknowledged", T.BooleanType()),
-])
-
 # A reading as it travels in a message: the timestamp is ISO text.
 READING_MESSAGE_SCHEMA = T.StructType([
     f if f.name != "reading_timestamp" else T.StructField("reading_timestamp", T.StringType())

@@ -57,8 +57,10 @@ def write_pipe_text(readings: DataFrame, path: str) -> None:
 
 
 def append_report(report: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K4: append report documents, one folder per ``report_date``."""
-    report.write.mode("append").partitionBy("report_date").format(fmt).save(path)
+    """K4: add report documents, one folder per ``report_date``.  A report of a date that is there already takes its
+    place (dynamic partition overwrite), other dates stay: a run that is repeated leaves one document a date."""
+    (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("report_date")
+     .format(fmt).save(path))
 
 
 def append_patients(patients: DataFrame, path: str, fmt: str = "json") -> None:
