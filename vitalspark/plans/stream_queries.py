@@ -17,11 +17,12 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators.transforms import add_processed_at
+from ..operators.transforms import add_processed_at, classify_readings
 from ..session import work_path
-from ..sources.fixtures import BROKEN_EVERY, load_readings, reading_messages
+from ..sources.fixtures import BROKEN_EVERY, load_readings, metric_dim, reading_messages
 from ..streaming import operators as T
 from ..streaming import sinks as K
+from ..streaming import live_windows as W
 from ..streaming.progress import read_progress, start_counted
 from ..streaming.sources import (MESSAGE_FILE_SCHEMA, message_stream, raw_readings, readings_from_messages,
                                  with_watermark)
@@ -41,14 +42,14 @@ def write_messages(spark: SparkSession, sf_dir: str, broken_every: int | None =
     return path
 
 
-def add_sentinel(spark: SparkSession, path: str) -> None:
+def add_sentinel(spark: SparkSession, path: str, partition: int = 0) -> None:
     """One abnormal reading far in the future.  It must be abnormal: Catalyst
     pushes an ``is_abnormal`` filter below the watermark node, so only rows
     that pass the filter advance event time for the alert queries."""
     body = {"patient_id": "P_SENTINEL", "reading_timestamp": SENTINEL_TIME, "metric_type": "click",
             "value": 50.0, "unit": "bpm", "device_id": "DEV_SENTINEL", "is_abnormal": True,
             "threshold_min": 3.0, "threshold_max": 120.0}
-    row = (bytearray(json.dumps(body).encode()), dt.datetime(2999, 1, 1), 0, -1)
+    row = (bytearray(json.dumps(body).encode()), dt.datetime(2999, 1, 1), partition, -1)
     spark.createDataFrame([row], MESSAGE_FILE_SCHEMA).write.mode("append").parquet(path)
 
 
@@ -311,7 +312,7 @@ def q_multi_query_lifecycle(spark, sf_dir):
                                       F.col("abnormal_rate_pct").alias("value"))))
 
 
-def _run_in_order(spark, sf_dir, start, slices: int = 3) -> None:
+def _run_in_order(spark, sf_dir, start, slices: int = 3, stream=_readings_stream, sentinel: int = 0) -> None:
     """Feed the messages in event-time order over several runs of one checkpoint, each a micro-batch of its own, then
     the sentinel."""
     src, ckpt = work_path(spark, "messages"), work_path(spark, "ckpt")
@@ -320,9 +321,9 @@ def _run_in_order(spark, sf_dir, start, slices: int = 3) -> None:
     cut = F.least(F.floor((F.unix_micros("timestamp") - F.lit(first)) * slices / F.lit(max(1, last - first))), F.lit(slices - 1))
     for i in range(slices):
         messages.where(cut == i).write.mode("append").parquet(src)
-        start(_readings_stream(spark, src), ckpt).awaitTermination()
-    add_sentinel(spark, src)
-    start(_readings_stream(spark, src), ckpt).awaitTermination()
+        start(stream(spark, src), ckpt).awaitTermination()
+    add_sentinel(spark, src, sentinel)
+    start(stream(spark, src), ckpt).awaitTermination()
 
 
 _MINUTE = """date_trunc('minute', reading_timestamp)"""
@@ -381,3 +382,81 @@ def q_stream_batch_progress(spark, sf_dir):
     src, out = write_messages(spark, sf_dir), work_path(spark, "out")
     start_counted(message_stream(spark, src, max_files_per_trigger=3), out, work_path(spark, "ckpt")).awaitTermination()
     return read_progress(spark, out).agg(*[F.sum(c).alias(c) for c in ("messages", "malformed", "abnormal")])
+
+
+@register("redelivered_messages", with_readings(f"""
+SELECT {_ALL}, (SELECT count(*) FROM readings_id) AS written FROM {_GOOD}"""))
+def q_redelivered_messages(spark, sf_dir):
+    """T8 with redelivery: the topic comes, then a third of it again, some of it twice; the table holds every reading, and
+    no more rows have been written than readings came first."""
+    src, table, ckpt = work_path(spark, "messages"), work_path(spark, "table"), work_path(spark, "ckpt")
+    messages = reading_messages(load_readings(spark, sf_dir, keep_event_id=True))
+    again = messages.where(F.col("offset") % 3 == 0)
+    for part in (messages, again, again.unionByName(again)):
+        part.write.mode("append").parquet(src)
+        K.stream_to_table(message_stream(spark, src), table, ckpt, once_within="1 day").awaitTermination()
+    written = K.read_written(spark, table).agg(F.count(F.lit(1))).scalar()
+    return K.read_ingested(spark, table).drop("patient_key").withColumn("written", written)
+
+
+@register("stream_classify_readings", with_readings(f"""
+SELECT patient_id, reading_timestamp, metric_type, value, unit, device_id,
+       (value < threshold_min OR value > threshold_max) AS is_abnormal, threshold_min, threshold_max,
+       CASE WHEN value < threshold_min THEN 'threshold_min' WHEN value > threshold_max THEN 'threshold_max' END AS threshold_violated
+FROM {_GOOD}"""))
+def q_stream_classify_readings(spark, sf_dir):
+    """P14 on a stream: messages without flag and range, joined with the metric table as they come (stream-static)."""
+    src, out = work_path(spark, "messages"), work_path(spark, "out")
+    none = {c: F.lit(None).cast(S.READING_SCHEMA[c].dataType) for c in ("is_abnormal", "threshold_min", "threshold_max", "unit")}
+    reading_messages(load_readings(spark, sf_dir, keep_event_id=True).withColumns(none)).write.parquet(src)
+    flagged = classify_readings(readings_from_messages(message_stream(spark, src)), metric_dim(spark))
+    K.start_append(flagged, out, work_path(spark, "ckpt")).awaitTermination()
+    return spark.read.parquet(out)
+
+
+# windows that open with a partition's first message and close with the first one a day later
+_LIVE = """live AS (
+  SELECT CAST(event_id % 10 AS INTEGER) AS "partition", reading_timestamp AS t, is_abnormal, patient_id, metric_type,
+         row_number() OVER (PARTITION BY event_id % 10 ORDER BY reading_timestamp, event_id) AS rn FROM readings_id),
+openings AS (
+  SELECT "partition", t AS opened, CAST(0 AS BIGINT) AS after FROM live WHERE rn = 1
+  UNION ALL
+  SELECT o."partition", c.t, c.rn FROM openings o JOIN LATERAL (
+    SELECT t, rn FROM live l WHERE l."partition" = o."partition" AND l.rn > o.after AND l.t >= o.opened + INTERVAL 1 DAY ORDER BY rn LIMIT 1) c ON true),
+closings AS (
+  SELECT "partition", opened, after, lead(after) OVER w AS upto, coalesce(lead(opened) OVER w, opened + INTERVAL 1 DAY) AS closed,
+         CASE WHEN lead(after) OVER w IS NULL THEN 'timer' ELSE 'message' END AS closed_by
+  FROM openings WINDOW w AS (PARTITION BY "partition" ORDER BY after)),
+held AS (
+  SELECT c."partition", c.opened, c.closed, c.closed_by, l.is_abnormal, l.patient_id, l.metric_type
+  FROM closings c JOIN live l ON l."partition" = c."partition" AND l.rn > c.after AND (c.upto IS NULL OR l.rn <= c.upto))"""
+
+
+def _with_live(body):
+    return with_readings(body, _LIVE).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _live(spark, sf_dir):
+    out = work_path(spark, "out")
+    _run_in_order(spark, sf_dir, lambda s, ck: K.start_append(W.live_windows(s, 86400, "36500 days"), out, ck),
+                  stream=lambda *at: readings_from_messages(message_stream(*at)), sentinel=99)
+    return spark.read.parquet(out)
+
+
+@register("live_window_totals", _with_live("""
+SELECT "partition", opened, closed, closed_by, count(*) AS readings, CAST(count_if(is_abnormal) AS BIGINT) AS abnormal,
+       round(count_if(is_abnormal) / count(*) * 100, 2) AS abnormal_rate_pct
+FROM held GROUP BY "partition", opened, closed, closed_by"""))
+def q_live_window_totals(spark, sf_dir):
+    """T7 as a consumer closes its windows, over several micro-batches; the sentinel's watermark closes the last ones."""
+    return W.live_totals(_live(spark, sf_dir))
+
+
+@register("live_window_alerts", _with_live("""
+SELECT "partition", opened, closed, patient_id, CAST(sum(count(*)) OVER (PARTITION BY "partition", opened, patient_id) AS BIGINT) AS total_abnormal,
+       metric_type, count(*) AS metric_count
+FROM held WHERE is_abnormal GROUP BY "partition", opened, closed, patient_id, metric_type
+QUALIFY sum(count(*)) OVER (PARTITION BY "partition", opened, patient_id) >= 2"""))
+def q_live_window_alerts(spark, sf_dir):
+    """T6 as a consumer closes its windows: patients with two abnormal readings or more."""
+    return W.live_alerts(_live(spark, sf_dir))

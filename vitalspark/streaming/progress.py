@@ -3,15 +3,17 @@
 ``start_counted`` runs a message stream in ``foreachBatch``: every batch's
 parsed messages are written to its own folder, and one row of counts beside
 them, to a folder of its own as well; a batch that is run again replaces both.
-The counts of the whole stream are a sum over that table, however many batches
-there were (the query's own progress keeps only the last hundred).
+The counts are observed while the messages are written (``observe``), so each
+message is read, parsed and counted in one pass.  The counts of the whole
+stream are a sum over the rows, however many batches there were (the query's
+own progress keeps only the last hundred).
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,12 +25,13 @@ COUNTS = "messages long, malformed long, abnormal long"
 def counted_writer(path: str):
     """foreachBatch function: ``path/messages/batch_id=<n>`` and ``path/progress/batch_id=<n>``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        here = os.path.join(path, "messages", f"batch_id={batch_id}")
-        tag_malformed(batch).write.mode("overwrite").parquet(here)
-        written = batch.sparkSession.read.parquet(here)
         abnormal = ~F.col("malformed") & (F.col("data.is_abnormal") == F.lit(True))
-        (written.agg(F.count(F.lit(1)).alias("messages"), F.count_if("malformed").alias("malformed"),
-                     F.count_if(abnormal).alias("abnormal"))
+        seen = Observation()
+        tagged = tag_malformed(batch).observe(seen, F.count(F.lit(1)).alias("messages"), F.count_if("malformed").alias("malformed"),
+                                              F.count_if(abnormal).alias("abnormal"))
+        tagged.write.mode("overwrite").parquet(os.path.join(path, "messages", f"batch_id={batch_id}"))
+        counts = seen.get
+        (batch.sparkSession.createDataFrame([(counts["messages"], counts["malformed"], counts["abnormal"])], COUNTS).coalesce(1)
          .write.mode("overwrite").parquet(os.path.join(path, "progress", f"batch_id={batch_id}")))
     return write
 

@@ -47,16 +47,21 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: dict | None
     return _trigger(w, trigger).start()
 
 
-def read_log(spark: SparkSession, path: str, schema: str) -> list:
-    """The rows of a small log table, none where nothing has been logged."""
+def open_log(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A small log table; None where nothing has been logged."""
     try:
-        return spark.read.schema(schema).parquet(path).collect()
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return None
         raise
 
 
+def read_log(spark: SparkSession, path: str, schema: str) -> list:
+    log = open_log(spark, path, schema)
+    return [] if log is None else log.collect()
+
+
 def claim(batch: DataFrame, path: str) -> None:
     """Let only one streaming checkpoint write batches below ``path``: its query's id is noted at the first batch."""
     spark = batch.sparkSession
@@ -131,7 +136,10 @@ def route_writer(all_path: str, abnormal_path: str, predicate=None):
     pred = predicate if predicate is not None else (F.col("is_abnormal") == F.lit(True))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        claim(batch, all_path)
+        if batch_id == 0 or not getattr(write, "claimed", False):
+            for path in (all_path, abnormal_path):
+                claim(batch, path)
+            write.claimed = True
         batch.persist()
         try:
             batch.write.mode("overwrite").parquet(os.path.join(all_path, f"{BATCH_COL}={batch_id}"))
@@ -152,6 +160,7 @@ def start_route(readings: DataFrame, all_path: str, abnormal_path: str, checkpoi
 
 BATCH_LOG = "batch_id long, folder string"
 VERSION_LOG = "upto long, reading_date date, folder string"
+FOLDED = 100            # batches that a compaction leaves in the log at most
 TABLE_COLUMNS = [*S.READING_COLUMNS, "patient_key", *MESSAGE_ORDER]
 
 
@@ -178,21 +187,41 @@ def ingest_writer(table_path: str):
     return write
 
 
+def first_deliveries(messages: DataFrame, within: str, keys=("partition", "offset")) -> DataFrame:
+    """Messages that have not come before, as told by partition and offset; each is remembered for ``within`` after its
+    arrival (state, one entry a message).  The watermark runs on the time of arrival, so no message is ever late and
+    none is lost; one that comes again later than that is written again, and last write wins makes it harmless."""
+    return (messages.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+            .dropDuplicatesWithinWatermark(list(keys)).drop("_arrived"))
+
+
 def stream_to_table(messages: DataFrame, table_path: str, checkpoint: str,
-                    trigger: dict | None = None) -> StreamingQuery:
-    """Continuous ingest of reading messages into the reading table."""
+                    trigger: dict | None = None, once_within: str | None = None) -> StreamingQuery:
+    """Continuous ingest of reading messages into the reading table; with ``once_within`` messages that are delivered
+    again within that time are not written again (``first_deliveries``)."""
+    messages = first_deliveries(messages, once_within) if once_within else messages
     w = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(ingest_writer(table_path))
     return _trigger(w, trigger).start()
 
 
+def _upto(spark: SparkSession, table_path: str) -> int:
+    """The last batch folded into the newest compacted version, -1 without one: one number from the log."""
+    versions = open_log(spark, os.path.join(table_path, "versions"), VERSION_LOG)
+    last = None if versions is None else versions.agg(F.max("upto")).first()[0]
+    return -1 if last is None else last
+
+
 def _state(spark: SparkSession, table_path: str):
     """What the table consists of just now: the last batch folded, {date: folder} of the newest compacted version, and
-    {batch: folder} of the batches after it.  A few log rows, read once."""
-    versions = read_log(spark, os.path.join(table_path, "versions"), VERSION_LOG)
-    upto = max((v.upto for v in versions), default=-1)
-    base = {v.reading_date: v.folder for v in versions if v.upto == upto and v.folder is not None}
-    batches = read_log(spark, os.path.join(table_path, "log"), BATCH_LOG)
-    return upto, base, {b.batch_id: b.folder for b in batches if b.batch_id > upto}
+    {batch: folder} of the batches after it.  Older entries of the log are left out before anything is collected."""
+    upto = _upto(spark, table_path)
+    base = {}
+    if upto >= 0:
+        versions = open_log(spark, os.path.join(table_path, "versions"), VERSION_LOG)
+        base = {v.reading_date: v.folder for v in versions.where((F.col("upto") == upto) & F.col("folder").isNotNull()).collect()}
+    log = open_log(spark, os.path.join(table_path, "log"), BATCH_LOG)
+    pending = [] if log is None else log.where((F.col("entry") > upto) & (F.col("batch_id") > upto)).collect()
+    return upto, base, {b.batch_id: b.folder for b in pending}
 
 
 def _base(spark: SparkSession, dates: dict) -> DataFrame | None:
@@ -235,6 +264,11 @@ def read_ingested(spark: SparkSession, table_path: str) -> DataFrame:
     return out.select(*S.READING_COLUMNS, "patient_key")
 
 
+def read_written(spark: SparkSession, table_path: str) -> DataFrame:
+    """Every row that the micro-batches have written, whatever has become of it since."""
+    return spark.read.parquet(os.path.join(table_path, "readings", "*"))
+
+
 def read_dead_letters(spark: SparkSession, table_path: str) -> DataFrame:
     """Messages that could not be stored, with the reason."""
     return spark.read.parquet(os.path.join(table_path, "dead_letters"))
