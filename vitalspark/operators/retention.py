@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import ntz_literal
+from ..session import Folder, sub_folders
 from .transforms import RETENTION_DAYS
 
 DATE = "reading_date"
@@ -31,20 +32,10 @@ def expired_dates(spark: SparkSession, path: str, as_of, days: int = RETENTION_D
     return sorted(r[0] for r in last.where((F.col("last") <= cutoff) & (F.col("unknown") == 0)).select(DATE).collect())
 
 
-def _fs(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def _folders(spark: SparkSession, path: str) -> dict[dt.date, str]:
-    """The date folders of a table, from one listing; the folder of rows without a time isn't among them."""
-    fs, place = _fs(spark, path)
-    out = {}
-    for status in fs.listStatus(place):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(f"{DATE}=") and name[len(DATE) + 1].isdigit():
-            out[dt.date.fromisoformat(name[len(DATE) + 1:])] = status.getPath().toString()
-    return out
+def _folders(spark: SparkSession, path: str) -> dict[dt.date, Folder]:
+    """The date folders of a table; the folder of rows without a time isn't among them."""
+    named = [(f.name.removeprefix(f"{DATE}="), f) for f in sub_folders(spark, path) if f.name.startswith(f"{DATE}=")]
+    return {dt.date.fromisoformat(name): f for name, f in named if name[0].isdigit()}
 
 
 def drop_expired(spark: SparkSession, path: str, as_of, days: int = RETENTION_DAYS, written_at: str | None = None) -> list[dt.date]:
@@ -52,6 +43,5 @@ def drop_expired(spark: SparkSession, path: str, as_of, days: int = RETENTION_DA
     folders = _folders(spark, path)
     gone = [d for d in expired_dates(spark, path, as_of, days, written_at) if d in folders]
     for day in gone:
-        fs, place = _fs(spark, folders[day])
-        fs.delete(place, True)
+        folders[day].delete()
     return gone

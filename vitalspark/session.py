@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -108,6 +109,28 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(root, "vitalspark", *parts, uuid.uuid4().hex)
 
 
+@dataclass(frozen=True)
+class Folder:
+    """A folder of a store that Hadoop's file systems reach."""
+    name: str
+    path: str
+    _fs: object
+    _place: object
+
+    def delete(self) -> None:
+        self._fs.delete(self._place, True)
+
+
+def sub_folders(spark: SparkSession, path: str) -> list[Folder]:
+    """The folders directly below ``path``, from one listing; none where it doesn't exist."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(place):
+        return []
+    found = [s.getPath() for s in fs.listStatus(place) if s.isDirectory()]
+    return sorted((Folder(p.getName(), p.toString(), fs, p) for p in found), key=lambda f: f.name)
+
+
 def materialize(df, label: str):
     """Write ``df`` as a Parquet table below the shared checkpoint folder and
     return a scan of it.  Cuts the lineage: later jobs (and a re-run after an

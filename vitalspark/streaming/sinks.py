@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas as S
 from ..functions.columns import patient_key
 from ..operators.upsert import latest_per_key
+from ..session import sub_folders
 from .sources import MESSAGE_ORDER, dead_letters, readings_from_messages
 
 BATCH_COL = "batch_id"
@@ -160,7 +161,6 @@ def start_route(readings: DataFrame, all_path: str, abnormal_path: str, checkpoi
 
 BATCH_LOG = "batch_id long, folder string"
 VERSION_LOG = "upto long, reading_date date, folder string"
-FOLDED = 100            # batches that a compaction leaves in the log at most
 TABLE_COLUMNS = [*S.READING_COLUMNS, "patient_key", *MESSAGE_ORDER]
 
 
@@ -295,9 +295,20 @@ def compact_ingested(spark: SparkSession, table_path: str) -> int:
     rows = [(last, day, f) for day, f in sorted(days.items())] or [(last, None, None)]
     (spark.createDataFrame(rows, VERSION_LOG).coalesce(1).write
      .parquet(os.path.join(table_path, "versions", f"entry={last}-{uuid.uuid4().hex}")))
+    _fold_log(spark, table_path, upto)
     return last
 
 
+def _fold_log(spark: SparkSession, table_path: str, upto: int) -> None:
+    """Leave out of the log what no reader needs any more: batches folded, and versions that were replaced, before the
+    compaction that has just ended began.  A reader that began before it still finds all of its own."""
+    for name in ("log", "versions"):
+        for folder in sub_folders(spark, os.path.join(table_path, name)):
+            number = int(folder.name.removeprefix("entry=").split("-")[0]) if folder.name.startswith("entry=") else None
+            if number is not None and number <= upto - (name == "versions"):
+                folder.delete()
+
+
 def run_all(spark: SparkSession, queries: dict[str, StreamingQuery], wait: str = "any",
             timeout_s: float | None = None) -> dict[str, StreamingQuery]:
     """Several queries started from one source, each with its own
@@ -312,10 +323,12 @@ def run_all(spark: SparkSession, queries: dict[str, StreamingQuery], wait: str =
         else:
             spark.streams.awaitAnyTermination(timeout_s)
     finally:
+        # a query that is stopped in the middle of a batch may report that as a failure of its own; it isn't one
+        ended = [q for q in queries.values() if not q.isActive]
         for q in queries.values():
             if q.isActive:
                 q.stop()
-    for q in queries.values():
+    for q in ended:
         if q.exception() is not None:
             raise q.exception()
     return queries
