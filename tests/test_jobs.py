@@ -94,3 +94,55 @@ def test_stream_jobs_start_with_one_state_partition_per_slot(spark):
         assert use_stream_partitions(spark, 3) == 3
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_store_jobs(spark, capsys):
+    """Documents into a store, three update batches in place, an insert that is refused."""
+    patients, store = work_path(spark, "p"), work_path(spark, "store")
+    X.load_patients(spark, SF_SMALL).write.parquet(patients)
+    jobs.store_create(spark, argparse.Namespace(patients=patients, patients_format="parquet", store=store, buckets=8))
+    for batch, (job, updates) in enumerate([(jobs.profile_update, X.profile_updates), (jobs.notes_update, X.note_updates), (jobs.risk_update, X.risk_updates)], 1):
+        path = work_path(spark, "u")
+        updates(spark, SF_SMALL).write.parquet(path)
+        job(spark, argparse.Namespace(store=store, batch=batch, updates=path, updated_at="2024-02-01 00:00:00"))
+    from vitalspark.operators import patient_tables as PT
+    from vitalspark.operators.document_store import DocumentStore
+    flat = PT.flatten(DocumentStore(spark, store).tables())
+    assert flat.count() == X.load_patients(spark, SF_SMALL).count() and flat.where("notes > 0").count() > 0
+    jobs.patients_insert(spark, argparse.Namespace(store=store, patients=patients, patients_format="parquet", batch=4))
+    out = capsys.readouterr().out
+    assert "score_changed" in out and "duplicate:patient_id" in out
+    assert DocumentStore(spark, store).tables().documents.count() == flat.count()
+    with pytest.raises(ValueError):
+        jobs.notes_update(spark, argparse.Namespace(store=store, batch=None, updates=patients))
+
+
+def test_lookup_figures_and_expiry_jobs(spark, capsys):
+    table, lookup, states, reports = (work_path(spark, n) for n in ("readings", "lookup", "states", "reports"))
+    write_readings_table(X.load_readings(spark, SF_SMALL), table)
+    jobs.lookup_table(spark, argparse.Namespace(readings=table, out=lookup, buckets=4))
+    for given in ({"readings": table}, {"lookup": lookup}):
+        jobs.last_readings(spark, argparse.Namespace(patient="P000007", n=5, metric=None, **given))
+    first, second = [x for x in capsys.readouterr().out.split("only showing")[0].split("+\n") if "P0" in x][:2]
+    assert first == second
+    jobs.day_figures(spark, argparse.Namespace(readings=table, states=states, day=None))
+    jobs.statistics(spark, argparse.Namespace(states=states, first=None, last=None, day=None, reports=reports, report_date="2024-01-31"))
+    assert spark.read.parquet(reports).first().summary.total_readings == X.load_readings(spark, SF_SMALL).count()
+    jobs.expire(spark, argparse.Namespace(table=table, as_of="2024-04-15 00:00:00", days=90, written_at=None))
+    assert "dropped 2024-01-01" in capsys.readouterr().out
+    assert spark.read.parquet(table).count() < X.load_readings(spark, SF_SMALL).count()
+
+
+def test_live_alerts_and_ingest_jobs(spark):
+    from vitalspark.plans import stream_queries as Q
+    from vitalspark.streaming import sinks as K
+    src, out, table = Q.write_messages(spark, SF_SMALL), work_path(spark, "live"), work_path(spark, "table")
+    common = dict(source=src, checkpoints=work_path(spark, "c"), max_files_per_trigger=None, available_now=True, trigger="1 second", state_partitions=4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        jobs.live_alerts(spark, argparse.Namespace(out=out, seconds=86400, watermark="2 minutes", **common))
+        jobs.ingest(spark, argparse.Namespace(table=table, once_within="1 hour", **common))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert spark.read.parquet(out).count() > 0
+    assert K.read_ingested(spark, table).count() == X.load_readings(spark, SF_SMALL).count()

@@ -6,8 +6,16 @@ compaction, document updates and last-N lookups, each a Spark application.
     python -m vitalspark.jobs ingest --source PATH|kafka --table PATH
     python -m vitalspark.jobs compact --table PATH
     python -m vitalspark.jobs route --source PATH|kafka --out PATH
+    python -m vitalspark.jobs live-alerts --source PATH|kafka --out PATH [--seconds 60]
+    python -m vitalspark.jobs store-create --patients PATH --store NEW_PATH
+    python -m vitalspark.jobs patients-insert --store PATH --patients PATH --batch N
+    python -m vitalspark.jobs risk-update|profile-update|notes-update --store PATH --updates PATH --batch N
     python -m vitalspark.jobs risk-update|profile-update|notes-update --patients PATH --updates PATH --out NEW_PATH
-    python -m vitalspark.jobs last-readings --readings PATH --patient ID [--metric M] [-n 20]
+    python -m vitalspark.jobs lookup-table --readings PATH --out NEW_PATH
+    python -m vitalspark.jobs last-readings --readings PATH|--lookup PATH --patient ID [--metric M] [-n 20]
+    python -m vitalspark.jobs day-figures --readings TABLE --states PATH [--day D ...]
+    python -m vitalspark.jobs statistics --states PATH [--first D --last D] --reports PATH
+    python -m vitalspark.jobs expire --table PATH [--as-of T --days 90 --written-at COLUMN]
 
 Checkpoints go below ``spark.checkpoint.dir`` (``--checkpoints`` overrides).
 """
@@ -23,12 +31,17 @@ from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 from .functions.columns import status_label
+from .operators import daily_states, lookup, recent, stats
 from .operators import documents as D
-from .operators import recent, stats
+from .operators.document_store import DocumentStore
 from .operators.report import daily_report, readings_of_day
-from .session import BATCH_CONF, CLUSTER_CONF, ensure_checkpoint_dir, use_stream_partitions
+from .operators.retention import drop_expired
+from .operators.transforms import RETENTION_DAYS, classify_readings
+from .session import BATCH_CONF, CLUSTER_CONF, ensure_checkpoint_dir, materialize, use_stream_partitions
 from .sinks.files import append_patients, append_report
 from .sources import readers as R
+from .sources.fixtures import vital_signs_dim
+from .streaming import live_windows as W
 from .streaming import operators as T
 from .streaming import sinks as K
 from .streaming.sources import (kafka_options, message_stream, read_stream, readings_from_messages,
@@ -73,9 +86,14 @@ def _ckpt(spark, args, name, output):
 def statistics(spark, args):
     """Q5: hospital-wide statistics, printed, and the report document appended,
     of all readings or (``--day``) of one date.  The readings are scanned once,
-    into the written groups; every section and the report derive from them."""
-    r = _readings(spark, args.readings, args.format)
-    groups = stats.written_groups(readings_of_day(r, args.day) if args.day else r, stats.STATISTICS_SETS)
+    into the written groups; every section and the report derive from them.
+    With ``--states`` they derive from the figures of each day (``day-figures``),
+    and no reading is read."""
+    if getattr(args, "states", None):
+        r, groups = None, materialize(daily_states.merged_groups(spark, args.states, args.first or args.day, args.last or args.day), "figure-groups")
+    else:
+        r = _readings(spark, args.readings, args.format)
+        groups = stats.written_groups(readings_of_day(r, args.day) if args.day else r, stats.STATISTICS_SETS)
     sec = stats.statistics_sections(groups=groups)
     for title, key, n in (("metric summary", "metric_summary", 20),
                           ("patients with the highest abnormal %", "patient_summary_top", 10),
@@ -96,6 +114,8 @@ def alerts(spark, args):
     use_stream_partitions(spark, args.state_partitions)
     out = args.out
     parsed = readings_from_messages(_messages(spark, args))
+    if getattr(args, "classify", False):    # messages without a flag: by the devices' metric table (stream-static join)
+        parsed = classify_readings(parsed, vital_signs_dim(spark))
     qs = {}
     if args.parse_once:  # one read and parse of the source, shared by the three queries
         qs["parse"], parsed = K.parse_once(spark, parsed, os.path.join(out, "readings"), _ckpt(spark, args, "parse", out),
@@ -118,7 +138,43 @@ def ingest(spark, args):
     """Q1 at scale: continuous ingest into the reading table (last write wins)."""
     use_stream_partitions(spark, args.state_partitions)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
-    K.stream_to_table(_messages(spark, args), args.table, _ckpt(spark, args, "ingest", args.table), trigger).awaitTermination()
+    K.stream_to_table(_messages(spark, args), args.table, _ckpt(spark, args, "ingest", args.table), trigger,
+                      once_within=args.once_within).awaitTermination()
+
+
+def live_alerts(spark, args):
+    """Q4 as a consumer sees it: windows that open with a message and close with the first one ``--seconds`` later."""
+    use_stream_partitions(spark, args.state_partitions)
+    trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
+    closed = W.live_windows(readings_from_messages(_messages(spark, args)), args.seconds, args.watermark)
+    K.start_append(closed, args.out, _ckpt(spark, args, "live-alerts", args.out), trigger).awaitTermination()
+
+
+def store_create(spark, args):
+    DocumentStore.create(R.read_patient_documents(spark, args.patients, args.patients_format), args.store, args.buckets)
+
+
+def patients_insert(spark, args):
+    """K7 with P15 and P16: valid documents with new ids enter the store, the others are kept with their reasons."""
+    told = DocumentStore(spark, args.store).insert(R.read_patient_documents(spark, args.patients, args.patients_format), args.batch)
+    told.groupBy("accepted", "reasons").count().orderBy("accepted", "reasons").show(100, truncate=False)
+
+
+def lookup_table(spark, args):
+    lookup.write_lookup_table(R.read_readings_table(spark, args.readings), args.out, args.buckets)
+
+
+def day_figures(spark, args):
+    """A1-A8 by day: the figures of the named dates (all, if none is) from their partitions of the reading table."""
+    days = [dt.date.fromisoformat(d) for d in args.day] if args.day else None
+    daily_states.write_days(R.read_readings_table(spark, args.readings), args.states, days)
+
+
+def expire(spark, args):
+    """Drop the dates of a reading table whose readings have all expired."""
+    now = args.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+    gone = drop_expired(spark, args.table, now, args.days, args.written_at)
+    print("dropped", ", ".join(map(str, gone)) or "nothing")
 
 
 def compact(spark, args):
@@ -131,8 +187,21 @@ def _rewritten(spark, args, change):
     change(patients, spark.read.parquet(args.updates)).write.mode("errorifexists").parquet(args.out)
 
 
+def _store(spark, args) -> DocumentStore | None:
+    """The store that an update job changes in place; None if it writes a new folder."""
+    if not getattr(args, "store", None):
+        return None
+    if args.batch is None:
+        raise ValueError("an update of a store needs the number of its batch")
+    return DocumentStore(spark, args.store)
+
+
 def risk_update(spark, args):
-    """Q6: apply a score table to every patient; write the new documents."""
+    """Q6: apply a score table to every patient; in the store, or as a new folder of documents."""
+    store = _store(spark, args)
+    if store:
+        store.update_scores(spark.read.parquet(args.updates), args.batch).show(truncate=False)
+        return recent.ranked_high_risk(store.tables().documents).show(truncate=False)
     patients = R.read_patient_documents(spark, args.patients, args.patients_format)
     docs, summary = D.bulk_risk_update(patients, spark.read.parquet(args.updates))
     docs.write.mode("errorifexists").parquet(args.out)
@@ -143,11 +212,17 @@ def risk_update(spark, args):
 def profile_update(spark, args):
     """Q3: phone changes (patient_id, seq, phone)."""
     at = args.updated_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+    store = _store(spark, args)
+    if store:
+        return store.update_profiles(spark.read.parquet(args.updates), at, args.batch)
     _rewritten(spark, args, lambda p, u: D.update_profiles(p, u, at))
 
 
 def notes_update(spark, args):
     """Q3: medical notes (patient_id, seq, at, doctor, note)."""
+    store = _store(spark, args)
+    if store:
+        return store.add_notes(spark.read.parquet(args.updates), args.batch)
     _rewritten(spark, args, D.add_medical_notes)
 
 
@@ -160,8 +235,10 @@ def route(spark, args):
 
 def last_readings(spark, args):
     """Q2: newest readings of one patient, with the status label."""
-    r = R.read_readings_table(spark, args.readings)
-    out = recent.last_n_readings(r, args.patient, args.n, args.metric)
+    if getattr(args, "lookup", None):
+        out = lookup.lookup_last_n(spark, args.lookup, args.patient, args.n, args.metric)
+    else:
+        out = recent.last_n_readings(R.read_readings_table(spark, args.readings), args.patient, args.n, args.metric)
     out.withColumn("status", status_label()).show(args.n, truncate=False)
 
 
@@ -171,18 +248,22 @@ def main(argv=None):
     sub = p.add_subparsers(dest="job", required=True)
 
     s = sub.add_parser("statistics")
-    s.add_argument("--readings", required=True)
+    given = s.add_mutually_exclusive_group(required=True)
+    given.add_argument("--readings")
+    given.add_argument("--states", help="figures of each day in place of readings")
     s.add_argument("--format", default="parquet", choices=["parquet", "csv", "pipe"])
+    s.add_argument("--first", default=None)
+    s.add_argument("--last", default=None)
     s.add_argument("--reports", required=True)
     s.add_argument("--report-date", default=None)
     s.add_argument("--day", default=None, help="only readings of this date")
 
-    for name in ("alerts", "ingest", "route"):
+    for name in ("alerts", "ingest", "route", "live-alerts"):
         a = sub.add_parser(name)
         a.add_argument("--source", required=True, help="message folder, or 'kafka'")
         a.add_argument("--bootstrap", default="localhost:9092")
         a.add_argument("--topic", default="patient.monitoring.raw")
-        a.add_argument("--starting", default="latest" if name == "alerts" else "earliest")
+        a.add_argument("--starting", default="latest" if "alerts" in name else "earliest")
         a.add_argument("--max-files-per-trigger", type=int, default=None)
         a.add_argument("--max-offsets-per-trigger", type=int, default=None if name == "alerts" else 10_000_000,
                        help="bound of a micro-batch from the topic, also of the first one after a long stop")
@@ -192,37 +273,77 @@ def main(argv=None):
             a.add_argument("--out", required=True)
             a.add_argument("--window", default="1 minute")
             a.add_argument("--watermark", default="2 minutes")
+            a.add_argument("--classify", action="store_true", help="flag the readings by the devices' metric table")
             a.add_argument("--parse-once", action="store_true",
                            help="read and parse the source once into OUT/readings; the three queries read that")
         else:
             a.add_argument("--table" if name == "ingest" else "--out", required=True)
             a.add_argument("--trigger", default="10 seconds")
             a.add_argument("--available-now", action="store_true")
+        if name == "ingest":
+            a.add_argument("--once-within", default=None, help="don't write messages again that are delivered again within this time")
+        if name == "live-alerts":
+            a.add_argument("--seconds", type=int, default=60)
+            a.add_argument("--watermark", default="2 minutes")
 
     c = sub.add_parser("compact")
     c.add_argument("--table", required=True)
 
     for name in ("risk-update", "profile-update", "notes-update"):
         u = sub.add_parser(name)
-        u.add_argument("--patients", required=True)
+        given = u.add_mutually_exclusive_group(required=True)
+        given.add_argument("--store", help="a document store, changed in place")
+        given.add_argument("--patients", help="a folder of documents; the changed ones go to --out")
+        u.add_argument("--batch", type=int, default=None, help="number of the batch, with --store")
         u.add_argument("--patients-format", default="parquet")
         u.add_argument("--updates", "--scores", dest="updates", required=True)
-        u.add_argument("--out", required=True, help="a new folder")
+        u.add_argument("--out", help="a new folder, with --patients")
         if name == "profile-update":
             u.add_argument("--updated-at", default=None)
 
+    for name in ("store-create", "patients-insert"):
+        d = sub.add_parser(name)
+        d.add_argument("--store", required=True)
+        d.add_argument("--patients", required=True)
+        d.add_argument("--patients-format", default="parquet")
+        if name == "store-create":
+            d.add_argument("--buckets", type=int, default=64)
+        else:
+            d.add_argument("--batch", type=int, required=True)
+
+    t = sub.add_parser("lookup-table")
+    t.add_argument("--readings", required=True)
+    t.add_argument("--out", required=True)
+    t.add_argument("--buckets", type=int, default=lookup.BUCKETS)
+
+    f = sub.add_parser("day-figures")
+    f.add_argument("--readings", required=True)
+    f.add_argument("--states", required=True)
+    f.add_argument("--day", nargs="*", default=None)
+
+    x = sub.add_parser("expire")
+    x.add_argument("--table", required=True)
+    x.add_argument("--as-of", default=None)
+    x.add_argument("--days", type=int, default=RETENTION_DAYS)
+    x.add_argument("--written-at", default=None)
+
     q = sub.add_parser("last-readings")
-    q.add_argument("--readings", required=True)
+    given = q.add_mutually_exclusive_group(required=True)
+    given.add_argument("--readings")
+    given.add_argument("--lookup", help="a lookup table")
     q.add_argument("--patient", required=True)
     q.add_argument("--metric", default=None)
     q.add_argument("-n", type=int, default=20)
 
     args = p.parse_args(argv)
+    if getattr(args, "patients", None) and "update" in args.job and not args.out:
+        p.error("--patients needs --out")
     spark = _session(f"vitalspark-{args.job}")
     try:
         {"statistics": statistics, "alerts": alerts, "ingest": ingest, "compact": compact,
          "risk-update": risk_update, "profile-update": profile_update, "notes-update": notes_update, "route": route,
-         "last-readings": last_readings}[args.job](spark, args)
+         "last-readings": last_readings, "live-alerts": live_alerts, "store-create": store_create, "patients-insert": patients_insert,
+         "lookup-table": lookup_table, "day-figures": day_figures, "expire": expire}[args.job](spark, args)
     finally:
         spark.stop()
 
