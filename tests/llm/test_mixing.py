@@ -64,3 +64,27 @@ def test_expectation_is_kept(spark):
 
 def test_empty(spark):
     assert mixing.mix(docs(spark, [(1, "a", "b")]).where("false")).count() == 0
+
+
+def test_repeated_rows_do_not_meet_in_one_chunk(spark, monkeypatch):
+    """A third of the rows are equal: no chunk holds more than a few times its size, and the target is met."""
+    rows = [(None, "a", "three words here")] * 4000 + [(i, "a", "w " * (1 + i % 5)) for i in range(4000)] + [(i, "b", "w") for i in range(4000)]
+    largest, meet = [], mixing._meet
+
+    def watched(units, level, chunk, seed):
+        chunks = mixing.F.ceil(mixing.F.col("n") / mixing.F.lit(chunk * 0.75)).cast("long")
+        dealt = units.withColumn("chunk", mixing.F.pmod(mixing.F.xxhash64(mixing.F.lit(seed + level), "key"), chunks))
+        largest.append(max([r["count"] for r in dealt.groupBy("source", "chunk").count().collect()], default=0))
+        return meet(units, level, chunk, seed)
+
+    monkeypatch.setattr(mixing, "_meet", watched)
+    out = mixing.mix(docs(spark, rows)).collect()
+    assert len(out) == 12000 and max(largest) < 3 * mixing.CHUNK
+    for s in "ab":
+        mine = [r for r in out if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r.size for r in mine)
+
+
+def test_a_very_long_text(spark):
+    out = {r.doc_id: r for r in mixing.mix(docs(spark, [(1, "a", "w " * 500_000), (2, "a", "w " * 10), (3, "b", "w " * 30)])).collect()}
+    assert out[1].size == 500_000 and all(r.taken % max(r.size, 1) == 0 and r.taken <= 2 * r.size for r in out.values())

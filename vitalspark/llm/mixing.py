@@ -14,7 +14,9 @@ Randomness is a hash of the seed, the level and the document, so reruns agree.
 
 Defined cases: a null text has size 0 and takes 0; a null source is a source,
 the last one; a source without words has target 0; null or repeated ids are
-rows like others (ties go by size; with a row number, by the rest of the row).  The number of sources is taken to be
+rows like others (ties go by size; with a row number, by the rest of the row);
+rows that more than a chunk of others equal are dealt out by their places in the
+table.  The number of sources is taken to be
 small (a table of names), their targets are computed in one task.
 """
 
@@ -25,12 +27,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitalspark.session import materialize
+from vitalspark.session import fits_broadcast, materialize, written_and_counted
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5     # of all words
 MOST = 2.0      # copies of a source
 CHUNK = 64      # documents that meet in one fold
+MOST_SHARED = 500_000   # keys of repeated rows in a broadcast table, whose bytes are measured as well
 SEED = 20240
 
 
@@ -103,6 +106,18 @@ def _meet(units: DataFrame, level: int, chunk: int, seed: int) -> DataFrame:
     return lists.select("source", F.explode(F.expr(fold)).alias("x")).select("source", "x.key", "x.doc_id", "x.size", "x.mass", *[f"x.{c}" for c in own])
 
 
+def _told_apart(units: DataFrame, chunk: int) -> DataFrame:
+    """Units whose key more than a chunk of rows share (repeated rows) with a key of their own each, by their place in
+    the written table; all others as they are."""
+    many, count, size = written_and_counted(units.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > chunk)
+                                            .select(F.col("key").alias("shared")), "mix-repeated")
+    if not count:
+        return units.drop("place")
+    many = F.broadcast(many) if fits_broadcast(count, size, MOST_SHARED) else many.hint("merge")
+    own = F.when(F.col("shared").isNotNull(), F.xxhash64("key", "place")).otherwise(F.col("key"))
+    return units.join(many, F.col("key") == F.col("shared"), "left").withColumn("key", own).drop("shared", "place")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, chunk: int = CHUNK,
         seed: int = SEED, row: str | None = None) -> DataFrame:
     """doc_id, source, size, source_size, target (its source's), copies, taken of every document (doc_id, source, text);
@@ -111,7 +126,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     Each level is written before the next one starts; their number is the logarithm of the largest
     source's documents, to the base CHUNK."""
     own = [] if row is None else ["row"]
-    sizes = materialize(doc_sizes(docs, row), "mix-sizes")
+    sizes = materialize(doc_sizes(docs, row).withColumn("place", F.monotonically_increasing_id()), "mix-sizes")
     t = materialize(source_targets(sizes, weights, share, most), "mix-targets")
     t = t.withColumn("f", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     # a whole number of copies may come out a rounding error too small
@@ -123,7 +138,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
 
     units = (with_source(sizes, t, "rest", F.col("n_docs").alias("n"))
              .select("source", F.xxhash64("doc_id", "source", "size", *["same" for _ in own]).alias("key"), "doc_id", "size",
-                     (F.col("rest") * F.col("size")).alias("mass"), *own, "n"))
+                     (F.col("rest") * F.col("size")).alias("mass"), *own, "n", "place"))
+    units = _told_apart(units, chunk)
     fractional = (F.col("mass") > 0) & (F.col("mass") < F.col("size"))
     decided = [units.where(~fractional).drop("n")]
     units, level = units.where(fractional), 0
