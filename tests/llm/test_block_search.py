@@ -45,3 +45,20 @@ def test_few_candidates_repeated_queries_and_empty(spark):
     got = sorted(tuple(r) for r in B.nearest(df.where("vec_id = 0"), df).collect())
     assert got == [(0, 1, 1, 4.0), (0, 2, 1, 4.0)]
     assert B.nearest(df.where("false"), df).count() == 0 and B.nearest(df, df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("grid", [(1, 1), (2, 3), (50, 50)])
+def test_every_grid_gives_the_same(spark, grid):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=d).tolist()) for i, d in enumerate([4] * 300 + [3] * 40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = B.nearest(df.where("vec_id % 5 = 0"), df, 7, 10, 16, *grid).collect()
+    assert [(r.query_id, r["rank"], r.vec_id) for r in sorted(got)] == [w[:3] for w in brute(rows, set(range(0, 400, 5)), 7)]
+
+
+def test_repeated_rows_are_dealt_into_many_blocks(spark):
+    df = spark.createDataFrame([(7, [1.0, 2.0])] * 3000 + [(i, [float(i), 1.0]) for i in range(20, 3020)], "vec_id long, embedding array<double>")
+    blocks, _ = B._blocks(B.usable(df), 500)
+    assert max(len(r.ids) // 8 for r in blocks.collect()) < 1000
+    got = B.nearest(df.where("vec_id = 20"), df, 3).collect()
+    assert [(r["rank"], r.vec_id, r.score) for r in sorted(got)] == [(k, 3020 - k, 20.0 * (3020 - k) + 1) for k in (1, 2, 3)]

@@ -8,8 +8,11 @@ bound; those that can are computed again in double precision from the original
 vectors, and each query keeps a heap of K over its blocks.  Nothing is
 approximate in the result.
 
-The work is queries times candidates by contract; a task holds one block of
-each, whatever their number.  Vectors of different lengths never meet.
+The work is queries times candidates by contract, dealt out as a grid: a cell
+has QUERY_BLOCKS blocks of queries and CANDIDATE_BLOCKS of candidates, so a
+block travels once for each row or column of the grid and not once for each
+block of the other side.  A cell's queries are held, its candidate blocks pass
+by them one by one.  Vectors of different lengths never meet.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do rows with a null id; a candidate with the
@@ -33,6 +36,7 @@ from vitalspark.session import materialize
 K = 20
 QUERY_BLOCK = 256
 CANDIDATE_BLOCK = 1024
+QUERY_BLOCKS, CANDIDATE_BLOCKS = 8, 16      # of a cell
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -56,7 +60,9 @@ def _blocks(vectors: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
                          "single": pa.array([matrix.dtype == np.float32])})
 
     # a row a vector length: broadcast whatever the number of vectors
-    dealt = vectors.join(F.broadcast(counts), "dim").withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding"), F.col("blocks")).cast("int"))
+    # repeated rows are dealt out by their places
+    dealt = (vectors.withColumn("place", F.monotonically_increasing_id()).join(F.broadcast(counts), "dim")
+             .withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding", "place"), F.col("blocks")).cast("int")).drop("place"))
     return dealt.groupBy("dim", "block").applyInArrow(pack, "dim int, block int, ids binary, matrix binary, single boolean"), counts
 
 
@@ -103,44 +109,56 @@ def tile(queries, candidates, k: int = K) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def nearest(queries: DataFrame, candidates: DataFrame, k: int = K, query_block: int = QUERY_BLOCK,
-            candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
+            candidate_block: int = CANDIDATE_BLOCK, query_blocks: int = QUERY_BLOCKS, candidate_blocks: int = CANDIDATE_BLOCKS) -> DataFrame:
     """query_id, rank, vec_id, score of the k candidates with the largest inner product with each query."""
     one = usable(queries).groupBy("vec_id").agg(F.min("embedding").alias("embedding")).select("vec_id", F.size("embedding").alias("dim"), "embedding")
     q, q_counts = _blocks(one, query_block)
     c, c_counts = _blocks(usable(candidates), candidate_block)
 
-    def against(blocks: DataFrame, own: str, others: DataFrame, other: str, prefix: str) -> DataFrame:
-        """Each block once for every block of the other side."""
-        return (blocks.join(F.broadcast(others), "dim")
-                .select("dim", F.col("block").alias(own), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias(other),
-                        *[F.col(x).alias(f"{prefix}_{x}") for x in ("ids", "matrix", "single")]))
+    def dealt(blocks: DataFrame, side: int, own: int, counts: DataFrame, other: int) -> DataFrame:
+        """Each block once for every row (or column) of the grid that the other side's blocks make."""
+        lines = F.sequence(F.lit(0), F.floor((F.col("blocks") - 1) / other).cast("int"))
+        placed = blocks.join(F.broadcast(counts), "dim").withColumn("line", F.explode(lines))
+        mine = F.floor(F.col("block") / own).cast("int")
+        row, column = (mine, F.col("line")) if side == 0 else (F.col("line"), mine)
+        return placed.select("dim", row.alias("row"), column.alias("col"), F.lit(side).alias("side"), "block", "ids", "matrix", "single")
 
-    joined = against(q, "qb", c_counts, "cb", "q").join(against(c, "cb", q_counts, "qb", "c"), ["dim", "qb", "cb"])
+    cells = (dealt(q, 0, query_blocks, c_counts, candidate_blocks).unionByName(dealt(c, 1, candidate_blocks, q_counts, query_blocks))
+             .repartition("dim", "row", "col").sortWithinPartitions("dim", "row", "col", "side", "block"))
 
     def run(batches):
-        best: dict[int, list] = {}      # a heap of (score, -vec_id) for each query of this task's blocks
+        cell, queries, best = None, [], {}      # best: a heap of (score, -vec_id) for each query of the cell
 
-        def side(batch, r, n, dim):
-            kind = np.float32 if batch.column(n + 2)[r].as_py() else np.float64
-            return (np.frombuffer(batch.column(n)[r].as_buffer(), np.int64),
-                    np.frombuffer(batch.column(n + 1)[r].as_buffer(), kind).astype(np.float64).reshape(-1, dim))
+        def found():
+            rows = [(query, -v, score) for query, heap in best.items() for score, v in heap]
+            for i in range(0, len(rows), 50_000):
+                part = list(zip(*rows[i:i + 50_000]))
+                yield pa.record_batch([pa.array(part[0], pa.int64()), pa.array(part[1], pa.int64()), pa.array(part[2], pa.float64())],
+                                      names=["query_id", "vec_id", "score"])
 
         for batch in batches:
             for r in range(batch.num_rows):
-                dim = batch.column(0)[r].as_py()
-                for query, vec, score in zip(*(x.tolist() for x in tile(side(batch, r, 1, dim), side(batch, r, 4, dim), k))):
-                    heap = best.setdefault(query, [])
-                    if len(heap) < k:
-                        heapq.heappush(heap, (score, -vec))
-                    elif (score, -vec) > heap[0]:
-                        heapq.heapreplace(heap, (score, -vec))
-        rows = [(query, -v, score) for query, heap in best.items() for score, v in heap]
-        for i in range(0, len(rows), 50_000):
-            part = list(zip(*rows[i:i + 50_000]))
-            yield pa.record_batch([pa.array(part[0], pa.int64()), pa.array(part[1], pa.int64()), pa.array(part[2], pa.float64())],
-                                  names=["query_id", "vec_id", "score"])
-
-    found = (joined.select("dim", "q_ids", "q_matrix", "q_single", "c_ids", "c_matrix", "c_single")
+                here = tuple(batch.column(k)[r].as_py() for k in range(3))
+                if here != cell:
+                    yield from found()
+                    cell, queries, best = here, [], {}
+                kind = np.float32 if batch.column(6)[r].as_py() else np.float64
+                # bytes of its own: the batch goes
+                block = (np.frombuffer(batch.column(4)[r].as_py(), np.int64),
+                         np.frombuffer(batch.column(5)[r].as_py(), kind).astype(np.float64).reshape(-1, here[0]))
+                if batch.column(3)[r].as_py() == 0:
+                    queries.append(block)
+                    continue
+                for own in queries:
+                    for query, vec, score in zip(*(x.tolist() for x in tile(own, block, k))):
+                        heap = best.setdefault(query, [])
+                        if len(heap) < k:
+                            heapq.heappush(heap, (score, -vec))
+                        elif (score, -vec) > heap[0]:
+                            heapq.heapreplace(heap, (score, -vec))
+        yield from found()
+
+    found = (cells.select("dim", "row", "col", "side", "ids", "matrix", "single")
              .mapInArrow(run, "query_id long, vec_id long, score double"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
