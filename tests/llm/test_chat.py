@@ -62,3 +62,10 @@ def test_empty(spark):
     path = work_path(spark, "chat-empty")
     chat.write_chat(frame(spark, ROWS).where("false"), path)
     assert chat.digests(path, spark).count() == 0
+
+
+def test_a_very_long_turn(spark):
+    text, path = "</s>[INST] " * 100_000, work_path(spark, "chat-long")
+    chat.write_chat(frame(spark, [(1, 0, "user", "hi"), (1, 1, "assistant", text)]), path)
+    r = chat.digests(path, spark).first()
+    assert (r.n_turns, r.loss_chars, r.loss_sha256) == (2, len(text), sha(text))
