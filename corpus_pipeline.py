@@ -21,14 +21,16 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learned from the labels of these documents, doesn't reject."""
+    """Documents that the classifier, learned from the labels of these documents, doesn't reject.  A null text is empty;
+    empty texts have a score like any other; without labels of both classes all rows have one score; an empty table
+    stays empty."""
     docs = docs.select(COLUMNS)
     return quality_cnn.keep_good(docs, quality_cnn.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the smallest id (null first; equal ids by a hash of the row) of each group of rows linked by a
-    similarity of 0.75 or more."""
+    similarity of 0.75 or more.  Null and empty texts link with nothing, so all such rows stay."""
     docs = numbered(docs.select(COLUMNS))
     found, _, _ = set_join.jaccard_join(docs.select(F.col("row").alias("doc_id"), "text"), complete=False)
     found = materialize(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")), "row-components")
@@ -44,7 +46,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each row as the mixture takes of it."""
+    """As many copies of each row as the mixture takes of it.  A row without words adds nothing to any size and has the
+    whole part of its source's copies; a null source is a source of its own; an empty table stays empty."""
     docs = numbered(docs.select(COLUMNS))
     copies = materialize(mixing.mix(docs, row="row").where("copies > 0").select(F.col("row").alias("taken"), "copies"), "copies")
     out = docs.join(copies.hint("merge"), docs.row == copies.taken)
@@ -52,7 +55,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with digests of them and of the bytes decoded from them."""
+    """Token ids of each document, with digests of them and of the bytes decoded from them.  Null and empty texts have no
+    ids; repeated rows are rows of their own; an empty table stays empty."""
     return bpe.encode(docs, RANKS, public_tokenizers.PATTERN, digest=True)
 
 
