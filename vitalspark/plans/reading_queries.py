@@ -78,6 +78,14 @@ def q_classify_readings(spark, sf_dir):
     return transforms.classify_readings(unflagged, metric_dim(spark))
 
 
+def _messages(spark, sf_dir):
+    """The messages of all readings as the topic keeps them: written, and dealt out over several files."""
+    def write(path):
+        messages = reading_messages(load_readings(spark, sf_dir, keep_event_id=True))
+        messages.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "partition").write.parquet(path)
+    return spark.read.parquet(stored(spark, sf_dir, "message-table", write))
+
+
 def _stored(spark, sf_dir):
     """The reading table with the store's patient key, written and read back."""
     path = stored(spark, sf_dir, "readings-table",
@@ -149,8 +157,7 @@ SELECT CASE WHEN ok = 1 THEN patient_id END AS patient_id,
        CASE WHEN ok = 1 THEN threshold_max END AS threshold_max, message_timestamp
 FROM msgs""", _MSG))
 def q_parse_json_readings(spark, sf_dir):
-    msgs = reading_messages(load_readings(spark, sf_dir, keep_event_id=True))
-    return transforms.parse_json_readings(msgs)
+    return transforms.parse_json_readings(_messages(spark, sf_dir))
 
 
 @register("malformed_split", with_readings("""
@@ -159,9 +166,8 @@ SELECT "offset", CASE WHEN ok = 1 THEN 'good' ELSE 'dead_letter' END AS status,
        CASE WHEN ok = 1 THEN NULL ELSE '{bad' END AS raw
 FROM msgs""", _MSG))
 def q_malformed_split(spark, sf_dir):
-    msgs = reading_messages(load_readings(spark, sf_dir, keep_event_id=True))
     bad = F.col("malformed")
-    return transforms.tag_malformed(msgs).select(
+    return transforms.tag_malformed(_messages(spark, sf_dir)).select(
         "offset", F.when(bad, "dead_letter").otherwise("good").alias("status"),
         F.when(~bad, F.col("data.patient_id")).alias("patient_id"), F.when(bad, F.col("raw")).alias("raw"))
 
