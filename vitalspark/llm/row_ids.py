@@ -2,36 +2,13 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalspark.session import materialize
 
 
-def _is_scan(docs: DataFrame) -> bool:
-    """Whether every row of ``docs`` is another row of a file."""
-    plan = docs._jdf.queryExecution().analyzed()
-    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
-        plan = plan.children().head()
-    return plan.nodeName() == "LogicalRelation"
-
-
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a column ``row``: different for all rows, whatever their values.
-
-    The rows of a Parquet scan are numbered by file and place in it, so nothing is written; the driver gets one
-    row a file.  Other tables are written first."""
-    columns = docs.columns
-    try:
-        placed = docs.select(*columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place")) if _is_scan(docs) else None
-    except AnalysisException:
-        placed = None
-    if placed is None:
-        return materialize(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
-    files = sorted(tuple(r) for r in placed.groupBy("_file").agg(F.max("_place") + 1).collect())
-    base = list(zip([f for f, _ in files], accumulate([n for _, n in files], initial=0)))
-    base = docs.sparkSession.createDataFrame(base, "_file string, _base long")
-    return placed.join(F.broadcast(base), "_file").select(*columns, (F.col("_base") + F.col("_place")).alias("row"))
+    """``docs`` with a column ``row``: different for all rows, whatever their values.  Written once, as later scans must
+    find the same numbers."""
+    return materialize(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
