@@ -89,7 +89,7 @@ def test_added_tokens_and_kept_pieces(switch, room):
     tk.encode_special_tokens = switch
     encoder = PieceEncoder(tk)
     if room:
-        encoder.KEEP_BYTES = room
+        encoder.keep_bytes = room
     rng = random.Random(room or 0)
     parts = ["<|endoftext|>", "<|endoftext|>", "<|endoftext", "|>", "a", " ", "  ", "\n", "\t", "\u00a0", "é", "日", "'s", ".", "12", "word"]
     texts = [twins.A, twins.B, "", *["".join(rng.choices(parts, k=rng.randrange(1, 9))) for _ in range(3000)], twins.B, twins.A]

@@ -7,12 +7,14 @@ text, not the batch.  Nulls are empty texts.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 2 << 20
 LONG = 64       # bytes; a polynomial modulo 2^64 is safe for shorter spans only (see ``Slice.hashes``)
@@ -49,6 +51,43 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def by_bytes(texts: DataFrame, limit: str = "8m") -> DataFrame:
+    """``texts``, whose batches go to Python with so many bytes at most, or one longer row, whatever the number of rows.
+    A setting of the session; one that is there already stays."""
+    conf = texts.sparkSession.conf
+    if BATCH_BYTES not in conf.getAll:
+        conf.set(BATCH_BYTES, limit)
+    return texts
+
+
+kept: list = []     # what tasks of this worker keep for later ones: objects with forget()
+
+
+def trim(forget: bool = True) -> None:
+    """Give memory back that tasks of this worker have left: freed blocks, and what they keep for later tasks."""
+    if forget:
+        _powers.clear()
+        for x in kept:
+            x.forget()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass        # another C library
+
+
+def trimmed(run):
+    """``run`` (batches to batches) with memory given back before and after."""
+    def wrapped(batches):
+        trim()
+        yield from run(batches)
+        trim()
+    return wrapped
+
+
 class Slice:
     """Rows [first, first + n) of a batch as one byte buffer with a space before, between and after them."""
 
@@ -163,12 +202,12 @@ class PieceEncoder:
     (compared by its bytes) is encoded once; its ids are kept while all that is
     kept has at most KEEP_BYTES.  The ids are those of the whole text."""
 
-    KEEP_BYTES = 96 << 20
+    KEEP_BYTES = 96 << 20   # unless told otherwise
     ENTRY = 200             # bytes, about, that a kept piece takes besides its own and its ids'
     AT_ONCE = 1 << 14
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+    def __init__(self, tokenizer, keep_bytes: int = KEEP_BYTES):
+        self.tokenizer, self.keep_bytes = tokenizer, keep_bytes
         added = tokenizer.get_added_tokens_decoder() if not tokenizer.encode_special_tokens else {}
         if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
             raise ValueError("added tokens that take in or look at the text around them")
@@ -179,6 +218,7 @@ class PieceEncoder:
         for token, i in vocabulary.items():
             self.length[i] = len(token.encode()) if i in added else len(token)
         self.forget()
+        kept.append(self)
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
@@ -252,7 +292,7 @@ class PieceEncoder:
 
     def _places(self, pieces: list[bytes]) -> np.ndarray:
         """The places of different pieces in ``at`` and ``count``."""
-        if self.kept > self.KEEP_BYTES:
+        if self.kept > self.keep_bytes:
             self._shrink()
         place = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
         new = np.flatnonzero(place < 0).tolist()

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalspark.llm.arrow_text import ENCODE_BYTES, PieceEncoder, ragged, slices
+from vitalspark.llm.arrow_text import PieceEncoder, by_bytes, ragged, slices, trim
 
 
 def byte_characters() -> list[str]:
@@ -116,12 +116,15 @@ class ByteTable:
         return lead[start + 1] - 1, lead[end]
 
 
+KEEP_BYTES = 24 << 20       # of pieces that a worker keeps; ids and digests of a slice take room beside them
+
+
 def _worker(spec: str, rank_path: str):
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tk = Tokenizer.from_str(spec)
-    return PieceEncoder(tk), ByteTable(read_ranks(rank_path))
+    return PieceEncoder(tk, KEEP_BYTES), ByteTable(read_ranks(rank_path))
 
 
 _workers: dict[str, tuple] = {}
@@ -139,7 +142,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, ids: bool = True, offs
             _workers[rank_path] = _worker(shared.value, rank_path)
         encoder, table = _workers[rank_path]
         for batch in batches:
-            for s in slices(batch.column(1), max_bytes=ENCODE_BYTES):
+            for s in slices(batch.column(1)):
                 flat, at = encoder.encode(s)
                 rows = [flat[at[i]:at[i + 1]] for i in range(s.n)]
                 out = [batch.column(0).slice(s.first, s.n).cast(pa.int64()), pa.array(np.diff(at), pa.int64())]
@@ -153,11 +156,12 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, ids: bool = True, offs
                     out += [pa.array([hashlib.sha256(",".join(map(str, r.tolist())).encode()).hexdigest() for r in rows], pa.string()),
                             pa.array([hashlib.sha256(table.decode(r)).hexdigest() for r in rows], pa.string())]
                 yield pa.record_batch(out, names=names)
+        trim(forget=False)
 
     names = ["doc_id", "n_tokens"] + ["ids"] * ids + ["char_start", "char_end"] * offsets + ["ids_sha256", "decoded_sha256"] * digest
     kinds = {"doc_id": "long", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
     schema = ", ".join(f"{n} {kinds.get(n, 'array<int>')}" for n in names)
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return by_bytes(docs.select("doc_id", "text")).mapInArrow(run, schema)
 
 
 def decode(tokens: DataFrame, rank_path: str) -> DataFrame:

@@ -26,30 +26,41 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalspark.llm.arrow_text import Slice, slices
+from vitalspark.llm.arrow_text import Slice, by_bytes, slices, trimmed
 
 SAMPLE = 3000
 CHUNK, STRIDE = 192, 160
 WIDTH, FILTERS, HIDDEN = 6, 24, 16
 EPOCHS, EPOCH_CHUNKS, BATCH = 10, 24_000, 256
 BLOCK = 64
+PART = 2048         # chunks whose bytes are spread out at once
 THRESHOLD = 0.3
 
 
-def chunks(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of all chunks (padded with 0), the number of windows that start in each, and where each row's begin."""
+def _places(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of all chunks, the bytes left of their rows from there on, and where each row's chunks begin."""
     size = s.ends - s.starts
     n = 1 + np.maximum(0, -(-(size - CHUNK) // STRIDE))
     at = np.concatenate([[0], np.cumsum(n)])
     row = np.repeat(np.arange(s.n), n)
     start = s.starts[row] + (np.arange(len(row)) - at[row]) * STRIDE
-    left = s.ends[row] - start
+    return start, s.ends[row] - start, at
+
+
+def _bytes(buf: np.ndarray, start: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Bytes of the chunks, padded with 0."""
     place = np.arange(CHUNK + WIDTH - 1)
-    padded = np.concatenate([s.buf, np.zeros(CHUNK + WIDTH, np.uint8)])
-    data = padded[start[:, None] + place]
+    data = buf[np.minimum(start[:, None] + place, len(buf) - 1)]
     short = np.flatnonzero(left < CHUNK + WIDTH - 1)
     data[short] *= place < left[short, None]
-    return data, np.clip(left, 1, CHUNK), at
+    return data
+
+
+def chunks(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all chunks, the number of windows that start in each, and where each row's begin."""
+    start, left, at = _places(s)
+    parts = [_bytes(s.buf, start[i:i + PART], left[i:i + PART]) for i in range(0, len(start), PART)]
+    return np.concatenate([np.zeros((0, CHUNK + WIDTH - 1), np.uint8), *parts]), np.clip(left, 1, CHUNK), at
 
 
 class Net:
@@ -114,8 +125,9 @@ class Net:
                          np.minimum.reduceat(logit, first), np.ones(len(n))], axis=1)
 
     def score(self, s: Slice) -> np.ndarray:
-        data, windows, at = chunks(s)
-        logit = self.head(self.pooled(data, windows)[0])[2]
+        start, left, at = _places(s)
+        logit = np.concatenate([self.head(self.pooled(_bytes(s.buf, start[i:i + PART], left[i:i + PART]), np.clip(left[i:i + PART], 1, CHUNK))[0])[2]
+                                for i in range(0, len(start), PART)])
         return _sigmoid(self.features(logit, at) @ self.combine)
 
 
@@ -195,7 +207,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
         yield pa.record_batch([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
     chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("quality").cast("long").alias("quality"))
-    rows = chosen.repartition(1).mapInArrow(learn, "model binary").collect()      # one row
+    rows = chosen.repartition(1).mapInArrow(trimmed(learn), "model binary").collect()      # one row
     return bytes(rows[0].model) if rows else pickle.dumps(fit(pa.array([], pa.string()), np.zeros(0, np.int64), prior))
 
 
@@ -210,7 +222,7 @@ def classify(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> Dat
                 yield pa.record_batch([batch.column(0).slice(s.first, s.n).cast(pa.int64()), pa.array(net.score(s), pa.float64())],
                                       names=["doc_id", "score"])
 
-    scored = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    scored = by_bytes(docs.select("doc_id", "text")).mapInArrow(trimmed(run), "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
@@ -227,7 +239,7 @@ def keep_good(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> Da
             if scores:
                 yield batch.filter(pa.array(np.concatenate(scores) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return by_bytes(docs).mapInArrow(trimmed(run), docs.schema)
 
 
 def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalspark.llm.arrow_text import ENCODE_BYTES, PieceEncoder, slices
+from vitalspark.llm.arrow_text import ENCODE_BYTES, PieceEncoder, by_bytes, slices
 from vitalspark.session import work_path
 
 LIMIT = 18
@@ -155,7 +155,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Data
                                pa.array([counts.tobytes()], pa.binary())], names=names)
 
     names = ["doc_id", "n_tokens", "ids", "counts"]
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary, counts binary")
+    return by_bytes(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary, counts binary")
 
 
 def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
