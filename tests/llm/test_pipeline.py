@@ -127,3 +127,28 @@ def test_near_duplicates_of_null_and_repeated_ids(spark):
             ids = [m[0] for m in members[at[r]]]
             assert r[0] == (None if None in ids else min(ids))
     assert left == Counter(dict.fromkeys(members, 1))
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("false")
+    for name, f in C.STAGES:
+        docs = materialize(f(spark, docs, SF), f"empty-{name}")
+        assert docs.count() == 0
+        if name != "tokens":
+            assert docs.columns == C.COLUMNS
+
+
+def test_stages_on_very_long_texts(spark):
+    """Two near copies of 150,000 words and an unspaced text of 300,000 characters, beside short ones."""
+    long = [f"w{i * i % 9973}" for i in range(150_000)]
+    texts = [" ".join(long), " ".join([*long[:-100], "other", "end"]), "的一是不" * 75_000, "a short one of six words"]
+    rows = [(i, t, "en", "a", len(t)) for i, t in enumerate(texts)]
+    docs = materialize(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "long")
+    kept = materialize(C.near_duplicates(spark, docs, SF), "long-near")
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == {0, 2, 3}
+    mixed = materialize(C.mixture(spark, kept, SF), "long-mix")
+    assert {r.doc_id for r in mixed.select("doc_id").collect()} >= {0}
+    ids = {r.doc_id: r for r in C.tokens(spark, kept, SF).collect()}
+    for i in (0, 2, 3):
+        assert ids[i].decoded_sha256 == hashlib.sha256(texts[i].encode()).hexdigest()
+    assert C.quality(spark, docs, SF).count() <= 4

@@ -208,7 +208,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     (``tail``).  Only the ranges' borders come to the driver, two numbers a partition."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 100 * parts)).first()[0] or []
+    cuts = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], max(10_000, 10 * parts))).first()[0] or []
     cuts = np.unique(np.array(cuts, np.int64))
 
     @F.pandas_udf("int")
