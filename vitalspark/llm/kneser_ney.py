@@ -110,7 +110,7 @@ def pack(x: np.ndarray) -> bytes:
     rises = x.ndim == 1 and bool((flat[1:] >= flat[:-1]).all())
     if rises and len(flat):
         flat = np.diff(flat, prepend=flat[:1] * 0)
-    return bytes([rises]) + zstandard.ZstdCompressor(level=1).compress(flat.view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes())
+    return bytes([rises]) + zstandard.ZstdCompressor(level=3).compress(flat.view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes())
 
 
 def unpack(data: bytes, kind, width: int = 1) -> np.ndarray:
@@ -329,7 +329,8 @@ def count_grams(docs: DataFrame, folder: str, parts: int, shared, order: int) ->
             rows = _joined(rest["rows"], np.int64, 5)
             total = np.stack([np.bincount(at, rows[:, k], size).astype(np.int64) for k in range(5)], axis=1)
             a = total[:, 0]
-            out.append(("words", here, [write_array(folder, total[:, k]) for k in range(5)], _of_counts(a[a > 0])))
+            kind = "u4" if total.max(initial=0) < 1 << 32 else "i8"
+            out.append(("words", here, [*[write_array(folder, total[:, k].astype(kind)) for k in range(5)], kind], _of_counts(a[a > 0])))
         if len(pairs):
             key, rows = _joined(pairs["contexts"], U), _joined(pairs["sums"], np.int64, 4)
             by = np.argsort(key, kind="stable")
@@ -402,7 +403,7 @@ class Model:
                 count = next(c for k, _, _, c in self.spec["word_files"] if k == b)
                 rest = next((files for k, *files in self.spec["word_stats"] if k == b), None)
                 first = map_array(count, np.int64)
-                self.maps["w", b] = [first] + ([map_array(f, np.int64) for f in rest] if rest else [np.zeros(len(first), np.int64)] * 5)
+                self.maps["w", b] = [first] + ([map_array(f, rest[-1]) for f in rest[:-1]] if rest else [np.zeros(len(first), np.int64)] * 5)
             mine = np.flatnonzero((bucket == b) & (ids < self.words.size))
             at = ids[mine] - self.words.base[b]
             for k, column in enumerate(self.maps["w", b]):
