@@ -147,4 +147,24 @@ def test_links_are_complete(spark, monkeypatch):
     out, links, _ = J.jaccard_join(df)
     got = [tuple(r) for r in links.select("a", "b").collect()]
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 4 * 30
-    assert sorted(out.collect()) == sorted(J.jaccard_join(df, complete=False)[0].collect())
+    for few in (8, 0):      # 0: members of other components are compared with pivots first
+        monkeypatch.setattr(J, "FEW", few)
+        assert sorted(out.collect()) == sorted(J.jaccard_join(df, complete=False)[0].collect())
+
+
+@pytest.mark.parametrize("few", [0, 8])
+def test_families_that_hang_together_by_chains(spark, monkeypatch, few):
+    """Each variant is near its neighbours alone, many share most signatures, and some hang on nothing."""
+    monkeypatch.setattr(J, "FEW", few)
+    monkeypatch.setattr(J, "BLOCK", 8)
+    rng = random.Random(2)
+    base, rows = [f"w{i}" for i in range(200)], []
+    for i in range(60):
+        w = list(base)
+        for j in range(0, 4 * (i % 20), 4):
+            w[(j * 7) % 200] = f"v{j}"          # the further apart, the more of them differ
+        rows.append((i, " ".join(w)))
+    rows += [(100 + i, " ".join(base[:100] + rng.choices([f"z{j}" for j in range(5000)], k=60))) for i in range(40)]
+    want = brute(rows)
+    got = {tuple(r) for r in J.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), complete=False)[0].collect()}
+    assert got == want and len({c for _, _, c in want}) > 30

@@ -54,7 +54,7 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def by_bytes(texts: DataFrame, limit: str = "8m") -> DataFrame:
+def by_bytes(texts: DataFrame, limit: str = "4m") -> DataFrame:
     """``texts``, whose batches go to Python with so many bytes at most, or one longer row, whatever the number of rows.
     A setting of the session; one that is there already stays."""
     conf = texts.sparkSession.conf

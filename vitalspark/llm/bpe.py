@@ -116,7 +116,8 @@ class ByteTable:
         return lead[start + 1] - 1, lead[end]
 
 
-KEEP_BYTES = 24 << 20       # of pieces that a worker keeps; ids and digests of a slice take room beside them
+SLICE = 1 << 20             # bytes of text that are encoded at once
+KEEP_BYTES = 12 << 20       # of pieces that a worker keeps; ids and digests of a slice take room beside them
 
 
 def _worker(spec: str, rank_path: str):
@@ -142,7 +143,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, ids: bool = True, offs
             _workers[rank_path] = _worker(shared.value, rank_path)
         encoder, table = _workers[rank_path]
         for batch in batches:
-            for s in slices(batch.column(1)):
+            for s in slices(batch.column(1), max_bytes=SLICE):
                 flat, at = encoder.encode(s)
                 rows = [flat[at[i]:at[i + 1]] for i in range(s.n)]
                 out = [batch.column(0).slice(s.first, s.n).cast(pa.int64()), pa.array(np.diff(at), pa.int64())]

@@ -33,6 +33,7 @@ CHUNK, STRIDE = 192, 160
 WIDTH, FILTERS, HIDDEN = 6, 24, 16
 EPOCHS, EPOCH_CHUNKS, BATCH = 10, 24_000, 256
 BLOCK = 64
+SLICE = 1 << 19     # bytes of text that are scored at once
 PART = 2048         # chunks whose bytes are spread out at once
 THRESHOLD = 0.3
 
@@ -218,7 +219,7 @@ def classify(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> Dat
     def run(batches):
         net = pickle.loads(shared.value)
         for batch in batches:
-            for s in slices(batch.column(1)):
+            for s in slices(batch.column(1), max_bytes=SLICE):
                 yield pa.record_batch([batch.column(0).slice(s.first, s.n).cast(pa.int64()), pa.array(net.score(s), pa.float64())],
                                       names=["doc_id", "score"])
 
@@ -235,7 +236,7 @@ def keep_good(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> Da
     def run(batches):
         net = pickle.loads(shared.value)
         for batch in batches:
-            scores = [net.score(s) for s in slices(batch.column(text))]
+            scores = [net.score(s) for s in slices(batch.column(text), max_bytes=SLICE)]
             if scores:
                 yield batch.filter(pa.array(np.concatenate(scores) >= threshold))
 

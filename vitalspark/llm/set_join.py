@@ -22,9 +22,10 @@ shingles (their symmetric difference).  That drives the candidate search:
 
 Sets that share a signature form a group.  Its smallest member is paired with
 each other one, pairs are verified, links joined to components; then members of
-different components of one group are compared, first by sizes and parity
-bitmaps (the bits in which two bitmaps differ bound the difference from below),
-then exactly.  Groups whose members all link need no more than the first step.
+different components of one group are compared (where there are many such pairs,
+first all with one member of another component, a few times over, which joins
+most of a family of near copies), by sizes and parity bitmaps (the bits in which
+two bitmaps differ bound the difference from below), then exactly.  Groups whose members all link need no more than the first step.
 That is enough for components; all links come from comparing all pairs of a
 group, dealt into blocks, pairs of blocks being Spark groups of their own.
 
@@ -47,20 +48,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalspark.llm.arrow_text import LOWER, Slice, mix64, slices
+from vitalspark.llm.arrow_text import LOWER, Slice, by_bytes, mix64, slices, trimmed
 from vitalspark.llm.components import components
-from vitalspark.session import materialize
+from vitalspark.session import fits_broadcast, materialize, written_and_counted
 
 WORDS = 5
 SHARED_FROM = 4             # a shingle that so many sets (as counted) have is shared
 SHARED_KEPT = 1 << 20       # at most so many of the most shared shingles are told apart by the order
-COUNT_WINDOW = 1 << 22      # shingles a task counts at once
-FLUSH = 1 << 21             # index entries a task holds before it hands them on
+COUNT_WINDOW = 1 << 20      # shingles a task counts at once
+FLUSH = 1 << 18             # index entries a task holds before it hands them on
 LEAST_BITS = 512            # of a parity bitmap; it has at least two bits a shingle
 BLOCK = 1024                # members of a group that are compared with those of another block
+FEW = 256                   # pairs of different components for each member of a family that are tried at once
+PIVOTS = 3                  # rounds at most in which a family with more of them is compared with one member
+MOST_PIVOTS, PIVOT_BYTES = 20_000, 8 << 20      # of a broadcast table of pivots
 TILE = 256                  # documents of a block that are verified against those of another
 FILTER_BITS = 1 << 25       # of the filter for the texts to verify
 FIRST_BAND = 6
+SLICE = 1 << 19             # bytes of text at once
 U = np.uint64
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], U)
 
@@ -223,7 +228,7 @@ def profiles(docs: DataFrame, k: int = WORDS) -> DataFrame:
                                     pa.array([n.astype(np.int64).tobytes()], pa.binary())], names=names)
 
         for batch in batches:
-            for s in slices(batch.column(1), LOWER):
+            for s in slices(batch.column(1), LOWER, SLICE):
                 sets = shingles(s, k)
                 digests = [_digest(x) if len(x) else None for x in sets]
                 none = pa.nulls(s.n, pa.binary())
@@ -239,7 +244,7 @@ def profiles(docs: DataFrame, k: int = WORDS) -> DataFrame:
             yield counted()
 
     names = ["doc_id", "n", "digest", "bits", "tokens", "counts"]
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, digest binary, bits binary, tokens binary, counts binary")
+    return by_bytes(docs.select("doc_id", "text")).mapInArrow(trimmed(run), "doc_id long, n int, digest binary, bits binary, tokens binary, counts binary")
 
 
 def shared_shingles(profile: DataFrame, most: int = SHARED_KEPT) -> Shared:
@@ -288,7 +293,7 @@ def groups(docs: DataFrame, shared: Shared, k: int = WORDS) -> DataFrame:
                                     pa.array([doc[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())], names=["bucket", "keys", "docs"])
 
         for batch in batches:
-            for s in slices(batch.column(1), LOWER):
+            for s in slices(batch.column(1), LOWER, SLICE):
                 doc = batch.column(0).slice(s.first, s.n).cast(pa.int64()).fill_null(NULL_ID).to_numpy()
                 sets = shingles(s, k)
                 fresh = [i for i, x in enumerate(sets) if len(x) > 2 and seen.new(_digest(x))]
@@ -334,8 +339,8 @@ def groups(docs: DataFrame, shared: Shared, k: int = WORDS) -> DataFrame:
             at = np.cumsum([0] + [len(x) for x in part]).astype(np.int32)
             yield pa.record_batch([pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(part)))], names=["members"])
 
-    return (docs.select("doc_id", "text").mapInArrow(index, "bucket int, keys binary, docs binary")
-            .repartition(parts, "bucket").mapInArrow(collide, "members array<long>"))
+    return (by_bytes(docs.select("doc_id", "text")).mapInArrow(trimmed(index), "bucket int, keys binary, docs binary")
+            .repartition(parts, "bucket").mapInArrow(trimmed(collide), "members array<long>"))
 
 
 NULL_ID = -(1 << 63)
@@ -373,7 +378,7 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int = WORDS) -> DataFrame:
             yield batch.filter(pa.array(((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0)))
 
     texts = materialize(docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text").where("text IS NOT NULL")
-                        .mapInArrow(chosen, "id long, text string"), "set-texts")
+                        .mapInArrow(trimmed(chosen), "id long, text string"), "set-texts")
     # documents of one family stand in few blocks, so a tile (two blocks) holds many pairs and each text goes to few tiles
     near = components(pairs, "set-tiles", rounds=1)
     blocks = (near.join(near.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("blocks")), "component")
@@ -419,11 +424,13 @@ def pass_bitmaps(pairs: DataFrame) -> DataFrame:
 
 
 def across(members: DataFrame) -> DataFrame:
-    """(a, b) of members (gid, id, n, bits, component) of one group, in different components, that may link."""
+    """(a, b) of members (gid, id, n, bits, component, block) of one group, in different components and blocks, that may
+    link."""
     def run(group):
         order = np.argsort(group["n"].to_numpy(), kind="stable")
         group = group.take(pa.array(order)).combine_chunks()
         ids, comp, n = group["id"].to_numpy(), group["component"].to_numpy(), group["n"].to_numpy().astype(np.int64)
+        block = group["block"].to_numpy()
         bits = [np.frombuffer(x.as_buffer(), U) for x in group["bits"]]
         width = np.array([len(x) for x in bits])      # grows with n
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -439,7 +446,7 @@ def across(members: DataFrame) -> DataFrame:
                 if last[i] <= i + 1:
                     continue
                 j = np.arange(i + 1, last[i])
-                j = j[comp[reach[j]] != comp[own[i]]]
+                j = j[(comp[reach[j]] != comp[own[i]]) & (block[reach[j]] != block[own[i]])]
                 if len(j):
                     away = np.bitwise_count(table[j] ^ mine[i]).sum(axis=1)
                     j = reach[j[7 * away <= n[own[i]] + n[reach[j]]]]
@@ -451,13 +458,28 @@ def across(members: DataFrame) -> DataFrame:
 
 
 def in_blocks(members: DataFrame) -> DataFrame:
-    """Members (gid, id, n, bits) dealt into blocks by a hash, as groups for ``across``: one for each pair of blocks, in
-    which members of different blocks are compared, and one for each block, in which all are."""
+    """Members (gid, id, n, bits, component) dealt into blocks by a hash, as groups for ``across``: one for each pair of
+    blocks, in which members of different blocks are compared, and one for each block, in which all are.  So a task
+    compares two blocks, however large the group is."""
     sizes = members.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     dealt = members.join(sizes, "gid").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return dealt.select(F.xxhash64("gid", F.least("block", "other"), F.greatest("block", "other")).alias("gid"), "id", "n", "bits",
-                        F.when(F.col("block") == F.col("other"), F.col("id")).otherwise(F.col("block")).alias("component"))
+    return dealt.select(F.xxhash64("gid", F.least("block", "other"), F.greatest("block", "other")).alias("gid"), "id", "n", "bits", "component",
+                        F.when(F.col("block") == F.col("other"), F.col("id")).otherwise(F.col("block")).alias("block"))
+
+
+def from_pivots(members: DataFrame, turn: int) -> DataFrame:
+    """(a, b) of one member of each group (of a component that the turn picks) and each in other components that may link
+    with it."""
+    pick = F.struct(F.xxhash64("component", F.lit(turn)).alias("draw"), "id", "n", "bits", "component")
+    pivots, count, size = written_and_counted(members.groupBy("gid").agg(F.min(pick).alias("p")).select(F.col("gid").alias("of"), "p.*"), "set-pivots")
+    pivots = pivots.select("of", *[F.col(c).alias(f"p_{c}") for c in ("id", "n", "bits", "component")])
+    pivots = F.broadcast(pivots) if fits_broadcast(count, size, MOST_PIVOTS, PIVOT_BYTES) else pivots.hint("merge")
+    pairs = members.join(pivots, F.col("gid") == F.col("of")).where(F.col("component") != F.col("p_component"))
+    pairs = pairs.where(4 * F.least("n", "p_n") >= 3 * F.greatest("n", "p_n"))
+    pairs = pairs.select(F.col("p_id").alias("a"), F.col("id").alias("b"), F.col("p_n").alias("a_n"), F.col("n").alias("b_n"),
+                         F.col("p_bits").alias("a_bits"), F.col("bits").alias("b_bits"))
+    return pass_bitmaps(pairs).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def jaccard_join(docs: DataFrame, k: int = WORDS, complete: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -469,8 +491,12 @@ def jaccard_join(docs: DataFrame, k: int = WORDS, complete: bool = True) -> tupl
     profile = materialize(profiles(docs, k), "set-profiles")
     shared = shared_shingles(profile)
     rows = profile.where("n >= 0").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "n", "digest", "bits")
-    firsts = rows.where("n > 0").groupBy("digest").agg(F.min("id").alias("class_id"))
-    classes = materialize(rows.join(firsts, "digest", "left").select("id", "n", "bits", F.coalesce("class_id", "id").alias("class_id")), "set-classes")
+    # written, so that the join with a digest of very many rows can be split
+    firsts = materialize(rows.where("n > 0").groupBy("digest").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("rows"))
+                         .where("rows > 1").select("digest", "class_id"), "set-copies")
+    # empty sets are classes of their own and stay out of the join
+    of_sets = rows.where("n > 0").join(firsts, "digest", "left").select("id", "n", "bits", F.coalesce("class_id", "id").alias("class_id"))
+    classes = materialize(of_sets.unionByName(rows.where("n = 0").select("id", "n", "bits", F.col("id").alias("class_id"))), "set-classes")
     members = classes.select("id", "n", "bits", "class_id").where("n > 2")
     found = materialize(groups(docs, shared, k).distinct(), "set-groups")
 
@@ -486,20 +512,32 @@ def jaccard_join(docs: DataFrame, k: int = WORDS, complete: bool = True) -> tupl
     large = found.where(F.size("members") > 2).select(F.xxhash64("members").alias("gid"), F.explode("members").alias("id"))
     if complete:
         two = found.where(F.size("members") == 2).select(F.element_at("members", 1).alias("a"), F.element_at("members", 2).alias("b"))
-        placed = materialize(large.join(members, "id").select("gid", F.col("class_id").alias("id"), "n", "bits").distinct(), "set-members")
+        placed = materialize(large.join(members, "id").select("gid", F.col("class_id").alias("id"), "n", "bits", F.col("class_id").alias("component"))
+                             .distinct(), "set-members")
         tried = materialize(described(two).unionByName(across(in_blocks(placed))).distinct(), "set-pairs")
         links = materialize(verify(tried, docs, k), "set-links")
     else:
         star = found.select(F.element_at("members", 1).alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b")).distinct()
         tried = materialize(described(star), "set-pairs")
         links = materialize(verify(tried, docs, k), "set-links")
-        # two rounds tell apart what is worth comparing; the components of all links come last
-        near = materialize(components(links, rounds=2), "set-components")
-
-        placed = (large.join(members, "id").join(near, F.col("class_id") == F.col("node"), "left")
-                  .select("gid", F.col("class_id").alias("id"), "n", "bits", F.coalesce("component", "class_id").alias("component")).distinct())
-        mixed = placed.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("gid")
-        more = materialize(across(placed.join(mixed, "gid")).distinct().join(tried, ["a", "b"], "left_anti"), "set-across")
+        for turn in range(PIVOTS + 1):
+            # two rounds tell apart what is worth comparing; the components of all links come last
+            near = materialize(components(links, rounds=2), "set-components")
+            placed = materialize(large.join(members, "id").join(near, F.col("class_id") == F.col("node"), "left")
+                                 .select("gid", F.col("class_id").alias("id"), "n", "bits", F.coalesce("component", "class_id").alias("component"))
+                                 .distinct(), "set-placed")
+            parts = placed.groupBy("gid", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("gid")
+            mixed = materialize(parts.agg(F.sum("c").alias("size"), F.sum(F.col("c") * F.col("c")).alias("within"), F.count(F.lit(1)).alias("parts"))
+                                .where("parts > 1"), "set-mixed")
+            apart = (F.col("size") * F.col("size") - F.col("within")) / 2
+            # many pairs are left in groups whose members have begun to hang together: families of near copies
+            families = mixed.where((apart > FEW * F.col("size")) & (4 * F.col("parts") <= 3 * F.col("size"))).select("gid")
+            if turn == PIVOTS or families.isEmpty():
+                break
+            more = materialize(from_pivots(placed.join(families, "gid"), turn).join(tried, ["a", "b"], "left_anti"), "set-pivots")
+            links = links.unionByName(materialize(verify(more, docs, k), "set-links"))
+            tried = tried.unionByName(more)
+        more = materialize(across(in_blocks(placed.join(mixed.select("gid"), "gid"))).distinct().join(tried, ["a", "b"], "left_anti"), "set-across")
         if not more.isEmpty():
             links = links.unionByName(materialize(verify(more, docs, k), "set-links"))
     linked = materialize(components(links), "set-components")
