@@ -168,3 +168,46 @@ def test_families_that_hang_together_by_chains(spark, monkeypatch, few):
     want = brute(rows)
     got = {tuple(r) for r in J.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), complete=False)[0].collect()}
     assert got == want and len({c for _, _, c in want}) > 30
+
+
+@pytest.mark.parametrize("block, listed", [(1024, 16), (8, 16), (8, 2), (1024, 1)])
+def test_pairs_that_meet_in_many_groups_are_handed_on_about_once(spark, monkeypatch, block, listed):
+    """Members of many groups, some rows of one id with other sets: every pair comes, most of them from one group."""
+    monkeypatch.setattr(J, "BLOCK", block)
+    monkeypatch.setattr(J, "LISTED", listed)
+    rng = random.Random(block + listed)
+    rows, meet = [], set()
+    bits = {(i, v): np.array([1 << (i % 3)] + [0] * 7 if v == 0 else [(1 << 64) - 1] * 8, np.uint64).tobytes() for i in range(30) for v in (0, 1)}
+    for g in range(-10, 10):
+        inside = [(i, v) for i in range(30) for v in ((0, 1) if i == 7 else (0,)) if rng.random() < 0.9]
+        rows += [(g * 10 ** 17, i, 20, bits[i, v], i) for i, v in inside]
+        meet |= {(min(a, b), max(a, b)) for a, v in inside for b, w in inside if a != b and v == w}
+    df = spark.createDataFrame(rows, "gid long, id long, n int, bits binary, component long").repartition(3)
+    got = [tuple(r) for r in J.across(J.in_blocks(df)).collect()]
+    assert set(got) == meet and len(meet) == 435
+    if listed == 16:
+        assert len(got) == len(meet)        # one row a group before: about 16 times as many
+    else:
+        assert len(got) < 20 * len(meet)
+
+
+@pytest.mark.parametrize("ready", [True, False])
+def test_components_of_chains_stars_and_none(spark, ready):
+    from vitalspark.llm.components import components
+    rng = random.Random(4)
+    names = rng.sample(range(1000), 300)
+    edges = [(names[i], names[i + 1]) for i in range(0, 120)] + [(names[150], names[i]) for i in range(151, 200)] + [(names[i], names[i + 1]) for i in range(200, 300, 2)]
+    edges = [(min(e), max(e)) for e in edges]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    df = spark.createDataFrame(edges + edges[:5], "a long, b long")
+    assert {tuple(r) for r in components(df, ready=ready).collect()} == {(x, root(x)) for x in parent}
+    assert components(df.where("false"), ready=ready).count() == 0

@@ -59,8 +59,10 @@ COUNT_WINDOW = 1 << 20      # shingles a task counts at once
 FLUSH = 1 << 18             # index entries a task holds before it hands them on
 LEAST_BITS = 512            # of a parity bitmap; it has at least two bits a shingle
 BLOCK = 1024                # members of a group that are compared with those of another block
+LISTED = 16                 # groups of each member by which pairs that meet in several groups are told
 FEW = 256                   # pairs of different components for each member of a family that are tried at once
 PIVOTS = 3                  # rounds at most in which a family with more of them is compared with one member
+MET = 8                     # a member in so many has to pass the bitmaps with a pivot for the round to be verified
 MOST_PIVOTS, PIVOT_BYTES = 20_000, 8 << 20      # of a broadcast table of pivots
 TILE = 256                  # documents of a block that are verified against those of another
 FILTER_BITS = 1 << 25       # of the filter for the texts to verify
@@ -365,10 +367,10 @@ def id_filter(ids: DataFrame) -> np.ndarray:
 
 
 def verify(pairs: DataFrame, docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * intersection >= 75 * union, from the texts.  A filter keeps the texts of
-    other documents out of the shuffle."""
+    """The pairs (a, b) whose sets have 100 * intersection >= 75 * union, from the texts; the pairs are written, different
+    and a < b.  A filter keeps the texts of other documents out of the shuffle."""
     spark = docs.sparkSession
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     shared = spark.sparkContext.broadcast(id_filter(ids))      # size: FILTER_BITS
 
     def chosen(batches):
@@ -379,8 +381,9 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int = WORDS) -> DataFrame:
 
     texts = materialize(docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text").where("text IS NOT NULL")
                         .mapInArrow(trimmed(chosen), "id long, text string"), "set-texts")
-    # documents of one family stand in few blocks, so a tile (two blocks) holds many pairs and each text goes to few tiles
-    near = components(pairs, "set-tiles", rounds=1)
+    # documents with the same smallest partner stand in few blocks, so a tile (two blocks) holds many pairs and each text
+    # goes to few tiles
+    near = (pairs.select(F.explode(F.array("a", "b")).alias("node"), "a").groupBy("node").agg(F.min("a").alias("component")))
     blocks = (near.join(near.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("blocks")), "component")
               .select("node", F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block")))
     tiled = pairs.select("a", "b")
@@ -424,8 +427,9 @@ def pass_bitmaps(pairs: DataFrame) -> DataFrame:
 
 
 def across(members: DataFrame) -> DataFrame:
-    """(a, b) of members (gid, id, n, bits, component, block) of one group, in different components and blocks, that may
-    link."""
+    """(a, b) of members (gid, id, n, bits, component, block, of, listed) of one group, in different components and blocks,
+    that may link.  A pair that meets in several groups is left to the least of them where both members list that one
+    or another one before this (``of``), so a family of near copies hands on its pairs about once, not once a group."""
     def run(group):
         order = np.argsort(group["n"].to_numpy(), kind="stable")
         group = group.take(pa.array(order)).combine_chunks()
@@ -433,6 +437,7 @@ def across(members: DataFrame) -> DataFrame:
         block = group["block"].to_numpy()
         bits = [np.frombuffer(x.as_buffer(), U) for x in group["bits"]]
         width = np.array([len(x) for x in bits])      # grows with n
+        earlier = _earlier(group["listed"].combine_chunks(), group["of"][0].as_py())
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for w in np.unique(width):
             own = np.flatnonzero(width == w)
@@ -450,6 +455,7 @@ def across(members: DataFrame) -> DataFrame:
                 if len(j):
                     away = np.bitwise_count(table[j] ^ mine[i]).sum(axis=1)
                     j = reach[j[7 * away <= n[own[i]] + n[reach[j]]]]
+                    j = j[~(earlier[j] & earlier[own[i]]).any(axis=1)]
                     a.append(np.minimum(ids[j], ids[own[i]]))
                     b.append(np.maximum(ids[j], ids[own[i]]))
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
@@ -457,15 +463,30 @@ def across(members: DataFrame) -> DataFrame:
     return members.groupBy("gid").applyInArrow(run, "a long, b long")
 
 
+def _earlier(listed: pa.Array, of: int) -> np.ndarray:
+    """A bitmap of each list: the groups before ``of`` that stand in two lists or more."""
+    group, size = listed.flatten().to_numpy(), listed.value_lengths().to_numpy()
+    row = np.repeat(np.arange(len(size)), size)[group < of]
+    _, at, count = np.unique(group[group < of], return_inverse=True, return_counts=True)
+    place = np.cumsum(count > 1) - 1
+    row, at = row[count[at] > 1], place[at[count[at] > 1]]
+    out = np.zeros((len(size), -(-int((count > 1).sum()) // 8)), np.uint8)
+    np.bitwise_or.at(out, (row, at >> 3), (1 << (at & 7)).astype(np.uint8))
+    return out
+
+
 def in_blocks(members: DataFrame) -> DataFrame:
     """Members (gid, id, n, bits, component) dealt into blocks by a hash, as groups for ``across``: one for each pair of
     blocks, in which members of different blocks are compared, and one for each block, in which all are.  So a task
-    compares two blocks, however large the group is."""
+    compares two blocks, however large the group is.  Each member lists the least LISTED groups that it is in (rows of
+    one id that differ, each its own), so its rows don't grow with their number."""
     sizes = members.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    dealt = members.join(sizes, "gid").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    lists = members.groupBy("id", "n", "bits").agg(F.slice(F.sort_array(F.collect_set("gid")), 1, LISTED).alias("listed"))
+    dealt = members.join(lists, ["id", "n", "bits"]).join(sizes, "gid").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     return dealt.select(F.xxhash64("gid", F.least("block", "other"), F.greatest("block", "other")).alias("gid"), "id", "n", "bits", "component",
-                        F.when(F.col("block") == F.col("other"), F.col("id")).otherwise(F.col("block")).alias("block"))
+                        F.when(F.col("block") == F.col("other"), F.col("id")).otherwise(F.col("block")).alias("block"),
+                        F.col("gid").alias("of"), "listed")
 
 
 def from_pivots(members: DataFrame, turn: int) -> DataFrame:
@@ -522,7 +543,7 @@ def jaccard_join(docs: DataFrame, k: int = WORDS, complete: bool = True) -> tupl
         links = materialize(verify(tried, docs, k), "set-links")
         for turn in range(PIVOTS + 1):
             # two rounds tell apart what is worth comparing; the components of all links come last
-            near = materialize(components(links, rounds=2), "set-components")
+            near = materialize(components(links, rounds=2, ready=True), "set-components")
             placed = materialize(large.join(members, "id").join(near, F.col("class_id") == F.col("node"), "left")
                                  .select("gid", F.col("class_id").alias("id"), "n", "bits", F.coalesce("component", "class_id").alias("component"))
                                  .distinct(), "set-placed")
@@ -531,16 +552,24 @@ def jaccard_join(docs: DataFrame, k: int = WORDS, complete: bool = True) -> tupl
                                 .where("parts > 1"), "set-mixed")
             apart = (F.col("size") * F.col("size") - F.col("within")) / 2
             # many pairs are left in groups whose members have begun to hang together: families of near copies
-            families = mixed.where((apart > FEW * F.col("size")) & (4 * F.col("parts") <= 3 * F.col("size"))).select("gid")
-            if turn == PIVOTS or families.isEmpty():
+            families = mixed.where((apart > FEW * F.col("size")) & (4 * F.col("parts") <= 3 * F.col("size")))
+            size = None if turn == PIVOTS else families.agg(F.sum("size")).first()[0]
+            if not size:
                 break
-            more = materialize(from_pivots(placed.join(families, "gid"), turn).join(tried, ["a", "b"], "left_anti"), "set-pivots")
-            links = links.unionByName(materialize(verify(more, docs, k), "set-links"))
+            more = materialize(from_pivots(placed.join(families.select("gid"), "gid"), turn).join(tried, ["a", "b"], "left_anti"), "set-pivots")
+            if more.count() * MET < size:
+                break       # they would join few members; what is left is compared at once, these pairs too
+            new = materialize(verify(more, docs, k), "set-links")
             tried = tried.unionByName(more)
+            if new.isEmpty():
+                break       # the components, and so what is left to compare, stay as they are
+            links = links.unionByName(new)
         more = materialize(across(in_blocks(placed.join(mixed.select("gid"), "gid"))).distinct().join(tried, ["a", "b"], "left_anti"), "set-across")
         if not more.isEmpty():
             links = links.unionByName(materialize(verify(more, docs, k), "set-links"))
-    linked = materialize(components(links), "set-components")
+    # what is known of the components shortens the chains
+    known = links if complete else links.unionByName(near.where("component < node").select(F.col("component").alias("a"), F.col("node").alias("b")))
+    linked = materialize(components(known, ready=True), "set-components")
     out = (classes.join(linked, F.col("class_id") == F.col("node"), "left")
            .select(_id("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), _id(F.coalesce("component", "class_id")).alias("component_id")))
     return out, links, classes.select(_id("id").alias("doc_id"), _id("class_id").alias("class_id"))
