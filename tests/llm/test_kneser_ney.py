@@ -172,3 +172,18 @@ def test_a_word_never_trained_on_is_unknown(spark):
     spec = K.train(df, 3)
     got = K.score(spark.createDataFrame([(2, twins.B), (3, twins.A)], "doc_id long, text string"), spec).collect()
     assert {r.doc_id: r.n_known for r in got} == {2: 1, 3: 2}
+
+
+def test_sums_of_contexts_are_small_files(spark):
+    """Four bytes a context of two words, but for those with large sums, whose scores are right too."""
+    import numpy as np
+    texts = [f"{'hot pair ' * 400}", *[f"a{i} b{i} c{i} a{i} b{i} d{i}" for i in range(200)]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spec = K.train(df, 3)
+    n = sum(len(K.map_array(files[0], np.uint64)) for _, *files in spec["context_files"])
+    size = sum(len(K.map_array(f, np.uint8)) for _, *files in spec["context_files"] for f in files[:2])
+    large = sum(len(K.map_array(files[2], np.uint64)) for _, *files in spec["context_files"])
+    assert n > 200 and size == 12 * n and 0 < large < 5
+    brute = Brute3(texts)
+    for r in K.score(df, spec).collect():
+        assert r.score == pytest.approx(brute.row(texts[r.doc_id])[4], rel=1e-9)

@@ -13,8 +13,9 @@ of sorted arrays in the shared folder, which workers map into memory:
   word), and of the word as a context: bigrams seen, once, twice, their sum
 * bigrams: key, count (one byte; larger ones apart)
 * trigrams: place of the bigram in its bucket and the word before, count
-* two words as a context: sum, trigrams seen, once, twice; a context seen once
-  is not stored, its bigram says that it was seen
+* two words as a context: sum, trigrams seen, once, twice (one byte each;
+  contexts with larger sums apart); a context seen once is not stored, its
+  bigram says that it was seen
 
 Order 2 counts bigrams as they occur.  Order 3 counts trigrams so; a bigram's
 count is then the number of different words before it, but bigrams of a row's
@@ -336,8 +337,8 @@ def count_grams(docs: DataFrame, folder: str, parts: int, shared, order: int) ->
             by = np.argsort(key, kind="stable")
             key, rows = _row_sums(key[by], rows[by])
             key, rows = key[rows[:, 0] > 1], rows[rows[:, 0] > 1]
-            kind = "u4" if rows.max(initial=0) < 1 << 32 else "i8"
-            out.append(("contexts", here, [write_array(folder, key), write_array(folder, rows.astype(kind)), kind], []))
+            big = rows[:, 0] >= 255     # the sum is the largest of a row
+            out.append(("contexts", here, [write_array(folder, x) for x in (key, np.minimum(rows, 255).astype(np.uint8), key[big], rows[big])], []))
         cols = list(zip(*out))
         return pa.table([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.list_(pa.string())),
                          pa.array(cols[3], pa.list_(pa.int64()))], names=["kind", "bucket", "files", "stats"])
@@ -457,13 +458,16 @@ class Model:
             if b not in self.contexts:
                 continue
             if ("c", b) not in self.maps:
-                keys, rows, kind = self.contexts[b]
-                self.maps["c", b] = (map_array(keys, U), map_array(rows, kind).reshape(-1, 4))
-            table, rows = self.maps["c", b]
+                self.maps["c", b] = [map_array(f, kind) for f, kind in zip(self.contexts[b], (U, np.uint8, U, np.int64))]
+            table, small, big_key, big = self.maps["c", b]
             if len(table):
                 place = np.minimum(np.searchsorted(table, key[mine]), len(table) - 1)
-                hit = table[place] == key[mine]
-                out[mine[hit]] = rows[place[hit]]
+                hit = np.flatnonzero(table[place] == key[mine])
+                rows = small.reshape(-1, 4)[place[hit]].astype(np.int64)
+                large = np.flatnonzero(rows[:, 0] == 255)
+                if len(large):
+                    rows[large] = big.reshape(-1, 4)[np.searchsorted(big_key, key[mine[hit[large]]])]
+                out[mine[hit]] = rows
         return out
 
     def score(self, s: Slice) -> dict[str, np.ndarray]:
