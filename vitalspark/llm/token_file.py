@@ -26,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalspark.llm.arrow_text import ENCODE_BYTES, PieceEncoder, slices
+from vitalspark.llm.arrow_text import ENCODE_BYTES, PieceEncoder, by_bytes, slices, trim, trimmed
 from vitalspark.session import work_path
 
 LIMIT = 18
 BLOCK_TOKENS = 1 << 18
 STRIDE = 256
+BATCH = "8m"                # bytes of texts or ids at once, two slices to encode
 END_ID = 2
 U = np.uint64
 
@@ -153,9 +154,10 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Data
                     pa.nulls(s.n, pa.binary())], names=names)
         yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
                                pa.array([counts.tobytes()], pa.binary())], names=names)
+        trim(forget=False)      # the pieces serve the next task too; the steps after this one forget them
 
     names = ["doc_id", "n_tokens", "ids", "counts"]
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary, counts binary")
+    return by_bytes(docs.select("doc_id", "text"), BATCH).mapInArrow(run, "doc_id long, n_tokens long, ids binary, counts binary")
 
 
 def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -235,7 +237,7 @@ def write_token_file(tokens: DataFrame, kind: str, path: str, parts: int) -> Non
     (tokens.withColumn("tie", F.xxhash64("ids"))
      .repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens", "tie")
      .select("doc_id", "ids")
-     .mapInArrow(run, "part int, seq int, offset long, n_tokens long, docs array<long>, counts array<long>, payload binary, marks binary")
+     .mapInArrow(trimmed(run), "part int, seq int, offset long, n_tokens long, docs array<long>, counts array<long>, payload binary, marks binary")
      .write.option("compression", "none").parquet(f"{path}/blocks"))
 
 
@@ -263,7 +265,7 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
                                        pa.array(counts, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return (blocks.select("part", "offset", "n_tokens", "docs", "counts", "payload", "marks")
-            .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+            .mapInArrow(trimmed(run), "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
 def op2_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
