@@ -265,7 +265,7 @@ class PieceEncoder:
         before, here, after = kind[:-2], kind[1:-1], kind[2:]
         cut = (buf[1:-1] == 32) & ((after & _MAYBE_SPACE) == 0)
         single = (before & _OTHER_SPACE) > here & _MAYBE_SPACE
-        single[0] = False
+        single[:1] = False
         single[1:] &= (kind[:-3] & (_MAYBE_SPACE | _HIGH)) == 0
         cut |= single
         cut |= ((before & _LETTER) << 1) & here > 0
