@@ -99,6 +99,34 @@ def test_added_tokens_and_kept_pieces(switch, room):
             assert ids[at[i]:at[i + 1]].tolist() == tk.encode(texts[s.first + i], add_special_tokens=False).ids, repr(texts[s.first + i])
 
 
+@pytest.mark.parametrize("added", [None, "word <x"])
+def test_short_pieces_are_one_text(added):
+    """Pieces that begin with a space and no white space are handed over as one text, as lists cost more; the ids are those
+    of whole texts, also where pieces put together would spell an added token."""
+    from tokenizers import AddedToken, Tokenizer
+    tk = Tokenizer.from_file(PATH)
+    if added:
+        tk.add_special_tokens([AddedToken(added, normalized=False)])
+    lists = []
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(tk, name)
+
+        def encode_batch_fast(self, given, **how):
+            lists.extend(x for x in given if isinstance(x, list))
+            return tk.encode_batch_fast(given, **how)
+
+    encoder, rng = PieceEncoder(Watched()), random.Random(5)
+    parts = [" word", " <x>", " 12", " \u00e9t\u00e9", "  ", " \u00a0", "\n", " ", ".", "'s", " word <x", "x" * 70, " " + "y" * 70]
+    texts = [" word", "", " <x> <x", "a", *["".join(rng.choices(parts, k=rng.randrange(1, 9))) for _ in range(2000)]]
+    for s in slices(pa.array(texts), max_bytes=3000):
+        ids, at = encoder.encode(s)
+        for i in range(s.n):
+            assert ids[at[i]:at[i + 1]].tolist() == tk.encode(texts[s.first + i], add_special_tokens=False).ids, repr(texts[s.first + i])
+    assert (" 12" in {p for x in lists for p in x}) == bool(added)
+
+
 def test_empty(spark):
     path = work_path(spark, "token-file-empty")
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string").where("false")

@@ -113,15 +113,16 @@ class Decoder:
 
     def decode(self, payload: bytes, marks: np.ndarray, n: int) -> np.ndarray:
         """n ids; all lanes between marks go on by one id at a time."""
-        data = np.frombuffer(payload + b"\0" * 8, np.uint8).astype(np.uint32)
+        data = np.frombuffer(payload + b"\0" * 8, np.uint8)
+        wide = np.zeros(len(data) - 4, U)      # the 40 bits from each byte on
+        for k in range(5):
+            wide = (wide << U(8)) | data[k:len(data) - 4 + k]
         out = np.zeros((STRIDE, len(marks)), np.uint32)
-        at, shift, mask = marks.astype(np.int64), 32 - self.bits, np.uint32((1 << self.bits) - 1)
-        last = len(data) - 5
+        at, shift, mask = marks.astype(np.int64), 40 - self.bits, (1 << self.bits) - 1
+        last = len(wide) - 1
         for k in range(STRIDE):
             b = np.minimum(at >> 3, last)     # the last lane may run on past the end; what it reads there is cut off
-            wide = ((data[b] << np.uint32(24)) | (data[b + 1] << np.uint32(16)) | (data[b + 2] << np.uint32(8)) | data[b + 3]).astype(U)
-            wide = (wide << U(8)) | data[b + 4]
-            found = self.table[(wide >> (U(8) - (at & 7).astype(U)) >> U(shift)).astype(np.uint32) & mask]
+            found = self.table[(wide[b] >> (shift - (at & 7)).astype(U)).view(np.int64) & mask]
             out[k] = found >> np.uint32(5)
             at += found & np.uint32(31)
         return out.T.reshape(-1)[:n]
