@@ -81,3 +81,25 @@ def test_cutting_and_merge_order(ours, theirs):
 
 def test_empty(spark):
     assert bpe.encode(frame(spark).where("false"), PATH, P.PATTERN, digest=True).count() == 0
+
+
+def test_memory_comes_back_after_each_slice(spark, monkeypatch):
+    """What a slice has freed is given back before the next one, not when the task ends."""
+    runs, back = [], []
+
+    class Texts:
+        def mapInArrow(self, run, schema):
+            runs.append(run)
+
+    monkeypatch.setattr(bpe, "by_bytes", lambda docs: Texts())
+    monkeypatch.setattr(bpe, "trim", lambda forget=True: back.append(forget))
+    monkeypatch.setattr(bpe, "SLICE", 40)
+    texts = ["some words of a text " * 2, "more of them " * 4, None, "x" * 50]
+    bpe.encode(spark.createDataFrame([(1, "a")], "doc_id long, text string"), PATH, P.PATTERN, digest=True)
+    batch = pa.record_batch([pa.array(range(4), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    out = runs[0](iter([batch, batch]))
+    next(out)
+    back.clear()
+    for _ in out:
+        assert back.pop() is False
+    assert back

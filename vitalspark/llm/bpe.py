@@ -141,6 +141,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, ids: bool = True, offs
     def run(batches):
         if rank_path not in _workers:
             _workers[rank_path] = _worker(shared.value, rank_path)
+            trim(forget=False)      # reading the definition takes several times its size
         encoder, table = _workers[rank_path]
         for batch in batches:
             for s in slices(batch.column(1), max_bytes=SLICE):
@@ -157,6 +158,8 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, ids: bool = True, offs
                     out += [pa.array([hashlib.sha256(",".join(map(str, r.tolist())).encode()).hexdigest() for r in rows], pa.string()),
                             pa.array([hashlib.sha256(table.decode(r)).hexdigest() for r in rows], pa.string())]
                 yield pa.record_batch(out, names=names)
+                flat = rows = out = None
+                trim(forget=False)      # what a slice has freed, else it adds up over the slices
         trim(forget=False)
 
     names = ["doc_id", "n_tokens"] + ["ids"] * ids + ["char_start", "char_end"] * offsets + ["ids_sha256", "decoded_sha256"] * digest
