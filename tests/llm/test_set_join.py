@@ -147,7 +147,7 @@ def test_links_are_complete(spark, monkeypatch):
     out, links, _ = J.jaccard_join(df)
     got = [tuple(r) for r in links.select("a", "b").collect()]
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 4 * 30
-    for few in (8, 0):      # 0: members of other components are compared with pivots first
+    for few in (8, 0):      # 0: members of other components are joined by forests first
         monkeypatch.setattr(J, "FEW", few)
         assert sorted(out.collect()) == sorted(J.jaccard_join(df, complete=False)[0].collect())
 
@@ -191,6 +191,55 @@ def test_pairs_that_meet_in_many_groups_are_handed_on_about_once(spark, monkeypa
         assert len(got) < 20 * len(meet)
 
 
+def test_a_family_is_joined_without_all_its_pairs(spark, monkeypatch):
+    """Variants of one text that link with a few others each: the pairs that are verified don't grow with all links."""
+    monkeypatch.setattr(J, "FEW", 8)
+    monkeypatch.setattr(J, "BLOCK", 128)
+    rng = random.Random(3)
+    rows, tried, verify = [], [], J.verify
+    for i in range(600):
+        w = [f"w{j}" for j in range(110)]
+        for j in rng.sample(range(110), 2):
+            w[j] = f"v{i}at{j}"         # links with those that were changed at one of the two places, few others
+        rows.append((i, " ".join(w)))
+
+    def counted(pairs, *more):
+        tried.append(pairs.count())
+        return verify(pairs, *more)
+
+    monkeypatch.setattr(J, "verify", counted)
+    got = {tuple(r) for r in J.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), complete=False)[0].collect()}
+    assert got == brute(rows)
+    assert sum(tried) < 4 * len(rows), tried
+
+
+def test_forests_join_what_a_block_holds(spark):
+    """Bitmaps of two lengths, some rows of one component: no pair too many, all that may link hang together; members of
+    several groups stand in one of them."""
+    rng = np.random.default_rng(4)
+    rows, base = [], rng.integers(0, 1 << 63, 300, dtype=np.int64).astype(J.U)
+    for i in range(60):
+        size = 250 + i % 14             # over 256 shingles the bitmap is twice as long
+        x = np.concatenate([base[:size], rng.integers(0, 1 << 63, i % 20, dtype=np.int64).astype(J.U)]) if i else lone_set(rng)
+        rows.append((7, i, len(x), J.parity_bitmaps([x])[0], i // 6 if i else 99))
+    df = spark.createDataFrame(rows, "gid long, id long, n int, bits binary, component long").repartition(3)
+    assert {len(r[3]) for r in rows} == {64, 128}
+    got = [tuple(r) for r in J.forests(df, 0).collect()]
+    root = {r[1]: r[4] for r in rows}
+    for a, b in got:
+        x, y = (np.frombuffer(rows[i][3], J.U).reshape(1, -1) for i in (a, b))
+        assert a < b and root[a] != root[b] and J.may_link(x, rows[a][2], y, np.array([rows[b][2]]))[0]
+        root = {i: root[b] if root[i] == root[a] else root[i] for i in root}
+    assert len(got) == 9 and len(set(root.values())) == 2       # ten components that are one, and the lone set
+    several = df.unionByName(df.where("id % 3 > 0").selectExpr("gid + 1 AS gid", "id", "n", "bits", "component"))
+    for turn in range(3):
+        assert 0 < J.forests(several, turn).count() <= 20
+
+
+def lone_set(rng):
+    return rng.integers(0, 1 << 63, 260, dtype=np.int64).astype(J.U)
+
+
 @pytest.mark.parametrize("ready", [True, False])
 def test_components_of_chains_stars_and_none(spark, ready):
     from vitalspark.llm.components import components

@@ -22,10 +22,12 @@ shingles (their symmetric difference).  That drives the candidate search:
 
 Sets that share a signature form a group.  Its smallest member is paired with
 each other one, pairs are verified, links joined to components; then members of
-different components of one group are compared (where there are many such pairs,
-first all with one member of another component, a few times over, which joins
-most of a family of near copies), by sizes and parity bitmaps (the bits in which
-two bitmaps differ bound the difference from below), then exactly.  Groups whose members all link need no more than the first step.
+different components of one group are compared, by sizes and parity bitmaps (the
+bits in which two bitmaps differ bound the difference from below), then exactly.
+Where there are many such pairs, in families of near copies, a forest of the
+likeliest links within random blocks goes first, a few times over: no more pairs
+than members, which join most of them, so few are left for the comparison of all.
+Groups whose members all link need no more than the first step.
 That is enough for components; all links come from comparing all pairs of a
 group, dealt into blocks, pairs of blocks being Spark groups of their own.
 
@@ -45,12 +47,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalspark.llm.arrow_text import LOWER, Slice, by_bytes, mix64, slices, trimmed
 from vitalspark.llm.components import components
-from vitalspark.session import fits_broadcast, materialize, written_and_counted
+from vitalspark.session import materialize
 
 WORDS = 5
 SHARED_FROM = 4             # a shingle that so many sets (as counted) have is shared
@@ -61,9 +64,7 @@ LEAST_BITS = 512            # of a parity bitmap; it has at least two bits a shi
 BLOCK = 1024                # members of a group that are compared with those of another block
 LISTED = 16                 # groups of each member by which pairs that meet in several groups are told
 FEW = 256                   # pairs of different components for each member of a family that are tried at once
-PIVOTS = 3                  # rounds at most in which a family with more of them is compared with one member
-MET = 8                     # a member in so many has to pass the bitmaps with a pivot for the round to be verified
-MOST_PIVOTS, PIVOT_BYTES = 20_000, 8 << 20      # of a broadcast table of pivots
+FORESTS = 4                 # rounds at most in which a family with more of them is joined by forests first
 TILE = 256                  # documents of a block that are verified against those of another
 FILTER_BITS = 1 << 25       # of the filter for the texts to verify
 FIRST_BAND = 6
@@ -188,9 +189,15 @@ def fold(matrix: np.ndarray, words: int) -> np.ndarray:
 def may_link(a: np.ndarray, na: int, b: np.ndarray, nb: np.ndarray) -> np.ndarray:
     """Whether sizes and bitmaps allow a similarity of 3/4 of set a with each of b: the difference is at most 1/7 of the
     sizes' sum."""
+    return np.isfinite(apart(a, na, b, nb))
+
+
+def apart(a: np.ndarray, na: int, b: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """The bits in which the bitmap of set a and each of b differ, as a share of the sizes' sum; infinite where they can't
+    link."""
     words = min(a.shape[-1], b.shape[1])
     away = np.bitwise_count(fold(b, words) ^ fold(a.reshape(1, -1), words)).sum(axis=1)
-    return (7 * away <= na + nb) & (4 * np.minimum(na, nb) >= 3 * np.maximum(na, nb))
+    return np.where((7 * away <= na + nb) & (4 * np.minimum(na, nb) >= 3 * np.maximum(na, nb)), away / (na + nb), np.inf)
 
 
 class _Seen:
@@ -489,18 +496,39 @@ def in_blocks(members: DataFrame) -> DataFrame:
                         F.col("gid").alias("of"), "listed")
 
 
-def from_pivots(members: DataFrame, turn: int) -> DataFrame:
-    """(a, b) of one member of each group (of a component that the turn picks) and each in other components that may link
-    with it."""
-    pick = F.struct(F.xxhash64("component", F.lit(turn)).alias("draw"), "id", "n", "bits", "component")
-    pivots, count, size = written_and_counted(members.groupBy("gid").agg(F.min(pick).alias("p")).select(F.col("gid").alias("of"), "p.*"), "set-pivots")
-    pivots = pivots.select("of", *[F.col(c).alias(f"p_{c}") for c in ("id", "n", "bits", "component")])
-    pivots = F.broadcast(pivots) if fits_broadcast(count, size, MOST_PIVOTS, PIVOT_BYTES) else pivots.hint("merge")
-    pairs = members.join(pivots, F.col("gid") == F.col("of")).where(F.col("component") != F.col("p_component"))
-    pairs = pairs.where(4 * F.least("n", "p_n") >= 3 * F.greatest("n", "p_n"))
-    pairs = pairs.select(F.col("p_id").alias("a"), F.col("id").alias("b"), F.col("p_n").alias("a_n"), F.col("n").alias("b_n"),
-                         F.col("p_bits").alias("a_bits"), F.col("bits").alias("b_bits"))
-    return pass_bitmaps(pairs).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def forests(members: DataFrame, turn: int) -> DataFrame:
+    """(a, b) of members (gid, id, n, bits, component) that may link: in each block of a group a forest of least distances
+    by the bitmaps that joins the components as far as they reach each other.  A member stands in one of its groups and
+    in one block of that, both drawn anew each turn, so there are no more pairs than members and a block bounds a task."""
+    def run(group):
+        group = group.take(pa.array(np.argsort(pc.binary_length(group["bits"]).to_numpy(), kind="stable"))).combine_chunks()
+        ids, comp, n = group["id"].to_numpy(), group["component"].to_numpy(), group["n"].to_numpy().astype(np.int64)
+        bits = [np.frombuffer(x.as_buffer(), U) for x in group["bits"]]
+        width = np.array([len(x) for x in bits])
+        spans = [(w, *np.searchsorted(width, [w, w + 1])) for w in np.unique(width)]
+        tables = {w: np.stack(bits[x:y]) for w, x, y in spans}
+        least, via, left = np.full(len(ids), np.inf), np.full(len(ids), -1), np.ones(len(ids), bool)
+        a, b = [], []
+        while left.any():
+            rest = np.flatnonzero(left)
+            i = rest[np.argmin(least[rest])]
+            if via[i] >= 0:
+                a.append(min(ids[i], ids[via[i]]))
+                b.append(max(ids[i], ids[via[i]]))
+            own = rest[comp[rest] == comp[i]]
+            left[own] = False
+            for j in own:
+                for w, x, y in spans:
+                    if w <= 2 * width[j] <= 4 * w:      # others are too long or too short
+                        away = apart(bits[j], n[j], tables[w], n[x:y])
+                        nearer = np.flatnonzero(away < least[x:y]) + x
+                        least[nearer], via[nearer] = away[nearer - x], j
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    drawn = materialize(members.groupBy("id", "n", "bits", "component").agg(F.min(F.xxhash64("gid", F.lit(turn))).alias("gid")), "set-drawn")
+    sizes = drawn.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    dealt = drawn.join(sizes, "gid").withColumn("gid", F.xxhash64("gid", F.pmod(F.xxhash64("id", F.lit(turn)), "blocks")))
+    return dealt.select("gid", "id", "n", "bits", "component").groupBy("gid").applyInArrow(run, "a long, b long").distinct()
 
 
 def jaccard_join(docs: DataFrame, k: int = WORDS, complete: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -541,29 +569,29 @@ def jaccard_join(docs: DataFrame, k: int = WORDS, complete: bool = True) -> tupl
         star = found.select(F.element_at("members", 1).alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b")).distinct()
         tried = materialize(described(star), "set-pairs")
         links = materialize(verify(tried, docs, k), "set-links")
-        for turn in range(PIVOTS + 1):
-            # two rounds tell apart what is worth comparing; the components of all links come last
-            near = materialize(components(links, rounds=2, ready=True), "set-components")
+        known, few = links, False
+        for turn in range(FORESTS + 1):
+            # two rounds tell apart what is worth comparing, forests have longer chains; the components of all links come last
+            near = materialize(components(known, rounds=None if turn else 2, ready=True), "set-components")
             placed = materialize(large.join(members, "id").join(near, F.col("class_id") == F.col("node"), "left")
                                  .select("gid", F.col("class_id").alias("id"), "n", "bits", F.coalesce("component", "class_id").alias("component"))
                                  .distinct(), "set-placed")
             parts = placed.groupBy("gid", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("gid")
             mixed = materialize(parts.agg(F.sum("c").alias("size"), F.sum(F.col("c") * F.col("c")).alias("within"), F.count(F.lit(1)).alias("parts"))
                                 .where("parts > 1"), "set-mixed")
-            apart = (F.col("size") * F.col("size") - F.col("within")) / 2
-            # many pairs are left in groups whose members have begun to hang together: families of near copies
-            families = mixed.where((apart > FEW * F.col("size")) & (4 * F.col("parts") <= 3 * F.col("size")))
-            size = None if turn == PIVOTS else families.agg(F.sum("size")).first()[0]
-            if not size:
+            pairs = (F.col("size") * F.col("size") - F.col("within")) / 2      # of different components
+            # many pairs are left in large groups: families of near copies
+            families = mixed.where(pairs > FEW * F.col("size")).select("gid")
+            if turn == FORESTS or few or families.isEmpty():
                 break
-            more = materialize(from_pivots(placed.join(families.select("gid"), "gid"), turn).join(tried, ["a", "b"], "left_anti"), "set-pivots")
-            if more.count() * MET < size:
-                break       # they would join few members; what is left is compared at once, these pairs too
+            more = materialize(forests(placed.join(families, "gid"), turn).join(tried, ["a", "b"], "left_anti"), "set-forests")
             new = materialize(verify(more, docs, k), "set-links")
             tried = tried.unionByName(more)
             if new.isEmpty():
                 break       # the components, and so what is left to compare, stay as they are
             links = links.unionByName(new)
+            few = 2 * new.count() < more.count()       # what is left to join is mostly like enough by its bitmaps alone
+            known = links.unionByName(near.where("component < node").select(F.col("component").alias("a"), F.col("node").alias("b")))
         more = materialize(across(in_blocks(placed.join(mixed.select("gid"), "gid"))).distinct().join(tried, ["a", "b"], "left_anti"), "set-across")
         if not more.isEmpty():
             links = links.unionByName(materialize(verify(more, docs, k), "set-links"))
